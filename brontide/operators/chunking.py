@@ -142,26 +142,32 @@ def number_lines(df: DataFrame, keys: list[str], order_by: list[str]) -> DataFra
 
 def number_in_sequence(df: DataFrame, keys: list[str], segment: list[str]) -> DataFrame:
     """Replace ``_id`` by ``line_no``, given that ``_id`` rises by one from row to row within a
-    segment of a key and that segments follow each other in the order of ``segment``.
-
-    Only one row per segment enters the running sum.
-    """
+    segment of a key and that segments follow each other in the order of ``segment``."""
     whole = [*keys, *segment]
     counts = df.groupBy(*[column(c) for c in whole]).agg(
         F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    window = (Window.partitionBy(*[column(c) for c in keys])
-                    .orderBy(*[column(c) for c in segment])
-                    .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select(
-        F.struct(*[column(c) for c in whole]).alias("_segment"),
-        (F.coalesce(F.sum("_n").over(window), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
     # A struct equals another one field by field with NULLs equal.
+    shifts = (segment_shifts(counts, keys, segment)
+              .select(F.struct(*[column(c) for c in whole]).alias("_segment"), "_shift"))
     return (df.withColumn("_segment", F.struct(*[column(c) for c in whole]))
-              .join(offsets, "_segment")
+              .join(materialize(shifts, "shifts"), "_segment")
               .withColumn("line_no", F.col("_id") + F.col("_shift"))
               .drop("_segment", "_shift", "_id"))
 
 
+def segment_shifts(counts: DataFrame, keys: list[str], segment: list[str]) -> DataFrame:
+    """Add to rows ``keys, segment, _first, _n`` what turns an ``_id`` into a line number.
+
+    The running sum over a key has one row per segment, not per line. Stored, the result has a
+    known size, by which Spark decides whether to broadcast it.
+    """
+    before = (Window.partitionBy(*[column(c) for c in keys])
+                    .orderBy(*[column(c) for c in segment])
+                    .rowsBetween(Window.unboundedPreceding, -1))
+    return counts.withColumn(
+        "_shift", F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1)
+
+
 def chunk_lines(df: DataFrame, keys: list[str], max_lines: int = MAX_LINES,
                 max_chars: int = MAX_CHARS, block_lines: int = _BLOCK_LINES,
                 fan_out: int = _FAN_OUT) -> DataFrame:

@@ -4,70 +4,75 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(),
+    "double": T.DoubleType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
+}
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+
+def _struct(**fields) -> T.StructType:
+    """Nullable fields; a type is one of the names above or a type object."""
+    return T.StructType([T.StructField(name, _TYPES[kind] if isinstance(kind, str) else kind)
+                         for name, kind in fields.items()])
+
+
+def _strings(*names: str) -> dict[str, str]:
+    return dict.fromkeys(names, "string")
 
 
 # One document per exported table.
-TABLE_METADATA = _schema("""
-    `table` string,
-    columns array<struct<cid: int, name: string, type: string, notnull: int,
-                         dflt_value: string, pk: int>>,
-    primary_keys array<string>,
-    foreign_keys array<struct<id: int, seq: int, `table`: string, `from`: string, `to`: string>>,
-    row_count bigint,
-    csv_path string
-""")
-
-DQ_REPORT = _schema("""
-    `table` string, source_rows bigint, cleansed_rows bigint, duplicate_rows_removed bigint,
-    primary_keys array<string>, source_path string, target_path string
-""")
-
-LOG_SOURCE = _schema("""
-    id bigint, pipeline_run_id bigint, pipeline_task_run_id bigint, source_type string,
-    content_type string, source_uri string, dag_id string, dag_run_id string, task_id string,
-    try_number int, map_index int, resource_type string, resource_id string,
-    raw_content string, raw_json string, content_hash string, content_size_bytes bigint,
-    line_count int, collected_at timestamp
-""")
-
-LOG_CHUNK = _schema("""
-    log_source_id bigint, pipeline_run_id bigint, pipeline_task_run_id bigint,
-    source_type string, chunk_index bigint, line_start bigint, line_end bigint,
-    char_start bigint, char_end bigint, message string, message_hash string,
-    level string, is_error boolean, error_hint string
-""")
-
-RESOURCE = _schema("""
-    pipeline_run_id bigint, pipeline_task_run_id bigint, resource_type string,
-    resource_id string, resource_name string, parent_resource_type string,
-    parent_resource_id string, discovered_from string, confidence string, namespace string,
-    cluster_name string, application_id string, started_at timestamp, finished_at timestamp,
-    duration_sec double, raw_payload string, updated_at timestamp
-""")
+TABLE_METADATA = _struct(
+    table="string",
+    columns=T.ArrayType(_struct(cid="int", name="string", type="string", notnull="int",
+                                dflt_value="string", pk="int")),
+    primary_keys=T.ArrayType(T.StringType()),
+    foreign_keys=T.ArrayType(_struct(id="int", seq="int", **_strings("table", "from", "to"))),
+    row_count="bigint", csv_path="string")
+
+DQ_REPORT = _struct(
+    table="string", source_rows="bigint", cleansed_rows="bigint",
+    duplicate_rows_removed="bigint", primary_keys=T.ArrayType(T.StringType()),
+    source_path="string", target_path="string")
+
+LOG_SOURCE = _struct(
+    id="string", pipeline_run_id="bigint", pipeline_task_run_id="bigint",
+    **_strings("source_type", "content_type", "source_uri", "dag_id", "dag_run_id", "task_id"),
+    try_number="int", map_index="int",
+    **_strings("resource_type", "resource_id", "raw_content", "raw_json", "content_hash"),
+    content_size_bytes="bigint", line_count="int", collected_at="timestamp")
+
+LOG_CHUNK = _struct(
+    log_source_id="string", pipeline_run_id="bigint", pipeline_task_run_id="bigint",
+    source_type="string", chunk_index="bigint", line_start="bigint", line_end="bigint",
+    char_start="bigint", char_end="bigint", message="string", message_hash="string",
+    level="string", is_error="boolean", error_hint="string")
+
+RESOURCE = _struct(
+    pipeline_run_id="bigint", pipeline_task_run_id="bigint",
+    **_strings("resource_type", "resource_id", "resource_name", "parent_resource_type",
+               "parent_resource_id", "discovered_from", "confidence", "namespace",
+               "cluster_name", "application_id"),
+    started_at="timestamp", finished_at="timestamp", duration_sec="double",
+    raw_payload="string", updated_at="timestamp")
 
 # A raw callback as the orchestrator hands it over: the hook that fired and its context.
-CALLBACK = _schema("""
-    hook string,
-    dag_run struct<dag_id: string, run_id: string, state: string, start_date: string,
-                   end_date: string, logical_date: string>,
-    dag struct<dag_id: string>,
-    task_instance struct<task_id: string, state: string, start_date: string,
-                         end_date: string, try_number: int, max_tries: int>,
-    exception string,
-    callback_ts string
-""")
-
-EVENT = _schema("""
-    event_type string, dag_id string, dag_run_id string, task_id string, dag_state string,
-    task_state string, dag_start timestamp, dag_end timestamp, task_start timestamp,
-    task_end timestamp, logical_date timestamp, exception string, try_number int,
-    max_tries int, callback_ts timestamp, status string, scope string
-""")
-
-CONTAINER_LINE = _schema("ts timestamp, container_name string, image string, line string")
+CALLBACK = _struct(
+    hook="string",
+    dag_run=_struct(**_strings("dag_id", "run_id", "state", "start_date", "end_date",
+                               "logical_date")),
+    dag=_struct(dag_id="string"),
+    task_instance=_struct(**_strings("task_id", "state", "start_date", "end_date"),
+                          try_number="int", max_tries="int"),
+    exception="string", callback_ts="string")
+
+EVENT = _struct(
+    **_strings("event_type", "dag_id", "dag_run_id", "task_id", "dag_state", "task_state"),
+    dag_start="timestamp", dag_end="timestamp", task_start="timestamp", task_end="timestamp",
+    logical_date="timestamp", exception="string", try_number="int", max_tries="int",
+    callback_ts="timestamp", status="string", scope="string")
+
+CONTAINER_LINE = _struct(ts="timestamp", **_strings("container_name", "image", "line"))
 
 # One row per publication of a snapshot table.
-PUBLICATION = _schema("version bigint, snapshot string, n_rows bigint, published_at timestamp")
+PUBLICATION = _struct(version="bigint", snapshot="string", n_rows="bigint",
+                      published_at="timestamp")

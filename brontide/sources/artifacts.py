@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brontide.errors import DataQualityError
-from brontide.sources.tables import read_or_none
+from brontide.sources.tables import path_exists
 
 
 def artifact_inventory(spark: SparkSession, path: str) -> DataFrame:
@@ -22,6 +22,5 @@ def artifact_inventory(spark: SparkSession, path: str) -> DataFrame:
 
 def require_artifact(spark: SparkSession, path: str) -> None:
     """Fail unless ``path`` exists and holds at least one byte."""
-    inventory = read_or_none(artifact_inventory, spark, path)
-    if inventory is None or not inventory.first()["non_empty"]:
+    if not path_exists(spark, path) or not artifact_inventory(spark, path).first()["non_empty"]:
         raise DataQualityError(f"missing or empty: {path}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brontide.schemas import DQ_REPORT, TABLE_METADATA
-from brontide.sources.tables import read_or_none
+from brontide.sources.tables import path_exists
 
 
 def _write_document(df: DataFrame, path: str) -> None:
@@ -20,9 +20,10 @@ def write_metadata(document: DataFrame, metadata_dir: str, table: str) -> None:
 
 def read_metadata(spark: SparkSession, metadata_dir: str, table: str) -> DataFrame:
     """Metadata of one table; no rows where the table has no document."""
-    reader = spark.read.schema(TABLE_METADATA).option("multiLine", True)
-    found = read_or_none(reader.json, f"{metadata_dir}/{table}.json")
-    return spark.createDataFrame([], TABLE_METADATA) if found is None else found
+    path = f"{metadata_dir}/{table}.json"
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], TABLE_METADATA)
+    return spark.read.schema(TABLE_METADATA).option("multiLine", True).json(path)
 
 
 def declared_primary_keys(spark: SparkSession, metadata_dir: str, table: str) -> list[str]:

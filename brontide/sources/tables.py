@@ -12,7 +12,6 @@ import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from brontide.schemas import PUBLICATION
@@ -26,14 +25,10 @@ def table_path(base: str, table: str) -> str:
     return f"{base.rstrip('/')}/{table.lower()}"
 
 
-def read_or_none(read, *args):
-    """Result of a lazy read, or None where the path does not exist."""
-    try:
-        return read(*args)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, on whatever file system the path names."""
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
 @dataclass(frozen=True)
@@ -67,9 +62,9 @@ def stage_snapshot(df: DataFrame, base: str, table: str) -> Snapshot:
 
 
 def _latest(spark: SparkSession, root: str):
-    log = read_or_none(spark.read.schema(PUBLICATION).json, f"{root}/published")
-    if log is None:
+    if not path_exists(spark, f"{root}/published"):
         return None
+    log = spark.read.schema(PUBLICATION).json(f"{root}/published")
     return log.orderBy(F.desc("version"), F.desc("published_at"), F.desc("snapshot")).first()
 
 
@@ -96,9 +91,7 @@ def scan_table(spark: SparkSession, base: str, table: str, fmt: str | None = Non
 
 def table_exists(spark: SparkSession, base: str, table: str, fmt: str | None = None) -> bool:
     fmt, root = fmt or default_format(spark), table_path(base, table)
-    if fmt != "parquet":
-        return read_or_none(spark.read.format(fmt).load, root) is not None
-    return _latest(spark, root) is not None
+    return path_exists(spark, root) if fmt != "parquet" else _latest(spark, root) is not None
 
 
 def write_table(df: DataFrame, base: str, table: str, fmt: str | None = None) -> int:
