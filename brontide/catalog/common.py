@@ -56,7 +56,7 @@ LINE_EXPR = """concat(cast(event_id as varchar(20)), ' ', case event_type
   when 'signup' then 'Warning: slow'
   else 'plain timeout' end)"""
 
-# Customers with padded names and blank segments, and every tenth one a second time with other
+# Customers with padded names and blank segments, and those in debt a second time with other
 # padding, so that the two become equal only after trimming.
 BLANKS_EXPR = {
     "c_custkey": "c_custkey",
@@ -69,7 +69,7 @@ _PADDED = {**BLANKS_EXPR, "c_name": "concat('   ', c_name, '    ')"}
 BLANKS_SQL = (
     f"select {', '.join(f'{e} as {c}' for c, e in BLANKS_EXPR.items())} from customer union all "
     f"select {', '.join(f'{e} as {c}' for c, e in _PADDED.items())} from customer "
-    "where c_custkey % 10 = 0")
+    "where c_acctbal < 0")
 # The same customers after trimming, as SQL.
 CLEANSED_SQL = ("select distinct c_custkey, nullif(trim(c_name), '') as c_name, c_nationkey, "
                 f"c_acctbal, nullif(trim(c_mktsegment), '') as c_mktsegment from ({BLANKS_SQL})")
@@ -77,7 +77,7 @@ CLEANSED_SQL = ("select distinct c_custkey, nullif(trim(c_name), '') as c_name,
 
 def customers_with_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
-    again = customer.filter("c_custkey % 10 = 0")
+    again = customer.filter("c_acctbal < 0")
     return (customer.selectExpr(*[f"{e} as {c}" for c, e in BLANKS_EXPR.items()])
                     .unionAll(again.selectExpr(*[f"{e} as {c}" for c, e in _PADDED.items()])))
 

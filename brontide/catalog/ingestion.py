@@ -118,7 +118,7 @@ def missing_metadata(spark, sf_dir):
 
 
 @registry.add("""select role as dag_id, 'run+' || conv_id || ' a' as run_id, 'turn' as task_id,
-    case when turn % 2 = 1 then cast(turn as int) end as map_index,
+    case when role = 'assistant' then cast(turn as int) end as map_index,
     cast(turn + 1 as int) as attempt, text || chr(10) as raw_text from conversations""")
 def scan_attempt_logs(spark, sf_dir):
     root = work_dir(spark, "attempts")
@@ -127,7 +127,9 @@ def scan_attempt_logs(spark, sf_dir):
         F.lit("turn").alias("task_id"), F.col("turn").cast("int").alias("map_index"),
         F.concat((F.col("turn") + 1).cast("int"), F.lit(".log")).alias("attempt"),
         F.col("text").alias("value"))
-    mapped, plain = logs.filter("map_index % 2 = 1"), logs.filter("map_index % 2 = 0")
+    # Some tasks are mapped and some are not, in one tree.
+    assistant = F.col("dag_id") == "assistant"
+    mapped, plain = logs.filter(assistant), logs.filter(~assistant)
     keys = ["dag_id", "run_id", "task_id"]
     mapped.write.partitionBy(*keys, "map_index", "attempt").text(f"{root}/mapped")
     plain.drop("map_index").write.partitionBy(*keys, "attempt").text(f"{root}/plain")

@@ -370,18 +370,18 @@ def upsert_resources(spark, sf_dir):
     return L.upsert_resources(base, new, F.col("ts"))
 
 
-# Chunks of a first collection; a second one brings other chunks for the even documents, the same
-# chunk more than once, and nothing for the others.
+# Chunks of a first collection; a second one brings other chunks for the documents that are not
+# English, the same chunk more than once, and nothing for the others.
 _BASE_CHUNKS = "select doc_id as log_source_id, i as chunk_index, line as message from lines where line <> ''"
 _NEW_CHUNKS = """select doc_id as log_source_id, (i - 1) // 2 as chunk_index, upper(lang) || ' ' || i as message, i as seq
-    from lines join documents using (doc_id) where doc_id % 2 = 0"""
+    from lines join documents using (doc_id) where lang <> 'en'"""
 
 
 def _replacement(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     docs = table(spark, sf_dir, "documents")
     base = (C.split_lines(docs.select("doc_id", "text")).filter("line <> ''")
              .selectExpr("doc_id as log_source_id", "line_no as chunk_index", "line as message"))
-    lines = C.split_lines(docs.select("doc_id", "lang", "text")).filter("doc_id % 2 = 0")
+    lines = C.split_lines(docs.select("doc_id", "lang", "text")).filter("lang <> 'en'")
     new = lines.selectExpr("doc_id as log_source_id", "(line_no - 1) div 2 as chunk_index",
                            "concat(upper(lang), ' ', line_no) as message", "line_no as seq")
     return base, new

@@ -212,7 +212,7 @@ def chunk_lines(df: DataFrame, keys: list[str], max_lines: int = MAX_LINES,
 
 def _blocks(rows: DataFrame, block_lines: int, overhang: int, value: Column) -> DataFrame:
     """Array ``_values`` per block in line order, with the ``overhang`` lines behind the block."""
-    block = F.floor(F.col("_at") / block_lines)
+    block = F.expr(f"_at div {block_lines}")
     shared = (F.col("_at") % block_lines < overhang) & (block > 0)
     blocks = F.when(shared, F.array(block, block - 1)).otherwise(F.array(block))
     placed = rows.select("_key", F.explode(blocks).alias("_block"), "_at", value.alias("_value"))
@@ -224,9 +224,10 @@ def _blocks(rows: DataFrame, block_lines: int, overhang: int, value: Column) ->
 def _transitions(rows: DataFrame, block_lines: int, max_lines: int, max_chars: int) -> DataFrame:
     """Per block of a log of several blocks: for each entry the entry into the next block
     (``exits``) and the number of chunks (``counts``); and the block's characters."""
+    # Few, as each has at least a block of lines. Stored, their size decides on a broadcast.
     long_logs = (rows.groupBy("_key").agg(F.max("_at").alias("_last"))
                      .filter(F.col("_last") >= block_lines).select("_key"))
-    measured = rows.join(long_logs, "_key", "left_semi").select(
+    measured = rows.join(materialize(long_logs, "long-logs"), "_key", "left_semi").select(
         "_key", "_at", F.struct(F.length("line").alias("n"),
                                 (X.strip(F.col("line")) != "").alias("text")).alias("m"))
 
@@ -264,7 +265,7 @@ def _entries(level: DataFrame, n_blocks: int, fan_out: int, width: int) -> DataF
     ``fan_out`` blocks at a time are composed to one block of the next level; the entries are
     then handed down level by level. So no task sees more than ``fan_out`` tables.
     """
-    kids = level.groupBy("_key", F.floor(F.col("_block") / fan_out).alias("_group")).agg(
+    kids = level.groupBy("_key", F.expr(f"_block div {fan_out}").alias("_group")).agg(
         F.array_sort(F.collect_list(F.struct("_block", "exits", "counts", "chars"))).alias("kids"))
     flat = kids.select("_key", "_group", "kids", F.flatten("kids.exits").alias("exits"),
                        F.flatten("kids.counts").alias("counts"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brontide.operators import logs as L
-from brontide.operators.chunking import MAX_CHARS, MAX_LINES
+from brontide.operators.chunking import MAX_CHARS, MAX_LINES, chunk_lines
 from brontide.operators.upsert import fold_batch
 from brontide.schemas import LOG_CHUNK, LOG_SOURCE
 from brontide.session import materialize
 from brontide.sources import tables
+from brontide.sources.attempt_logs import ATTEMPT_KEYS, scan_attempt_lines
 
 
 def log_texts(responses: DataFrame) -> DataFrame:
@@ -47,3 +48,10 @@ def save_sources(incoming: DataFrame, base: str, *, max_lines: int = MAX_LINES,
     chunks = L.replace_chunks(_current(spark, base, "log_chunks", LOG_CHUNK, fmt), fresh)
     n_chunks = tables.write_table(chunks.select(*LOG_CHUNK.names), base, "log_chunks", fmt)
     return {"log_sources": n_sources, "log_chunks": n_chunks}
+
+
+def attempt_chunks(spark: SparkSession, root: str, max_lines: int = MAX_LINES,
+                   max_chars: int = MAX_CHARS) -> DataFrame:
+    """Annotated chunks of all task logs under ``root``, whatever their length."""
+    chunks = chunk_lines(scan_attempt_lines(spark, root), ATTEMPT_KEYS, max_lines, max_chars)
+    return L.annotate_chunks(chunks)

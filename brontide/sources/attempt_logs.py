@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from brontide.functions.text import LINE_TERMINATOR
+from brontide.functions.text import split_at_terminators
 from brontide.operators.chunking import segment_shifts
 from brontide.session import materialize
 
@@ -46,7 +46,7 @@ def scan_attempt_lines(spark: SparkSession, root: str) -> DataFrame:
         meta["file_path"].alias("_path"), meta["file_block_start"].alias("_block"),
         meta["file_size"].alias("_size"), F.octet_length("value").alias("_bytes"),
         # "\r" at the end belongs to "\r\n"; the other terminators split what the reader left.
-        F.split(F.regexp_replace("value", "\r\\z", ""), LINE_TERMINATOR).alias("_lines"))
+        split_at_terminators(F.regexp_replace("value", "\r\\z", "")).alias("_lines"))
     lines = files.select("_path", "_block", "_size", "_bytes",
                          F.posexplode_outer("_lines").alias("_pos", "line"))
     stored = materialize(lines.withColumn("_id", F.monotonically_increasing_id()), "attempt-lines")
