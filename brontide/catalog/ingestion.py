@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from brontide.catalog.common import (
     BLANKS_SQL, CLEANSED_SQL, LINE_EXPR, PRIMARY_KEYS, TABLES, Registry, customers_with_blanks,
-    event_lines, table, union_sql)
+    event_lines, table, union_sql, write_attempts)
 from brontide.operators import project as P, quality as Q
 from brontide.plans import ingest as I
 from brontide.session import work_dir
@@ -142,13 +142,7 @@ def scan_attempt_logs(spark, sf_dir):
     {LINE_EXPR} as line from events""")
 def scan_attempt_lines(spark, sf_dir):
     root = work_dir(spark, "attempts")
-    lines = event_lines(spark, sf_dir).select(
-        F.col("event_type").alias("dag_id"), F.date_format("ts", "yyyy-MM-dd").alias("run_id"),
-        F.lit("t").alias("task_id"), F.lit("1.log").alias("attempt"), "ts", "event_id", "line")
-    order = ["dag_id", "run_id", "task_id", "attempt", "ts", "event_id"]
-    (lines.repartitionByRange(*order).sortWithinPartitions(*order)
-          .select(*order[:4], F.col("line").alias("value"))
-          .write.partitionBy(*order[:4]).text(root))
+    write_attempts(event_lines(spark, sf_dir), root)
     return attempt_logs.scan_attempt_lines(spark, root).select("dag_id", "run_id", "line_no", "line")
 
 

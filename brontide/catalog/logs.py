@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from brontide.catalog.common import LINE_EXPR, Registry, event_lines, table
+from brontide.catalog.common import LINE_EXPR, Registry, event_lines, table, write_attempts
 from brontide.functions import text as X
 from brontide.operators import chunking as C, logs as L
 from brontide.plans import collect
@@ -431,12 +431,29 @@ _LOGS_SQL = """select conv_id * 10000 + turn as k, case when role = 'assistant'
     {_ERROR_SQL.format(m='message')} as is_error
     from ({chunks_sql(lines_sql(f'({_LOGS_SQL})', 'k', 'log'), 'k', 4, 300)})""")
 def collect_logs(spark, sf_dir):
-    base = work_dir(spark, "corpus")
-    for second in (False, True):
-        collect.save_sources(collect.log_texts(_responses(spark, sf_dir, second)), base,
-                             max_lines=4, max_chars=300)
-    sources = tables.scan_table(spark, base, "log_sources").select("id", "try_number")
-    chunks = tables.scan_table(spark, base, "log_chunks")
+    base, target = work_dir(spark, "corpus"), work_dir(spark, "published")
+    for batch in (0, 1):
+        collect.append_logs(collect.log_texts(_responses(spark, sf_dir, batch == 1)), base, batch,
+                            max_lines=4, max_chars=300)
+    collect.publish_logs(spark, base, target)
+    sources = tables.scan_table(spark, target, "log_sources").select("id", "try_number")
+    chunks = tables.scan_table(spark, target, "log_chunks")
     return (chunks.join(sources, chunks["log_source_id"] == sources["id"])
                   .select("pipeline_run_id", "try_number", "chunk_index", "line_start", "line_end",
                           "char_start", "char_end", "message", "level", "is_error"))
+
+
+# All events of a type and day form one log file.
+_LOG_PER_DAY = f"""select event_type || '/' || strftime(ts, '%Y-%m-%d') as k,
+    row_number() over (partition by event_type, strftime(ts, '%Y-%m-%d') order by ts, event_id) as i,
+    {LINE_EXPR} as line from events"""
+
+
+@registry.add(f"""select split_part(k, '/', 1) as dag_id, split_part(k, '/', 2) as run_id, * exclude (k),
+    sha256(message) as message_hash, {_LEVEL_SQL.format(m='message')} as level,
+    {_ERROR_SQL.format(m='message')} as is_error from ({chunks_sql(_LOG_PER_DAY, 'k', 5, 200)})""")
+def collect_attempts(spark, sf_dir):
+    root = work_dir(spark, "attempts")
+    write_attempts(event_lines(spark, sf_dir), root)
+    chunks = collect.attempt_chunks(spark, root, 5, 200)
+    return chunks.drop("task_id", "map_index", "attempt", "error_hint")

@@ -90,12 +90,18 @@ def partial_run_state(events: DataFrame, order_by: list[str]) -> DataFrame:
         for name, at in latest.items()])
 
 
+_STATE = ("status", "latest_task_id", "failed_task_id")
+
+
+def merge_partial_states(partials: DataFrame) -> DataFrame:
+    """One partial state per run; applying one twice changes nothing."""
+    return partials.groupBy("dag_id", "dag_run_id").agg(*[F.max(c).alias(c) for c in _STATE])
+
+
 def merge_run_state(partials: DataFrame) -> DataFrame:
-    """State per run from partial states; applying one twice changes nothing."""
-    merged = partials.groupBy("dag_id", "dag_run_id").agg(
-        *[F.max(c).alias(c) for c in ("status", "latest_task_id", "failed_task_id")])
-    return merged.select("dag_id", "dag_run_id", *[
-        F.col(f"{c}.value").alias(c) for c in ("status", "latest_task_id", "failed_task_id")])
+    """State per run from partial states."""
+    return merge_partial_states(partials).select(
+        "dag_id", "dag_run_id", *[F.col(f"{c}.value").alias(c) for c in _STATE])
 
 
 def run_state(events: DataFrame, order_by: list[str]) -> DataFrame:

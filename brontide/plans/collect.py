@@ -1,17 +1,28 @@
-"""Log collection: responses of the log API become sources and chunks."""
+"""Log collection: responses of the log API become sources and chunks.
+
+The corpus under a base folder grows by batches. A batch writes its own sources and chunks and
+costs what it holds, however large the corpus is; writing it again overwrites it. What is
+current is decided on reading, by the rules of the upsert: ``current_sources`` folds the batches,
+``current_chunks`` takes each source's chunks from the last batch that has any. ``publish_logs``
+writes both out as plain tables, for readers that come more often than batches do.
+"""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from brontide.operators import logs as L
 from brontide.operators.chunking import MAX_CHARS, MAX_LINES, chunk_lines
 from brontide.operators.upsert import fold_batch
 from brontide.schemas import LOG_CHUNK, LOG_SOURCE
-from brontide.session import materialize
 from brontide.sources import tables
 from brontide.sources.attempt_logs import ATTEMPT_KEYS, scan_attempt_lines
 
+_ACROSS_BATCHES = replace(L.LOG_SOURCE_RULE, seq="batch")
+
 
 def log_texts(responses: DataFrame) -> DataFrame:
     """Text sources from rows with ``content_type, body`` of an API response."""
@@ -20,36 +31,59 @@ def log_texts(responses: DataFrame) -> DataFrame:
         {"raw_content": nothing, "raw_json": nothing})
 
 
-def _current(spark: SparkSession, base: str, table: str, schema, fmt: str | None) -> DataFrame:
-    if tables.table_exists(spark, base, table, fmt):
-        return tables.scan_table(spark, base, table, fmt)
-    return spark.createDataFrame([], schema)
-
-
-def save_sources(incoming: DataFrame, base: str, *, max_lines: int = MAX_LINES,
-                 max_chars: int = MAX_CHARS, fmt: str | None = None) -> dict[str, int]:
-    """Upsert sources ``raw_text, raw_content, raw_json`` and replace the chunks of their texts.
+def append_logs(incoming: DataFrame, base: str, batch: int, *, max_lines: int = MAX_LINES,
+                max_chars: int = MAX_CHARS) -> dict[str, int]:
+    """Add a batch of sources ``raw_text, raw_content, raw_json`` and the chunks of its texts.
 
     ``incoming`` has the key columns of a source, its descriptive columns and ``seq``, the order
-    in which rows apply. Returns the rows of both tables.
+    in which rows apply. Batches apply in the order of their numbers. Returns the rows written.
     """
     spark = incoming.sparkSession
-    # The batch is used for both tables and holds a time stamp: it is computed once.
-    routed = L.route_sources(incoming).withColumn("id", L.source_id())
-    batch = materialize(routed.withColumn("collected_at", F.current_timestamp()), "log-batch")
-
-    sources = L.upsert_log_sources(_current(spark, base, "log_sources", LOG_SOURCE, fmt), batch,
-                                   F.col("collected_at"))
-    n_sources = tables.write_table(sources.select(*LOG_SOURCE.names), base, "log_sources", fmt)
-
-    latest = fold_batch(batch, L.LOG_SOURCE_RULE)
-    texts = latest.filter(F.col("content_type") == "TEXT")
-    fresh = materialize(L.chunk_sources(texts, max_lines, max_chars), "chunk-batch")
-    chunks = L.replace_chunks(_current(spark, base, "log_chunks", LOG_CHUNK, fmt), fresh)
-    n_chunks = tables.write_table(chunks.select(*LOG_CHUNK.names), base, "log_chunks", fmt)
+    sources, chunks = (f"{base}/{t}/batch={batch}" for t in ("log_sources", "log_chunks"))
+    stamped = (L.route_sources(incoming).withColumn("id", L.source_id())
+                .withColumn("collected_at", F.current_timestamp()))
+    n_sources = tables.write_parquet(
+        fold_batch(stamped, L.LOG_SOURCE_RULE).select(*LOG_SOURCE.names), sources)
+
+    written = spark.read.schema(LOG_SOURCE).parquet(sources)
+    texts = written.filter(F.col("content_type") == "TEXT")
+    n_chunks = tables.write_parquet(
+        L.chunk_sources(texts, max_lines, max_chars).select(*LOG_CHUNK.names), chunks)
     return {"log_sources": n_sources, "log_chunks": n_chunks}
 
 
+def collect_stream(responses: DataFrame, base: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Append every micro-batch of responses to the corpus."""
+    def add(batch: DataFrame, batch_id: int) -> None:
+        append_logs(log_texts(batch), base, batch_id)
+
+    return (responses.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+                     .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def _batches(spark: SparkSession, base: str, table: str, schema) -> DataFrame:
+    return spark.read.schema(f"{schema.toDDL()}, batch BIGINT").parquet(f"{base}/{table}")
+
+
+def current_sources(spark: SparkSession, base: str) -> DataFrame:
+    """Every source once, with the effect of all batches."""
+    batches = _batches(spark, base, "log_sources", LOG_SOURCE)
+    return fold_batch(batches, _ACROSS_BATCHES).select(*LOG_SOURCE.names)
+
+
+def current_chunks(spark: SparkSession, base: str) -> DataFrame:
+    """The chunks of every source from the last batch that brought it any."""
+    batches = _batches(spark, base, "log_chunks", LOG_CHUNK)
+    last = batches.groupBy("log_source_id").agg(F.max("batch").alias("batch"))
+    return batches.join(last, ["log_source_id", "batch"], "left_semi").select(*LOG_CHUNK.names)
+
+
+def publish_logs(spark: SparkSession, base: str, target: str, fmt: str | None = None) -> dict[str, int]:
+    """Write the current sources and chunks as tables under ``target``."""
+    return {"log_sources": tables.write_table(current_sources(spark, base), target, "log_sources", fmt),
+            "log_chunks": tables.write_table(current_chunks(spark, base), target, "log_chunks", fmt)}
+
+
 def attempt_chunks(spark: SparkSession, root: str, max_lines: int = MAX_LINES,
                    max_chars: int = MAX_CHARS) -> DataFrame:
     """Annotated chunks of all task logs under ``root``, whatever their length."""

@@ -76,18 +76,20 @@ def read_cleansed(spark: SparkSession, folders: Folders, table: str) -> DataFram
 
 
 def load_table(spark: SparkSession, table: str, folders: Folders, fmt: str | None = None) -> int:
-    """Copy the cleansed table to the target; published only if the counts agree."""
-    source = read_cleansed(spark, folders, table)
-    fmt = fmt or tables.default_format(spark)
+    """Copy the cleansed table to the target and compare the rows read with those found there.
+
+    A snapshot is published only if the counts agree; other formats are checked afterwards.
+    """
+    source, fmt = read_cleansed(spark, folders, table), fmt or tables.default_format(spark)
     if fmt == "parquet":
         staged = tables.stage_snapshot(source, folders.target, table)
         loaded = spark.read.schema(source.schema).parquet(staged.path).count()
-        Q.require_equal_counts(table, source.count(), loaded)
+        Q.require_equal_counts(table, staged.n_rows, loaded)
         tables.publish_snapshot(spark, staged)
     else:
-        tables.write_table(source, folders.target, table, fmt)
+        read = tables.write_table(source, folders.target, table, fmt)
         loaded = tables.scan_table(spark, folders.target, table, fmt).count()
-        Q.require_equal_counts(table, source.count(), loaded)
+        Q.require_equal_counts(table, read, loaded)
     return loaded
 
 

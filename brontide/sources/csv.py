@@ -26,15 +26,16 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return reader.options(mode="FAILFAST", enforceSchema=False).schema(schema).csv(path)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     """Write ``df`` as a folder of header CSV files; NULL becomes an empty field.
 
-    One file per task, so that a reader gets as many tasks as there are files although a file
-    with quoted line breaks cannot be split.
+    A file with quoted line breaks cannot be split between tasks, so files are kept small enough
+    for one, also if the source came in a single partition.
     """
     # A lone empty field would be an empty line, which readers skip: quote it.
     empty = '""' if len(df.columns) == 1 else ""
     (df.write.mode("overwrite")
        .options(**_DIALECT, nullValue=empty, emptyValue=empty,
-                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+                maxRecordsPerFile=rows_per_file)
        .csv(path))

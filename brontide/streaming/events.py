@@ -6,12 +6,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from brontide.operators.events import (
-    idempotency_key, merge_run_state, normalize_events, partial_run_state)
+    idempotency_key, merge_partial_states, merge_run_state, normalize_events, partial_run_state)
 from brontide.schemas import CALLBACK
+from brontide.sources import tables
 
 
 def read_callbacks(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -40,23 +41,38 @@ def dedup_event_stream(events: DataFrame, ts: str = "callback_ts",
 
 
 def maintain_run_state(events: DataFrame, path: str, checkpoint: str, order_by: list[str],
-                       **trigger) -> StreamingQuery:
+                       fold_every: int = 100, **trigger) -> StreamingQuery:
     """Keep the state of all runs under ``path``.
 
     Each micro-batch adds the partial state of the runs it saw, in a folder of its own, so a
-    batch costs what it holds and not what all runs hold. A batch that is run again after a
-    failure overwrites its folder.
+    batch costs what it holds and not what all runs hold. Every ``fold_every`` batches the
+    partial states so far are merged into one snapshot. A batch that is run again after a failure
+    overwrites its folder, and merging a partial state twice changes nothing.
     """
     def add(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         (partial_run_state(batch, order_by)
-            .write.mode("overwrite").parquet(f"{path}/batch={batch_id}"))
+            .write.mode("overwrite").parquet(f"{path}/partial/batch={batch_id}"))
+        if (batch_id + 1) % fold_every == 0:
+            folded = merge_partial_states(_partial_states(spark, path))
+            tables.write_table(folded.withColumn("batch", F.lit(batch_id)), path, "folded", "parquet")
 
     return (events.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
                   .trigger(**(trigger or {"availableNow": True})).start())
 
 
+def _partial_states(spark: SparkSession, path: str) -> DataFrame:
+    """The last snapshot and the batches after it."""
+    batches = spark.read.parquet(f"{path}/partial")
+    if not tables.table_exists(spark, path, "folded", "parquet"):
+        return batches
+    folded = tables.scan_table(spark, path, "folded", "parquet")
+    upto = folded.agg(F.max("batch")).first()[0]
+    return folded.unionByName(batches.filter(F.col("batch") > upto))
+
+
 def read_run_state(spark: SparkSession, path: str) -> DataFrame:
-    return merge_run_state(spark.read.parquet(path))
+    return merge_run_state(_partial_states(spark, path))
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:

@@ -81,7 +81,8 @@ def test_partial_states_merge_in_any_order(spark):
     assert tuple(merged.first()) == tuple(E.run_state(events, ["at"]).first()) == ("d", "r", "success", "t5", "t2")
 
 
-def test_stream_in_two_runs(spark):
+@pytest.mark.parametrize("fold_every", [1, 2, 100])
+def test_stream_in_two_runs(spark, fold_every):
     """Two runs with one checkpoint equal one batch; replays in the second run are dropped."""
     path = work_dir(spark, "test-stream")
     first = callbacks({"hook": "on_task_retry"}, {"hook": "on_task_retry"})
@@ -92,7 +93,8 @@ def test_stream_in_two_runs(spark):
               .write.mode("append").text(f"{path}/in"))
         events = S.read_callbacks(spark, f"{path}/in")
         S.write_stream(S.dedup_event_stream(events), f"{path}/out", f"{path}/ck").awaitTermination()
-        S.maintain_run_state(events, f"{path}/state", f"{path}/ck2", ["callback_ts"]).awaitTermination()
+        S.maintain_run_state(events, f"{path}/state", f"{path}/ck2", ["callback_ts"],
+                             fold_every=fold_every).awaitTermination()
         states.append(S.read_run_state(spark, f"{path}/state").first()["failed_task_id"])
     keys = [r["idempotency_key"] for r in spark.read.parquet(f"{path}/out").collect()]
     assert sorted(keys) == ["d:r:t:failed:2", "d:r:t:retry:2"]

@@ -105,14 +105,57 @@ def test_replace_chunks(spark):
 
 def test_empty_text_keeps_old_chunks(spark):
     base = work_dir(spark, "test-corpus")
-    assert collect.save_sources(source(spark, raw_text="ERROR one\n\ntwo"), base, max_lines=1) == {
+    assert collect.append_logs(source(spark, raw_text="ERROR one\n\ntwo"), base, 0, max_lines=1) == {
         "log_sources": 1, "log_chunks": 2}
-    for text in ("", " \n "):
-        assert collect.save_sources(source(spark, raw_text=text), base) == {
-            "log_sources": 1, "log_chunks": 2}
-    assert tables.scan_table(spark, base, "log_sources").first()["raw_content"] == " \n "
-    chunks = sorted(tables.scan_table(spark, base, "log_chunks").collect(), key=lambda r: r["chunk_index"])
+    for batch, text in ((1, ""), (2, " \n ")):
+        assert collect.append_logs(source(spark, raw_text=text), base, batch) == {
+            "log_sources": 1, "log_chunks": 0}
+    assert [r["raw_content"] for r in collect.current_sources(spark, base).collect()] == [" \n "]
+    chunks = sorted(collect.current_chunks(spark, base).collect(), key=lambda r: r["chunk_index"])
     assert [(c["message"], c["line_start"], c["level"], c["is_error"], c["error_hint"]) for c in chunks] == [
         ("ERROR one", 1, "ERROR", True, "possible_error_chunk"), ("two", 3, None, False, None)]
-    assert collect.save_sources(source(spark, raw_text="three"), base) == {
-        "log_sources": 1, "log_chunks": 1}
+    collect.append_logs(source(spark, raw_text="three"), base, 3)
+    target = work_dir(spark, "test-published")
+    assert collect.publish_logs(spark, base, target) == {"log_sources": 1, "log_chunks": 1}
+    assert tables.scan_table(spark, target, "log_chunks").first()["message"] == "three"
+
+
+def test_batch_written_again_changes_nothing(spark):
+    base = work_dir(spark, "test-corpus")
+    for batch in (0, 1, 0):
+        collect.append_logs(source(spark, raw_text=f"text {batch}", task_id=None), base, batch)
+    assert [r["raw_content"] for r in collect.current_sources(spark, base).collect()] == ["text 1"]
+    assert [r["message"] for r in collect.current_chunks(spark, base).collect()] == ["text 1"]
+
+
+def test_batches_equal_upserts(spark):
+    """Folding all batches on reading gives what upserting one after the other gives."""
+    rnd, base = random.Random(5), work_dir(spark, "test-corpus")
+    table = spark.createDataFrame([], LOG_SOURCE)
+    for batch in range(3):
+        rows = [source(spark, i, raw_text=rnd.choice(["a", "b\nc", ""]), task_id=rnd.choice([None, "", "t"]),
+                       pipeline_task_run_id=rnd.choice([None, 0, 1]), dag_id=rnd.choice([None, "d"]))
+                for i in range(8)]
+        incoming = rows[0]
+        for row in rows[1:]:
+            incoming = incoming.unionByName(row)
+        collect.append_logs(incoming, base, batch)
+        table = L.upsert_log_sources(table, L.route_sources(incoming))
+    columns = [c for c in LOG_SOURCE.names if c != "collected_at"]
+    assert (sorted(map(str, collect.current_sources(spark, base).select(*columns).collect()))
+            == sorted(map(str, table.select(*columns).collect())))
+
+
+def test_collect_stream(spark):
+    path = work_dir(spark, "test-collect")
+    columns = [c for c in LOG_SOURCE.names if c not in (
+        "id", "content_type", "raw_content", "raw_json", "content_hash", "content_size_bytes",
+        "line_count", "collected_at")]
+    for number, body in enumerate(['{"content": "one"}', '["two", "ERROR"]']):
+        responses = (source(spark).select(*columns, "seq").withColumn("body", F.lit(body))
+                     .withColumn("content_type", F.lit("application/json")))
+        responses.write.mode("append").json(f"{path}/in")
+        stream = spark.readStream.schema(responses.schema).json(f"{path}/in")
+        collect.collect_stream(stream, f"{path}/corpus", f"{path}/ck").awaitTermination()
+    assert [r["raw_content"] for r in collect.current_sources(spark, f"{path}/corpus").collect()] == ["two\nERROR"]
+    assert [r["is_error"] for r in collect.current_chunks(spark, f"{path}/corpus").collect()] == [True]
