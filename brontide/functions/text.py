@@ -62,6 +62,11 @@ def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
+def has_text(text: Column) -> Column:
+    """Whether ``strip`` leaves anything; looks no further than the first such character."""
+    return text.rlike(f"[^{WHITESPACE}]")
+
+
 def pick_content(raw_text: Column, raw_content: Column) -> Column:
     return F.coalesce(raw_text, raw_content, F.lit(""))
 

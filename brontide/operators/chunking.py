@@ -180,15 +180,20 @@ def chunk_lines(df: DataFrame, keys: list[str], max_lines: int = MAX_LINES,
     block_lines = max(block_lines, max_lines)
     rows = df.select(F.struct(*[column(k) for k in keys]).alias("_key"),
                      (F.col("line_no") - 1).alias("_at"), "line")
-    last = rows.agg(F.max("_at")).first()[0] or 0
+    # Logs of several blocks: few, as each has at least a block of lines. Stored, their size
+    # decides on a broadcast.
+    lasts = rows.groupBy("_key").agg(F.max("_at").alias("_last"))
+    long_logs = materialize(lasts.filter(F.col("_last") >= block_lines), "long-logs")
+    last = long_logs.agg(F.max("_last")).first()[0]
 
     blocks = _blocks(rows, block_lines, max_lines, F.col("line"))
-    no_entry = F.lit(0).cast("bigint")
-    if last < block_lines:
-        entered = blocks.select("*", F.lit(0).alias("_entry"), no_entry.alias("_index"),
-                                no_entry.alias("_chars"))
+    zero = F.lit(0).cast("bigint")
+    if last is None:
+        entered = blocks.select("*", F.lit(0).alias("_entry"), zero.alias("_index"),
+                                zero.alias("_chars"))
     else:
-        entries = _entries(_transitions(rows, block_lines, max_lines, max_chars),
+        measured = rows.join(long_logs, "_key", "left_semi")
+        entries = _entries(_transitions(measured, block_lines, max_lines, max_chars),
                            last // block_lines + 1, fan_out, max_lines)
         # Logs of a single block have no entry: they begin at 0.
         entered = (blocks.join(entries, ["_key", "_block"], "left")
@@ -198,7 +203,7 @@ def chunk_lines(df: DataFrame, keys: list[str], max_lines: int = MAX_LINES,
         "_key", "_block", "_entry", "_index",
         F.slice("_values", F.col("_entry") + 1, F.greatest(F.size("_values") - F.col("_entry"), F.lit(0)))
          .alias("_lines"),
-        (F.col("_chars") + F.aggregate(F.slice("_values", F.lit(1), F.col("_entry")), no_entry,
+        (F.col("_chars") + F.aggregate(F.slice("_values", F.lit(1), F.col("_entry")), zero,
                                        lambda total, line: total + F.length(line) + 1)).alias("_chars"))
     # Lines behind the block only complete its last chunk; chunks that begin there are not its.
     spans = lines.withColumn("_spans", F.filter(
@@ -217,39 +222,36 @@ def _blocks(rows: DataFrame, block_lines: int, overhang: int, value: Column) ->
     blocks = F.when(shared, F.array(block, block - 1)).otherwise(F.array(block))
     placed = rows.select("_key", F.explode(blocks).alias("_block"), "_at", value.alias("_value"))
     return (placed.groupBy("_key", "_block")
-                  .agg(F.array_sort(F.collect_list(F.struct("_at", "_value"))).alias("_rows"))
+                  .agg(F.sort_array(F.collect_list(F.struct("_at", "_value"))).alias("_rows"))
                   .select("_key", "_block", F.col("_rows._value").alias("_values")))
 
 
 def _transitions(rows: DataFrame, block_lines: int, max_lines: int, max_chars: int) -> DataFrame:
-    """Per block of a log of several blocks: for each entry the entry into the next block
+    """Per block: for each entry the entry into the next block
     (``exits``) and the number of chunks (``counts``); and the block's characters."""
-    # Few, as each has at least a block of lines. Stored, their size decides on a broadcast.
-    long_logs = (rows.groupBy("_key").agg(F.max("_at").alias("_last"))
-                     .filter(F.col("_last") >= block_lines).select("_key"))
-    measured = rows.join(materialize(long_logs, "long-logs"), "_key", "left_semi").select(
+    measured = rows.select(
         "_key", "_at", F.struct(F.length("line").alias("n"),
-                                (X.strip(F.col("line")) != "").alias("text")).alias("m"))
+                                X.has_text(F.col("line")).alias("text")).alias("m"))
 
     @F.pandas_udf("struct<exits: array<int>, counts: array<bigint>>")
     def transition(lengths: pd.Series, has_text: pd.Series) -> pd.DataFrame:
         exits, counts = [], []
         for n, text in zip(lengths, has_text):
-            known = len(n)
+            known, own = len(n), min(len(n), block_lines)
             ends = np.concatenate(([0], np.cumsum(np.asarray(n, np.int64) + 1)))
             texts = np.concatenate(([0], np.cumsum(np.asarray(text, bool))))
-            at = np.arange(min(known, block_lines))
+            at = np.arange(own)
             by_length = np.searchsorted(ends, ends[at] + max_chars + 1) - 1
             following = np.minimum(np.maximum(by_length, at + 1), np.minimum(at + max_lines, known))
-            exit_of = np.zeros(block_lines + max_lines, np.int32)
-            exit_of[block_lines:] = np.arange(max_lines)
-            chunks = np.zeros(block_lines + max_lines, np.int64)
-            for i in at[::-1]:
-                j = following[i]
-                exit_of[i] = exit_of[j]
-                chunks[i] = chunks[j] + (texts[j] > texts[i])
-            exits.append(exit_of[:max_lines])
-            counts.append(chunks[:max_lines])
+            # All entries at once, chunk by chunk, until the last of them has left the block.
+            entry, total = np.arange(max_lines), np.zeros(max_lines, np.int64)
+            while (inside := entry < own).any():
+                here = entry[inside]
+                total[inside] += texts[following[here]] > texts[here]
+                entry[inside] = following[here]
+            # What leaves the last block, which is not followed by another, leads nowhere.
+            exits.append(np.clip(entry - block_lines, 0, max_lines - 1).astype(np.int32))
+            counts.append(total)
         return pd.DataFrame({"exits": exits, "counts": counts})
 
     table = _blocks(measured, block_lines, max_lines, F.col("m")).select(
@@ -266,7 +268,7 @@ def _entries(level: DataFrame, n_blocks: int, fan_out: int, width: int) -> DataF
     then handed down level by level. So no task sees more than ``fan_out`` tables.
     """
     kids = level.groupBy("_key", F.expr(f"_block div {fan_out}").alias("_group")).agg(
-        F.array_sort(F.collect_list(F.struct("_block", "exits", "counts", "chars"))).alias("kids"))
+        F.sort_array(F.collect_list(F.struct("_block", "exits", "counts", "chars"))).alias("kids"))
     flat = kids.select("_key", "_group", "kids", F.flatten("kids.exits").alias("exits"),
                        F.flatten("kids.counts").alias("counts"))
 
