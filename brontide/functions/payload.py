@@ -22,45 +22,47 @@ def canonical_json(text: Column) -> Column:
     return F.coalesce(F.to_json(F.try_parse_json(text)), quoted, F.lit("{}"))
 
 
-def _let(value: Column, body) -> Column:
-    """``body`` of a value that is computed once, however often ``body`` uses it."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+def _let(value: str, name: str, body: str) -> str:
+    """SQL of ``body`` with ``name`` for a value that is computed once, however often it is used."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def _kind(value: Column) -> Column:
-    """``STRING``, ``VOID`` for JSON null, ``OBJECT<...>``, ``ARRAY<...>`` and so on."""
-    return F.schema_of_variant(value)
-
-
-def _plain_text(value: Column) -> Column:
+def _plain_text(value: str) -> str:
     """Text of a string, '' of JSON null or nothing, NULL for whatever needs a closer look."""
-    return _let(value, lambda v: _let(_kind(v), lambda kind: (
-        F.when(kind.isNull() | (kind == "VOID"), F.lit(""))
-         .when(kind == "STRING", F.try_variant_get(v, "$", "string")))))
+    return _let(f"schema_of_variant({value})", "kind",
+                f"CASE WHEN kind IS NULL OR kind = 'VOID' THEN '' "
+                f"WHEN kind = 'STRING' THEN try_variant_get({value}, '$', 'string') END")
 
 
-def _object_text(value: Column) -> Column:
+def _object_text(value: str, keys: tuple[str, ...] = TEXT_KEYS) -> str:
     """Text of an object that has a plain one under its first telling key, else NULL."""
-    def text_under(keys: tuple[str, ...]) -> Column:
-        if not keys:
-            return F.lit(None).cast("string")
-        this = _plain_text(F.try_variant_get(value, f"$.{keys[0]}", "variant"))
-        return _let(this, lambda t: F.when(t != "", t).when(t == "", text_under(keys[1:])))
-
-    return text_under(TEXT_KEYS)
-
+    if not keys:
+        return "CAST(NULL AS STRING)"
+    later = _object_text(value, keys[1:])
+    this = _let(f"try_variant_get({value}, '$.{keys[0]}', 'variant')", "v", _plain_text("v"))
+    return _let(this, "t", f"CASE WHEN t <> '' THEN t WHEN t = '' THEN {later} END")
 
-def _flat_text(value: Column) -> Column:
-    return (F.when(_kind(value).startswith("OBJECT"), _object_text(value))
-             .otherwise(_plain_text(value)))
 
+def regular_text(payload: str) -> Column:
+    """Text of a column of flat payloads, NULL for an irregular one: deeper nesting, bare numbers,
+    objects without a telling key, and objects or lists that the JVM's parser refuses, as for a
+    repeated key. See ``logs.extract_log_text``.
 
-def _list_text(value: Column) -> Column:
-    """Texts of a list of strings and flat objects, NULL if one of them is neither."""
-    texts = F.transform(F.try_variant_get(value, "$", "array<variant>"), _flat_text)
-    return _let(texts, lambda found: (
-        F.when(~F.exists(found, lambda t: t.isNull()),
-               F.array_join(F.filter(found, lambda t: t != ""), "\n"))))
+    Written as SQL text: built from Column calls, an expression of this size takes longer to
+    put together than a small table to process. The column's name must be a plain one.
+    """
+    # Whatever is not a list is treated as a list of itself.
+    elements = ("CASE WHEN startswith(schema_of_variant(j), 'ARRAY') "
+                "THEN try_variant_get(j, '$', 'array<variant>') ELSE array(j) END")
+    text = (f"CASE WHEN startswith(schema_of_variant(e), 'OBJECT') THEN {_object_text('e')} "
+            f"ELSE {_plain_text('e')} END")
+    joined = _let(f"transform({elements}, e -> {text})", "texts",
+                  "CASE WHEN NOT exists(texts, x -> x IS NULL) "
+                  "THEN array_join(filter(texts, x -> x <> ''), '\\n') END")
+    parsed = (f"CASE WHEN j IS NOT NULL THEN {joined} WHEN left(ltrim(' \\t\\r\\n', {payload}), 1) "
+              f"NOT IN ('[', '{{') THEN {payload} END")
+    return F.expr(f"CASE WHEN {payload} IS NULL THEN '' "
+                  f"ELSE {_let(f'try_parse_json({payload})', 'j', parsed)} END")
 
 
 def _nested_text(value) -> str:
@@ -100,35 +102,20 @@ def irregular_text(payload: pd.Series) -> pd.Series:
     return payload.map(_payload_text, na_action="ignore")
 
 
-def regular_text(payload: Column) -> Column:
-    """Text of a flat payload, NULL for an irregular one: deeper nesting, bare numbers, objects
-    without a telling key, and objects or lists that the JVM's parser refuses, as for a repeated
-    key. See ``logs.extract_log_text``."""
-    looks_nested = payload.rlike(r"^\s*[\[{]")
-    return (F.when(payload.isNull(), F.lit(""))
-             .otherwise(_let(F.try_parse_json(payload), lambda value: (
-                 F.when(value.isNull(), F.when(~looks_nested, payload))
-                  .when(_kind(value).startswith("ARRAY"), _list_text(value))
-                  .otherwise(_flat_text(value))))))
-
-
 def is_json(content_type: Column) -> Column:
     return F.coalesce(content_type.contains(JSON_CONTENT_TYPE), F.lit(False))
 
 
-def task_instances(payload: Column) -> Column:
-    """Array of the task-instance objects of a payload, as variants.
+def task_instances(payload: str) -> Column:
+    """Array of the task-instance objects in a column of payloads, as variants.
 
     The payload is the list itself or an object with the list under one of ``TASK_LIST_KEYS``;
     a key that holds something else is passed over.
     """
-    def as_list(value: Column, path: str) -> Column:
-        # Only a real list: a cast could also turn a string of JSON into one.
-        return _let(F.try_variant_get(value, path, "variant"), lambda found: (
-            F.when(_kind(found).startswith("ARRAY"),
-                   F.try_variant_get(found, "$", "array<variant>"))))
-
-    paths = ["$", *[f"$.{key}" for key in TASK_LIST_KEYS]]
-    found = _let(F.try_parse_json(payload),
-                 lambda value: F.coalesce(*[as_list(value, path) for path in paths]))
-    return F.filter(found, lambda item: _kind(item).startswith("OBJECT"))
+    # Only a real list: a cast could also turn a string of JSON into one.
+    lists = [_let(f"try_variant_get(j, '{path}', 'variant')", "v",
+                  "CASE WHEN startswith(schema_of_variant(v), 'ARRAY') "
+                  "THEN try_variant_get(v, '$', 'array<variant>') END")
+             for path in ("$", *(f"$.{key}" for key in TASK_LIST_KEYS))]
+    found = _let(f"try_parse_json({payload})", "j", f"coalesce({', '.join(lists)})")
+    return F.expr(f"filter({found}, item -> startswith(schema_of_variant(item), 'OBJECT'))")

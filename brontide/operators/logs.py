@@ -54,8 +54,8 @@ def extract_log_text(df: DataFrame, payload: str = "payload", name: str = "text"
     other rows its argument is NULL.
     """
     others = [column(c) for c in df.columns if c != payload]
-    flat = df.select(*others, column(payload).alias("_payload"),
-                     P.regular_text(column(payload)).alias("_flat"))
+    named = df.select(*others, column(payload).alias("_payload"))
+    flat = named.select("*", P.regular_text("_payload").alias("_flat"))
     rest = P.irregular_text(F.when(F.col("_flat").isNull(), F.col("_payload")))
     return flat.select(*others, F.coalesce("_flat", rest).alias(name))
 
@@ -72,8 +72,8 @@ def decode_payload(df: DataFrame, name: str = "text") -> DataFrame:
 def explode_task_instances(df: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per task-instance object of a payload, as JSON, numbered from 0."""
     others = [column(c) for c in df.columns if c != payload]
-    items = df.select(*others, F.posexplode_outer(P.task_instances(column(payload)))
-                                .alias("item_no", "_item"))
+    items = df.select(*others, column(payload).alias("_payload")).select(
+        *others, F.posexplode_outer(P.task_instances("_payload")).alias("item_no", "_item"))
     return (items.filter(F.col("item_no").isNotNull())
                  .select(*others, "item_no", F.to_json("_item").alias("task_instance")))
 

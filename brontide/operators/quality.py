@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from brontide.errors import DataQualityError
 from brontide.operators.project import blank_to_null, column, null_key_rows, trim_column_names
 from brontide.schemas import DQ_REPORT, TABLE_METADATA
+from brontide.session import small_frame
 
 # Bookkeeping column of a cleansed table: how many source rows collapsed into this one. It lets
 # every count of the report come from the written table, so that the source is read only once
@@ -206,12 +207,14 @@ def table_metadata(spark: SparkSession, table: str, schema, primary_keys=(), for
     if not schema.fields:
         raise ValueError(f"table has no columns: {table}")
     position = {k: i for i, k in enumerate(primary_keys, start=1)}
-    columns = [(i, f.name, f.dataType.simpleString(), int(not f.nullable), None,
-                position.get(f.name, 0)) for i, f in enumerate(schema.fields)]
-    references = [(i, 0, fk.ref_table, fk.column, fk.ref_column)
+    columns = [{"cid": i, "name": f.name, "type": f.dataType.simpleString(),
+                "notnull": int(not f.nullable), "pk": position.get(f.name, 0)}
+               for i, f in enumerate(schema.fields)]
+    references = [{"id": i, "seq": 0, "table": fk.ref_table, "from": fk.column, "to": fk.ref_column}
                   for i, fk in enumerate(foreign_keys)]
-    row = (table, columns, list(primary_keys), references, row_count, csv_path)
-    return spark.createDataFrame([row], TABLE_METADATA)
+    row = {"table": table, "columns": columns, "primary_keys": list(primary_keys),
+           "foreign_keys": references, "row_count": row_count, "csv_path": csv_path}
+    return small_frame(spark, [row], TABLE_METADATA)
 
 
 def table_catalog(metadata: DataFrame) -> DataFrame:

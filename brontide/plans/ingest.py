@@ -12,6 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brontide.operators import quality as Q
+from brontide.session import small_frame
 from brontide.sources import artifacts, csv, documents, tables
 
 
@@ -64,7 +65,7 @@ def cleanse_table(spark: SparkSession, table: str, folders: Folders, schema=None
     metrics = counted.first().asDict()
     Q.require_quality(table, metrics, keys)
 
-    one_row = spark.createDataFrame([metrics], counted.schema)
+    one_row = small_frame(spark, [metrics], counted.schema)
     report = Q.quality_report(table, one_row, keys, path, staged.path)
     documents.write_dq_report(report, folders.metadata, table)
     tables.publish_snapshot(spark, staged)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # Settings the results depend on (time zone) or that large runs rely on (AQE). Memory,
 # cores and shuffle partitions belong to the cluster and are left to spark-submit.
@@ -49,7 +50,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df, label: str):
+def small_frame(spark: SparkSession, rows: list[dict], schema: T.StructType) -> DataFrame:
+    """A few rows from the driver as a one-partition DataFrame that needs no Python worker."""
+    literal = F.lit(json.dumps(rows, default=str, ensure_ascii=False))
+    return spark.range(1, numPartitions=1).select(F.inline(F.from_json(literal, T.ArrayType(schema))))
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts lineage with files that outlive a lost executor, and keeps an intermediate that

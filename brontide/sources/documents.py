@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brontide.schemas import DQ_REPORT, TABLE_METADATA
+from brontide.session import small_frame
 from brontide.sources.tables import path_exists
 
 
@@ -22,7 +23,7 @@ def read_metadata(spark: SparkSession, metadata_dir: str, table: str) -> DataFra
     """Metadata of one table; no rows where the table has no document."""
     path = f"{metadata_dir}/{table}.json"
     if not path_exists(spark, path):
-        return spark.createDataFrame([], TABLE_METADATA)
+        return small_frame(spark, [], TABLE_METADATA)
     return spark.read.schema(TABLE_METADATA).option("multiLine", True).json(path)
 
 

@@ -15,6 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from brontide.schemas import PUBLICATION
+from brontide.session import small_frame
 
 
 def default_format(spark: SparkSession) -> str:
@@ -72,9 +73,10 @@ def publish_snapshot(spark: SparkSession, snapshot: Snapshot) -> int:
     """Make a staged snapshot the current one; returns its version. One writer per table."""
     latest = _latest(spark, snapshot.root)
     version = latest["version"] + 1 if latest else 1
-    row = (version, snapshot.name, snapshot.n_rows, datetime.now(timezone.utc))
-    (spark.createDataFrame([row], PUBLICATION).coalesce(1)
-          .write.mode("append").json(f"{snapshot.root}/published"))
+    row = {"version": version, "snapshot": snapshot.name, "n_rows": snapshot.n_rows,
+           "published_at": datetime.now(timezone.utc).isoformat()}
+    (small_frame(spark, [row], PUBLICATION)
+        .write.mode("append").json(f"{snapshot.root}/published"))
     return version
 
 

@@ -33,20 +33,21 @@ TEXTS = [
     ('"[1, 2]"', "[1, 2]"),
     ('{"content": "{\\"a\\": 1}"}', '{"a": 1}'),
     ('{"content": "a", "content": "b"}', "b"),
+    (' \n\t{"content": "a", "content": "b"}', "b"),
     ('{"content": "\\u00e9\\n"}', "é\n"),
 ]
 
 
 def test_extract_log_text(spark):
-    df = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(TEXTS)], "i int, payload string")
-    for row in L.extract_log_text(df).collect():
+    df = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(TEXTS)], "i int, j string")
+    for row in L.extract_log_text(df, "j").collect():
         assert row["text"] == TEXTS[row["i"]][1], TEXTS[row["i"]][0]
 
 
 def test_jvm_and_python_agree(spark):
     """Where the JVM decides, Python would say the same."""
     df = spark.createDataFrame([(p,) for p, _ in TEXTS if p is not None], "p string")
-    rows = df.select("p", P.regular_text(F.col("p")).alias("t")).collect()
+    rows = df.select("p", P.regular_text("p").alias("t")).collect()
     assert sum(r["t"] is not None for r in rows) > 10
     for row in rows:
         if row["t"] is not None:
