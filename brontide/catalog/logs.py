@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from brontide.catalog.common import LINE_EXPR, Registry, event_lines, table, write_attempts
-from brontide.functions import text as X
+from brontide.functions import payload as P, text as X
 from brontide.operators import chunking as C, logs as L
 from brontide.plans import collect
 from brontide.session import work_dir
@@ -192,6 +192,15 @@ def explode_task_instances(spark, sf_dir):
     return L.explode_task_instances(df)
 
 
+@registry.add("""select page_id, case page_id % 5 when 2 then null when 4 then null else url end as log_url from pages""")
+def external_log_url(spark, sf_dir):
+    payload = """case page_id % 5 when 0 then concat('{"url": "", "logUrl": "', url, '"}')
+        when 1 then url when 2 then concat('{"link": "', url, '"}') when 3 then concat('"', url, '"')
+        else concat('["', url, '"]') end"""
+    df = table(spark, sf_dir, "pages").select("page_id", F.expr(payload).alias("payload"))
+    return df.select("page_id", P.external_log_url("payload").alias("log_url"))
+
+
 # --- lines and chunks -----------------------------------------------------------------------
 
 @registry.add(f"""select doc_id, cast(i as bigint) as line_no, line

@@ -12,6 +12,8 @@ from pyspark.sql import Column, functions as F, types as T
 TEXT_KEYS = ("content", "message", "log", "logs", "data", "text", "body")
 # Keys under which an object may hold its list of task instances, in order.
 TASK_LIST_KEYS = ("task_instances", "taskInstances", "tasks", "items", "results")
+# Keys under which an object may hold the address of an external log, in order.
+URL_KEYS = ("url", "external_log_url", "externalLogUrl", "log_url", "logUrl")
 JSON_CONTENT_TYPE = "application/json"
 # -------------------------------------------------------------------------------------------
 
@@ -119,3 +121,18 @@ def task_instances(payload: str) -> Column:
              for path in ("$", *(f"$.{key}" for key in TASK_LIST_KEYS))]
     found = _let(f"try_parse_json({payload})", "j", f"coalesce({', '.join(lists)})")
     return F.expr(f"filter({found}, item -> startswith(schema_of_variant(item), 'OBJECT'))")
+
+
+def external_log_url(payload: str) -> Column:
+    """Address of an external log in a column of payloads, else NULL: the first non-empty string
+    under one of ``URL_KEYS``, or the payload itself if it is a string that starts with http."""
+    def string(value: str, condition: str) -> str:
+        text = f"CASE WHEN schema_of_variant({value}) = 'STRING' THEN try_variant_get({value}, '$', 'string') END"
+        return _let(text, "t", f"CASE WHEN {condition} THEN t END")
+
+    under_keys = [_let(f"try_variant_get(j, '$.{key}', 'variant')", "v", string("v", "t <> ''"))
+                  for key in URL_KEYS]
+    itself = string("j", "startswith(t, 'http')")
+    plain = f"CASE WHEN j IS NULL AND startswith({payload}, 'http') THEN {payload} END"
+    return F.expr(_let(f"try_parse_json({payload})", "j",
+                       f"coalesce({', '.join([*under_keys, itself, plain])})"))

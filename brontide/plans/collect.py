@@ -4,7 +4,7 @@ The corpus under a base folder grows by batches. A batch writes its own sources
 costs what it holds, however large the corpus is; writing it again overwrites it. What is
 current is decided on reading, by the rules of the upsert: ``current_sources`` folds the batches,
 ``current_chunks`` takes each source's chunks from the last batch that has any. ``publish_logs``
-writes both out as plain tables, for readers that come more often than batches do.
+writes both out as tables; from then on only later batches are folded.
 """
 
 from __future__ import annotations
@@ -21,7 +21,9 @@ from brontide.schemas import LOG_CHUNK, LOG_SOURCE
 from brontide.sources import tables
 from brontide.sources.attempt_logs import ATTEMPT_KEYS, scan_attempt_lines
 
-_ACROSS_BATCHES = replace(L.LOG_SOURCE_RULE, seq="batch")
+# Over batches: rows apply in the order of their batch, and the last one is kept with the row.
+_ACROSS_BATCHES = replace(L.LOG_SOURCE_RULE, seq="batch",
+                          overwrite=(*L.LOG_SOURCE_RULE.overwrite, "batch"))
 
 
 def log_texts(responses: DataFrame) -> DataFrame:
@@ -61,27 +63,39 @@ def collect_stream(responses: DataFrame, base: str, checkpoint: str, **trigger)
                      .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def _batches(spark: SparkSession, base: str, table: str, schema) -> DataFrame:
-    return spark.read.schema(f"{schema.toDDL()}, batch BIGINT").parquet(f"{base}/{table}")
+def _batches(spark: SparkSession, base: str, target: str | None, table: str, schema) -> DataFrame:
+    """Rows with their ``batch``: the published table, if there is one, and the batches after it."""
+    batches = (spark.read.schema(f"{schema.toDDL()}, batch BIGINT").parquet(f"{base}/{table}")
+                    .select(*schema.names, "batch"))
+    if target is None or not tables.table_exists(spark, target, table):
+        return batches
+    published = tables.scan_table(spark, target, table)
+    done = published.agg(F.max("batch")).first()[0]
+    return published.unionByName(batches if done is None else batches.filter(F.col("batch") > done))
 
 
-def current_sources(spark: SparkSession, base: str) -> DataFrame:
+def current_sources(spark: SparkSession, base: str, target: str | None = None) -> DataFrame:
     """Every source once, with the effect of all batches."""
-    batches = _batches(spark, base, "log_sources", LOG_SOURCE)
-    return fold_batch(batches, _ACROSS_BATCHES).select(*LOG_SOURCE.names)
+    rows = _batches(spark, base, target, "log_sources", LOG_SOURCE)
+    return fold_batch(rows, _ACROSS_BATCHES).select(*LOG_SOURCE.names, "batch")
 
 
-def current_chunks(spark: SparkSession, base: str) -> DataFrame:
+def current_chunks(spark: SparkSession, base: str, target: str | None = None) -> DataFrame:
     """The chunks of every source from the last batch that brought it any."""
-    batches = _batches(spark, base, "log_chunks", LOG_CHUNK)
-    last = batches.groupBy("log_source_id").agg(F.max("batch").alias("batch"))
-    return batches.join(last, ["log_source_id", "batch"], "left_semi").select(*LOG_CHUNK.names)
+    rows = _batches(spark, base, target, "log_chunks", LOG_CHUNK)
+    last = rows.groupBy("log_source_id").agg(F.max("batch").alias("batch"))
+    return rows.join(last, ["log_source_id", "batch"], "left_semi").select(*LOG_CHUNK.names, "batch")
 
 
-def publish_logs(spark: SparkSession, base: str, target: str, fmt: str | None = None) -> dict[str, int]:
-    """Write the current sources and chunks as tables under ``target``."""
-    return {"log_sources": tables.write_table(current_sources(spark, base), target, "log_sources", fmt),
-            "log_chunks": tables.write_table(current_chunks(spark, base), target, "log_chunks", fmt)}
+def publish_logs(spark: SparkSession, base: str, target: str) -> dict[str, int]:
+    """Bring the tables of sources and chunks under ``target`` up to date; returns their rows.
+
+    A batch that arrives meanwhile is either in a table or still after it, as each table tells by
+    itself which batches it holds.
+    """
+    return {
+        "log_sources": tables.write_table(current_sources(spark, base, target), target, "log_sources"),
+        "log_chunks": tables.write_table(current_chunks(spark, base, target), target, "log_chunks")}
 
 
 def attempt_chunks(spark: SparkSession, root: str, max_lines: int = MAX_LINES,

@@ -78,6 +78,15 @@ def test_explode_task_instances(spark, payload, items):
     assert [r["item_no"] for r in rows] == list(range(len(items)))
 
 
+@pytest.mark.parametrize("payload, url", [
+    ('{"url": "u", "log_url": "v"}', "u"), ('{"url": "", "externalLogUrl": "v"}', "v"),
+    ('{"url": 5, "logUrl": "v"}', "v"), ('"http://x"', "http://x"), ("http://x", "http://x"),
+    ('"ftp://x"', None), ("ftp://x", None), ('["http://x"]', None), ("{}", None), (None, None)])
+def test_external_log_url(spark, payload, url):
+    df = spark.createDataFrame([(payload,)], "payload string")
+    assert df.select(P.external_log_url("payload")).first()[0] == url
+
+
 def test_canonical_json(spark):
     cases = [(None, "{}"), ('{"b": 1, "a": [1, 2]}', '{"a":[1,2],"b":1}'), ("oops", '"oops"')]
     df = spark.createDataFrame(cases, "raw_json string, expected string")

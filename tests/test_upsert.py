@@ -128,9 +128,11 @@ def test_batch_written_again_changes_nothing(spark):
     assert [r["message"] for r in collect.current_chunks(spark, base).collect()] == ["text 1"]
 
 
-def test_batches_equal_upserts(spark):
+@pytest.mark.parametrize("publish", [False, True])
+def test_batches_equal_upserts(spark, publish):
     """Folding all batches on reading gives what upserting one after the other gives."""
     rnd, base = random.Random(5), work_dir(spark, "test-corpus")
+    target = work_dir(spark, "test-published") if publish else None
     table = spark.createDataFrame([], LOG_SOURCE)
     for batch in range(3):
         rows = [source(spark, i, raw_text=rnd.choice(["a", "b\nc", ""]), task_id=rnd.choice([None, "", "t"]),
@@ -141,9 +143,13 @@ def test_batches_equal_upserts(spark):
             incoming = incoming.unionByName(row)
         collect.append_logs(incoming, base, batch)
         table = L.upsert_log_sources(table, L.route_sources(incoming))
+        if publish and batch < 2:
+            collect.publish_logs(spark, base, target)
     columns = [c for c in LOG_SOURCE.names if c != "collected_at"]
-    assert (sorted(map(str, collect.current_sources(spark, base).select(*columns).collect()))
+    assert (sorted(map(str, collect.current_sources(spark, base, target).select(*columns).collect()))
             == sorted(map(str, table.select(*columns).collect())))
+    assert (sorted(map(str, collect.current_chunks(spark, base, target).collect()))
+            == sorted(map(str, collect.current_chunks(spark, base).collect())))
 
 
 def test_collect_stream(spark):
