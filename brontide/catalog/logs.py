@@ -8,7 +8,7 @@ from brontide.catalog.common import LINE_EXPR, Registry, event_lines, table, wri
 from brontide.functions import payload as P, text as X
 from brontide.operators import chunking as C, logs as L
 from brontide.plans import collect
-from brontide.session import work_dir
+from brontide.session import small_frame, work_dir
 from brontide.sources import tables
 
 registry = Registry()
@@ -338,8 +338,8 @@ def upsert_log_sources(spark, sf_dir):
         F.when(F.col("event_type") != "view", F.col("line")).alias("raw_text"),
         F.lit(None).cast("string").alias("raw_content"), F.expr(_PROPS).alias("raw_json"))
     old, new = (L.route_sources(half) for half in _halves(events))
-    empty = old.limit(0).withColumns({"id": F.lit(""), "collected_at": F.col("ts")}).drop("ts", "seq")
-    base = L.upsert_log_sources(empty, old, F.col("ts"))
+    stored = old.withColumns({"id": F.lit(""), "collected_at": F.col("ts")}).drop("ts", "seq")
+    base = L.upsert_log_sources(small_frame(spark, [], stored.schema), old, F.col("ts"))
     return L.upsert_log_sources(base, new, F.col("ts")).drop("id")
 
 
@@ -374,8 +374,8 @@ def upsert_resources(spark, sf_dir):
         "ts", F.col("event_id").alias("seq"), F.expr(_PROPS).alias("raw_payload"),
         *[F.expr(e).alias(c) for c, e in _RESOURCE_COLUMNS.items() if c != "updated_at"])
     old, new = _halves(found)
-    empty = old.limit(0).withColumn("updated_at", F.col("ts")).drop("ts", "seq")
-    base = L.upsert_resources(empty, old, F.col("ts"))
+    stored = old.withColumn("updated_at", F.col("ts")).drop("ts", "seq")
+    base = L.upsert_resources(small_frame(spark, [], stored.schema), old, F.col("ts"))
     return L.upsert_resources(base, new, F.col("ts"))
 
 

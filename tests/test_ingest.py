@@ -216,6 +216,24 @@ def test_table_can_be_rewritten_from_itself(spark):
     assert tables.write_table(current.union(current), base, "t", "parquet") == 2
 
 
+def test_other_table_format(spark, folders):
+    """A format that Spark itself overwrites; checked after the load."""
+    source = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    for _ in range(2):
+        report = I.ingest_table(source, I.TableSpec("T", ("id",)), folders, fmt="orc").first()
+        assert report["target_rows"] == 2
+    assert tables.table_exists(spark, folders.target, "t", "orc")
+    assert tables.scan_table(spark, folders.target, "T", "orc").count() == 2
+    assert tables.default_format(spark) == "parquet"
+
+
+def test_big_landing_is_cut_into_files(spark):
+    path = work_dir(spark, "test-csv")
+    csv.write_csv(spark.range(0, 25, numPartitions=1), path, rows_per_file=10)
+    found = csv.scan_csv(spark, path)
+    assert found.count() == 25 and len(found.inputFiles()) == 3
+
+
 def test_missing_table(spark):
     with pytest.raises(FileNotFoundError):
         tables.scan_table(spark, work_dir(spark, "nothing"), "t", "parquet")
