@@ -92,10 +92,9 @@ def _joined(values) -> str:
 
 def _payload_text(payload: str) -> str:
     try:
-        value = json.loads(payload)
-    except ValueError:
+        return _nested_text(json.loads(payload))
+    except (ValueError, RecursionError):  # not JSON, or nested beyond any use
         return payload
-    return _nested_text(value)
 
 
 @F.pandas_udf(T.StringType())

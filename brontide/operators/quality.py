@@ -119,21 +119,29 @@ def quality_report(table: str, metrics: DataFrame, keys: list[str],
     ).to(DQ_REPORT)
 
 
-def quality_checks(table: str, metrics: DataFrame, keys: list[str]) -> DataFrame:
-    """One row ``table, check, value, passed`` per check."""
+def quality_checks(table: str, cleansed: DataFrame, keys: list[str]) -> DataFrame:
+    """One row ``table, check, value, passed`` per check of a cleansed table.
+
+    With a key column missing there is no key to check, only that row and the counts.
+    """
+    missing = [k for k in keys if k not in cleansed.columns]
+    found = [] if missing else keys
+
     def check(name, value, passed):
         return F.struct(F.lit(name).alias("check"), value.cast("bigint").alias("value"),
                         passed.alias("passed"))
 
     def zero(name, value):
-        return check(name, F.col(value), F.col(value) == 0)
+        return check(name, value, value == 0)
 
-    checks = [zero(f"pk_nulls:{k}", f"nulls_{i}") for i, k in enumerate(keys)]
-    if keys:
-        checks.append(zero("pk_duplicate_keys", "duplicate_keys"))
+    checks = [zero("pk_columns_missing", F.lit(len(missing)))]
+    checks += [zero(f"pk_nulls:{k}", F.col(f"nulls_{i}")) for i, k in enumerate(found)]
+    if found:
+        checks.append(zero("pk_duplicate_keys", F.col("duplicate_keys")))
     increase = F.greatest(F.col("cleansed_rows") - F.col("source_rows"), F.lit(0))
-    checks.append(check("rows_not_increased", increase, increase == 0))
-    return metrics.select(F.lit(table).alias("table"), F.inline(F.array(*checks)))
+    checks.append(zero("rows_not_increased", increase))
+    return quality_metrics(cleansed, found).select(F.lit(table).alias("table"),
+                                                   F.inline(F.array(*checks)))
 
 
 def require_quality(table: str, metrics: dict, keys: list[str]) -> None:

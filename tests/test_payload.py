@@ -35,6 +35,8 @@ TEXTS = [
     ('{"content": "a", "content": "b"}', "b"),
     (' \n\t{"content": "a", "content": "b"}', "b"),
     ('{"content": "\\u00e9\\n"}', "é\n"),
+    ("[" * 50 + '"deep"' + "]" * 50, "deep"),
+    ("[" * 100_000 + "]" * 100_000, "[" * 100_000 + "]" * 100_000),
 ]
 
 
