@@ -8,6 +8,7 @@ from brontide.functions import payload as P, text as X
 from brontide.operators.chunking import MAX_CHARS, MAX_LINES, chunk_text
 from brontide.operators.project import column
 from brontide.operators.upsert import UpsertRule, upsert
+from brontide.session import materialize
 
 # A log source: one text or JSON body per attempt or resource. The spelling of the key columns
 # (NULL, '' or 0) stays as first written, but for ``map_index``.
@@ -171,16 +172,18 @@ def replace_chunks(base: DataFrame, incoming: DataFrame, seq: str | None = None)
     """The table of chunks with those of every source in ``incoming`` replaced.
 
     A source without new chunks is not in ``incoming`` and keeps its old ones. With ``seq`` a
-    chunk given more than once takes its last version; without, chunks are given once. The keys
-    that decide are reduced to one row per source before they are joined, and Spark splits a
-    source that holds much of ``base`` across tasks (a skewed left side of an anti join).
+    chunk given more than once takes its last version; without, chunks are given once.
+
+    The replaced sources are stored, one row each: if few they are broadcast, by their real size,
+    and else Spark can split a source that holds much of ``base`` between tasks. It does that
+    only for joins whose sides come straight from a shuffle, not out of an aggregation.
     """
     key = ["log_source_id", "chunk_index"]
     if seq is not None:
         rest = [c for c in incoming.columns if c not in key]
         incoming = (incoming.groupBy(*key).agg(F.max_by(F.struct(*rest), F.col(seq)).alias("_last"))
                             .select(*key, "_last.*").drop(seq))
-    replaced = incoming.select("log_source_id").distinct()
+    replaced = materialize(incoming.select("log_source_id").distinct(), "replaced")
     return base.join(replaced, "log_source_id", "left_anti").unionByName(incoming)
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from brontide.session import materialize
+
 
 def column(name: str) -> Column:
     """Column by its exact name, also when the name holds dots or blanks."""
@@ -45,9 +47,11 @@ def lookup(df: DataFrame, **key) -> DataFrame:
 def lookup_many(df: DataFrame, keys: DataFrame) -> DataFrame:
     """Rows of ``df`` whose key occurs in ``keys``; the key is all columns of ``keys``.
 
-    No hint: Spark broadcasts the keys only while their measured size is under its limit.
+    The keys are stored first: Spark broadcasts them if their real size allows, and else can
+    split a key that holds much of ``df`` between tasks, which it does only for joins whose sides
+    come straight from a shuffle.
     """
-    return df.join(keys, keys.columns, "left_semi")
+    return df.join(materialize(keys, "lookup-keys"), keys.columns, "left_semi")
 
 
 def latest_n(df: DataFrame, columns: list[str], by: str = "id", n: int = 20) -> DataFrame:

@@ -48,8 +48,8 @@ class Snapshot:
 def write_counted(df: DataFrame, save) -> int:
     """Run ``save(df)`` and return the number of rows written.
 
-    The rows are observed directly below the sink. There a retried task is counted once; an
-    observation below a shuffle could count the rows of a re-run map task twice.
+    The rows are observed directly below the sink. There a retried task is counted once; ahead of
+    a shuffle an observation could count the rows of a re-run map task twice.
     """
     observation = Observation()
     save(df.observe(observation, F.count(F.lit(1)).alias("n")))
