@@ -93,15 +93,16 @@ def _explode_chunks(df: DataFrame, keep: list[str], index=0, line=0, char=0) ->
     # compute the array in it a second time.
     rows = (df.select("*", F.posexplode_outer("_chunks").alias("_pos", "_c"))
               .filter(F.col("_pos").isNotNull()))
-    big = lambda c: c.cast("bigint")
-    return rows.select(
-        *[column(k) for k in keep],
-        big(F.col("_pos") + index).alias("chunk_index"),
-        big(F.col("_c.first") + 1 + line).alias("line_start"),
-        big(F.col("_c.first") + F.col("_c.n") + line).alias("line_end"),
-        big(F.col("_c.start") + char).alias("char_start"),
-        big(F.col("_c.start") + F.col("_c.chars") + char).alias("char_end"),
-        F.col("_c.message").alias("message"))
+    numbers = {
+        "chunk_index": F.col("_pos") + index,
+        "line_start": F.col("_c.first") + 1 + line,
+        "line_end": F.col("_c.first") + F.col("_c.n") + line,
+        "char_start": F.col("_c.start") + char,
+        "char_end": F.col("_c.start") + F.col("_c.chars") + char,
+    }
+    return rows.select(*[column(k) for k in keep],
+                       *[value.cast("bigint").alias(name) for name, value in numbers.items()],
+                       F.col("_c.message").alias("message"))
 
 
 def split_lines(df: DataFrame, text: str = "text") -> DataFrame:
@@ -173,8 +174,8 @@ def chunk_lines(df: DataFrame, keys: list[str], max_lines: int = MAX_LINES,
                 fan_out: int = _FAN_OUT) -> DataFrame:
     """The chunks of every log in rows ``keys, line_no, line``.
 
-    ``line_no`` counts from 1 without gaps within ``keys``. The input is read three times, twice
-    without the text, so it should be a stored table.
+    ``line_no`` counts from 1 without gaps within ``keys``. The input is read two or three times,
+    once for its line numbers only, so it should be a stored table.
     """
     max_lines = max(max_lines, 1)
     block_lines = max(block_lines, max_lines)

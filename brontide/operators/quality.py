@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brontide.errors import DataQualityError
-from brontide.operators.project import blank_to_null, column, null_key_rows, trim_column_names
+from brontide.operators.project import blank_to_null, column, trim_column_names
 from brontide.schemas import DQ_REPORT, TABLE_METADATA
 from brontide.session import small_frame
 

@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from brontide.functions import payload as P
 from brontide.operators import logs as L

@@ -1,6 +1,5 @@
 """Every registered query next to its SQL."""
 
-import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
