@@ -76,12 +76,16 @@ def read_cleansed(spark: SparkSession, folders: Folders, table: str) -> DataFram
     return tables.scan_table(spark, folders.cleansed, table, "parquet").drop(Q.COPIES)
 
 
-def load_table(spark: SparkSession, table: str, folders: Folders, fmt: str | None = None) -> int:
+def load_table(spark: SparkSession, table: str, folders: Folders, fmt: str | None = None,
+               min_rows: int = 0) -> int:
     """Copy the cleansed table to the target and compare the rows read with those found there.
 
-    A snapshot is published only if the counts agree; other formats are checked afterwards.
+    With ``min_rows`` a shorter table is not loaded at all. A snapshot is published only if the
+    counts agree; other formats are checked afterwards.
     """
     source, fmt = read_cleansed(spark, folders, table), fmt or tables.default_format(spark)
+    if min_rows:
+        Q.require_min_rows(source, table, min_rows)
     if fmt == "parquet":
         staged = tables.stage_snapshot(source, folders.target, table)
         loaded = spark.read.schema(source.schema).parquet(staged.path).count()
@@ -111,7 +115,7 @@ def ingest_table(source: DataFrame, spec: TableSpec, folders: Folders, *,
     export_table(source, spec, folders)
     artifacts.require_artifact(spark, folders.csv_path(spec.name))
     report = cleanse_table(spark, spec.name, folders, None if infer_types else source.schema)
-    load_table(spark, spec.name, folders, fmt)
+    load_table(spark, spec.name, folders, fmt, spec.min_rows)
     target_rows = validate_table(spark, spec.name, folders, spec.min_rows, fmt)
     return report.withColumn("target_rows", F.lit(target_rows).cast("bigint"))
 

@@ -78,6 +78,26 @@ def test_too_few_rows(spark, folders):
     source = spark.createDataFrame([(1,)], "id int")
     with pytest.raises(DataQualityError, match="1 rows, at least 2 wanted"):
         I.ingest_table(source, I.TableSpec("t", ("id",), min_rows=2), folders)
+    assert not tables.table_exists(spark, folders.target, "t")
+    I.ingest_table(source, I.TableSpec("t", ("id",)), folders)
+    with pytest.raises(DataQualityError, match="1 rows, at least 2 wanted"):
+        I.validate_table(spark, "t", folders, 2)
+
+
+def test_lost_rows_publish_nothing(spark, folders, monkeypatch):
+    """The target holds fewer rows than were read."""
+    source = spark.createDataFrame([(1,), (2,)], "id int")
+    I.ingest_table(source, I.TableSpec("t", ("id",)), folders)
+    stage = tables.stage_snapshot
+
+    def losing(df, base, table):
+        staged = stage(df, base, table)
+        return tables.Snapshot(staged.root, staged.name, staged.n_rows + 1)
+
+    monkeypatch.setattr(tables, "stage_snapshot", losing)
+    with pytest.raises(DataQualityError, match="source has 3 rows, target 2"):
+        I.load_table(spark, "t", folders)
+    assert tables._latest(spark, tables.table_path(folders.target, "t"))["version"] == 1
 
 
 def test_counts_must_agree():
