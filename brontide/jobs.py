@@ -56,7 +56,7 @@ def parser() -> argparse.ArgumentParser:
 
     with_source(step("export", "csv-dir", "metadata-dir"))
     step("check-csv", "csv-dir")
-    step("cleanse", "csv-dir", "cleansed-dir", "metadata-dir")
+    cleanse = step("cleanse", "csv-dir", "cleansed-dir", "metadata-dir")
     with_target(step("load", "cleansed-dir", "target-base"))
     validate = step("validate", "target-base")
     with_target(validate)
@@ -65,6 +65,9 @@ def parser() -> argparse.ArgumentParser:
     with_source(ingest)
     with_target(ingest)
     ingest.add_argument("--min-rows", type=int, default=0)
+    for sub in (cleanse, ingest):
+        sub.add_argument("--infer-types", action="store_true",
+                         help="from the text, also where the metadata has them")
     return root
 
 
@@ -93,7 +96,7 @@ def run(spark, args: argparse.Namespace) -> None:
         artifacts.require_artifact(spark, folders.csv_path(table))
         print(f"[VALIDATE_CSV_OK] {folders.csv_path(table)}")
     elif args.step == "cleanse":
-        report = I.cleanse_table(spark, table, folders).first()
+        report = I.cleanse_table(spark, table, folders, args.infer_types).first()
         print(f"[DQ_OK] table={table} source_rows={report['source_rows']} "
               f"cleansed_rows={report['cleansed_rows']}")
     elif args.step == "load":
@@ -106,7 +109,8 @@ def run(spark, args: argparse.Namespace) -> None:
         df.printSchema()
         df.show(10, truncate=False)  # any ten rows: an order would read the whole table
     else:
-        report = I.ingest_table(_source(spark, args), spec(), folders, fmt=args.format).first()
+        report = I.ingest_table(_source(spark, args), spec(), folders, fmt=args.format,
+                                infer_types=args.infer_types).first()
         print(f"[LOAD_OK] table={table} rows={report['target_rows']}")
 
 

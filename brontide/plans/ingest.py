@@ -49,12 +49,15 @@ def export_table(source: DataFrame, spec: TableSpec, folders: Folders) -> int:
     return n_rows
 
 
-def cleanse_table(spark: SparkSession, table: str, folders: Folders, schema=None) -> DataFrame:
+def cleanse_table(spark: SparkSession, table: str, folders: Folders,
+                  infer_types: bool = False) -> DataFrame:
     """Cleanse a landed table, gate it, publish it with its report; returns the report.
 
-    The CSV is read once. All counts come from one aggregation over the staged result.
+    With the types of its metadata the CSV is read once; to infer them takes another pass. All
+    counts come from one aggregation over the staged result.
     """
     path = folders.csv_path(table)
+    schema = None if infer_types else documents.declared_schema(spark, folders.metadata, table)
     cleansed = Q.cleanse(csv.scan_csv(spark, path, schema))
     keys = documents.declared_primary_keys(spark, folders.metadata, table)
     Q.require_keys_present(cleansed, keys)
@@ -114,7 +117,7 @@ def ingest_table(source: DataFrame, spec: TableSpec, folders: Folders, *,
     spark = source.sparkSession
     export_table(source, spec, folders)
     artifacts.require_artifact(spark, folders.csv_path(spec.name))
-    report = cleanse_table(spark, spec.name, folders, None if infer_types else source.schema)
+    report = cleanse_table(spark, spec.name, folders, infer_types)
     load_table(spark, spec.name, folders, fmt, spec.min_rows)
     target_rows = validate_table(spark, spec.name, folders, spec.min_rows, fmt)
     return report.withColumn("target_rows", F.lit(target_rows).cast("bigint"))

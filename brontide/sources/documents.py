@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import re
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from brontide.schemas import DQ_REPORT, TABLE_METADATA
 from brontide.session import small_frame
@@ -33,6 +35,21 @@ def declared_primary_keys(spark: SparkSession, metadata_dir: str, table: str) ->
     return list(row["primary_keys"] or []) if row else []
 
 
+# Column types as an export of this package writes them. Other writers' metadata may name types
+# of their own database, which say little about the text in the file.
+_OWN_TYPE = re.compile(r"(tinyint|smallint|int|bigint|float|double|boolean|string|date|timestamp"
+                       r"|timestamp_ntz|decimal\(\d+,\d+\))")
+
+
+def declared_schema(spark: SparkSession, metadata_dir: str, table: str) -> T.StructType | None:
+    """Schema of a landed table by its metadata, or None where it has to be inferred."""
+    row = read_metadata(spark, metadata_dir, table).select("columns").first()
+    columns = sorted(row["columns"] or [], key=lambda c: c["cid"]) if row else []
+    if not columns or not all(c["type"] and _OWN_TYPE.fullmatch(c["type"]) for c in columns):
+        return None
+    return T.StructType([T.StructField(c["name"], T.DataType.fromDDL(c["type"])) for c in columns])
+
+
 def with_primary_keys(tables: DataFrame, metadata: DataFrame) -> DataFrame:
     """Add ``primary_keys`` to rows that have a ``table``; empty where metadata is missing."""
     keys = metadata.select("table", "primary_keys")

@@ -136,6 +136,18 @@ def test_metadata_document_of_another_writer(spark, tmp_path):
     (tmp_path / "T.json").write_text(json.dumps(document, indent=2))
     assert documents.declared_primary_keys(spark, str(tmp_path), "T") == ["a", "b"]
     assert documents.declared_primary_keys(spark, str(tmp_path), "U") == []
+    assert documents.declared_schema(spark, str(tmp_path), "T") is None  # not a type of Spark's
+    assert documents.declared_schema(spark, str(tmp_path), "U") is None
+
+
+def test_types_come_from_the_metadata_of_an_export(spark, folders):
+    source = spark.createDataFrame([(1, "007", None)], "a bigint, b string, c decimal(9,2)")
+    I.export_table(source, I.TableSpec("t", ("a",)), folders)
+    assert documents.declared_schema(spark, folders.metadata, "t") == source.schema
+    I.cleanse_table(spark, "t", folders)
+    assert [tuple(r) for r in I.read_cleansed(spark, folders, "t").collect()] == [(1, "007", None)]
+    I.cleanse_table(spark, "t", folders, infer_types=True)
+    assert I.read_cleansed(spark, folders, "t").first()["b"] == 7
 
 
 def test_plain_csv_file_as_landing(spark, folders, tmp_path):
