@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brontide.llm import langid, quality
+from brontide.llm import langid, mixing, packing, quality
 from brontide.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,18 @@ def _add(sql: str | None = None):
     return register
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_add()
+def op1_packing(spark, sf_dir):
+    pieces = packing.token_pieces(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(pieces)
+
+
 @_add()
 def op5_quality_classifier(spark, sf_dir):
     documents = table(spark, sf_dir, "documents")
@@ -38,3 +50,47 @@ def op8_language_id(spark, sf_dir):
     model = langid.train_language_id(documents, train=~fold("doc_id", 3, 1))
     found = langid.identify_language(documents, model)
     return found.select("doc_id", fold("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
+_MIX_SQL = """
+with d as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as size,
+         md5('10:' || coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')) as digest
+  from documents),
+s as (
+  select source, cast(sum(size) as bigint) as source_size, cast(3 * sum(size) as bigint) as cap,
+         1 + (row_number() over (order by source nulls last) - 1) % 3 as weight
+  from d group by source),
+r as (
+  select *, row_number() over w as n,
+         cast((select sum(size) from d) - coalesce(sum(cap) over (w rows between unbounded preceding and 1 preceding), 0) as double)
+         / sum(weight) over (w rows between current row and unbounded following) as level
+  from s window w as (order by cap / weight, source)),
+l as (select coalesce(arg_min(level, n), 0) as level from r where level * weight <= cap),
+t as (
+  select s.source, source_size, least(cast(cap as double), level * weight) as target,
+         case when source_size > 0 then least(floor(least(cast(cap as double), level * weight) / source_size), 3) else 0 end as whole
+  from s, l),
+c as (
+  select d.*, source_size, target, whole, target - whole * source_size as rest,
+         sum(size) over (partition by d.source order by digest range unbounded preceding) as upto
+  from d join t on d.source is not distinct from t.source),
+g as (
+  select source, min(rest) - coalesce(max(upto) filter (where upto <= rest), 0) as gap
+  from c where rest > 0 group by source),
+f as (
+  select c.source, arg_min(digest, (abs(size - gap), digest)) as filler, min(gap) as gap
+  from c join g on c.source is not distinct from g.source where upto > rest and size > 0 group by c.source),
+h as (
+  select f.source, filler from f join d on f.source is not distinct from d.source and digest = filler
+  group by f.source, filler having abs(sum(size) - min(gap)) < min(gap))
+select doc_id, cast(size as bigint) as size, source_size, target,
+       cast(size * (whole + case when upto <= rest or digest = filler then 1 else 0 end) as bigint) as taken
+from c left join h on c.source is not distinct from h.source
+"""
+
+
+@_add(_MIX_SQL)
+def op10_mixing(spark, sf_dir):
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
