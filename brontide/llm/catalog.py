@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brontide.llm import langid, mixing, packing, quality
+from brontide.llm import langid, mixing, ngram_join, packing, quality
 from brontide.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +94,28 @@ from c left join h on c.source is not distinct from h.source
 def op10_mixing(spark, sf_dir):
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("repeats")).alias("taken"))
+
+
+_JOIN_SQL = """
+with recursive w as (
+  select doc_id, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (
+  select doc_id, unnest(list_distinct(case when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end)) as g
+  from w where len(w) > 0),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (
+  select a.doc_id as a, b.doc_id as b from s a join s b on a.g = b.g and a.doc_id <> b.doc_id
+  join n x on x.doc_id = a.doc_id join n y on y.doc_id = b.doc_id
+  group by a.doc_id, b.doc_id having 10 * count(*) >= 8 * (min(x.n) + min(y.n) - count(*))),
+reach as (select doc_id as a, doc_id as b from documents union select r.a, p.b from reach r join p on p.a = r.b),
+c as (select a as doc_id, min(b) as class_id, count(*) as class_size from reach group by a),
+l as (select a as doc_id, count(*) as n_links from p group by a)
+select c.doc_id, class_id, coalesce(n_links, 0) as n_links, class_size, cast(coalesce(n, 0) as int) as n_shingles
+from c left join l using (doc_id) left join n using (doc_id)
+"""
+
+
+@_add(_JOIN_SQL)
+def op4_ngram_join(spark, sf_dir):
+    return ngram_join.similar_classes(table(spark, sf_dir, "documents"))

@@ -9,7 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brontide.llm import langid, quality
+from brontide.llm import langid, mixing, ngram_join, packing, quality
+from brontide.llm.catalog import tokenizer_path
 from brontide.llm.common import fold, table
 from brontide.session import materialize
 
@@ -31,11 +32,26 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, model, into=("__score", "__kept")).filter("__kept = 1").select(docs.columns)
 
 
-STAGES = [("language", language), ("quality", good)]
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates, that with the least id."""
+    return ngram_join.keep_first(docs).select(docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them."""
+    return mixing.repeat_rows(mixing.mix(docs)).select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token pieces of the documents with their places in sequences."""
+    return packing.pack(packing.token_pieces(docs, tokenizer_path()))
+
+
+STAGES = [("language", language), ("quality", good), ("near duplicates", distinct), ("mix", mixed), ("pack", packed)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)
