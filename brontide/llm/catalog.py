@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brontide.llm import langid, mixing, ngram_join, packing, quality
+from brontide.llm import langid, mixing, ngram_join, packing, quality, rules
 from brontide.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,3 +119,34 @@ from c left join l using (doc_id) left join n using (doc_id)
 @_add(_JOIN_SQL)
 def op4_ngram_join(spark, sf_dir):
     return ngram_join.similar_classes(table(spark, sf_dir, "documents"))
+
+
+_RULES_SQL = """
+with d as (
+  select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as l
+  from documents),
+g as (select doc_id, unnest(range(1, len(w) - 1)) as i, w from d where len(w) > 2),
+r as (select doc_id, i from (select doc_id, i, count(*) over (partition by doc_id, w[i], w[i + 1], w[i + 2]) as n from g) where n > 1),
+p as (select doc_id, count(distinct i + k) as n from r, (values (0), (1), (2)) as x(k) group by doc_id),
+s as (
+  select d.doc_id, t, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) as n_symbols, len(l) as n_lines, len(l) - len(list_distinct(l)) as n_dup_lines,
+         coalesce(p.n, 0) as n_repeat_words, len(list_filter(range(1, len(w)), lambda i: w[i] = w[i + 1])) as n_stutter
+  from d left join p using (doc_id)),
+b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from s)
+select doc_id, cast(n_words as bigint) as n_words, cast(word_chars as bigint) as word_chars, cast(n_symbols as bigint) as n_symbols,
+       cast(n_dup_lines as bigint) as n_dup_lines, n_repeat_words, base_failed,
+       not (base_failed or 10 * n_symbols > n_words or (n_dup_lines >= 3 and 10 * n_dup_lines > 3 * n_lines)
+            or word_chars < 2 * n_words or word_chars > 14 * n_words
+            or 5 * len(regexp_extract_all(t, '[A-Z]')) > 2 * word_chars
+            or 4 * (length(t) - length(replace(t, '!', ''))) > n_words
+            or 10 * n_repeat_words > 3 * n_words or 5 * n_stutter > n_words) as kept
+from b
+"""
+
+
+@_add(_RULES_SQL)
+def op3_quality_rules(spark, sf_dir):
+    judged = rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
