@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brontide.llm import langid, mixing, ngram_join, packing, quality, rules
+from brontide.llm import chat, langid, mixing, ngram_join, packing, quality, rules, urls
 from brontide.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,3 +150,38 @@ from b
 def op3_quality_rules(spark, sf_dir):
     judged = rules.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+# The rules of the contract.
+URL_RULES = (urls.Rule("org/", "allow"), urls.Rule("example.org/es/", "block"), urls.Rule("example.org/en/1", "block"),
+             urls.Rule("com/fr/", "allow"), urls.Rule("com/de/", "block"))
+
+
+@_add()
+def op6_url_filter(spark, sf_dir):
+    judged = urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
+
+
+_CHAT_SQL = """
+with t as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e as (
+  select *, 20 + length(role) + length(text) + length(regexp_replace(role || chr(10) || text, '[^\\\\]', '', 'g'))
+    + len(regexp_extract_all(role, '<s>|</s>|\\[INST\\]|\\[/INST\\]')) + len(regexp_extract_all(text, '<s>|</s>|\\[INST\\]|\\[/INST\\]')) as n
+  from t)
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(sum(case when role = 'assistant' then length(text) else 0 end) as bigint) as loss_chars,
+       sha256(string_agg(case when role = 'assistant' then text else '' end, '' order by turn, role, text)) as loss_sha256,
+       cast(sum(n) as bigint) as formatted_chars
+from e group by conv_id
+"""
+
+
+@_add(_CHAT_SQL)
+def op2_chat_format(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.digests(chat.format_conversations(rows))
