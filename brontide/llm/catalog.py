@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brontide.llm import chat, langid, mixing, neighbours, ngram_join, packing, quality, rules, urls
+from brontide.llm import chat, langid, lattice, mixing, neighbours, ngram_join, packing, quality, rules, urls
 from brontide.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,3 +191,14 @@ def op2_chat_format(spark, sf_dir):
 def op7_nearest(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
+@_add()
+def op9_lattice_score(spark, sf_dir):
+    import public_tokenizers
+
+    documents = table(spark, sf_dir, "documents")
+    vocabulary = lattice.read_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    model = lattice.train_lm(documents, vocabulary, train=~fold("doc_id", 7, 2))
+    scored = lattice.score_documents(documents, model)
+    return scored.select("doc_id", fold("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
