@@ -89,11 +89,15 @@ def fingerprint_text(spark, sf_dir):
     return L.fingerprint_text(docs).drop("content")
 
 
-# Every seventh event has no JSON at all; the others have keys out of order and blanks.
-_PROPS = """case when event_id % 7 = 0 then null
-    else concat('{"type": "', event_type, '",  "props": ', props, '}') end"""
-_PROPS_SQL = """case when event_id % 7 = 0 then '{}'
-    else concat('{"props":', cast(json(props) as varchar), ',"type":"', event_type, '"}') end"""
+# Every seventh event has no JSON at all; the others have keys out of order, blanks, a key that
+# repeats, and an integer longer than any number type.
+_LONG = "123456789012345678901234567890123456789012345"
+_PROPS = f"""case when event_id % 7 = 0 then null
+    when event_id % 7 = 1 then concat('{{"type": "first",  "props": ', props, ', "type": "', event_type, '"}}')
+    when event_id % 7 = 2 then concat('{{"type": "', event_type, '",  "n": {_LONG}}}')
+    else concat('{{"type": "', event_type, '",  "props": ', props, '}}') end"""
+_PROPS_SQL = f"""case when event_id % 7 = 0 then '{{}}' when event_id % 7 = 2 then concat('{{"n":{_LONG},"type":"', event_type, '"}}')
+    else concat('{{"props":', cast(json(props) as varchar), ',"type":"', event_type, '"}}') end"""
 
 
 @registry.add(f"""select event_id, raw_json, sha256(raw_json) as content_hash,
@@ -150,6 +154,8 @@ _SHAPES = [
     ("cast(user_id as string)", "cast(user_id as varchar)"),
     ("cast(null as string)", "''"),
     ("'[[\"' || event_type || '\"], {\"logs\": [\"a\", \"b\"]}]'", "event_type || chr(10) || 'a' || chr(10) || 'b'"),
+    ("'{\"content\": \"no\", \"content\": \"' || event_type || '\"}'", "event_type"),
+    (f"'{{\"n\": {_LONG}, \"a\": ' || user_id || '}}'", f"'{{\"a\":' || user_id || ',\"n\":{_LONG}}}'"),
 ]
 
 
@@ -175,14 +181,17 @@ def decode_payload(spark, sf_dir):
     return L.decode_payload(df)
 
 
-_ITEM = "'{\"task_id\":\"' || event_type || '\",\"try_number\":' || user_id || '}'"
+_ITEM = (f"'{{\"id\":' || case when event_id % 7 = 6 then '{_LONG}' else '1' end || "
+         "',\"task_id\":\"' || event_type || '\",\"try_number\":' || user_id || '}'")
 
 
 @registry.add(f"""select event_id, cast(i as int) as item_no, {_ITEM} as task_instance
-    from events, lateral (select unnest(case event_id % 5 when 0 then [0, 1] when 1 then [0]
-        when 2 then [0] when 3 then [] else [0, 1, 2] end) as i)""")
+    from events, lateral (select unnest(case event_id % 7 when 0 then [0, 1] when 1 then [0]
+        when 2 then [0] when 3 then [] when 4 then [0, 1, 2] else [0, 1] end) as i)""")
 def explode_task_instances(spark, sf_dir):
-    payload = f"""case event_id % 5
+    payload = f"""case event_id % 7
+        when 5 then '{{"tasks": [' || {_ITEM} || '], "tasks": [' || {_ITEM} || ',' || {_ITEM} || ']}}'
+        when 6 then '{{"tasks": [' || {_ITEM} || ', 3, ' || {_ITEM} || ']}}'
         when 0 then '[' || {_ITEM} || ', 7, "x", ' || {_ITEM} || ']'
         when 1 then '{{"task_instances": 3, "tasks": [' || {_ITEM} || ']}}'
         when 2 then '{{"results": [[1], ' || {_ITEM} || ', null], "total": 1}}'
@@ -192,15 +201,22 @@ def explode_task_instances(spark, sf_dir):
     return L.explode_task_instances(df)
 
 
-@registry.add("""select page_id, case page_id % 5 when 2 then null when 4 then null else url end as log_url from pages""")
+@registry.add("""select page_id, case page_id % 6 when 2 then null when 4 then null else url end as log_url from pages""")
 def external_log_url(spark, sf_dir):
-    payload = """case page_id % 5 when 0 then concat('{"url": "", "logUrl": "', url, '"}')
+    payload = """case page_id % 6 when 5 then concat('{"url": "old", "url": "', url, '"}') when 0 then concat('{"url": "", "logUrl": "', url, '"}')
         when 1 then url when 2 then concat('{"link": "', url, '"}') when 3 then concat('"', url, '"')
         else concat('["', url, '"]') end"""
     df = table(spark, sf_dir, "pages").select("page_id", F.expr(payload).alias("payload"))
     return df.select("page_id", P.external_log_url("payload").alias("log_url"))
 
 
+@registry.add("select page_id from pages where page_id % 3 = 0")
+def unreadable_payloads(spark, sf_dir):
+    payload = """case page_id % 3 when 0 then concat('{"url": "', url) when 1 then concat('{"url": "', url, '", "url": ""}') else url end"""
+    df = table(spark, sf_dir, "pages").select("page_id", F.expr(payload).alias("payload"))
+    return L.unreadable_payloads(df).select("page_id")
+
+
 # --- lines and chunks -----------------------------------------------------------------------
 
 @registry.add(f"""select doc_id, cast(i as bigint) as line_no, line

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import json
-
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
+from brontide.functions import exact_json
+
 # Fixed values ------------------------------------------------------------------------------
 # Keys under which an object may hold its text, in the order in which they are tried.
 TEXT_KEYS = ("content", "message", "log", "logs", "data", "text", "body")
@@ -18,10 +18,40 @@ JSON_CONTENT_TYPE = "application/json"
 # -------------------------------------------------------------------------------------------
 
 
-def canonical_json(text: Column) -> Column:
-    """Compact JSON with sorted keys; NULL becomes ``{}``, text that is not JSON a JSON string."""
-    quoted = F.to_json(text.cast("variant"))
-    return F.coalesce(F.to_json(F.try_parse_json(text)), quoted, F.lit("{}"))
+# What the JVM's parser cannot be trusted with: text that looks like JSON but that it refuses, for its
+# size, its depth, a repeated key or because it is none; and numbers with more digits than it keeps.
+_REFUSED = "(try_parse_json({p}) IS NULL AND left(ltrim(' \\t\\r\\n', {p}), 1) IN ('[', '{{', '\"'))"
+_LONG_NUMBER = "{p} RLIKE '[0-9]{{16}}'"
+
+
+def _exact(function, payload: str, numbers: bool = True) -> Column:
+    """``function``, a pandas UDF, of the payloads that need the exact reading; its argument is NULL for
+    all others, and so is its result, as it is for text that is not JSON."""
+    condition = _REFUSED + (f" OR {_LONG_NUMBER}" if numbers else "")
+    return function(F.expr(f"CASE WHEN {condition.format(p=payload)} THEN {payload} END"))
+
+
+def _read(payload: pd.Series, of_value) -> pd.Series:
+    """``of_value`` of each payload's JSON value; None where there is none."""
+    def one(text):
+        try:
+            return None if text is None else of_value(exact_json.loads(text))
+        except ValueError:
+            return None
+    return pd.Series([one(text) for text in payload], dtype=object)
+
+
+@F.pandas_udf(T.StringType())
+def _exact_canonical(payload: pd.Series) -> pd.Series:
+    return _read(payload, exact_json.dumps)
+
+
+def canonical_json(payload: str) -> Column:
+    """Compact JSON with sorted keys of a column; NULL becomes ``{}``, text that is not JSON a JSON string."""
+    # By way of a list, as a cast to variant has a limit of size.
+    listed = F.to_json(F.array(F.col(payload)))
+    quoted = F.when(F.col(payload).isNotNull(), F.substring(listed, F.lit(2), F.length(listed) - 2))
+    return F.coalesce(_exact(_exact_canonical, payload), F.to_json(F.try_parse_json(F.col(payload))), quoted, F.lit("{}"))
 
 
 def _let(value: str, name: str, body: str) -> str:
@@ -62,38 +92,46 @@ def regular_text(payload: str) -> Column:
                   "CASE WHEN NOT exists(texts, x -> x IS NULL) "
                   "THEN array_join(filter(texts, x -> x <> ''), '\\n') END")
     parsed = (f"CASE WHEN j IS NOT NULL THEN {joined} WHEN left(ltrim(' \\t\\r\\n', {payload}), 1) "
-              f"NOT IN ('[', '{{') THEN {payload} END")
+              f"NOT IN ('[', '{{', '\"') THEN {payload} END")
     return F.expr(f"CASE WHEN {payload} IS NULL THEN '' "
                   f"ELSE {_let(f'try_parse_json({payload})', 'j', parsed)} END")
 
 
 def _nested_text(value) -> str:
-    """Text of any JSON value."""
-    if isinstance(value, str):
-        return value
-    if value is None:
-        return ""
-    if isinstance(value, list):
-        return _joined(value)
-    if isinstance(value, dict):
-        told = (_nested_text(value[key]) for key in TEXT_KEYS if key in value)
-        text = next(filter(None, told), "")
-        if text:
-            return text
-        text = _joined(v for v in value.values() if isinstance(v, (str, list, dict)))
-        if text:
-            return text
-    return json.dumps(value, ensure_ascii=False, sort_keys=True, separators=(",", ":"))
-
-
-def _joined(values) -> str:
-    return "\n".join(filter(None, map(_nested_text, values)))
+    """Text of any JSON value, by a walk with a stack of its own: children first."""
+    texts: dict[int, str] = {}
+
+    def text_of(item) -> str:
+        if isinstance(item, str):
+            return item
+        if item is None:
+            return ""
+        return texts[id(item)] if isinstance(item, (list, dict)) else exact_json.dumps(item)
+
+    def joined(items) -> str:
+        return "\n".join(filter(None, map(text_of, items)))
+
+    todo = [(value, False)]
+    while todo:
+        item, seen = todo.pop()
+        if not isinstance(item, (list, dict)):
+            continue
+        if not seen:
+            todo.append((item, True))
+            todo += [(child, False) for child in (item.values() if isinstance(item, dict) else item)]
+        elif isinstance(item, list):
+            texts[id(item)] = joined(item)
+        else:
+            told = next(filter(None, (text_of(item[key]) for key in TEXT_KEYS if key in item)), "")
+            texts[id(item)] = (told or joined(v for v in item.values() if isinstance(v, (str, list, dict)))
+                               or exact_json.dumps(item))
+    return text_of(value)
 
 
 def _payload_text(payload: str) -> str:
     try:
-        return _nested_text(json.loads(payload))
-    except (ValueError, RecursionError):  # not JSON, or nested beyond any use
+        return _nested_text(exact_json.loads(payload))
+    except ValueError:  # not JSON
         return payload
 
 
@@ -107,8 +145,19 @@ def is_json(content_type: Column) -> Column:
     return F.coalesce(content_type.contains(JSON_CONTENT_TYPE), F.lit(False))
 
 
+def _task_items(value) -> list[str]:
+    if isinstance(value, dict):
+        value = next((value[key] for key in TASK_LIST_KEYS if isinstance(value.get(key), list)), None)
+    return [exact_json.dumps(item) for item in value if isinstance(item, dict)] if isinstance(value, list) else []
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _exact_items(payload: pd.Series) -> pd.Series:
+    return _read(payload, _task_items)
+
+
 def task_instances(payload: str) -> Column:
-    """Array of the task-instance objects in a column of payloads, as variants.
+    """Array of the task-instance objects in a column of payloads, as JSON.
 
     The payload is the list itself or an object with the list under one of ``TASK_LIST_KEYS``;
     a key that holds something else is passed over.
@@ -119,7 +168,28 @@ def task_instances(payload: str) -> Column:
                   "THEN try_variant_get(v, '$', 'array<variant>') END")
              for path in ("$", *(f"$.{key}" for key in TASK_LIST_KEYS))]
     found = _let(f"try_parse_json({payload})", "j", f"coalesce({', '.join(lists)})")
-    return F.expr(f"filter({found}, item -> startswith(schema_of_variant(item), 'OBJECT'))")
+    regular = (f"transform(filter({found}, item -> startswith(schema_of_variant(item), 'OBJECT')), "
+               "item -> to_json(item))")
+    return F.coalesce(_exact(_exact_items, payload), F.expr(regular))
+
+
+def _url(value) -> str | None:
+    if isinstance(value, str):
+        return value if value.startswith("http") else None
+    if isinstance(value, dict):
+        return next((value[key] for key in URL_KEYS if isinstance(value.get(key), str) and value[key]), None)
+    return None
+
+
+@F.pandas_udf(T.StringType())
+def _exact_url(payload: pd.Series) -> pd.Series:
+    return _read(payload, _url)
+
+
+def is_unreadable(payload: str) -> Column:
+    """Whether a column's payload looks like JSON and is none: a list, object or string that does not end well."""
+    readable = _exact(_exact_canonical, payload, numbers=False)
+    return F.coalesce(F.expr(_REFUSED.format(p=payload)) & readable.isNull(), F.lit(False))
 
 
 def external_log_url(payload: str) -> Column:
@@ -133,5 +203,6 @@ def external_log_url(payload: str) -> Column:
                   for key in URL_KEYS]
     itself = string("j", "startswith(t, 'http')")
     plain = f"CASE WHEN j IS NULL AND startswith({payload}, 'http') THEN {payload} END"
-    return F.expr(_let(f"try_parse_json({payload})", "j",
-                       f"coalesce({', '.join([*under_keys, itself, plain])})"))
+    regular = F.expr(_let(f"try_parse_json({payload})", "j",
+                          f"coalesce({', '.join([*under_keys, itself, plain])})"))
+    return F.coalesce(_exact(_exact_url, payload, numbers=False), regular)

@@ -64,19 +64,28 @@ def extract_log_text(df: DataFrame, payload: str = "payload", name: str = "text"
 def decode_payload(df: DataFrame, name: str = "text") -> DataFrame:
     """Replace ``content_type, body`` of a response by its log text: extracted from the body if
     the content type says JSON, else the body as it is."""
-    # Text that is not declared as JSON passes the extraction as a JSON string.
-    json_body = (F.when(P.is_json(F.col("content_type")), F.col("body"))
-                  .otherwise(F.to_json(F.col("body").cast("variant"))))
-    return extract_log_text(df.withColumn("body", json_body).drop("content_type"), "body", name)
+    is_json = P.is_json(F.col("content_type"))
+    # Only what is declared as JSON is looked into; any other body is the text, whatever its size.
+    split = df.withColumns({"_plain": F.when(~is_json, F.coalesce("body", F.lit(""))),
+                            "body": F.when(is_json, F.col("body"))}).drop("content_type")
+    texts = extract_log_text(split, "body", name)
+    return texts.withColumn(name, F.coalesce("_plain", column(name))).drop("_plain")
 
 
 def explode_task_instances(df: DataFrame, payload: str = "payload") -> DataFrame:
     """One row per task-instance object of a payload, as JSON, numbered from 0."""
     others = [column(c) for c in df.columns if c != payload]
-    items = df.select(*others, column(payload).alias("_payload")).select(
-        *others, F.posexplode_outer(P.task_instances("_payload")).alias("item_no", "_item"))
-    return (items.filter(F.col("item_no").isNotNull())
-                 .select(*others, "item_no", F.to_json("_item").alias("task_instance")))
+    named = df.select(*others, column(payload).alias("_payload"))
+    found = named.select(*others, P.task_instances("_payload").alias("_items"))
+    return found.select(*others, F.posexplode("_items").alias("item_no", "task_instance"))
+
+
+def unreadable_payloads(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Rows whose payload begins like JSON but is none, for a quarantine: they hold no task instances and no
+    address, and count as plain text where the log's text is wanted."""
+    others = [column(c) for c in df.columns if c != payload]
+    named = df.select(*others, column(payload).alias("_payload"))
+    return named.filter(P.is_unreadable("_payload")).withColumnRenamed("_payload", payload)
 
 
 def fingerprint_text(df: DataFrame, content: str = "content") -> DataFrame:
@@ -90,7 +99,8 @@ def fingerprint_text(df: DataFrame, content: str = "content") -> DataFrame:
 def normalize_json_source(df: DataFrame, raw_json: str = "raw_json") -> DataFrame:
     """Replace a JSON column by its canonical text and add its hash and size."""
     others = [column(c) for c in df.columns if c != raw_json]
-    canonical = df.select(*others, P.canonical_json(column(raw_json)).alias(raw_json))
+    named = df.select(*others, column(raw_json).alias("_json"))
+    canonical = named.select(*others, P.canonical_json("_json").alias(raw_json))
     return canonical.select(
         "*", X.sha256_hex(column(raw_json)).alias("content_hash"),
         F.octet_length(column(raw_json)).cast("bigint").alias("content_size_bytes"))
@@ -108,7 +118,7 @@ def route_sources(df: DataFrame) -> DataFrame:
         *others,
         F.when(is_text, F.lit("TEXT")).otherwise(F.lit("JSON")).alias("content_type"),
         F.when(is_text, X.pick_content(F.col("raw_text"), F.col("raw_content"))).alias("raw_content"),
-        F.when(~is_text, P.canonical_json(F.col("raw_json"))).alias("raw_json"))
+        F.when(~is_text, P.canonical_json("raw_json")).alias("raw_json"))
     body = F.coalesce("raw_content", "raw_json")
     return routed.select(
         "*", X.sha256_hex(body).alias("content_hash"),
@@ -146,7 +156,7 @@ def upsert_log_sources(base: DataFrame, incoming: DataFrame, now: Column | None
 
 def upsert_resources(base: DataFrame, incoming: DataFrame, now: Column | None = None) -> DataFrame:
     """Apply discovered resources to the table of resources."""
-    stamped = (incoming.withColumn("raw_payload", P.canonical_json(F.col("raw_payload")))
+    stamped = (incoming.withColumn("raw_payload", P.canonical_json("raw_payload"))
                        .withColumn("updated_at", F.current_timestamp() if now is None else now))
     return upsert(base, stamped, RESOURCE_RULE)
 

@@ -1,8 +1,10 @@
 import json
 
 import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
-from brontide.functions import payload as P
+from brontide.functions import exact_json, payload as P
 from brontide.operators import logs as L
 
 # payload -> log text
@@ -35,7 +37,12 @@ TEXTS = [
     (' \n\t{"content": "a", "content": "b"}', "b"),
     ('{"content": "\\u00e9\\n"}', "é\n"),
     ("[" * 50 + '"deep"' + "]" * 50, "deep"),
-    ("[" * 100_000 + "]" * 100_000, "[" * 100_000 + "]" * 100_000),
+    ("[" * 100_000 + "]" * 100_000, ""),
+    ('{"content": ' * 3_000 + '"hello"' + "}" * 3_000, "hello"),
+    ('{"content": ' * 3_000 + '"hello"' + "}" * 2_999, '{"content": ' * 3_000 + '"hello"' + "}" * 2_999),
+    ('{"n": ' + "9" * 5_000 + ', "a": 0.12345678901234567890}', '{"a":0.12345678901234567890,"n":' + "9" * 5_000 + "}"),
+    ('["ok", NaN]', '["ok", NaN]'),
+    ('"no end', '"no end'),
 ]
 
 
@@ -71,6 +78,10 @@ def test_decode_payload(spark):
     ('{"task_instances": [], "tasks": [{"c": 1}]}', []),
     ('{"items": "[{}]"}', []), ('{"results": [[1], {"d": null}]}', [{"d": None}]),
     ("x", []), (None, []), ("{}", []),
+    ('{"tasks": [{"a": 1}], "tasks": [{"b": 2}, {"c": 3}]}', [{"b": 2}, {"c": 3}]),
+    ('{"tasks": [{"n": 123456789012345678901234567890123456789012345}]}', [{"n": 123456789012345678901234567890123456789012345}]),
+    ('{"tasks": [{"a": 1}, {"b": 2}], "deep": ' + "[" * 1_500 + "]" * 1_500 + "}", [{"a": 1}, {"b": 2}]),
+    ('[{"a": "' + "x" * 20_000_000 + '"}]', [{"a": "x" * 20_000_000}]),
 ])
 def test_explode_task_instances(spark, payload, items):
     df = spark.createDataFrame([(payload,)], "payload string")
@@ -82,6 +93,7 @@ def test_explode_task_instances(spark, payload, items):
 @pytest.mark.parametrize("payload, url", [
     ('{"url": "u", "log_url": "v"}', "u"), ('{"url": "", "externalLogUrl": "v"}', "v"),
     ('{"url": 5, "logUrl": "v"}', "v"), ('"http://x"', "http://x"), ("http://x", "http://x"),
+    ('{"url": "", "url": "u"}', "u"), ('{"url": "u", "d": ' + "[" * 3_000 + "]" * 3_000 + "}", "u"),
     ('"ftp://x"', None), ("ftp://x", None), ('["http://x"]', None), ("{}", None), (None, None)])
 def test_external_log_url(spark, payload, url):
     df = spark.createDataFrame([(payload,)], "payload string")
@@ -89,7 +101,10 @@ def test_external_log_url(spark, payload, url):
 
 
 def test_canonical_json(spark):
-    cases = [(None, "{}"), ('{"b": 1, "a": [1, 2]}', '{"a":[1,2],"b":1}'), ("oops", '"oops"')]
+    deep, long = "[" * 20_000 + "]" * 20_000, "123456789012345678901234567890123456789012345"
+    cases = [(None, "{}"), ('{"b": 1, "a": [1, 2]}', '{"a":[1,2],"b":1}'), ("oops", '"oops"'), ('say "hi"', '"say \\"hi\\""'),
+             ('{"a": 1, "a": 2}', '{"a":2}'), (f'{{"n": {long}}}', f'{{"n":{long}}}'), (f" {deep}", deep),
+             ('{"open', '"{\\"open"')]
     df = spark.createDataFrame(cases, "raw_json string, expected string")
     for row in L.normalize_json_source(df).collect():
         assert row["raw_json"] == row["expected"]
@@ -117,3 +132,36 @@ def test_unknown_category_fails(spark):
     assert [r["c"] for r in L.invalid_categories(df, "c", ["a"]).collect()] == ["b"]
     with pytest.raises(Exception, match="unknown c: b"):
         L.require_allowed(df, "c", ["a"]).collect()
+
+
+def test_long_text_is_not_parsed(spark):
+    """A log of 140 MB passes, declared as plain text or as JSON."""
+    text = F.repeat(F.lit("0123456789"), 14_000_000)
+    json_text = F.concat(F.lit('{"message": "'), text, F.lit('"}'))
+    plain = spark.range(1, numPartitions=1).select(F.lit("text/plain").alias("content_type"), text.alias("body"))
+    coded = spark.range(1, numPartitions=1).select(F.lit("application/json").alias("content_type"), json_text.alias("body"))
+    for df in (plain, coded):
+        assert L.decode_payload(df).select(F.length("text")).first()[0] == 140_000_000
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.recursive(st.none() | st.booleans() | st.integers() | st.text() | st.floats(allow_nan=False, allow_infinity=False),
+                    lambda x: st.lists(x, max_size=4) | st.dictionaries(st.text(), x, max_size=4), max_leaves=20))
+def test_flat_reader_and_writer(value):
+    text = json.dumps(value)
+    assert exact_json._loads_flat(text) == exact_json.loads(text)
+    assert exact_json.dumps(exact_json._loads_flat(text)) == exact_json.dumps(exact_json.loads(text))
+    assert json.loads(exact_json.dumps(json.loads(text))) == json.loads(text)
+
+
+@pytest.mark.parametrize("text", ["", "[", "[1", "[1,", "[1 2]", "{1:2}", '{"a" 1}', '{"a":1', "tru", "1 1", "[]]", '"a', "01", "[,]"])
+def test_flat_reader_refuses(text):
+    with pytest.raises(ValueError):
+        exact_json._loads_flat(text)
+
+
+def test_unreadable_payloads(spark):
+    cases = [('{"a": 1', True), ("[1,", True), ('"open', True), ('{"a": 1, "a": 2}', False), ("plain", False), (None, False),
+             ("[" * 3_000 + "]" * 3_000, False), ('{"ok": 1}', False)]
+    df = spark.createDataFrame(cases, "payload string, bad boolean")
+    assert [r["payload"] for r in L.unreadable_payloads(df).collect()] == [p for p, bad in cases if bad]
