@@ -10,6 +10,7 @@ Pools are independent, so the work is spread by pool and island, and is linear i
 
 from __future__ import annotations
 
+import string
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -18,6 +19,7 @@ from itertools import chain
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from brontide.session import materialize
@@ -27,55 +29,116 @@ _caches: dict[str, "WordCache"] = {}
 
 
 class WordCache:
-    """Token ids by word of text. The tokenizer never joins across white space, so the ids of a
-    text are those of its words; each distinct word is encoded once while the cache has room."""
+    """Token ids by word of text, for a tokenizer that never joins across white space.
 
-    MOST_WORDS, MOST_CHARS = 300_000, 6_000_000
-    # Str.split() takes these for white space, the tokenizer does not.
-    ODD = frozenset("\x1c\x1d\x1e\x1f")
+    The ids of a text are those of its words. A word of Latin letters and punctuation behind them is its stem in
+    lower case and its tail, as the tokenizer lowers case and splits there too; new stems are encoded many
+    at a time, and told apart by the end that the vocabulary marks on the last token of a word. Any other
+    word is encoded as it is. What is kept is bounded; beyond, the cache starts anew.
+    """
+
+    MOST_WORDS, MOST_CHARS, AT_ONCE = 800_000, 16_000_000, 500
 
     def __init__(self, definition: str) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_str(definition)
+        self.tokenizer, self.plain = Tokenizer.from_str(definition), Tokenizer.from_str(definition)
+        self.plain.normalizer = None
+        self.ends = np.zeros(self.plain.get_vocab_size(), bool)
+        for token, i in self.plain.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.chars, self.used = 0, 0
+        self.words: dict[str, int] = {}
+        self.parts: dict[str, int] = {}
+        self.chars, self.size, self.used = 0, 0, 0
         self.starts, self.lengths = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
+        self._keep(self.parts, [""], np.zeros(0, np.uint32), np.zeros(1, np.int64))
 
-    def _add(self, words: list[str]) -> None:
-        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
-        flat = np.fromiter(chain.from_iterable(encoded), np.uint32, int(lengths.sum()))
-        n, first = len(self.at), self.used
-        while len(self.starts) < n + len(words):
+    def _keep(self, into: dict[str, int], names: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
+        n, first = self.size, self.used
+        while len(self.starts) < n + len(names):
             self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
         while len(self.ids) < first + len(flat):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.starts[n:n + len(words)] = first + np.cumsum(lengths) - lengths
-        self.lengths[n:n + len(words)] = lengths
+        self.starts[n:n + len(names)] = first + np.cumsum(lengths) - lengths
+        self.lengths[n:n + len(names)] = lengths
         self.ids[first:first + len(flat)] = flat
-        self.used = first + len(flat)
-        self.at.update(zip(words, range(n, n + len(words))))
-        self.chars += sum(map(len, words))
-
-    def encode(self, text: str) -> np.ndarray:
-        if not self.ODD.isdisjoint(text):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        words = text.split()
-        if len(self.at) > self.MOST_WORDS or self.chars > self.MOST_CHARS:
-            self.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self.at]
-        if new:
-            self._add(new)
-        index = np.fromiter(map(self.at.__getitem__, words), np.int64, len(words))
+        self.size, self.used = n + len(names), first + len(flat)
+        into.update(zip(names, range(n, self.size)))
+        self.chars += sum(map(len, names))
+
+    def _gather(self, index: np.ndarray) -> np.ndarray:
         lengths = self.lengths[index]
         ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        return self.ids[np.repeat(self.starts[index] - ends + lengths, lengths) + np.arange(total)]
+        return self.ids[np.repeat(self.starts[index] - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+    def _encode_stems(self, stems: list[str]) -> None:
+        for i in range(0, len(stems), self.AT_ONCE):
+            some = stems[i:i + self.AT_ONCE]
+            flat = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            last = np.flatnonzero(self.ends[flat])
+            if len(last) == len(some):
+                self._keep(self.parts, some, flat, np.diff(np.concatenate(([-1], last))))
+            else:
+                self._encode_others(some)
+
+    def _encode_others(self, words: list[str]) -> None:
+        encoded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        self._keep(self.parts, words, np.fromiter(chain.from_iterable(encoded), np.uint32), np.fromiter(map(len, encoded), np.int64, len(words)))
+
+    def _add(self, words: list[str]) -> None:
+        split, stems, others = [], {}, {}
+        for word in words:
+            stem = word.rstrip(string.punctuation)
+            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0250"):
+                tail, stem = word[len(stem):], stem.lower()
+                if not stem.isalpha():  # a capital that becomes a letter with a mark
+                    stem, tail = word, ""
+                    others[word] = None
+                elif stem not in self.parts:
+                    stems[stem] = None
+                if tail not in self.parts:
+                    others[tail] = None
+            else:
+                stem, tail = word, ""
+                if word not in self.parts:
+                    others[word] = None
+            split += (stem, tail)
+        self._encode_stems(list(stems))
+        if others:
+            self._encode_others(list(others))
+        index = np.fromiter(map(self.parts.__getitem__, split), np.int64, len(split))
+        self._keep(self.words, words, self._gather(index), self.lengths[index].reshape(-1, 2).sum(axis=1))
+
+    def encode_all(self, texts: pa.StringArray) -> Iterator[np.ndarray]:
+        """Ids of each text; the texts together should be a few million characters at most."""
+        if len(self.words) > self.MOST_WORDS or self.chars > self.MOST_CHARS:
+            self.clear()
+        split = pc.ascii_split_whitespace(texts)
+        encoded = split.flatten().dictionary_encode()
+        distinct = encoded.dictionary.to_pylist()
+        own = np.fromiter((self.words.get(w, -1) for w in distinct), np.int64, len(distinct))
+        new = np.flatnonzero(own < 0)
+        if len(new):
+            self._add([distinct[i] for i in new])
+            own[new] = np.arange(self.size - len(new), self.size)
+        index = own[encoded.indices.to_numpy()]
+        flat = self._gather(index)
+        upto = np.concatenate(([0], np.cumsum(self.lengths[index])))[np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy())))]
+        return (flat[a:b] for a, b in zip(upto[:-1], upto[1:]))
+
+
+def _chunks(texts: pa.StringArray, most: int = 8_000_000) -> Iterator[pa.StringArray]:
+    """Runs of texts of about so many bytes."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy())
+    start = 0
+    while start < len(texts):
+        stop = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + most)) + 1
+        yield texts.slice(start, stop - start)
+        start = stop
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key: str = "doc_id",
@@ -99,8 +162,9 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key:
         cache = _caches[tokenizer_path]
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
-            for i, value in enumerate(batch.column(1)):
-                ids = np.append(cache.encode(value.as_py() or ""), np.uint32(end_id)).astype("<u4")
+            texts = batch.column(1).cast(pa.string()).fill_null("")
+            for i, ids in enumerate(chain.from_iterable(map(cache.encode_all, _chunks(texts)))):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start:start + capacity]
                     for column, v in zip(rows, (i, piece, start, len(part), zlib.crc32(part.tobytes()),
