@@ -115,11 +115,14 @@ def _event_stream(spark, sf_dir) -> DataFrame:
 
 @registry.add(f"select distinct {_KEY_SQL} as idempotency_key, dag_id, status from ({EVENTS_SQL})")
 def stream_dedup_events(spark, sf_dir):
+    """Three runs of one stream, the latest events first and the oldest last."""
     path = work_dir(spark, "stream")
-    # All events are replays of one collection, so none counts as late.
-    unique = S.dedup_event_stream(_event_stream(spark, sf_dir), delay="60 days")
-    query = S.write_stream(unique, f"{path}/out", f"{path}/checkpoint")
-    query.awaitTermination()
+    events = status_events(spark, sf_dir).withColumn("callback_ts", F.col("callback_ts").cast("timestamp"))
+    day = F.dayofmonth("callback_ts")
+    for part in (day > 20, day.between(11, 20), day <= 10):
+        events.filter(part).write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{path}/in")
+        S.write_stream(S.dedup_event_stream(stream), f"{path}/out", f"{path}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{path}/out").select("idempotency_key", "dag_id", "status")
 
 

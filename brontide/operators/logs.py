@@ -77,7 +77,9 @@ def explode_task_instances(df: DataFrame, payload: str = "payload") -> DataFrame
     others = [column(c) for c in df.columns if c != payload]
     named = df.select(*others, column(payload).alias("_payload"))
     found = named.select(*others, P.task_instances("_payload").alias("_items"))
-    return found.select(*others, F.posexplode("_items").alias("item_no", "task_instance"))
+    # The outer form, as for the other Spark would evaluate the items twice, for a filter on them.
+    items = found.select(*others, F.posexplode_outer("_items").alias("item_no", "task_instance"))
+    return items.filter(F.col("item_no").isNotNull())
 
 
 def unreadable_payloads(df: DataFrame, payload: str = "payload") -> DataFrame:

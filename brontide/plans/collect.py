@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from brontide.operators import logs as L
 from brontide.operators.chunking import MAX_CHARS, MAX_LINES, chunk_lines
-from brontide.operators.upsert import fold_batch
+from brontide.operators.upsert import fold_batch, fold_rows
 from brontide.schemas import LOG_CHUNK, LOG_SOURCE
 from brontide.sources import tables
 from brontide.sources.attempt_logs import ATTEMPT_KEYS, scan_attempt_lines
@@ -77,7 +77,7 @@ def _batches(spark: SparkSession, base: str, target: str | None, table: str, sch
 def current_sources(spark: SparkSession, base: str, target: str | None = None) -> DataFrame:
     """Every source once, with the effect of all batches."""
     rows = _batches(spark, base, target, "log_sources", LOG_SOURCE)
-    return fold_batch(rows, _ACROSS_BATCHES).select(*LOG_SOURCE.names, "batch")
+    return fold_rows(rows, _ACROSS_BATCHES).select(*LOG_SOURCE.names, "batch")
 
 
 def current_chunks(spark: SparkSession, base: str, target: str | None = None) -> DataFrame:

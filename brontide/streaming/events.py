@@ -27,17 +27,19 @@ def _first_per_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield batch.take(pa.array(np.sort(first)))
 
 
-def dedup_event_stream(events: DataFrame, ts: str = "callback_ts",
-                       delay: str = "168 hours") -> DataFrame:
-    """First arrival of every idempotency key; a replay more than ``delay`` late passes again.
-
-    A streaming deduplication shuffles every row by its key. Copies within an Arrow batch are
-    dropped before, so a key that is replayed very often does not swamp one task.
+def dedup_event_stream(events: DataFrame, delay: str = "168 hours") -> DataFrame:
+    """First arrival of every idempotency key, whatever time it tells of; a replay that arrives more than
+    ``delay`` after it passes again.
+
+    The watermark is on the time of arrival. On the events' own time it would drop first arrivals of old
+    events, and one clock in the future would drop all that follow. A streaming deduplication shuffles
+    every row by its key. Copies within an Arrow batch are dropped before, so a key that is replayed very
+    often does not swamp one task.
     """
     keyed = events.withColumn("idempotency_key", idempotency_key())
-    return (keyed.mapInArrow(_first_per_key, keyed.schema)
-                 .withWatermark(ts, delay)
-                 .dropDuplicatesWithinWatermark(["idempotency_key"]))
+    arrived = keyed.mapInArrow(_first_per_key, keyed.schema).withColumn("_arrived", F.current_timestamp())
+    return (arrived.withWatermark("_arrived", delay)
+                   .dropDuplicatesWithinWatermark(["idempotency_key"]).drop("_arrived"))
 
 
 def maintain_run_state(events: DataFrame, path: str, checkpoint: str, order_by: list[str],

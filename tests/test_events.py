@@ -101,6 +101,19 @@ def test_stream_in_two_runs(spark, fold_every):
     assert states == [None, "t"]
 
 
+def test_clocks_do_not_decide(spark):
+    """Events from the future and from long ago are first arrivals like any; a replay still goes."""
+    path = work_dir(spark, "test-stream")
+    for i, at in enumerate(["2024-01-30", "2099-01-01", "2024-02-10", "2001-01-01", "2024-01-30"]):
+        event = callbacks({"hook": "on_task_retry", "callback_ts": f"{at}T00:00:00+00:00",
+                           "task_instance": {**TASK, "task_id": f"t{i % 4}"}})
+        spark.createDataFrame([(x,) for x in event], "value string").coalesce(1).write.mode("append").text(f"{path}/in")
+        events = S.read_callbacks(spark, f"{path}/in")
+        S.write_stream(S.dedup_event_stream(events), f"{path}/out", f"{path}/ck").awaitTermination()
+    found = spark.read.parquet(f"{path}/out").select("task_id").collect()
+    assert sorted(r["task_id"] for r in found) == ["t0", "t1", "t2", "t3"]
+
+
 def test_hot_key_is_reduced_before_the_shuffle(spark):
     """One key is most of the stream; the stateful operator sees few of its rows."""
     path = work_dir(spark, "test-stream")

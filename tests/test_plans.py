@@ -2,7 +2,7 @@
 
 import pytest
 import __spark_entry__ as entry_points
-from brontide.operators import chunking as C, logs as L, project as P, quality as Q
+from brontide.operators import upsert as upsert_module, chunking as C, logs as L, project as P, quality as Q
 from brontide.session import small_frame
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -31,12 +31,20 @@ def test_no_product_of_tables(spark, name):
 
 
 @pytest.mark.parametrize("name", ["chunk_text", "split_lines", "fingerprint_text", "annotate_chunks",
-                                  "route_sources", "relabel", "normalize_events"])
+                                  "relabel", "normalize_events"])
 def test_row_wise_operators_neither_shuffle_nor_leave_the_jvm(spark, name):
     text = plan(entry_points.queries()[name](spark, SF_DIR))
     assert "Exchange" not in text and "Python" not in text
 
 
+@pytest.mark.parametrize("name", ["route_sources", "normalize_json_source", "explode_task_instances", "external_log_url"])
+def test_only_what_the_jvm_refuses_goes_to_python(spark, name):
+    text = plan(entry_points.queries()[name](spark, SF_DIR))
+    assert "Exchange" not in text and text.count("ArrowEvalPython") == 1
+    argument = text.split("ArrowEvalPython")[1].split("\n")[0]
+    assert "CASE WHEN" in argument and "parseJson" in argument
+
+
 def test_text_is_split_and_folded_once(spark):
     text = plan(C.chunk_text(table(spark, "documents").select("doc_id", "text")))
     assert text.count("aggregate(") == 1
@@ -66,15 +74,31 @@ def test_lookup_reaches_the_scan(spark):
 
 
 def test_small_batch_does_not_shuffle_the_table(spark, tmp_path):
-    """The wide rows of the table go straight through a broadcast lookup."""
+    """Neither rows nor keys of the table move, and nothing is sorted."""
     rule = L.UpsertRule(key={"doc_id": None}, keep=("doc_id",), fill=("lang",), overwrite=("text",), seq="doc_id")
     base = table(spark, "documents").select("doc_id", "lang", "text")
     batch = small_frame(spark, [{"doc_id": 1, "text": "new"}], base.schema)
     batch.write.parquet(str(tmp_path / "b"))
-    merged = L.upsert(base, spark.read.parquet(str(tmp_path / "b")), rule)
-    updated = plan(merged).split("LeftAnti")[0]
-    table_side = updated[updated.index("LeftOuter"):updated.index("BroadcastExchange")]
-    assert "text" in table_side and "Exchange" not in table_side.replace("BroadcastExchange", "")
+    jobs = []
+    real = upsert_module.materialize
+
+    def watched(df, label):
+        jobs.append(plan(df))
+        return real(df, label)
+
+    upsert_module.materialize = watched
+    try:
+        merged = L.upsert(base, spark.read.parquet(str(tmp_path / "b")), rule)
+    finally:
+        upsert_module.materialize = real
+    text = plan(merged)
+    assert "Exchange" not in text.replace("BroadcastExchange", "") and "Sort" not in text
+    # The steps before: the batch stored, its outcome, the fold and the keys found in the table.
+    assert len(jobs) == 4
+    stored, outcome, folded, matched = jobs
+    assert "Exchange" not in stored and "text" not in outcome
+    for step in (folded, matched):
+        assert "Exchange" not in step.replace("BroadcastExchange", "") and "Sort" not in step
     assert merged.count() == base.count()
 
 

@@ -44,6 +44,12 @@ def test_upsert_equals_sequential_application(spark, seed):
     assert sorted(map(tuple, base.collect()), key=str) == sorted(state.values(), key=str)
 
 
+def test_null_in_the_order_fails(spark):
+    batch = spark.createDataFrame([(1, 0, "a", 0, "x", 1), (1, 0, "b", 0, "y", None)], SCHEMA + ", seq int")
+    with pytest.raises(Exception, match="NULL in seq"):
+        upsert(spark.createDataFrame([], SCHEMA), batch, RULE).collect()
+
+
 def source(spark, seq=0, **values):
     row = {**dict.fromkeys(LOG_SOURCE.names), "pipeline_run_id": 1, "source_type": "AIRFLOW_LOG",
            "raw_text": None, "seq": seq, **values}
