@@ -114,7 +114,8 @@ def test_stages(spark, docs, labels, tmp_path):
     for rows in (docs, docs.limit(0)):
         for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, rows, str(tmp_path))
-            assert out.count() <= 3 * max(1, rows.count()) + 60
+            assert name == "pack" or out.count() <= 3 * rows.count()
+            assert rows.count() or not out.count()
     assert corpus_pipeline.run(spark, str(tmp_path)).columns == [
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
