@@ -58,6 +58,15 @@ def reject_late(spark, sf_dir):
     return C.reject_late(events, as_of=_latest(spark, sf_dir))
 
 
+# Every ninth event has no time.
+@registry.add(f"""select count(*) filter (where t is not null and {_ON_TIME}) as kept,
+    count(*) filter (where t is not null and not ({_ON_TIME})) as late, count(*) filter (where t is null) as without_time
+    from (select ts, case when event_id % 9 > 0 then ts end as t from events)""")
+def reject_counts(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select(F.when(F.col("event_id") % 9 > 0, F.col("ts")).alias("ts"))
+    return C.reject_counts(events, as_of=_latest(spark, sf_dir))
+
+
 @registry.add("select cast(ts as date) as day, count(*) as n_rows, cast(sum(user_id) as bigint) as users from events group by 1")
 def daily_sink(spark, sf_dir):
     path = work_dir(spark, "daily")

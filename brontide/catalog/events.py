@@ -33,8 +33,8 @@ def status_events(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "events").selectExpr(*[f"{e} as {c}" for c, e in _EVENT.items()])
 
 
-def _callbacks(spark, sf_dir) -> DataFrame:
-    """Raw callbacks of the same events."""
+def _callbacks(spark, sf_dir, *more: str) -> DataFrame:
+    """Raw callbacks of the same events, with more columns of theirs."""
     iso = F.date_format("callback_ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
     hook = F.concat(F.lit("on_"), "scope", F.lit("_"), F.when(F.col("status") == "failed", "failure")
                     .otherwise(F.col("status")))
@@ -52,7 +52,7 @@ def _callbacks(spark, sf_dir) -> DataFrame:
             F.lit(None).cast("string").alias("end_date"), F.col("try_number"),
             F.lit(3).alias("max_tries"))).alias("task_instance"),
         F.when(F.col("status") == "success", "").otherwise(F.col("dag_id")).alias("exception"),
-        iso.alias("callback_ts"))
+        iso.alias("callback_ts"), *more)
 
 
 @registry.add(f"""select 'AIRFLOW_CALLBACK' as event_type, case when event_id % 11 = 0 then 'd_' || dag_id else dag_id end as dag_id,
@@ -70,6 +70,18 @@ def normalize_events(spark, sf_dir):
     return events.withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
 
+@registry.add("""select field, case field when 'callback_ts' then count(*) filter (where event_id % 13 = 0)
+    when 'dag_run.end_date' then count(*) filter (where event_id % 17 = 0 and event_id % 11 <> 0) else 0 end as unreadable
+    from events, (values ('dag_run.start_date'), ('dag_run.end_date'), ('task_instance.start_date'), ('task_instance.end_date'),
+                         ('dag_run.logical_date'), ('callback_ts')) f(field) group by field""")
+def unreadable_times(spark, sf_dir):
+    """Callbacks of which some tell no readable time."""
+    events = _callbacks(spark, sf_dir, "event_id")
+    run = F.col("dag_run").withField("end_date", F.when(F.col("event_id") % 17 == 0, F.lit("yesterday")))
+    return E.unreadable_times(events.withColumns({
+        "dag_run": run, "callback_ts": F.when(F.col("event_id") % 13 == 0, F.lit("31.12.")).otherwise(F.col("callback_ts"))}))
+
+
 @registry.add(f"select event_id, {_KEY_SQL} as idempotency_key from ({EVENTS_SQL})")
 def idempotency_key(spark, sf_dir):
     return status_events(spark, sf_dir).select(

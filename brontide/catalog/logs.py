@@ -468,6 +468,20 @@ def collect_logs(spark, sf_dir):
                           "char_start", "char_end", "message", "level", "is_error"))
 
 
+@registry.add("""select conv_id as pipeline_run_id, cast(turn as int) as try_number, role as dag_id, 'dag_id' as why
+    from conversations where role not in ('user', 'assistant')
+    union all select count(*), -1, 'kept', '' from conversations where role in ('user', 'assistant')""")
+def quarantine(spark, sf_dir):
+    """Turns of other roles than the two allowed ones are set aside, the others are written."""
+    base = work_dir(spark, "corpus")
+    written = collect.append_logs(collect.log_texts(_responses(spark, sf_dir, False)), base, 0,
+                                  allowed={"dag_id": ["user", "assistant"], "source_type": ["AIRFLOW_LOG"]})
+    aside = spark.read.parquet(f"{base}/quarantine").select(
+        "pipeline_run_id", "try_number", "dag_id", F.array_join("quarantined_for", ",").alias("why"))
+    kept = aside.sparkSession.range(1).select(F.lit(written["log_sources"]).cast("bigint"), F.lit(-1), F.lit("kept"), F.lit(""))
+    return aside.unionAll(kept)
+
+
 # All events of a type and day form one log file.
 _LOG_PER_DAY = f"""select event_type || '/' || strftime(ts, '%Y-%m-%d') as k,
     row_number() over (partition by event_type, strftime(ts, '%Y-%m-%d') order by ts, event_id) as i,

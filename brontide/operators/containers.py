@@ -46,18 +46,30 @@ def label_containers(df: DataFrame) -> DataFrame:
     return relabel(df).withColumnRenamed("container_name", "container")
 
 
+def _oldest(df: DataFrame, ts: str, as_of: datetime | Column | None, max_age: timedelta) -> Column:
+    if isinstance(as_of, datetime):
+        # By way of text, so that the session's time zone applies and not the driver's.
+        return F.lit((as_of - max_age).isoformat(" ")).cast(df.schema[ts].dataType)
+    return (F.current_timestamp() if as_of is None else as_of) - F.lit(max_age)
+
+
 def reject_late(df: DataFrame, ts: str = "ts", as_of: datetime | Column | None = None,
                 max_age: timedelta = MAX_AGE) -> DataFrame:
     """Rows at most ``max_age`` older than ``as_of``, by default the current time.
 
-    Given a ``datetime`` the limit is a literal, which reaches the scan as a pushed filter.
+    Given a ``datetime`` the limit is a literal, which reaches the scan as a pushed filter. Rows without
+    a time are rejected too; ``reject_counts`` tells how many of which kind.
     """
-    if isinstance(as_of, datetime):
-        # By way of text, so that the session's time zone applies and not the driver's.
-        limit = F.lit((as_of - max_age).isoformat(" ")).cast(df.schema[ts].dataType)
-    else:
-        limit = (F.current_timestamp() if as_of is None else as_of) - F.lit(max_age)
-    return df.filter(column(ts) >= limit)
+    return df.filter(column(ts) >= _oldest(df, ts, as_of, max_age))
+
+
+def reject_counts(df: DataFrame, ts: str = "ts", as_of: datetime | Column | None = None,
+                  max_age: timedelta = MAX_AGE) -> DataFrame:
+    """One row ``kept, late, without_time`` of what ``reject_late`` does with ``df``, from its times alone."""
+    late = column(ts) < _oldest(df, ts, as_of, max_age)
+    return df.agg(F.count_if(F.coalesce(~late, F.lit(False))).alias("kept"),
+                  F.count_if(F.coalesce(late, F.lit(False))).alias("late"),
+                  F.count_if(column(ts).isNull()).alias("without_time"))
 
 
 def write_daily(df: DataFrame, path: str, ts: str = "ts", mode: str = "append") -> None:

@@ -57,6 +57,22 @@ def normalize_events(callbacks: DataFrame) -> DataFrame:
     return callbacks.select(*[columns[name].alias(name) for name in EVENT.names])
 
 
+# Fields of a callback that hold a time as text.
+_TIMES = ("dag_run.start_date", "dag_run.end_date", "task_instance.start_date", "task_instance.end_date",
+          "dag_run.logical_date", "callback_ts")
+
+
+def unreadable_times(callbacks: DataFrame) -> DataFrame:
+    """``field, unreadable``: how many non-empty times of each field ``normalize_events`` turns into NULL."""
+    def bad(field: str) -> Column:
+        text = _non_empty(F.col(field))
+        return F.count_if(text.isNotNull() & F.try_to_timestamp(text).isNull())
+
+    counts = callbacks.agg(*[bad(f).alias(f"n{i}") for i, f in enumerate(_TIMES)])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"n{i}").alias("unreadable"))
+                                            for i, f in enumerate(_TIMES)])))
+
+
 def idempotency_key() -> Column:
     """``dag:run:task:status:try`` with NULL as ``None``; the scope is not part of it."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit("None"))

@@ -149,17 +149,37 @@ def normalize_attempt(df: DataFrame) -> DataFrame:
               .withColumn("is_mapped", F.coalesce(F.col("map_index") >= 0, F.lit(False))))
 
 
-def upsert_log_sources(base: DataFrame, incoming: DataFrame, now: Column | None = None) -> DataFrame:
-    """Apply routed sources (see ``route_sources``) to the table of sources."""
-    stamped = (incoming.withColumn("id", source_id())
-                       .withColumn("collected_at", F.current_timestamp() if now is None else now))
+Allowed = dict[str, list[str]]
+
+
+def split_allowed(df: DataFrame, allowed: Allowed) -> tuple[DataFrame, DataFrame]:
+    """Rows with allowed categories only, and the others with the names of the offending columns in
+    ``quarantined_for``. NULL is allowed. Columns that ``df`` lacks fail."""
+    bad = [F.when(F.coalesce(~column(c).isin(values), F.lit(False)), F.lit(c)) for c, values in allowed.items()]
+    marked = df.withColumn("quarantined_for", F.array_compact(F.array(*bad)) if bad else F.array().cast("array<string>"))
+    none = F.size("quarantined_for") == 0
+    return marked.filter(none).drop("quarantined_for"), marked.filter(~none)
+
+
+def _checked(df: DataFrame, allowed: Allowed | None) -> DataFrame:
+    for name, values in (allowed or {}).items():
+        df = require_allowed(df, name, values)
+    return df
+
+
+def upsert_log_sources(base: DataFrame, incoming: DataFrame, now: Column | None = None,
+                       allowed: Allowed | None = None) -> DataFrame:
+    """Apply routed sources (see ``route_sources``) to the table of sources; a category beyond ``allowed`` fails."""
+    stamped = (_checked(incoming, allowed).withColumn("id", source_id())
+               .withColumn("collected_at", F.current_timestamp() if now is None else now))
     return upsert(base, stamped, LOG_SOURCE_RULE)
 
 
-def upsert_resources(base: DataFrame, incoming: DataFrame, now: Column | None = None) -> DataFrame:
-    """Apply discovered resources to the table of resources."""
-    stamped = (incoming.withColumn("raw_payload", P.canonical_json("raw_payload"))
-                       .withColumn("updated_at", F.current_timestamp() if now is None else now))
+def upsert_resources(base: DataFrame, incoming: DataFrame, now: Column | None = None,
+                     allowed: Allowed | None = None) -> DataFrame:
+    """Apply discovered resources to the table of resources; a category beyond ``allowed`` fails."""
+    stamped = (_checked(incoming, allowed).withColumn("raw_payload", P.canonical_json("raw_payload"))
+               .withColumn("updated_at", F.current_timestamp() if now is None else now))
     return upsert(base, stamped, RESOURCE_RULE)
 
 

@@ -34,13 +34,18 @@ def log_texts(responses: DataFrame) -> DataFrame:
 
 
 def append_logs(incoming: DataFrame, base: str, batch: int, *, max_lines: int = MAX_LINES,
-                max_chars: int = MAX_CHARS) -> dict[str, int]:
+                max_chars: int = MAX_CHARS, allowed: L.Allowed | None = None) -> dict[str, int]:
     """Add a batch of sources ``raw_text, raw_content, raw_json`` and the chunks of its texts.
 
     ``incoming`` has the key columns of a source, its descriptive columns and ``seq``, the order
-    in which rows apply. Batches apply in the order of their numbers. Returns the rows written.
+    in which rows apply. Batches apply in the order of their numbers. With ``allowed``, lists of values by
+    column, rows with other values go to the batch's folder of the ``quarantine`` instead. Returns the rows
+    written.
     """
-    spark = incoming.sparkSession
+    spark, written_rows = incoming.sparkSession, {}
+    if allowed:
+        incoming, rejected = L.split_allowed(incoming, allowed)
+        written_rows["quarantine"] = tables.write_parquet(rejected, f"{base}/quarantine/batch={batch}")
     sources, chunks = (f"{base}/{t}/batch={batch}" for t in ("log_sources", "log_chunks"))
     stamped = (L.route_sources(incoming).withColumn("id", L.source_id())
                 .withColumn("collected_at", F.current_timestamp()))
@@ -51,7 +56,7 @@ def append_logs(incoming: DataFrame, base: str, batch: int, *, max_lines: int =
     texts = written.filter(F.col("content_type") == "TEXT")
     n_chunks = tables.write_parquet(
         L.chunk_sources(texts, max_lines, max_chars).select(*LOG_CHUNK.names), chunks)
-    return {"log_sources": n_sources, "log_chunks": n_chunks}
+    return {"log_sources": n_sources, "log_chunks": n_chunks, **written_rows}
 
 
 def collect_stream(responses: DataFrame, base: str, checkpoint: str, **trigger) -> StreamingQuery:

@@ -12,6 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brontide.operators import quality as Q
+from brontide.schemas import INGEST_REPORT
 from brontide.session import small_frame
 from brontide.sources import artifacts, csv, documents, tables
 
@@ -125,15 +126,25 @@ def ingest_table(source: DataFrame, spec: TableSpec, folders: Folders, *,
 
 def ingest_tables(sources: dict[str, DataFrame], specs: list[TableSpec], folders: Folders,
                   parallelism: int = 4, **options) -> DataFrame:
-    """Ingest independent tables side by side; one report row each.
+    """Ingest independent tables side by side; one report row each, also for a table that fails.
 
-    Each table is a handful of Spark jobs; the threads only keep several of them submitted, so
-    that the tail of one table's stage does not leave executors idle.
+    ``status`` is ``ok`` or ``failed``, and ``reason`` says why; a failed table publishes nothing and stops
+    no other. Each table is a handful of Spark jobs in a pool of its own; where the session schedules fairly
+    (``build_session`` does) a large table does not keep the small ones waiting.
     """
+    spark = next(iter(sources.values())).sparkSession
+
     def run(spec: TableSpec) -> DataFrame:
-        return ingest_table(sources[spec.name], spec, folders, **options)
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"ingest-{spec.name}")
+        try:
+            done = ingest_table(sources[spec.name], spec, folders, **options)
+            return done.withColumns({"status": F.lit("ok"), "reason": F.lit(None).cast("string")})
+        except Exception as error:  # whatever ends a table is its row of the report
+            reason = str(error).strip().splitlines()[0] if str(error).strip() else type(error).__name__
+            return small_frame(spark, [{"table": spec.name, "status": "failed", "reason": reason}], INGEST_REPORT)
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        spark = next(iter(sources.values())).sparkSession
         reports = list(pool.map(inheritable_thread_target(spark)(run), specs))
-    return Q.union_all(reports)
+    return Q.union_all([report.to(INGEST_REPORT) for report in reports])

@@ -34,6 +34,9 @@ DQ_REPORT = _struct(
     duplicate_rows_removed="bigint", primary_keys=T.ArrayType(T.StringType()),
     source_path="string", target_path="string")
 
+# A report row with the outcome of the whole chain.
+INGEST_REPORT = T.StructType([*DQ_REPORT, *_struct(target_rows="bigint", **_strings("status", "reason"))])
+
 LOG_SOURCE = _struct(
     id="string", pipeline_run_id="bigint", pipeline_task_run_id="bigint",
     **_strings("source_type", "content_type", "source_uri", "dag_id", "dag_run_id", "task_id"),
