@@ -19,7 +19,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from brontide.llm.common import code_points, windows, word_hashes
 from brontide.llm.graph import components
@@ -64,17 +65,22 @@ def signature(found: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.
     return (least >> np.uint32(8)).astype(np.uint16)
 
 
-def _sketches(s: Forest):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _node(shingle_bytes: bytes) -> bytes:
+    return hashlib.blake2b(shingle_bytes, digest_size=16).digest()
+
+
+def _sketches(s: Forest, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors, shifts = _multipliers(s)
         for batch in batches:
             nodes, sizes, signatures = [], [], []
-            for text in batch["text"]:
+            for text in batch.column(2).to_pylist():
                 found = shingles(text, s.words)
-                nodes.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+                nodes.append(_node(found.tobytes()))
                 sizes.append(len(found))
                 signatures.append(signature(found, factors, shifts).tobytes())
-            yield pd.DataFrame({"row": batch["row"], "hash": batch["hash"], "node": nodes, "n": sizes, "signature": signatures})
+            own = [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()), pa.array(signatures, pa.binary())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *own], names=names)
     return run
 
 
@@ -116,21 +122,16 @@ def found_share(similarity, depth: int, trees: int):
 def prefix_depth(candidates: DataFrame, s: Forest) -> int:
     """The longest prefix at which the forest finds the target share of all links.
 
-    Each link found at a depth stands for as many as the inverse of its chance to be found there. The
-    depth shortens until found links are the target share of this estimate; a link just at the
-    threshold counts too, so the answer also holds where nothing was found.
+    Each link found with the shortest prefix stands for as many as the inverse of its chance to be found so.
+    From there on, the longest prefix is taken that still finds the target share of this estimate. A link just
+    at the threshold is added to both, so the answer also holds where nothing was found.
     """
-    links = candidates.filter(F.col("agree") >= s.similarity)
     depths = list(range(s.depth, s.least_depth - 1, -1))
-    sums = []
-    for k in depths:
-        here = F.col("shared") >= k
-        chance = 1 - F.pow(1 - F.pow("agree", F.lit(k)), F.lit(s.trees))
-        sums += [F.count(F.when(here, 1)).alias(f"n{k}"), F.sum(F.when(here, 1 / chance)).alias(f"all{k}")]
-    r = links.agg(*sums).first()
+    chance = 1 - F.pow(1 - F.pow("agree", F.lit(s.least_depth)), F.lit(s.trees))
+    found = candidates.filter(F.col("agree") >= s.similarity).agg(
+        F.coalesce(F.sum(1 / chance), F.lit(0.0)).alias("all"), *[F.count(F.when(F.col("shared") >= k, 1)).alias(f"n{k}") for k in depths]).first()
     for k in depths:
-        estimate = (r[f"n{k}"] + found_share(s.similarity, k, s.trees)) / ((r[f"all{k}"] or 0.0) + 1.0)
-        if estimate >= s.recall:
+        if (found[f"n{k}"] + found_share(s.similarity, k, s.trees)) / (found["all"] + 1.0) >= s.recall:
             return k
     return s.least_depth
 
@@ -207,10 +208,28 @@ def _verified(s: Forest):
     return run
 
 
-def _shingled(s: Forest):
+# Bits of the filter below: two megabytes, whatever the number of rows.
+_FILTER_BITS = 1 << 24
+
+
+def _marks(rows: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size in which the bit of each ``mark``, a 64-bit hash, is set."""
+    words = rows.groupBy(F.floor(F.pmod("mark", F.lit(_FILTER_BITS)) / 64).cast("int").alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(pmod(mark, 64) as int))")).alias("bits")).toPandas()
+    out = np.zeros(_FILTER_BITS // 64, np.uint64)
+    out[words["at"]] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def _shingled(s: Forest, marks):
+    """Sets of the rows whose bit is set, with their nodes. A bit may be set by chance: a join follows."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits = marks.value
         for batch in batches:
-            yield batch.assign(text=[shingles(t, s.words).tobytes() for t in batch["text"]]).rename(columns={"text": "shingles"})
+            at = np.mod(batch["mark"].to_numpy(np.int64), _FILTER_BITS)
+            found = np.flatnonzero((bits[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1))
+            sets = [shingles(t, s.words).tobytes() for t in batch["text"].iloc[found]]
+            yield pd.DataFrame({"node": [_node(x) for x in sets], "shingles": sets})
     return run
 
 
@@ -239,8 +258,9 @@ def keep_first(docs: DataFrame, text: str = "text", key: str = "doc_id", forest:
 
 def _classes(docs: DataFrame, text: str, key: str, s: Forest) -> DataFrame:
     keyed = docs.select(F.col(key).alias("row"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
-    kind = docs.schema[key].dataType.simpleString()
-    sketches = materialize(keyed.mapInPandas(_sketches(s), f"row {kind}, hash long, node binary, n int, signature binary"), "join-sketches")
+    # Through Arrow, as pandas would turn keys with nulls into floats.
+    schema = T.StructType([T.StructField("row", docs.schema[key].dataType), *T.StructType.fromDDL("hash long, node binary, n int, signature binary")])
+    sketches = materialize(keyed.select("row", "hash", "text").mapInArrow(_sketches(s, schema.names), schema), "join-sketches")
     worded = sketches.filter("n > 0")
     nodes = materialize(worded.groupBy("node").agg(F.count("*").alias("weight"), F.min(F.struct("row", "hash")).alias("one"),
                                                    F.min("signature").alias("signature")), "join-nodes")
@@ -266,10 +286,10 @@ def _classes(docs: DataFrame, text: str, key: str, s: Forest) -> DataFrame:
                      .select(F.col("root").alias("part"), "node", "weight", "blocks", "one.*",
                              F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block")))
     members = materialize(members, "join-members")
-    texts = keyed.toDF("row_", "text", "hash_")
-    sets = texts.join(members, (F.col("hash_") == F.col("hash")) & F.col("row_").eqNullSafe(F.col("row")))
-    sets = sets.select("part", "node", "weight", "blocks", "block", "text").mapInPandas(
-        _shingled(s), "part binary, node binary, weight long, blocks int, block int, shingles binary")
+    # Of all texts only those that stand for a member are hashed again and move; the bitmap finds them.
+    marks = docs.sparkSession.sparkContext.broadcast(_marks(members.select(F.xxhash64("row", "hash").alias("mark"))))
+    sets = keyed.select("text", F.xxhash64("row", "hash").alias("mark")).mapInPandas(_shingled(s, marks), "node binary, shingles binary")
+    sets = sets.join(members, "node")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     tiles = sets.withColumn("other", other).select(
         "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "weight", "block", "shingles")
