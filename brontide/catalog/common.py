@@ -86,15 +86,17 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").withColumn("line", F.expr(LINE_EXPR))
 
 
-def write_attempts(lines: DataFrame, root: str) -> None:
+def write_attempts(lines: DataFrame, root: str, whole: bool = False) -> None:
     """Event lines as log files, one per event type and day, in the order of the events.
 
-    The range partitioning splits a long log between tasks; its files then follow each other.
+    The range partitioning splits a long log between tasks; its files then follow each other. With
+    ``whole`` each log is one file.
     """
     logs = lines.select(
         F.col("event_type").alias("dag_id"), F.date_format("ts", "yyyy-MM-dd").alias("run_id"),
         F.lit("t").alias("task_id"), F.lit("1.log").alias("attempt"), "ts", "event_id", "line")
     order = ["dag_id", "run_id", "task_id", "attempt", "ts", "event_id"]
-    (logs.repartitionByRange(*order).sortWithinPartitions(*order)
+    dealt = logs.repartition(*order[:2]) if whole else logs.repartitionByRange(*order)
+    (dealt.sortWithinPartitions(*order)
          .select(*order[:4], F.col("line").alias("value"))
          .write.partitionBy(*order[:4]).text(root))

@@ -461,8 +461,8 @@ def collect_logs(spark, sf_dir):
         collect.append_logs(collect.log_texts(_responses(spark, sf_dir, batch == 1)), base, batch,
                             max_lines=4, max_chars=300)
     collect.publish_logs(spark, base, target)
-    sources = tables.scan_table(spark, target, "log_sources").select("id", "try_number")
-    chunks = tables.scan_table(spark, target, "log_chunks")
+    sources = collect.published(spark, target, "log_sources").select("id", "try_number")
+    chunks = collect.published(spark, target, "log_chunks")
     return (chunks.join(sources, chunks["log_source_id"] == sources["id"])
                   .select("pipeline_run_id", "try_number", "chunk_index", "line_start", "line_end",
                           "char_start", "char_end", "message", "level", "is_error"))
@@ -482,17 +482,40 @@ def quarantine(spark, sf_dir):
     return aside.unionAll(kept)
 
 
-# All events of a type and day form one log file.
-_LOG_PER_DAY = f"""select event_type || '/' || strftime(ts, '%Y-%m-%d') as k,
+# All events of a type and day form one log file. A second collection finds other lines for views and blank
+# logs for clicks, which must not take the old chunks away. Logs beyond some bytes count as too long for a cell.
+_CELL = 250
+_LOG_PER_DAY = """select event_type || '/' || strftime(ts, '%Y-%m-%d') as k,
     row_number() over (partition by event_type, strftime(ts, '%Y-%m-%d') order by ts, event_id) as i,
-    {LINE_EXPR} as line from events"""
-
-
-@registry.add(f"""select split_part(k, '/', 1) as dag_id, split_part(k, '/', 2) as run_id, * exclude (k),
-    sha256(message) as message_hash, {_LEVEL_SQL.format(m='message')} as level,
-    {_ERROR_SQL.format(m='message')} as is_error from ({chunks_sql(_LOG_PER_DAY, 'k', 5, 200)})""")
+    {line} as line from events"""
+_LAST_LINES = _LOG_PER_DAY.format(line=f"{LINE_EXPR} || case when event_type = 'view' then ' again' else '' end")
+
+
+@registry.add(f"""with texts as (
+      select k, string_agg(line || chr(10), '' order by i) as text, count(*) as n,
+             sha256(sha256(string_agg(sha256(line), '' order by i))) as tree from ({_LAST_LINES}) group by k),
+    sources as (
+      select k, case when k like 'click/%' then sha256(chr(10)) when strlen(text) <= {_CELL} then sha256(text) else tree end as content_hash,
+             case when k like 'click/%' then 1 else strlen(text) end as content_size_bytes,
+             case when k like 'click/%' then 1 else n end as line_count from texts)
+    select split_part(c.k, '/', 1) as dag_id, cast(split_part(c.k, '-', 3) as bigint) * 1000 + ascii(c.k) as pipeline_run_id, c.* exclude (k),
+    sha256(message) as message_hash, {_LEVEL_SQL.format(m='message')} as level, {_ERROR_SQL.format(m='message')} as is_error,
+    content_hash, cast(content_size_bytes as bigint) as content_size_bytes, cast(line_count as int) as line_count
+    from ({chunks_sql(_LAST_LINES, 'k', 5, 200)}) c join sources s on s.k = c.k""")
 def collect_attempts(spark, sf_dir):
-    root = work_dir(spark, "attempts")
-    write_attempts(event_lines(spark, sf_dir), root)
-    chunks = collect.attempt_chunks(spark, root, 5, 200)
-    return chunks.drop("task_id", "map_index", "attempt", "error_hint")
+    base, lines = work_dir(spark, "corpus"), event_lines(spark, sf_dir)
+    runs = lines.select(F.col("event_type").alias("dag_id"), F.date_format("ts", "yyyy-MM-dd").alias("dag_run_id"),
+                        (F.dayofmonth("ts") * 1000 + F.ascii("event_type")).alias("pipeline_run_id")).distinct()
+    again = lines.filter("event_type = 'view'").withColumn("line", F.concat("line", F.lit(" again")))
+    blank = (lines.filter("event_type = 'click'").withColumn("day", F.to_date("ts")).dropDuplicates(["day"])
+                  .drop("day").withColumn("line", F.lit("")))
+    for batch, found in enumerate((lines, again.unionByName(blank))):
+        root = work_dir(spark, "attempts")
+        write_attempts(found, root, whole=True)
+        collect.append_attempts(spark, root, runs, base, batch, cell_bytes=_CELL, max_lines=5, max_chars=200)
+    sources = collect.current_sources(spark, base).select(
+        F.col("id").alias("log_source_id"), "dag_id", "content_hash", "content_size_bytes", "line_count")
+    chunks = collect.current_chunks(spark, base).select(
+        "log_source_id", "pipeline_run_id", "chunk_index", "line_start", "line_end", "char_start", "char_end", "message",
+        "message_hash", "level", "is_error")
+    return chunks.join(sources, "log_source_id").drop("log_source_id")

@@ -1,29 +1,38 @@
-"""Log collection: responses of the log API become sources and chunks.
+"""Log collection: responses of the log API and log files become sources and chunks.
 
 The corpus under a base folder grows by batches. A batch writes its own sources and chunks and
-costs what it holds, however large the corpus is; writing it again overwrites it. What is
+costs what it holds, however large the corpus is; writing it again replaces it. Its sources and chunks are
+published together (see ``sources/parts.py``), so a reader never sees one without the other. What is
 current is decided on reading, by the rules of the upsert: ``current_sources`` folds the batches,
 ``current_chunks`` takes each source's chunks from the last batch that has any. ``publish_logs``
-writes both out as tables; from then on only later batches are folded.
+writes both out as tables in buckets by source, of which it rewrites those that new batches touch; from then
+on only later batches are folded, and the files of earlier ones go after a while.
 """
 
 from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from brontide.functions import text as X
 from brontide.operators import logs as L
 from brontide.operators.chunking import MAX_CHARS, MAX_LINES, chunk_lines
 from brontide.operators.upsert import fold_batch, fold_rows
 from brontide.schemas import LOG_CHUNK, LOG_SOURCE
-from brontide.sources import tables
-from brontide.sources.attempt_logs import ATTEMPT_KEYS, scan_attempt_lines
+from brontide.session import materialize
+from brontide.sources import parts, tables
+from brontide.sources.attempt_logs import ATTEMPT_KEYS, scan_attempt_lines, scan_attempt_logs, scan_attempt_sizes
 
 # Over batches: rows apply in the order of their batch, and the last one is kept with the row.
 _ACROSS_BATCHES = replace(L.LOG_SOURCE_RULE, seq="batch",
                           overwrite=(*L.LOG_SOURCE_RULE.overwrite, "batch"))
+_SCHEMAS = {"log_sources": LOG_SOURCE, "log_chunks": LOG_CHUNK}
+_KEYS = {"log_sources": "id", "log_chunks": "log_source_id"}
+_BATCH = T.StructField("batch", T.LongType())
+# Lines that make a block of the fingerprint of a log beyond a cell.
+HASHED_LINES = 10_000
 
 
 def log_texts(responses: DataFrame) -> DataFrame:
@@ -47,16 +56,25 @@ def append_logs(incoming: DataFrame, base: str, batch: int, *, max_lines: int =
         incoming, rejected = L.split_allowed(incoming, allowed)
         written_rows["quarantine"] = tables.write_parquet(rejected, f"{base}/quarantine/batch={batch}")
     sources, chunks = (f"{base}/{t}/batch={batch}" for t in ("log_sources", "log_chunks"))
+    run, sources = parts.new_run(), _fold_sources(incoming)
+    written_rows["log_sources"] = parts.stage(sources.withColumn("part", F.lit(batch)), base, "log_sources", run)
+    chunks = _text_chunks(spark, base, run, max_lines, max_chars)
+    written_rows["log_chunks"] = parts.stage(chunks.withColumn("part", F.lit(batch)), base, "log_chunks", run)
+    parts.publish(spark, base, run, [batch])
+    return written_rows
+
+
+def _fold_sources(incoming: DataFrame) -> DataFrame:
     stamped = (L.route_sources(incoming).withColumn("id", L.source_id())
                 .withColumn("collected_at", F.current_timestamp()))
-    n_sources = tables.write_parquet(
-        fold_batch(stamped, L.LOG_SOURCE_RULE).select(*LOG_SOURCE.names), sources)
+    return fold_batch(stamped, L.LOG_SOURCE_RULE).select(*LOG_SOURCE.names)
+
 
-    written = spark.read.schema(LOG_SOURCE).parquet(sources)
-    texts = written.filter(F.col("content_type") == "TEXT")
-    n_chunks = tables.write_parquet(
-        L.chunk_sources(texts, max_lines, max_chars).select(*LOG_CHUNK.names), chunks)
-    return {"log_sources": n_sources, "log_chunks": n_chunks, **written_rows}
+def _text_chunks(spark: SparkSession, base: str, run: str, max_lines: int, max_chars: int) -> DataFrame:
+    """Chunks of the staged sources that hold their text."""
+    written = spark.read.schema(LOG_SOURCE).parquet(f"{base}/log_sources/run={run}")
+    texts = written.filter((F.col("content_type") == "TEXT") & F.col("raw_content").isNotNull())
+    return L.chunk_sources(texts, max_lines, max_chars).select(*LOG_CHUNK.names)
 
 
 def collect_stream(responses: DataFrame, base: str, checkpoint: str, **trigger) -> StreamingQuery:
@@ -68,39 +86,79 @@ def collect_stream(responses: DataFrame, base: str, checkpoint: str, **trigger)
                      .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def _batches(spark: SparkSession, base: str, target: str | None, table: str, schema) -> DataFrame:
-    """Rows with their ``batch``: the published table, if there is one, and the batches after it."""
-    batches = (spark.read.schema(f"{schema.toDDL()}, batch BIGINT").parquet(f"{base}/{table}")
-                    .select(*schema.names, "batch"))
-    if target is None or not tables.table_exists(spark, target, table):
-        return batches
-    published = tables.scan_table(spark, target, table)
-    done = published.agg(F.max("batch")).first()[0]
-    return published.unionByName(batches if done is None else batches.filter(F.col("batch") > done))
+def _with_batch(table: str) -> T.StructType:
+    return T.StructType([*_SCHEMAS[table], _BATCH])
+
+
+def _done(spark: SparkSession, target: str | None) -> int | None:
+    """The last batch that the published tables hold."""
+    return None if target is None else parts.manifest(spark, target).agg(F.max("upto")).first()[0]
+
+
+def _bucket(table: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(_KEYS[table]), F.lit(buckets)).cast("bigint")
+
+
+def published(spark: SparkSession, target: str, table: str) -> DataFrame:
+    """The published table of ``log_sources`` or ``log_chunks``, with the ``batch`` of each row."""
+    return parts.scan(spark, target, table, _with_batch(table)).drop("part")
+
+
+def _batches(spark: SparkSession, base: str, table: str, done: int | None, upto: int | None = None) -> DataFrame:
+    rows = parts.scan(spark, base, table, _SCHEMAS[table]).withColumnRenamed("part", "batch")
+    rows = rows if done is None else rows.filter(F.col("batch") > done)
+    return rows if upto is None else rows.filter(F.col("batch") <= upto)
+
+
+def _all_rows(spark: SparkSession, base: str, target: str | None, table: str) -> DataFrame:
+    """The published rows, if there are any, and the batches after them."""
+    done = _done(spark, target)
+    rows = _batches(spark, base, table, done)
+    return rows if done is None else published(spark, target, table).unionByName(rows)
+
+
+def _latest_sources(rows: DataFrame) -> DataFrame:
+    return fold_rows(rows, _ACROSS_BATCHES).select(*LOG_SOURCE.names, "batch")
+
+
+def _latest_chunks(rows: DataFrame) -> DataFrame:
+    last = materialize(rows.groupBy("log_source_id").agg(F.max("batch").alias("batch")), "last-batches")
+    return rows.join(last, ["log_source_id", "batch"], "left_semi").select(*LOG_CHUNK.names, "batch")
 
 
 def current_sources(spark: SparkSession, base: str, target: str | None = None) -> DataFrame:
     """Every source once, with the effect of all batches."""
-    rows = _batches(spark, base, target, "log_sources", LOG_SOURCE)
-    return fold_rows(rows, _ACROSS_BATCHES).select(*LOG_SOURCE.names, "batch")
+    return _latest_sources(_all_rows(spark, base, target, "log_sources"))
 
 
 def current_chunks(spark: SparkSession, base: str, target: str | None = None) -> DataFrame:
     """The chunks of every source from the last batch that brought it any."""
-    rows = _batches(spark, base, target, "log_chunks", LOG_CHUNK)
-    last = rows.groupBy("log_source_id").agg(F.max("batch").alias("batch"))
-    return rows.join(last, ["log_source_id", "batch"], "left_semi").select(*LOG_CHUNK.names, "batch")
+    return _latest_chunks(_all_rows(spark, base, target, "log_chunks"))
 
 
-def publish_logs(spark: SparkSession, base: str, target: str) -> dict[str, int]:
-    """Bring the tables of sources and chunks under ``target`` up to date; returns their rows.
+def publish_logs(spark: SparkSession, base: str, target: str, buckets: int = 32, keep: int = 10) -> dict[str, int]:
+    """Bring the tables of sources and chunks under ``target`` up to date; returns the rows written.
 
-    A batch that arrives meanwhile is either in a table or still after it, as each table tells by
-    itself which batches it holds.
+    Only the buckets of sources in new batches are written anew, of both tables, and they appear together. A
+    batch that arrives meanwhile is left for the next time. ``buckets`` must stay as it was first chosen. Files that
+    no reader of the last ``keep`` publications needs are deleted, batches that the tables hold among them.
     """
-    return {
-        "log_sources": tables.write_table(current_sources(spark, base, target), target, "log_sources"),
-        "log_chunks": tables.write_table(current_chunks(spark, base, target), target, "log_chunks")}
+    done = _done(spark, target)
+    upto = parts.live_parts(spark, base).agg(F.max("part")).first()[0]
+    if upto is None or (done is not None and upto <= done):
+        return {table: 0 for table in _SCHEMAS}
+    new = {table: _batches(spark, base, table, done, upto) for table in _SCHEMAS}
+    touched = sorted(r[0] for r in new["log_sources"].select(_bucket("log_sources", buckets)).distinct().collect())
+    run, written = parts.new_run(), {}
+    for table, latest in (("log_sources", _latest_sources), ("log_chunks", _latest_chunks)):
+        # The column of the parts prunes folders.
+        old = parts.scan(spark, target, table, _with_batch(table)).filter(F.col("part").isin(touched)).drop("part")
+        rows = latest(old.unionByName(new[table])).withColumn("part", _bucket(table, buckets))
+        written[table] = parts.stage(rows.repartition(len(touched) or 1, "part"), target, table, run)
+    parts.publish(spark, target, run, touched, upto)
+    parts.prune(spark, target, list(_SCHEMAS), keep)
+    parts.prune(spark, base, list(_SCHEMAS), keep, drop_parts=upto)
+    return written
 
 
 def attempt_chunks(spark: SparkSession, root: str, max_lines: int = MAX_LINES,
@@ -108,3 +166,72 @@ def attempt_chunks(spark: SparkSession, root: str, max_lines: int = MAX_LINES,
     """Annotated chunks of all task logs under ``root``, whatever their length."""
     chunks = chunk_lines(scan_attempt_lines(spark, root), ATTEMPT_KEYS, max_lines, max_chars)
     return L.annotate_chunks(chunks)
+
+
+def fingerprint_lines(lines: DataFrame, keys: list[str], block: int = HASHED_LINES) -> DataFrame:
+    """``content_hash`` and ``line_count`` of logs given by line, for those that no cell can hold.
+
+    The fingerprint is the SHA-256 of the block digests in their order, a block's the SHA-256 of the digests of
+    its lines; digests are joined as hexadecimal text. No more than a block or its log's digests meet in a cell.
+    """
+    def joined(column: str, at: str) -> Column:
+        pairs = F.array_sort(F.collect_list(F.struct(at, column)))
+        return X.sha256_hex(F.array_join(F.transform(pairs, lambda p: p[column]), ""))
+
+    hashed = lines.select(*keys, "line_no", X.sha256_hex(F.col("line")).alias("_hash"), F.floor((F.col("line_no") - 1) / block).alias("_block"))
+    per_block = hashed.groupBy(*keys, "_block").agg(joined("_hash", "line_no").alias("_digest"), F.count(F.lit(1)).alias("_n"))
+    return per_block.groupBy(*keys).agg(joined("_digest", "_block").alias("content_hash"), F.sum("_n").cast("int").alias("line_count"))
+
+
+def _same_attempt(a: DataFrame, b: DataFrame) -> Column:
+    same = [a[k].eqNullSafe(b[k]) for k in ATTEMPT_KEYS]
+    return same[0] & same[1] & same[2] & same[3] & same[4]
+
+
+def append_attempts(spark: SparkSession, root: str, runs: DataFrame, base: str, batch: int, *, cell_bytes: int = 1 << 26,
+                    max_lines: int = MAX_LINES, max_chars: int = MAX_CHARS, source_type: str = "AIRFLOW_LOG") -> dict[str, int]:
+    """Add the task logs under ``root`` to the corpus as a batch; returns the rows written.
+
+    ``runs`` has ``dag_id, dag_run_id, pipeline_run_id``, each run once; attempts of other runs go to the
+    quarantine. A log of one file of at most ``cell_bytes`` is a source with its text, fingerprinted as any. A longer
+    one, and one in several files, is a source without text: it is chunked by lines and fingerprinted by
+    ``fingerprint_lines``. Either way its chunks replace those of earlier batches, and an empty log leaves them.
+    """
+    nothing = F.lit(None).cast("string")
+    names = runs.select(F.col("dag_id"), F.col("dag_run_id").alias("run_id"), "pipeline_run_id")
+    attempts = materialize(scan_attempt_sizes(spark, root).join(names, ["dag_id", "run_id"], "left"), "attempts")
+    counts = {"quarantine": tables.write_parquet(attempts.filter("pipeline_run_id is null"), f"{base}/quarantine/batch={batch}")}
+    known = attempts.filter("pipeline_run_id is not null").select(
+        *ATTEMPT_KEYS, "bytes", F.coalesce((F.col("files") == 1) & (F.col("bytes") <= cell_bytes), F.lit(False)).alias("short"),
+        F.col("pipeline_run_id").cast("bigint").alias("pipeline_run_id"), F.lit(None).cast("bigint").alias("pipeline_task_run_id"),
+        F.lit(source_type).alias("source_type"), nothing.alias("source_uri"), F.col("run_id").alias("dag_run_id"),
+        F.col("attempt").alias("try_number"), nothing.alias("resource_type"), nothing.alias("resource_id"))
+    short, long = materialize(known.filter("short"), "short-attempts"), materialize(known.filter("not short"), "long-attempts")
+    described = ["pipeline_run_id", "pipeline_task_run_id", "source_type", "source_uri", "dag_id", "dag_run_id", "task_id", "try_number",
+                 "map_index", "resource_type", "resource_id"]
+
+    whole = scan_attempt_logs(spark, root, cell_bytes)
+    texts = whole.join(short, _same_attempt(whole, short)).select(
+        *[short[c] for c in described], "raw_text", nothing.alias("raw_content"), nothing.alias("raw_json"), F.lit(0).alias("seq"))
+    run, sources = parts.new_run(), _fold_sources(texts)
+    has_long = long.limit(1).count() > 0
+    if has_long:
+        lines = scan_attempt_lines(spark, root)
+        lines = materialize(lines.join(long, _same_attempt(lines, long), "left_semi"), "long-lines")
+        prints = fingerprint_lines(lines, ATTEMPT_KEYS)
+        found = long.join(prints, _same_attempt(long, prints)).select(
+            *[long[c] for c in [*described, "attempt"]], F.lit("TEXT").alias("content_type"), nothing.alias("raw_content"),
+            nothing.alias("raw_json"), "content_hash", F.col("bytes").alias("content_size_bytes"), "line_count",
+            F.current_timestamp().alias("collected_at"))
+        found = materialize(found.withColumn("id", L.source_id()), "long-sources")
+        sources = sources.unionByName(found.select(*LOG_SOURCE.names))
+    counts["log_sources"] = parts.stage(sources.withColumn("part", F.lit(batch)), base, "log_sources", run)
+    chunks = _text_chunks(spark, base, run, max_lines, max_chars)
+    if has_long:
+        cut = L.annotate_chunks(chunk_lines(lines, ATTEMPT_KEYS, max_lines, max_chars))
+        owners = found.select(F.col("id").alias("log_source_id"), "pipeline_run_id", "pipeline_task_run_id", "source_type",
+                              F.col("dag_run_id").alias("run_id"), *[k for k in ATTEMPT_KEYS if k != "run_id"])
+        chunks = chunks.unionByName(cut.join(owners, _same_attempt(cut, owners)).select(*LOG_CHUNK.names))
+    counts["log_chunks"] = parts.stage(chunks.withColumn("part", F.lit(batch)), base, "log_chunks", run)
+    parts.publish(spark, base, run, [batch])
+    return counts

@@ -37,6 +37,9 @@ DQ_REPORT = _struct(
 # A report row with the outcome of the whole chain.
 INGEST_REPORT = T.StructType([*DQ_REPORT, *_struct(target_rows="bigint", **_strings("status", "reason"))])
 
+# A publication of one part of the tables under a root.
+MANIFEST = _struct(part="bigint", run="string", version="bigint", upto="bigint")
+
 LOG_SOURCE = _struct(
     id="string", pipeline_run_id="bigint", pipeline_task_run_id="bigint",
     **_strings("source_type", "content_type", "source_uri", "dag_id", "dag_run_id", "task_id"),

@@ -28,9 +28,19 @@ def _path_keys(path: Column) -> list[Column]:
             part("attempt", "[0-9]+").cast("int").alias("attempt")]
 
 
-def scan_attempt_logs(spark: SparkSession, root: str) -> DataFrame:
-    """One row per log file with its keys and whole text. For logs that fit in a cell."""
+def scan_attempt_sizes(spark: SparkSession, root: str) -> DataFrame:
+    """One row per attempt with its keys, ``bytes`` and number of ``files``; nothing is read."""
+    files = spark.read.format("binaryFile").options(**_READ).load(root)
+    keyed = files.select(*_path_keys(F.col("_metadata.file_path")), F.col("_metadata.file_size").alias("_size"))
+    return keyed.groupBy(*ATTEMPT_KEYS).agg(F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("files"))
+
+
+def scan_attempt_logs(spark: SparkSession, root: str, max_bytes: int | None = None) -> DataFrame:
+    """One row per log file with its keys and whole text. For logs that fit in a cell; with ``max_bytes``
+    longer files are not opened."""
     files = spark.read.options(**_READ).text(root, wholetext=True)
+    if max_bytes is not None:
+        files = files.filter(F.col("_metadata.file_size") <= max_bytes)
     return files.select(*_path_keys(F.col("_metadata.file_path")), F.col("value").alias("raw_text"))
 
 

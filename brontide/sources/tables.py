@@ -32,6 +32,23 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all it holds; nothing where there is none."""
+    files, jvm_path = _file_system(spark, path)
+    files.delete(jvm_path, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no folder."""
+    files, jvm_path = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(jvm_path)) if files.exists(jvm_path) else []
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """A written but not yet published snapshot."""
@@ -69,17 +86,37 @@ def _latest(spark: SparkSession, root: str):
     return log.orderBy(F.desc("version"), F.desc("published_at"), F.desc("snapshot")).first()
 
 
-def publish_snapshot(spark: SparkSession, snapshot: Snapshot) -> int:
-    """Make a staged snapshot the current one; returns its version. One writer per table."""
+def publish_snapshot(spark: SparkSession, snapshot: Snapshot, keep: int | None = None) -> int:
+    """Make a staged snapshot the current one; returns its version. One writer per table.
+
+    With ``keep`` only the last so many publications stay listed and only their snapshots stay; a
+    reader that began before those loses its files.
+    """
     latest = _latest(spark, snapshot.root)
     version = latest["version"] + 1 if latest else 1
     row = {"version": version, "snapshot": snapshot.name, "n_rows": snapshot.n_rows,
            "published_at": datetime.now(timezone.utc).isoformat()}
     (small_frame(spark, [row], PUBLICATION)
         .write.mode("append").json(f"{snapshot.root}/published"))
+    if keep is not None:
+        _prune(spark, snapshot.root, keep)
     return version
 
 
+def _prune(spark: SparkSession, root: str, keep: int) -> None:
+    log = (spark.read.schema(PUBLICATION).json(f"{root}/published")
+                .select("version", "snapshot", F.col("_metadata.file_path").alias("file")))
+    # At most the publications since the last call and those kept then.
+    rows = sorted(log.collect(), key=lambda r: r["version"], reverse=True)
+    kept = {r["snapshot"] for r in rows[:keep]}
+    for row in rows[keep:]:
+        delete_path(spark, row["file"])
+    for name in list_names(spark, f"{root}/snapshots"):
+        # A snapshot that is staged but not published has no row; it is left to its writer.
+        if name not in kept and name in {r["snapshot"] for r in rows}:
+            delete_path(spark, f"{root}/snapshots/{name}")
+
+
 def scan_table(spark: SparkSession, base: str, table: str, fmt: str | None = None) -> DataFrame:
     """Current content of the table."""
     fmt, root = fmt or default_format(spark), table_path(base, table)
@@ -96,15 +133,15 @@ def table_exists(spark: SparkSession, base: str, table: str, fmt: str | None = N
     return path_exists(spark, root) if fmt != "parquet" else _latest(spark, root) is not None
 
 
-def write_table(df: DataFrame, base: str, table: str, fmt: str | None = None) -> int:
-    """Replace the table's content, all or nothing; returns the rows written."""
+def write_table(df: DataFrame, base: str, table: str, fmt: str | None = None, keep: int | None = None) -> int:
+    """Replace the table's content, all or nothing; returns the rows written. For ``keep`` see ``publish_snapshot``."""
     spark = df.sparkSession
     fmt = fmt or default_format(spark)
     if fmt != "parquet":
         target = table_path(base, table)
         return write_counted(df, lambda d: d.write.format(fmt).mode("overwrite").save(target))
     snapshot = stage_snapshot(df, base, table)
-    publish_snapshot(spark, snapshot)
+    publish_snapshot(spark, snapshot, keep)
     return snapshot.n_rows
 
 

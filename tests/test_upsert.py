@@ -10,7 +10,7 @@ from brontide.operators.upsert import UpsertRule, upsert
 from brontide.plans import collect
 from brontide.schemas import LOG_SOURCE, RESOURCE
 from brontide.session import work_dir
-from brontide.sources import tables
+from brontide.sources import parts, tables
 
 RULE = UpsertRule(key={"r": None, "t": 0, "m": -1}, keep=("r",), fill=("t", "name"),
                   overwrite=("m", "body"))
@@ -123,7 +123,7 @@ def test_empty_text_keeps_old_chunks(spark):
     collect.append_logs(source(spark, raw_text="three"), base, 3)
     target = work_dir(spark, "test-published")
     assert collect.publish_logs(spark, base, target) == {"log_sources": 1, "log_chunks": 1}
-    assert tables.scan_table(spark, target, "log_chunks").first()["message"] == "three"
+    assert collect.published(spark, target, "log_chunks").first()["message"] == "three"
 
 
 def test_batch_written_again_changes_nothing(spark):
@@ -171,3 +171,61 @@ def test_collect_stream(spark):
         collect.collect_stream(stream, f"{path}/corpus", f"{path}/ck").awaitTermination()
     assert [r["raw_content"] for r in collect.current_sources(spark, f"{path}/corpus").collect()] == ["two\nERROR"]
     assert [r["is_error"] for r in collect.current_chunks(spark, f"{path}/corpus").collect()] == [True]
+
+
+def test_publishing_touches_the_buckets_of_new_batches(spark):
+    base, target = work_dir(spark, "test-corpus"), work_dir(spark, "test-published")
+    for batch in range(3):
+        incoming = source(spark, raw_text=f"one {batch}", task_id="a")
+        if not batch:
+            incoming = incoming.unionByName(source(spark, raw_text="other", task_id="b"))
+        collect.append_logs(incoming, base, batch)
+        written = collect.publish_logs(spark, base, target)
+    # The bucket of task b was written by the first publication only.
+    assert written == {"log_sources": 1, "log_chunks": 1}
+    runs = {r["run"] for r in parts.live_parts(spark, target).collect()}
+    assert len(runs) == 2
+    assert collect.publish_logs(spark, base, target) == {"log_sources": 0, "log_chunks": 0}
+    assert sorted(r["message"] for r in collect.published(spark, target, "log_chunks").collect()) == ["one 2", "other"]
+
+
+def test_unpublished_batches_are_not_seen(spark):
+    """Sources are staged before chunks; until both are there, a reader finds the state of before."""
+    base = work_dir(spark, "test-corpus")
+    collect.append_logs(source(spark, raw_text="old"), base, 0)
+    real, seen = collect.parts.stage, []
+
+    def stage(df, root, table, run):
+        n = real(df, root, table, run)
+        seen.append(([r["raw_content"] for r in collect.current_sources(spark, base).collect()],
+                     [r["message"] for r in collect.current_chunks(spark, base).collect()]))
+        return n
+
+    collect.parts.stage = stage
+    try:
+        collect.append_logs(source(spark, raw_text="new"), base, 1)
+    finally:
+        collect.parts.stage = real
+    assert seen == [(["old"], ["old"])] * 2
+    assert [r["message"] for r in collect.current_chunks(spark, base).collect()] == ["new"]
+
+
+def test_folders_stay_bounded(spark):
+    base, target = work_dir(spark, "test-corpus"), work_dir(spark, "test-published")
+    for batch in range(14):
+        collect.append_logs(source(spark, raw_text=f"text {batch}"), base, batch)
+        collect.publish_logs(spark, base, target, keep=3)
+        reader = collect.current_chunks(spark, base, target)
+        assert [r["message"] for r in reader.collect()] == [f"text {batch}"]
+    for root in (base, target):
+        for table in ("log_sources", "log_chunks"):
+            assert len(tables.list_names(spark, f"{root}/{table}")) <= 5
+        assert len([n for n in tables.list_names(spark, f"{root}/manifest") if n.startswith("part-")]) <= 8
+
+
+def test_snapshots_stay_bounded(spark):
+    base, df = work_dir(spark, "test-tables"), spark.range(3)
+    for _ in range(6):
+        tables.write_table(df, base, "t", "parquet", keep=2)
+    assert len(tables.list_names(spark, f"{base}/t/snapshots")) == 2
+    assert tables.scan_table(spark, base, "t", "parquet").count() == 3
