@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, functions as F
 
 from brontide.catalog.common import Registry, table
@@ -85,4 +87,6 @@ def stream_tail_logs(spark, sf_dir):
         part.write.mode("append").parquet(f"{path}/in")
         stream = S.read_container_lines(spark, f"{path}/in", "parquet")
         S.tail_logs(stream, f"{path}/out", f"{path}/checkpoint", as_of=latest, once=True).awaitTermination()
-    return spark.read.parquet(f"{path}/out").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    # The first days are closed, the last ones are not.
+    S.compact_days(spark, f"{path}/out", (latest - timedelta(days=3)).date())
+    return S.read_daily(spark, f"{path}/out").withColumn("ts", F.col("ts").cast("timestamp_ntz"))

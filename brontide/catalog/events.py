@@ -138,6 +138,16 @@ def stream_dedup_events(spark, sf_dir):
     return spark.read.parquet(f"{path}/out").select("idempotency_key", "dag_id", "status")
 
 
+@registry.add(f"""select distinct {_KEY_SQL} as idempotency_key, dag_id, status, true as collect_logs
+    from ({EVENTS_SQL}) where status in ('retry', 'failed')""")
+def stream_followups(spark, sf_dir):
+    """First arrivals that call for log collection, as they come in."""
+    path = work_dir(spark, "stream")
+    found = E.select_followups(S.dedup_event_stream(_event_stream(spark, sf_dir)))
+    S.write_stream(found, f"{path}/out", f"{path}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{path}/out").select("idempotency_key", "dag_id", "status", "collect_logs")
+
+
 @registry.add(_STATE_SQL)
 def stream_run_state(spark, sf_dir):
     path = work_dir(spark, "stream")

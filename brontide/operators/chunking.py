@@ -39,6 +39,8 @@ _SPANS = "array<struct<first: int, n: int, start: bigint, chars: bigint>>"
 
 _BLOCK_LINES = 1_024
 _FAN_OUT = 1_024
+# Places at which the blocks that are composed in one row can be entered, all together: about a megabyte.
+_ROW_PLACES = 81_920
 
 
 def _spans(lengths: Column, max_lines: int, max_chars: int) -> Column:
@@ -179,6 +181,7 @@ def chunk_lines(df: DataFrame, keys: list[str], max_lines: int = MAX_LINES,
     """
     max_lines = max(max_lines, 1)
     block_lines = max(block_lines, max_lines)
+    fan_out = max(2, min(fan_out, _ROW_PLACES // max_lines))
     rows = df.select(F.struct(*[column(k) for k in keys]).alias("_key"),
                      (F.col("line_no") - 1).alias("_at"), "line")
     # Logs of several blocks: few, as each has at least a block of lines. Stored, their size

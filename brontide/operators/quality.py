@@ -45,6 +45,8 @@ def dedup_counting(df: DataFrame) -> DataFrame:
     Copies are summed before the shuffle, so a row that makes up a large part of the table
     reaches the final aggregation as one row per map task.
     """
+    if COPIES.lower() in (c.lower() for c in df.columns):
+        raise DataQualityError(f"the name {COPIES} is taken by the number of copies")
     return df.groupBy(*[column(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(COPIES))
 
 

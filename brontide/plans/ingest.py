@@ -43,7 +43,7 @@ class Folders:
 def export_table(source: DataFrame, spec: TableSpec, folders: Folders) -> int:
     """Land a table as CSV with its metadata document; returns the rows written."""
     path = folders.csv_path(spec.name)
-    n_rows = tables.write_counted(source, lambda df: csv.write_csv(df, path))
+    n_rows = tables.write_counted(csv.in_files(source), lambda df: csv.write_csv(df, path))
     document = Q.table_metadata(source.sparkSession, spec.name, source.schema, spec.primary_keys,
                                 spec.foreign_keys, n_rows, path)
     documents.write_metadata(document, folders.metadata, spec.name)
@@ -58,7 +58,8 @@ def cleanse_table(spark: SparkSession, table: str, folders: Folders,
     counts come from one aggregation over the staged result.
     """
     path = folders.csv_path(table)
-    schema = None if infer_types else documents.declared_schema(spark, folders.metadata, table)
+    schema = None if infer_types else documents.declared_schema(
+        spark, folders.metadata, table, lambda: csv.scan_csv(spark, path).schema)
     cleansed = Q.cleanse(csv.scan_csv(spark, path, schema))
     keys = documents.declared_primary_keys(spark, folders.metadata, table)
     Q.require_keys_present(cleansed, keys)

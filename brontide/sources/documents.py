@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -41,13 +42,24 @@ _OWN_TYPE = re.compile(r"(tinyint|smallint|int|bigint|float|double|boolean|strin
                        r"|timestamp_ntz|decimal\(\d+,\d+\))")
 
 
-def declared_schema(spark: SparkSession, metadata_dir: str, table: str) -> T.StructType | None:
-    """Schema of a landed table by its metadata, or None where it has to be inferred."""
+def declared_schema(spark: SparkSession, metadata_dir: str, table: str,
+                    infer: Callable[[], T.StructType] | None = None) -> T.StructType | None:
+    """Schema of a landed table by its metadata, or None where there is none.
+
+    Columns of types that are not ours take theirs from ``infer``, by name, and the others keep what was
+    declared; without ``infer``, or where it lacks one, the whole schema has to be inferred.
+    """
     row = read_metadata(spark, metadata_dir, table).select("columns").first()
     columns = sorted(row["columns"] or [], key=lambda c: c["cid"]) if row else []
-    if not columns or not all(c["type"] and _OWN_TYPE.fullmatch(c["type"]) for c in columns):
+    known = {c["name"]: T.DataType.fromDDL(c["type"]) for c in columns if c["type"] and _OWN_TYPE.fullmatch(c["type"])}
+    if not columns:
         return None
-    return T.StructType([T.StructField(c["name"], T.DataType.fromDDL(c["type"])) for c in columns])
+    if len(known) < len(columns):
+        inferred = {f.name: f.dataType for f in infer()} if infer and known else {}
+        if not all(c["name"] in known or c["name"] in inferred for c in columns):
+            return None
+        known = {**inferred, **known}
+    return T.StructType([T.StructField(c["name"], known[c["name"]]) for c in columns])
 
 
 def with_primary_keys(tables: DataFrame, metadata: DataFrame) -> DataFrame:

@@ -49,7 +49,8 @@ def maintain_run_state(events: DataFrame, path: str, checkpoint: str, order_by:
     Each micro-batch adds the partial state of the runs it saw, in a folder of its own, so a
     batch costs what it holds and not what all runs hold. Every ``fold_every`` batches the
     partial states so far are merged into one snapshot. A batch that is run again after a failure
-    overwrites its folder, and merging a partial state twice changes nothing.
+    overwrites its folder, and merging a partial state twice changes nothing. Snapshots but the last three
+    are deleted, and the partial states that the snapshot of before already holds.
     """
     def add(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -57,7 +58,10 @@ def maintain_run_state(events: DataFrame, path: str, checkpoint: str, order_by:
             .write.mode("overwrite").parquet(f"{path}/partial/batch={batch_id}"))
         if (batch_id + 1) % fold_every == 0:
             folded = merge_partial_states(_partial_states(spark, path))
-            tables.write_table(folded.withColumn("batch", F.lit(batch_id)), path, "folded", "parquet")
+            tables.write_table(folded.withColumn("batch", F.lit(batch_id)), path, "folded", "parquet", keep=3)
+            for name in tables.list_names(spark, f"{path}/partial"):
+                if name.startswith("batch=") and int(name.removeprefix("batch=")) <= batch_id - fold_every:
+                    tables.delete_path(spark, f"{path}/partial/{name}")
 
     return (events.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
                   .trigger(**(trigger or {"availableNow": True})).start())

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brontide.operators import containers as C
+from brontide.sources import tables
 from brontide.session import work_dir
 from brontide.streaming import containers as S
 
@@ -60,5 +61,24 @@ def test_tail_picks_up_each_line_once(spark):
                   .write.mode("append").json(f"{path}/in"))
         lines = S.read_container_lines(spark, f"{path}/in")
         S.tail_logs(lines, f"{path}/out", f"{path}/ck", as_of=now, once=True).awaitTermination()
-        counts.append(spark.read.parquet(f"{path}/out").count())
+        counts.append(S.read_daily(spark, f"{path}/out").count())
     assert counts == [2, 3, 3]
+
+
+def test_many_triggers_and_compactions(spark):
+    """Days stay whole through compactions, late lines for a closed day included, and files stay few."""
+    path, now = work_dir(spark, "test-tail"), dt.datetime(2024, 1, 10)
+    for i in range(12):
+        rows = [(now - dt.timedelta(days=i % 4), "spark", "i", str(i)), (now, "minio", "i", f"now {i}")]
+        (spark.createDataFrame(rows, "ts timestamp_ntz, container_name string, image string, line string")
+              .withColumn("ts", F.col("ts").cast("timestamp")).write.mode("append").json(f"{path}/in"))
+        S.tail_logs(S.read_container_lines(spark, f"{path}/in"), f"{path}/out", f"{path}/ck", as_of=now, once=True).awaitTermination()
+        if i % 3 == 2:
+            S.compact_days(spark, f"{path}/out", dt.date(2024, 1, 10), keep=1)
+        found = sorted(r["line"] for r in S.read_daily(spark, f"{path}/out").collect())
+        assert found == sorted([str(k) for k in range(i + 1)] + [f"now {k}" for k in range(i + 1)])
+    assert S.compact_days(spark, f"{path}/out", dt.date(2024, 1, 10), keep=1) == 0
+    assert S.compact_days(spark, f"{path}/out", dt.date(2024, 1, 11), keep=1) > 0
+    S.compact_days(spark, f"{path}/out", dt.date(2024, 1, 11), keep=1)
+    assert tables.list_names(spark, f"{path}/out/open") == []
+    assert S.read_daily(spark, f"{path}/out").count() == 24 and len(tables.list_names(spark, f"{path}/out/closed")) <= 5

@@ -298,3 +298,45 @@ def test_lookup(spark):
     assert [tuple(r) for r in P.lookup(df, id=2).collect()] == [(2, "b")]
     assert [tuple(r) for r in P.lookup(df, id=1, v="a").collect()] == [(1, "a")]
     assert P.lookup(df, id=3).collect() == []
+
+
+def test_wide_rows_make_small_files(spark, folders):
+    """Files are bounded by bytes, however wide the rows."""
+    source = spark.range(0, 400, numPartitions=4).select("id", F.concat_ws("", F.transform(
+        F.sequence(F.lit(1), F.lit(1500)), lambda i: F.md5(F.concat("id", i).cast("string")))).alias("v"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        I.export_table(source, I.TableSpec("wide", ("id",)), folders)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    sizes = [r["length"] for r in spark.read.format("binaryFile").load(folders.csv_path("wide")).select("length").collect()]
+    assert sum(sizes) > 18_000_000 and max(sizes) < 4_000_000
+
+
+def test_a_failed_table_is_a_row_of_the_report(spark, folders):
+    good, bad = spark.range(3).toDF("id"), spark.createDataFrame([(1, "a"), (1, "b")], "id int, v string")
+    odd = spark.createDataFrame([([1.0],)], "id array<double>")
+    rows = I.ingest_tables({"good": good, "bad": bad, "odd": odd}, [I.TableSpec(n, ("id",)) for n in ("bad", "good", "odd")], folders)
+    found = {r["table"]: r for r in rows.collect()}
+    assert (found["good"]["status"], found["good"]["target_rows"], found["good"]["reason"]) == ("ok", 3, None)
+    assert (found["bad"]["status"], found["bad"]["reason"], found["bad"]["target_rows"]) == ("failed", "bad: 1 duplicate keys", None)
+    assert found["odd"]["status"] == "failed" and found["odd"]["reason"]
+    assert not tables.table_exists(spark, folders.target, "bad")
+    assert spark.sparkContext.getConf().get("spark.scheduler.mode") == "FAIR"
+
+
+def test_only_unknown_types_are_inferred(spark, folders):
+    source = spark.createDataFrame([("007", 1, "5")], "code string, n int, other string")
+    I.export_table(source, I.TableSpec("t"), folders)
+    document = documents.read_metadata(spark, folders.metadata, "t").first().asDict(recursive=True)
+    document["columns"][2]["type"] = "NVARCHAR(10)"
+    documents.write_metadata(spark.createDataFrame([document], documents.TABLE_METADATA), folders.metadata, "t")
+    schema = documents.declared_schema(spark, folders.metadata, "t", lambda: csv.scan_csv(spark, folders.csv_path("t")).schema)
+    assert schema.simpleString() == "struct<code:string,n:int,other:int>"
+    assert documents.declared_schema(spark, folders.metadata, "t") is None
+
+
+def test_the_name_of_the_copies_is_reserved(spark):
+    with pytest.raises(DataQualityError, match="_source_copies"):
+        Q.cleanse(spark.createDataFrame([(1,)], "_source_copies int"))
