@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The white space that separates words, and the pattern of a word.
@@ -35,6 +39,16 @@ def replace_columns(df: DataFrame, new: dict[str, Column]) -> DataFrame:
                      *[c.alias(n) for n, c in new.items()])
 
 
+def chunks(texts: pa.Array, most: int = 8_000_000) -> Iterator[pa.Array]:
+    """Runs of texts of about so many bytes; a null counts as none."""
+    sizes = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < len(texts):
+        stop = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + most)) + 1
+        yield texts.slice(start, stop - start)
+        start = stop
+
+
 def code_points(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
 
@@ -56,7 +70,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def _power(name: str, n: int) -> np.ndarray:
+def power(name: str, n: int) -> np.ndarray:
     if len(_powers[name]) < n:
         factors = np.full(2 * n, _BASE if name == "up" else _INVERSE)
         factors[0] = 1
@@ -67,8 +81,8 @@ def _power(name: str, n: int) -> np.ndarray:
 def span_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of the spans of a text, by differences of one polynomial prefix sum."""
     sums = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * _power("up", len(codes)), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _power("down", len(codes) + 1)[starts]
+    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * power("up", len(codes)), out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * power("down", len(codes) + 1)[starts]
                + (ends - starts).astype(np.uint64))
 
 

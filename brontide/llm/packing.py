@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from brontide.llm.common import chunks
 from brontide.session import materialize
 
 # One per tokenizer in a Python worker, which Spark uses for many tasks.
@@ -131,16 +132,6 @@ class WordCache:
         return (flat[a:b] for a, b in zip(upto[:-1], upto[1:]))
 
 
-def _chunks(texts: pa.StringArray, most: int = 8_000_000) -> Iterator[pa.StringArray]:
-    """Runs of texts of about so many bytes."""
-    sizes = np.cumsum(pc.binary_length(texts).to_numpy())
-    start = 0
-    while start < len(texts):
-        stop = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + most)) + 1
-        yield texts.slice(start, stop - start)
-        start = stop
-
-
 def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key: str = "doc_id",
                  capacity: int = 4096, end_id: int = 1, keep_ids: bool = False) -> DataFrame:
     """A row per piece: key, ``piece``, ``start``, ``length``, ``ids_crc32`` and, if wanted, ``ids``.
@@ -163,7 +154,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key:
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
             texts = batch.column(1).cast(pa.string()).fill_null("")
-            for i, ids in enumerate(chain.from_iterable(map(cache.encode_all, _chunks(texts)))):
+            for i, ids in enumerate(chain.from_iterable(map(cache.encode_all, chunks(texts)))):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start:start + capacity]

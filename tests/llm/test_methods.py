@@ -361,9 +361,28 @@ def test_marginal_over_all_segmentations(vocabulary, word):
     assert {i: pytest.approx(n) for i, n in enumerate(found) if n} == dict(counts)
 
 
+def test_many_words_at_once(vocabulary):
+    random_ = random.Random(6)
+    words = [lattice.GAP + "".join(random_.choices("thersionab\u00e9\u6f22\U0001f642\x00", k=random_.choice([0, 1, 3, 9, 41, 120]))) for _ in range(300)]
+    assert lattice.forward_all(words, vocabulary) == pytest.approx([lattice.forward(w, vocabulary) for w in words])
+    weights, plain = np.array([random_.randint(1, 9) for _ in words]), [0.0] * len(vocabulary.values)
+    for word, weight in zip(words, weights):
+        lattice.expected(word, float(weight), vocabulary, plain)
+    assert lattice.expected_all(words, weights, vocabulary) == pytest.approx(np.array(plain))
+    assert not vocabulary.crowded
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.none() | st.text("aBZ\u00c9 \t\n\x0b\x0c\r\x1c\x85\xa0", max_size=12), max_size=6))
+def test_words_of_many_texts(texts):
+    flat, sizes = lattice.split_words(pa.array(texts, pa.string()))
+    own = [[w.decode() for w in lattice.words_of(t)] for t in texts]
+    assert flat.to_pylist() == list(itertools.chain.from_iterable(own)) and sizes.tolist() == [len(o) for o in own]
+
+
 @pytest.mark.parametrize("hot", [0, 50, 200_000])
 def test_scores_by_brute_force(spark, vocabulary, hot):
-    settings_ = lattice.Settings(hot=hot, held=500)
+    settings_ = lattice.Settings(hot=hot)
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60).cache()
     train = ~common.fold("doc_id", 7, 2)
     model = lattice.train_lm(docs, vocabulary, train=train, settings=settings_)
@@ -372,7 +391,7 @@ def test_scores_by_brute_force(spark, vocabulary, hot):
     counts = Counter(w for r in rows if r["use"] for w in lattice.words_of(r["text"]))
     texts = sum(r["use"] for r in rows)
     n, v = sum(counts.values()) + texts, len(counts) + 1
-    lattice_of = {bytes(r["word"]): r["lattice"] for r in model.words.collect()}
+    lattice_of = {r["word"].encode(): r["lattice"] for r in model.words.collect()}
     for r in rows:
         words, own = lattice.words_of(r["text"]), scores[r["doc_id"]]
         base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words) + math.log10((texts + 1) / (n + v + 1))
