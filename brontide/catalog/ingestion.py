@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, functions as F
 
 from brontide.catalog.common import (
@@ -107,11 +109,9 @@ def metadata_roundtrip(spark, sf_dir):
 
 
 @registry.add(union_sql("""select '{t}' as "table", count(*) as n_rows,
-    case when '{t}' in ('orders', 'events') then '{pk}' else '' end as keys from {t}""",
-    ["orders", "events", "pages", "lineitem"]))
+    case when '{t}' in ('orders', 'events') then '{pk}' else '' end as keys from {t}"""))
 def missing_metadata(spark, sf_dir):
-    counts = Q.row_counts({t: table(spark, sf_dir, t)
-                           for t in ("orders", "events", "pages", "lineitem")})
+    counts = Q.row_counts({t: table(spark, sf_dir, t) for t in TABLES})
     known = _metadata(spark, sf_dir, ["orders", "events"])
     return (documents.with_primary_keys(counts, known)
                      .select("table", "n_rows", F.array_join("primary_keys", "+").alias("keys")))
@@ -146,18 +146,18 @@ def scan_attempt_lines(spark, sf_dir):
     return attempt_logs.scan_attempt_lines(spark, root).select("dag_id", "run_id", "line_no", "line")
 
 
-_LANDED = ["customer", "orders", "lineitem", "events", "documents"]
+# All tables that CSV can hold; vectors it cannot.
+_LANDED = [t for t in TABLES if t != "embeddings"]
 
 
 @registry.add(union_sql("select '{t}' as \"table\", count(*) > 0 as non_empty from {t}", _LANDED))
 def artifact_inventory(spark, sf_dir):
-    found = []
-    for name in _LANDED:
+    def land(name: str) -> DataFrame:
         path = work_dir(spark, name)
         csv.write_csv(table(spark, sf_dir, name), path)
-        found.append(artifacts.artifact_inventory(spark, path)
-                              .select(F.lit(name).alias("table"), "non_empty"))
-    return Q.union_all(found)
+        return artifacts.artifact_inventory(spark, path).select(F.lit(name).alias("table"), "non_empty")
+
+    return Q.union_all(I.side_by_side(spark, {t: partial(land, t) for t in _LANDED}))
 
 
 # --- projections, lookups, limits -----------------------------------------------------------
@@ -246,7 +246,7 @@ def pk_duplicate_keys(spark, sf_dir):
                          .select(F.lit(t).alias("table"), "duplicate_keys") for t in TABLES])
 
 
-_CHECKED = ["customer", "lineitem", "orders", "documents"]
+_CHECKED = [t for t in TABLES if t != "part"]
 
 
 def _distinct_sql(name: str) -> str:
@@ -285,15 +285,17 @@ def _report_sql(name: str) -> str:
             f"'{'+'.join(PRIMARY_KEYS[name])}' as keys from {name}")
 
 
-@registry.add(" union all ".join(map(_report_sql, _CHECKED)))
+@registry.add(" union all ".join(map(_report_sql, TABLES)))
 def dq_report(spark, sf_dir):
-    folder, reports = work_dir(spark, "reports"), []
-    for name in _CHECKED:
+    folder = work_dir(spark, "reports")
+
+    def report(name: str) -> DataFrame:
         keys = PRIMARY_KEYS[name]
         metrics = Q.quality_metrics(Q.cleanse(table(spark, sf_dir, name)), keys)
         documents.write_dq_report(Q.quality_report(name, metrics, keys, "", ""), folder, name)
-        reports.append(documents.read_dq_report(spark, folder, name))
-    return Q.union_all(reports).select("table", "source_rows", "cleansed_rows",
+        return documents.read_dq_report(spark, folder, name)
+
+    return Q.union_all(I.side_by_side(spark, {t: partial(report, t) for t in TABLES})).select("table", "source_rows", "cleansed_rows",
                                        "duplicate_rows_removed",
                                        F.array_join("primary_keys", "+").alias("keys"))
 
@@ -360,10 +362,6 @@ def ingest_table(spark, sf_dir):
     return tables.scan_table(spark, folders.target, "customer")
 
 
-# All tables that CSV can hold; vectors it cannot.
-_INGESTED = [t for t in TABLES if t != "embeddings"]
-
-
 def _ingest_sql(name: str) -> str:
     by = ", ".join(PRIMARY_KEYS[name])
     return (f"select '{name}' as \"table\", case when d = 0 then n end as source_rows, case when d = 0 then c end as cleansed_rows, "
@@ -374,11 +372,11 @@ def _ingest_sql(name: str) -> str:
             f"group by {by} having count(*) > 1)) as d from {name})")
 
 
-@registry.add(" union all ".join(map(_ingest_sql, _INGESTED)))
+@registry.add(" union all ".join(map(_ingest_sql, _LANDED)))
 def ingest_tables(spark, sf_dir):
     """Line items have duplicate keys, so their row tells of a failure."""
-    sources = {t: table(spark, sf_dir, t) for t in _INGESTED}
-    reports = I.ingest_tables(sources, [_spec(t) for t in _INGESTED],
+    sources = {t: table(spark, sf_dir, t) for t in _LANDED}
+    reports = I.ingest_tables(sources, [_spec(t) for t in _LANDED],
                               I.Folders.under(work_dir(spark, "ingest")))
     return reports.select("table", "source_rows", "cleansed_rows", "duplicate_rows_removed",
                           F.array_join("primary_keys", "+").alias("keys"), "target_rows", "status", "reason")

@@ -5,8 +5,10 @@ Each stage hands over files, and nothing becomes visible to readers before its g
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -136,16 +138,25 @@ def ingest_tables(sources: dict[str, DataFrame], specs: list[TableSpec], folders
     spark = next(iter(sources.values())).sparkSession
 
     def run(spec: TableSpec) -> DataFrame:
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"ingest-{spec.name}")
         try:
             done = ingest_table(sources[spec.name], spec, folders, **options)
             return done.withColumns({"status": F.lit("ok"), "reason": F.lit(None).cast("string")})
         except Exception as error:  # whatever ends a table is its row of the report
             reason = str(error).strip().splitlines()[0] if str(error).strip() else type(error).__name__
             return small_frame(spark, [{"table": spec.name, "status": "failed", "reason": reason}], INGEST_REPORT)
+
+    reports = side_by_side(spark, {spec.name: partial(run, spec) for spec in specs}, parallelism)
+    return Q.union_all([report.to(INGEST_REPORT) for report in reports])
+
+
+def side_by_side(spark: SparkSession, work: dict[str, Callable[[], DataFrame]], parallelism: int = 4) -> list[DataFrame]:
+    """Results of independent pieces of work, in their order, each with its Spark jobs in a pool of its name."""
+    def run(name: str) -> DataFrame:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        try:
+            return work[name]()
         finally:
             spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
 
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        reports = list(pool.map(inheritable_thread_target(spark)(run), specs))
-    return Q.union_all([report.to(INGEST_REPORT) for report in reports])
+        return list(pool.map(inheritable_thread_target(spark)(run), work))
