@@ -1,12 +1,16 @@
 """Every registered query next to its SQL."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry_points
 from compare import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+SQL = entry_points.oracle_sql()
+# The training-data queries, where they are in the tree, have tests of their own.
+QUERIES = {n: q for n, q in entry_points.queries().items() if n != "pipeline" and not re.match(r"op\d+_", n)}
 
 
 @pytest.fixture(scope="module")
@@ -24,4 +28,4 @@ def test_entry(spark):
 
 
 def test_every_sql_has_a_query():
-    assert set(SQL) <= set(QUERIES)
+    assert set(SQL) <= set(entry_points.queries())

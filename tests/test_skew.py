@@ -7,6 +7,7 @@ from brontide.operators import chunking as C, containers as D, logs as L, projec
 from brontide.plans import collect
 from brontide.schemas import LOG_CHUNK
 from brontide.session import materialize, work_dir
+from brontide.sources import parts
 
 SMALL = {  # so that a few thousand rows count as large and skewed
     "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -60,7 +61,9 @@ def test_current_chunks(spark):
         given = skewed(spark).select(*[
             (F.col(f.name) if f.name in ("log_source_id", "chunk_index", "message")
              else F.lit(None).cast(f.dataType)).alias(f.name) for f in LOG_CHUNK])
-        given.write.parquet(f"{base}/log_chunks/batch={batch}")
+        staged = parts.new_run()
+        parts.stage(given.withColumn("part", F.lit(batch)), base, "log_chunks", staged)
+        parts.publish(spark, base, staged, [batch])
     n, plan = run(collect.current_chunks(spark, base))
     assert n == 60_000 and "skew=true" in plan
 
