@@ -47,6 +47,14 @@ def chunks(texts: pa.Array, most: int = 8_000_000) -> Iterator[pa.Array]:
         stop = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + most)) + 1
         yield texts.slice(start, stop - start)
         start = stop
+    # Python workers live on; what Arrow has no use for now goes back.
+    pa.default_memory_pool().release_unused()
+
+
+def texts_of(texts: pa.Array, most: int = 2_000_000) -> Iterator[str | None]:
+    """The texts as Python strings, of which only a few are held at a time."""
+    for some in chunks(texts, most):
+        yield from some.to_pylist()
 
 
 def code_points(text: str | None) -> np.ndarray:

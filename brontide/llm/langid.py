@@ -14,9 +14,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brontide.llm.common import code_points, replace_columns, uniform
+from brontide.llm.common import code_points, replace_columns, texts_of, uniform
 
 UNKNOWN = "und"
 _BITS = 16
@@ -27,9 +29,10 @@ _letters: list[np.ndarray] = []
 @dataclass(frozen=True)
 class Settings:
     """``sample`` bounds the rows that the weights are fitted on (expected number, shared evenly by
-    the languages); a sampled row has at most ``FEATURES`` values."""
+    the languages), ``languages`` the different labels; a sampled row has at most ``FEATURES`` values."""
 
     sample: int = 6000
+    languages: int = 1000
     epochs: int = 3
     alpha: float = 1.0
     beta: float = 1.0
@@ -87,14 +90,14 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def _document_frequencies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals, n = np.zeros(FEATURES, np.int64), 0
     for batch in batches:
-        for text in batch["text"]:
+        for text in texts_of(batch.column(0)):
             totals[gram_counts(letters(text))[0]] += 1
-            n += 1
+        n += len(batch)
     found = np.flatnonzero(totals)
-    yield pd.DataFrame({"feature": np.append(found, -1), "n": np.append(totals[found], n)})
+    yield pa.RecordBatch.from_arrays([pa.array(np.append(found, -1)), pa.array(np.append(totals[found], n))], names=["feature", "n"])
 
 
 def _sample_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -105,8 +108,8 @@ def _sample_features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                             "counts": [g[1].astype(np.int32) for g in grams]})
 
 
-def _ftrl(rows: list, n_classes: int, s: Settings) -> np.ndarray:
-    """Weights of the rows ``(class, features, values)``, one pass over them per epoch."""
+def _ftrl(rows: list[int], labels: np.ndarray, row, n_classes: int, s: Settings) -> np.ndarray:
+    """Weights of the rows, one pass over them per epoch; ``row`` gives the features and values of one."""
     z = np.zeros((FEATURES + 1, n_classes), np.float64)
     n = np.zeros_like(z)
 
@@ -116,10 +119,11 @@ def _ftrl(rows: list, n_classes: int, s: Settings) -> np.ndarray:
                         -(zs - np.sign(zs) * s.l1) / ((s.beta + root) / s.alpha + s.l2))
 
     for _ in range(s.epochs):
-        for label, found, values in rows:
+        for r in rows:
+            found, values = row(r)
             w = weights(found)
             error = _softmax(values @ w)
-            error[label] -= 1.0
+            error[labels[r]] -= 1.0
             g = np.outer(values, error)
             old = n[found]
             n[found] = old + g * g
@@ -147,18 +151,22 @@ def train_language_id(rows: DataFrame, text: str = "text", label: str = "lang",
                       train: Column | None = None, settings: Settings = Settings()) -> LanguageModel:
     """Learns from the rows where ``train`` holds and neither text nor label is null.
 
-    Without such rows the model knows no language, and answers ``und`` everywhere.
+    Without such rows the model knows no language, and answers ``und`` everywhere. More labels than
+    ``settings.languages`` are an error.
     """
     spark = rows.sparkSession
     use = F.col(text).isNotNull() & F.col(label).isNotNull()
     rows = rows.filter(use if train is None else use & train)
     rows = rows.select(F.col(text).alias("text"), F.col(label).cast("string").alias("label"),
                        uniform(F.col(key), F.col(text), seed=settings.seed).alias("order"))
-    sizes = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    counts = rows.groupBy("label").agg(F.count("*").alias("n")).limit(settings.languages + 1).collect()
+    if len(counts) > settings.languages:
+        raise ValueError(f"more than {settings.languages} languages")
+    sizes = {r["label"]: r["n"] for r in counts}
     languages = sorted(sizes)
     if not languages:
         return LanguageModel([], np.zeros(FEATURES), np.zeros((FEATURES + 1, 0)))
-    counted = (rows.select("text").mapInPandas(_document_frequencies, "feature long, n long")
+    counted = (rows.select("text").mapInArrow(_document_frequencies, "feature long, n long")
                    .groupBy("feature").agg(F.sum("n").alias("n")).toPandas())
     total = int(counted.loc[counted["feature"] == -1, "n"].sum())
     counted = counted[counted["feature"] >= 0]
@@ -169,24 +177,36 @@ def train_language_id(rows: DataFrame, text: str = "text", label: str = "lang",
     rates = spark.createDataFrame([(k, min(1.0, share / sizes[k])) for k in languages], "label string, rate double")
     picked = (rows.join(F.broadcast(rates), "label").filter(F.col("order") < F.col("rate"))
                   .mapInPandas(_sample_features, "label string, order double, found array<int>, counts array<int>")
-                  .toPandas())
+                  .toArrow().combine_chunks())
     # In the order of another hash, so that languages alternate whatever their rates are.
-    keys = np.modf(picked["order"].to_numpy(np.float64) * 1048573.0)[0]
-    picked = picked.iloc[np.lexsort((picked["label"], picked["order"], keys))]
+    order = picked.column("order").to_numpy()
+    names = np.array(picked.column("label").to_pylist(), dtype=object)
+    rank = np.lexsort((order, np.modf(order * 1048573.0)[0])) if len(order) else np.zeros(0, int)
     ids = {k: i for i, k in enumerate(languages)}
-    vectors = []
-    for label_, found, counts in zip(picked["label"], picked["found"], picked["counts"]):
-        values = _vector(np.asarray(found), np.asarray(counts), idf)
-        vectors.append((ids[label_], np.append(found, FEATURES), np.append(values, 1.0)))
-    cut = int(len(vectors) * (1 - settings.calibration))
-    weights = _ftrl(vectors[:cut] or vectors, len(languages), settings)
-    rest = vectors[cut:]
-    logits = np.array([v @ weights[f] for _, f, v in rest]).reshape(len(rest), len(languages))
-    labels = np.array([c for c, _, _ in rest], int)
-    report = {"rows": len(vectors), "non_zero": int(np.count_nonzero(weights)),
-              "calibration_accuracy": float((logits.argmax(1) == labels).mean()) if len(rest) else None}
+    labels = np.array([ids[k] for k in names], int)
+    # All rows in one array each, as the sample is the most that the driver holds.
+    features, starts = _flat(picked.column("found"))
+    values = (np.log1p(_flat(picked.column("counts"))[0]) * idf[features]).astype(np.float32)
+    del picked
+
+    def row(r: int) -> tuple[np.ndarray, np.ndarray]:
+        own = values[starts[r]:starts[r + 1]].astype(np.float64)
+        return (np.append(features[starts[r]:starts[r + 1]], FEATURES), np.append(own / (np.sqrt(own @ own) or 1.0), 1.0))
+
+    cut = int(len(rank) * (1 - settings.calibration))
+    weights = _ftrl(list(rank[:cut] if cut else rank), labels, row, len(languages), settings)
+    rest = rank[cut:]
+    logits = np.array([v @ weights[f] for f, v in map(row, rest)]).reshape(len(rest), len(languages))
+    report = {"rows": len(rank), "non_zero": int(np.count_nonzero(weights)),
+              "calibration_accuracy": float((logits.argmax(1) == labels[rest]).mean()) if len(rest) else None}
     return LanguageModel(languages, idf.astype(np.float32), weights.astype(np.float32),
-                         _temperature(logits, labels), report)
+                         _temperature(logits, labels[rest]), report)
+
+
+def _flat(lists) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a column of lists, and where each list starts and the last one ends."""
+    sizes = pc.list_value_length(lists).to_numpy()
+    return pc.list_flatten(lists).to_numpy(), np.concatenate(([0], np.cumsum(sizes)))
 
 
 def identify_language(rows: DataFrame, model: LanguageModel, text: str = "text",
@@ -198,21 +218,24 @@ def identify_language(rows: DataFrame, model: LanguageModel, text: str = "text",
     """
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("language string, probability double")
-    def predict(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("struct<language:string,probability:double>")
+    def predict(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = shared.value
-        for batch in texts:
-            out = []
-            for value in batch:
+        for batch in batches:
+            languages, probabilities = [], []
+            for value in texts_of(batch):
                 codes = letters(value)
                 if len(codes) < 2 or not m.languages:
-                    out.append((UNKNOWN, 0.0))
+                    languages.append(UNKNOWN)
+                    probabilities.append(0.0)
                     continue
                 found, counts = gram_counts(codes)
                 logits = _vector(found, counts, m.idf) @ m.weights[found] + m.weights[FEATURES]
                 p = _softmax(logits.astype(np.float64) / m.temperature)
-                out.append((m.languages[int(p.argmax())], float(p.max())))
-            yield pd.DataFrame(out, columns=["language", "probability"])
+                languages.append(m.languages[int(p.argmax())])
+                probabilities.append(float(p.max()))
+            yield pa.StructArray.from_arrays([pa.array(languages, pa.string()), pa.array(probabilities, pa.float64())],
+                                             names=["language", "probability"])
 
     guess = rows.withColumn("__guess", predict(F.col(text)))
     return replace_columns(guess, {into[0]: F.col("__guess.language"),

@@ -12,9 +12,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from brontide.llm.common import code_points, is_space, replace_columns, runs, span_hashes, uniform, windows
+from brontide.llm.common import code_points, is_space, replace_columns, runs, span_hashes, texts_of, uniform, windows
 
 _BITS = 16
 WORDS = 1 << _BITS
@@ -109,16 +111,16 @@ def _sigmoid(x: float) -> float:
     return 1.0 / (1.0 + np.exp(-min(max(x, -40.0), 40.0)))
 
 
-def _fit(rows: list, size: int, s: Settings) -> tuple[float, np.ndarray, np.ndarray]:
-    """AdaGrad on the log loss; rows are ``(label, features, values)``."""
+def _fit(labels: np.ndarray, row, size: int, s: Settings) -> tuple[float, np.ndarray, np.ndarray]:
+    """AdaGrad on the log loss; ``row`` gives the features and values of a row."""
     random = np.random.default_rng(s.seed)
-    positive = np.mean([y for y, _, _ in rows])
+    positive = np.mean(labels)
     bias = float(np.log((positive + 0.01) / (1.01 - positive)))
     linear, factors = np.zeros(size), random.normal(0, 0.05, (size, s.rank))
     seen_linear, seen_factors, seen_bias = np.full(size, 1e-2), np.full((size, s.rank), 1e-2), 1e-2
     for _ in range(s.epochs):
-        for i in random.permutation(len(rows)):
-            y, found, values = rows[i]
+        for i in random.permutation(len(labels)):
+            y, (found, values) = labels[i], row(i)
             v = factors[found]
             parts = v * values[:, None]
             sums = parts.sum(axis=0)
@@ -164,16 +166,24 @@ def train_quality(rows: DataFrame, labels: DataFrame, text: str = "text", key: s
                                 "values": [v.astype(np.float32) for _, v in found]})
 
     found = (chosen.join(F.broadcast(picked), "key")
-                   .mapInPandas(features, "key string, label int, found array<int>, values array<float>").toPandas())
+                   .mapInPandas(features, "key string, label int, found array<int>, values array<float>").toArrow().combine_chunks())
     size = WORDS + len(STATISTICS) + 2 * len(metadata)
     if not len(found):
         return QualityModel(0.0, np.zeros(size, np.float32), np.zeros((size, settings.rank), np.float32), tuple(metadata))
-    found["check"] = [float(np.sum(v)) for v in found["values"]]
-    found = found.sort_values(["key", "check"], kind="stable")
-    data = [(int(y), np.asarray(f), np.asarray(v, np.float64))
-            for y, f, v in zip(found["label"], found["found"], found["values"])]
-    bias, linear, factors = _fit(data, size, settings)
-    return QualityModel(bias, linear.astype(np.float32), factors.astype(np.float32), tuple(metadata), {"rows": len(data)})
+    # All rows in one array each, as the sample is the most that the driver holds.
+    starts = np.concatenate(([0], np.cumsum(pc.list_value_length(found.column("found")).to_numpy())))
+    at, values = (pc.list_flatten(found.column(c)).to_numpy() for c in ("found", "values"))
+    check = np.add.reduceat(values, starts[:-1])
+    order = np.lexsort((check, np.array(found.column("key").to_pylist())))
+    labels_ = found.column("label").to_numpy()[order]
+    del found
+
+    def row(i: int) -> tuple[np.ndarray, np.ndarray]:
+        own = slice(starts[order[i]], starts[order[i] + 1])
+        return at[own], values[own].astype(np.float64)
+
+    bias, linear, factors = _fit(labels_, row, size, settings)
+    return QualityModel(bias, linear.astype(np.float32), factors.astype(np.float32), tuple(metadata), {"rows": len(labels_)})
 
 
 def score_quality(rows: DataFrame, model: QualityModel, text: str = "text", threshold: float = 0.3,
@@ -185,12 +195,12 @@ def score_quality(rows: DataFrame, model: QualityModel, text: str = "text", thre
     """
     shared = rows.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scores(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def scores(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         m = shared.value
         for texts, metas in batches:
-            yield pd.Series([_sigmoid(score(m.bias, m.linear, m.factors, *vector(t, np.asarray(x, np.float64))))
-                             for t, x in zip(texts, metas)], dtype="float64")
+            known = (np.asarray(x, np.float64) for x in metas.to_pylist())
+            yield pa.array([_sigmoid(score(m.bias, m.linear, m.factors, *vector(t, x))) for t, x in zip(texts_of(texts), known)], pa.float64())
 
     scored = rows.withColumn("__score", scores(F.col(text), _metadata(model.metadata)))
     return replace_columns(scored, {into[0]: F.col("__score"),
