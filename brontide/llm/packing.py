@@ -22,23 +22,71 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from brontide.llm.common import chunks
+from brontide.llm.common import chunks, mix, power
 from brontide.session import materialize
 
 # One per tokenizer in a Python worker, which Spark uses for many tasks.
 _caches: dict[str, "WordCache"] = {}
 
 
+class _Table:
+    """Numbers by 64-bit hash, found and added many at a time; a table of fixed size, probed in line."""
+
+    BITS = 21
+
+    def __init__(self) -> None:
+        self.keys, self.at = np.zeros(1 << self.BITS, np.uint64), np.zeros(1 << self.BITS, np.int32)
+        self.size, self.mask = 0, (1 << self.BITS) - 1
+
+    def _slots(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The numbers, -1 where there is none; no hash is 0."""
+        out, todo, slots = np.full(len(hashes), -1, np.int64), np.arange(len(hashes)), self._slots(hashes)
+        while len(todo):
+            there = self.keys[slots[todo]]
+            hit = there == hashes[todo]
+            out[todo[hit]] = self.at[slots[todo[hit]]]
+            todo = todo[~hit & (there != 0)]
+            slots[todo] = (slots[todo] + 1) & self.mask
+        return out
+
+    def add(self, hashes: np.ndarray, numbers: np.ndarray) -> None:
+        """For distinct hashes that are not there."""
+        todo, slots = np.arange(len(hashes)), self._slots(hashes)
+        self.size += len(hashes)
+        while len(todo):
+            free = todo[self.keys[slots[todo]] == 0]
+            _, first = np.unique(slots[free], return_index=True)
+            placed = free[first]
+            self.keys[slots[placed]], self.at[slots[placed]] = hashes[placed], numbers[placed]
+            todo = np.setdiff1d(todo, placed, assume_unique=True)
+            slots[todo] = (slots[todo] + 1) & self.mask
+
+
+def _word_hashes(words: pa.StringArray) -> np.ndarray:
+    """Hashes of the bytes of words without empty ones."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
+    starts, sizes = offsets[:-1] - offsets[0], np.diff(offsets)
+    place = np.arange(len(data)) - np.repeat(starts, sizes)
+    sums = np.add.reduceat((data.astype(np.uint64) + np.uint64(1)) * power("up", int(sizes.max()))[place], starts)
+    hashes = mix(sums + sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return np.where(hashes == 0, np.uint64(1), hashes)
+
+
 class WordCache:
     """Token ids by word of text, for a tokenizer that never joins across white space.
 
     The ids of a text are those of its words. A word of Latin letters and punctuation behind them is its stem in
     lower case and its tail, as the tokenizer lowers case and splits there too; new stems are encoded many
     at a time, and told apart by the end that the vocabulary marks on the last token of a word. Any other
-    word is encoded as it is. What is kept is bounded; beyond, the cache starts anew.
+    word is encoded as it is. Words are known by 64-bit hashes, so that a million of them take some tens of
+    megabytes. What is kept is bounded; beyond, the cache starts anew.
     """
 
-    MOST_WORDS, MOST_CHARS, AT_ONCE = 800_000, 16_000_000, 500
+    MOST_WORDS, MOST_PARTS, MOST_CHARS, AT_ONCE = 1_200_000, 250_000, 5_000_000, 500
 
     def __init__(self, definition: str) -> None:
         from tokenizers import Tokenizer
@@ -51,30 +99,38 @@ class WordCache:
         self.clear()
 
     def clear(self) -> None:
-        self.words: dict[str, int] = {}
+        self.words = _Table()
+        self.size, self.used = 0, 0
+        self.starts, self.lengths = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int32)
+        self.ids = np.zeros(1 << 14, np.uint16 if len(self.ends) <= 1 << 16 else np.uint32)
+        self._forget_parts()
+
+    def _forget_parts(self) -> None:
         self.parts: dict[str, int] = {}
-        self.chars, self.size, self.used = 0, 0, 0
-        self.starts, self.lengths = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
-        self.ids = np.zeros(1 << 14, np.uint32)
-        self._keep(self.parts, [""], np.zeros(0, np.uint32), np.zeros(1, np.int64))
-
-    def _keep(self, into: dict[str, int], names: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
-        n, first = self.size, self.used
-        while len(self.starts) < n + len(names):
+        self.chars = 0
+        self._keep([""], np.zeros(0, np.uint32), np.zeros(1, np.int64), self.parts)
+
+    def _keep(self, names: list[str], flat: np.ndarray, lengths: np.ndarray, into: dict[str, int] | None = None) -> np.ndarray:
+        """Stores ids one after the other; returns the number of each."""
+        n, first, count = self.size, self.used, len(lengths)
+        while len(self.starts) < n + count:
             self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
         while len(self.ids) < first + len(flat):
             self.ids = np.resize(self.ids, 2 * len(self.ids))
-        self.starts[n:n + len(names)] = first + np.cumsum(lengths) - lengths
-        self.lengths[n:n + len(names)] = lengths
+        self.starts[n:n + count] = first + np.cumsum(lengths) - lengths
+        self.lengths[n:n + count] = lengths
         self.ids[first:first + len(flat)] = flat
-        self.size, self.used = n + len(names), first + len(flat)
-        into.update(zip(names, range(n, self.size)))
-        self.chars += sum(map(len, names))
+        self.size, self.used = n + count, first + len(flat)
+        if into is not None:
+            into.update(zip(names, range(n, self.size)))
+            self.chars += sum(map(len, names))
+        return np.arange(n, self.size)
 
     def _gather(self, index: np.ndarray) -> np.ndarray:
-        lengths = self.lengths[index]
+        lengths = self.lengths[index].astype(np.int64)
         ends = np.cumsum(lengths)
-        return self.ids[np.repeat(self.starts[index] - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
+        at = np.repeat(self.starts[index] - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
+        return self.ids[at].astype(np.uint32)
 
     def _encode_stems(self, stems: list[str]) -> None:
         for i in range(0, len(stems), self.AT_ONCE):
@@ -82,15 +138,17 @@ class WordCache:
             flat = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
             last = np.flatnonzero(self.ends[flat])
             if len(last) == len(some):
-                self._keep(self.parts, some, flat, np.diff(np.concatenate(([-1], last))))
+                self._keep(some, flat, np.diff(np.concatenate(([-1], last))), self.parts)
             else:
                 self._encode_others(some)
 
     def _encode_others(self, words: list[str]) -> None:
         encoded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        self._keep(self.parts, words, np.fromiter(chain.from_iterable(encoded), np.uint32), np.fromiter(map(len, encoded), np.int64, len(words)))
+        self._keep(words, np.fromiter(chain.from_iterable(encoded), np.uint32), np.fromiter(map(len, encoded), np.int64, len(words)), self.parts)
 
-    def _add(self, words: list[str]) -> None:
+    def _add(self, words: list[str], hashes: np.ndarray) -> np.ndarray:
+        if len(self.parts) > self.MOST_PARTS or self.chars > self.MOST_CHARS:
+            self._forget_parts()
         split, stems, others = [], {}, {}
         for word in words:
             stem = word.rstrip(string.punctuation)
@@ -112,23 +170,29 @@ class WordCache:
         if others:
             self._encode_others(list(others))
         index = np.fromiter(map(self.parts.__getitem__, split), np.int64, len(split))
-        self._keep(self.words, words, self._gather(index), self.lengths[index].reshape(-1, 2).sum(axis=1))
+        numbers = self._keep(words, self._gather(index), self.lengths[index].reshape(-1, 2).sum(axis=1, dtype=np.int64))
+        self.words.add(hashes, numbers)
+        return numbers
 
     def encode_all(self, texts: pa.StringArray) -> Iterator[np.ndarray]:
         """Ids of each text; the texts together should be a few million characters at most."""
-        if len(self.words) > self.MOST_WORDS or self.chars > self.MOST_CHARS:
+        if self.words.size > self.MOST_WORDS or self.used > 16 * self.MOST_WORDS:
             self.clear()
         split = pc.ascii_split_whitespace(texts)
-        encoded = split.flatten().dictionary_encode()
-        distinct = encoded.dictionary.to_pylist()
-        own = np.fromiter((self.words.get(w, -1) for w in distinct), np.int64, len(distinct))
+        words, sizes = split.flatten(), pc.list_value_length(split).to_numpy()
+        # White space at an end leaves an empty word; it has no ids.
+        there = pc.binary_length(words).to_numpy() > 0
+        counts = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[there], minlength=len(sizes))
+        encoded = words.filter(pa.array(there)).dictionary_encode()
+        distinct = encoded.dictionary
+        hashes = _word_hashes(distinct) if len(distinct) else np.zeros(0, np.uint64)
+        own = self.words.find(hashes)
         new = np.flatnonzero(own < 0)
         if len(new):
-            self._add([distinct[i] for i in new])
-            own[new] = np.arange(self.size - len(new), self.size)
+            own[new] = self._add(distinct.take(pa.array(new)).to_pylist(), hashes[new])
         index = own[encoded.indices.to_numpy()]
         flat = self._gather(index)
-        upto = np.concatenate(([0], np.cumsum(self.lengths[index])))[np.concatenate(([0], np.cumsum(pc.list_value_length(split).to_numpy())))]
+        upto = np.concatenate(([0], np.cumsum(self.lengths[index], dtype=np.int64)))[np.concatenate(([0], np.cumsum(counts)))]
         return (flat[a:b] for a, b in zip(upto[:-1], upto[1:]))
 
 
@@ -153,8 +217,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key:
         cache = _caches[tokenizer_path]
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
-            texts = batch.column(1).cast(pa.string()).fill_null("")
-            for i, ids in enumerate(chain.from_iterable(map(cache.encode_all, chunks(texts)))):
+            texts = (some.cast(pa.string()).fill_null("") for some in chunks(batch.column(1), 4_000_000))
+            for i, ids in enumerate(chain.from_iterable(map(cache.encode_all, texts))):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     part = ids[start:start + capacity]
@@ -174,7 +238,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key:
 class Evolution:
     """``pool`` is the number of pieces that are packed together, as an expectation."""
 
-    pool: int = 2500
+    pool: int = 16_000
     islands: int = 2
     population: int = 4
     generations: int = 12

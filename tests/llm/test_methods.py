@@ -68,6 +68,19 @@ def test_islands_share_elites(spark):
         packing.pack(items.withColumn("length", F.lit(5000)))
 
 
+def test_table_of_hashes(monkeypatch):
+    monkeypatch.setattr(packing._Table, "BITS", 8)
+    random_, table, known = np.random.default_rng(0), packing._Table(), {}
+    for _ in range(10):
+        # Few first slots, so that probing goes on, around the end too.
+        hashes = np.unique((random_.integers(250, 256, 20).astype(np.uint64) << np.uint64(56)) + random_.integers(1, 1 << 20, 20).astype(np.uint64))
+        new = hashes[table.find(hashes) < 0]
+        table.add(new, np.arange(len(known), len(known) + len(new)))
+        known.update(zip(new.tolist(), range(len(known), len(known) + len(new))))
+        every = np.array(list(known), np.uint64)
+        assert table.find(every).tolist() == list(known.values()) and (table.find(every + np.uint64(1 << 30)) == -1).all()
+
+
 def test_words_are_encoded_as_in_their_text():
     from tokenizers import Tokenizer
 
