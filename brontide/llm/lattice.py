@@ -32,9 +32,10 @@ _NONE = float("-inf")
 
 @dataclass(frozen=True)
 class Settings:
-    """``hot`` bounds the words that every task holds."""
+    """``hot`` bounds the words that every task holds, ``hot_length`` their characters."""
 
     hot: int = 100_000
+    hot_length: int = 64
     rounds: int = 1
     smoothing: float = 0.5
 
@@ -261,6 +262,18 @@ def expected_all(words: list[str], weights: np.ndarray, vocabulary: Vocabulary)
     return counts
 
 
+def _gathered(batches: Iterator[pd.DataFrame], least: int = 50_000) -> Iterator[pd.DataFrame]:
+    """Batches of at least so many words, as few words of one length cost nearly as much as many."""
+    own: list[pd.DataFrame] = []
+    for batch in batches:
+        own.append(batch)
+        if sum(map(len, own)) >= least:
+            yield pd.concat(own, ignore_index=True)
+            own = []
+    if own:
+        yield pd.concat(own, ignore_index=True)
+
+
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words of the texts, A-Z in lower case, and how many each text has."""
     lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string()).fill_null("")))
@@ -317,7 +330,7 @@ def train_lm(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", train:
         def expect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             known = Vocabulary(*shared.value)
             counts = np.zeros(len(known.logs))
-            for batch in batches:
+            for batch in _gathered(batches):
                 counts += expected_all([GAP + w for w in batch["word"]], batch["train"].to_numpy(), known)
             found = np.flatnonzero(counts)
             yield pd.DataFrame({"piece": found, "n": counts[found]})
@@ -334,7 +347,7 @@ def train_lm(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", train:
 
     def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Vocabulary(*shared.value)
-        for batch in batches:
+        for batch in _gathered(batches):
             yield batch.assign(lattice=forward_all([GAP + w for w in batch["word"]], known) / math.log(10))
 
     base = F.log10((F.col("train") + 1) / F.lit(float(tokens + distinct + 1)))
@@ -360,8 +373,9 @@ def score_documents(docs: DataFrame, model: LanguageModel, key: str = "doc_id",
     The words of ``docs`` must be among those the model has counted. Null texts are empty: the end alone. Rows
     with equal or null keys are rows of their own; other columns are not looked at. An empty table gives none.
     """
-    least = _frequent(model.words, settings.hot)
-    hot = model.words.filter(F.col("n") >= least).select("word", "train", "base", "lattice").toPandas()
+    short = model.words.filter(F.length("word") <= settings.hot_length)
+    is_hot = (F.col("n") >= _frequent(short, settings.hot)) & (F.length("word") <= settings.hot_length)
+    hot = model.words.filter(is_hot).select("word", "train", "base", "lattice").toPandas()
     # One more entry, for words that are not among them.
     shared = docs.sparkSession.sparkContext.broadcast(
         (hot["word"].tolist(), *[np.append(hot[c].to_numpy(np.float64), 0.0) for c in ("train", "base", "lattice")]))
@@ -378,7 +392,7 @@ def score_documents(docs: DataFrame, model: LanguageModel, key: str = "doc_id",
                 encoded = flat.dictionary_encode()
                 own = np.fromiter((index.get(w, -1) for w in encoded.dictionary.to_pylist()), np.int64, len(encoded.dictionary))
                 at, owners = own[encoded.indices.to_numpy()], np.repeat(np.arange(len(sizes)), sizes)
-                total = lambda values: np.bincount(owners, values[at], minlength=len(sizes))
+                total = lambda values: np.bincount(owners, values[at], minlength=len(sizes)).astype(float)
                 cold = np.bincount(owners[at < 0], minlength=len(sizes))
                 offsets = np.concatenate(([0], np.cumsum(cold))).astype(np.int32)
                 rest = pa.ListArray.from_arrays(pa.array(offsets), flat.filter(pa.array(at < 0)))
@@ -391,7 +405,7 @@ def score_documents(docs: DataFrame, model: LanguageModel, key: str = "doc_id",
     # Written, so that the row numbers are fixed before two branches use them.
     rows = materialize(rows.mapInArrow(read, schema), "lm-rows")
     cold = rows.select("row", F.explode("cold").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times"))
-    cold = cold.join(model.words.filter(F.col("n") < least), "word").groupBy("row").agg(
+    cold = cold.join(model.words.filter(~is_hot), "word").groupBy("row").agg(
         F.sum(F.when(F.col("train") > 0, F.col("times")).otherwise(0)).alias("cold_known"),
         F.sum(F.col("times") * F.col("base")).alias("cold_base"), F.sum(F.col("times") * F.col("lattice")).alias("cold_lattice"))
     out = rows.drop("cold").join(cold, "row", "left")
