@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,8 +50,17 @@ def chunks(texts: pa.Array, most: int = 8_000_000) -> Iterator[pa.Array]:
         stop = int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + most)) + 1
         yield texts.slice(start, stop - start)
         start = stop
-    # Python workers live on; what Arrow has no use for now goes back.
+    give_back()
+
+
+def give_back() -> None:
+    """Returns memory that is free within this process to the system. Python workers live on after their
+    task, and several of them share an executor; what they only keep for later would be missing elsewhere."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+    if trim is not None:
+        trim(0)
 
 
 def texts_of(texts: pa.Array, most: int = 2_000_000) -> Iterator[str | None]:

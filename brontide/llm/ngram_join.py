@@ -22,7 +22,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from brontide.llm.common import code_points, windows, word_hashes
+from brontide.llm.common import code_points, give_back, texts_of, windows, word_hashes
 from brontide.llm.graph import components
 from brontide.session import materialize
 
@@ -74,7 +74,7 @@ def _sketches(s: Forest, names: list[str]):
         factors, shifts = _multipliers(s)
         for batch in batches:
             nodes, sizes, signatures = [], [], []
-            for text in batch.column(2).to_pylist():
+            for text in texts_of(batch.column(2)):
                 found = shingles(text, s.words)
                 nodes.append(_node(found.tobytes()))
                 sizes.append(len(found))
@@ -205,6 +205,8 @@ def _verified(s: Forest):
                 current.append(row)
             yield pd.DataFrame(out, columns=["node", "links", "to"])
         yield pd.DataFrame(tile(current) if current else [], columns=["node", "links", "to"])
+        current.clear()
+        give_back()
     return run
 
 
@@ -223,13 +225,14 @@ def _marks(rows: DataFrame) -> np.ndarray:
 
 def _shingled(s: Forest, marks):
     """Sets of the rows whose bit is set, with their nodes. A bit may be set by chance: a join follows."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = marks.value
         for batch in batches:
-            at = np.mod(batch["mark"].to_numpy(np.int64), _FILTER_BITS)
+            at = np.mod(batch.column(1).to_numpy(), _FILTER_BITS)
             found = np.flatnonzero((bits[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1))
-            sets = [shingles(t, s.words).tobytes() for t in batch["text"].iloc[found]]
-            yield pd.DataFrame({"node": [_node(x) for x in sets], "shingles": sets})
+            sets = [shingles(t, s.words).tobytes() for t in texts_of(batch.column(0).take(pa.array(found)))]
+            yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in sets], pa.binary()), pa.array(sets, pa.binary())],
+                                             names=["node", "shingles"])
     return run
 
 
@@ -288,7 +291,7 @@ def _classes(docs: DataFrame, text: str, key: str, s: Forest) -> DataFrame:
     members = materialize(members, "join-members")
     # Of all texts only those that stand for a member are hashed again and move; the bitmap finds them.
     marks = docs.sparkSession.sparkContext.broadcast(_marks(members.select(F.xxhash64("row", "hash").alias("mark"))))
-    sets = keyed.select("text", F.xxhash64("row", "hash").alias("mark")).mapInPandas(_shingled(s, marks), "node binary, shingles binary")
+    sets = keyed.select("text", F.xxhash64("row", "hash").alias("mark")).mapInArrow(_shingled(s, marks), "node binary, shingles binary")
     sets = sets.join(members, "node")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     tiles = sets.withColumn("other", other).select(

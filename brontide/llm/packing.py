@@ -22,12 +22,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from brontide.llm.common import chunks, mix, power
+from brontide.llm.common import chunks, give_back, mix, power
 from brontide.session import materialize
 
-# One per tokenizer in a Python worker, which Spark uses for many tasks.
-_caches: dict[str, "WordCache"] = {}
-
 
 class _Table:
     """Numbers by 64-bit hash, found and added many at a time; a table of fixed size, probed in line."""
@@ -212,9 +209,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key:
                           + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * keep_ids)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_path not in _caches:
-            _caches[tokenizer_path] = WordCache(definition.value)
-        cache = _caches[tokenizer_path]
+        # Of this task, and freed with it.
+        cache = WordCache(definition.value)
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
             texts = (some.cast(pa.string()).fill_null("") for some in chunks(batch.column(1), 4_000_000))
@@ -230,6 +226,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key:
             if keep_ids:
                 columns.append(pa.array(rows[5], pa.list_(pa.int32())))
             yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
+        del cache
+        give_back()
 
     return docs.select(key, text).mapInArrow(cut, schema)
 
