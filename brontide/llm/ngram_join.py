@@ -4,8 +4,8 @@
    Texts with equal sets are one node, however many copies there are.
 2. A node's MinHash values label it in each tree of a forest. A tree is a prefix trie, kept as its
    sorted labels: the entries are range-partitioned and sorted, and neighbours in this order share
-   the longest prefixes. Matched prefixes are shortened level by level until the estimated share of
-   links that such prefixes find reaches the target recall.
+   the longest prefixes. All that share ``least_depth`` values in a tree are candidates: a link just at the
+   threshold is found so with 99.99 %, whatever the other links of the corpus are.
 3. Candidates whose signatures agree well enough connect the nodes to groups that hold all links.
 4. Within each group all pairs are verified on the exact sets. A large group is cut into blocks, and
    each pair of blocks is a task of bounded size, that returns link counts and a spanning forest only.
@@ -122,6 +122,8 @@ def found_share(similarity, depth: int, trees: int):
 def prefix_depth(candidates: DataFrame, s: Forest) -> int:
     """The longest prefix at which the forest finds the target share of all links.
 
+    An average over the links of the corpus, and so no bound for a single one: links at the threshold are found
+    less often. It tells how deep the tries need to be, and no candidate is dropped by it.
     Each link found with the shortest prefix stands for as many as the inverse of its chance to be found so.
     From there on, the longest prefix is taken that still finds the target share of this estimate. A link just
     at the threshold is added to both, so the answer also holds where nothing was found.
@@ -279,9 +281,8 @@ def _classes(docs: DataFrame, text: str, key: str, s: Forest) -> DataFrame:
     near = (near.join(signatures.toDF("a", "x"), "a").join(signatures.toDF("b", "y"), "b")
                 .mapInPandas(_agreement, "a binary, b binary, shared int, agree double"))
     near = materialize(near, "join-candidates")
-    depth = prefix_depth(near, s)
     deviation = (s.similarity * (1 - s.similarity) / (s.trees * s.depth)) ** 0.5
-    groups = components(near.filter((F.col("shared") >= depth) & (F.col("agree") >= s.similarity - s.slack * deviation)))
+    groups = components(near.filter(F.col("agree") >= s.similarity - s.slack * deviation))
 
     # Blocks of a bounded expected size; a node goes to the tiles of its block with every block.
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / s.block).cast("int").alias("blocks"))

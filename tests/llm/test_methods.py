@@ -214,6 +214,27 @@ def test_prefixes_shorten_until_the_recall(spark):
     assert ngram_join.found_share(0.8, k, forest.trees) >= forest.recall or k == forest.least_depth
 
 
+def joined_pairs(spark, texts, n_pairs):
+    """How many of the pairs of texts 2i and 2i + 1, i < n_pairs, are of one class."""
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    classes = {r["doc_id"]: r["class_id"] for r in ngram_join.similar_classes(df).collect()}
+    return sum(classes[2 * i] == classes[2 * i + 1] for i in range(n_pairs))
+
+
+def test_links_at_the_threshold_beside_many_near_exact_ones(spark):
+    """Pairs of similarity 0.8 sharp are found however many links of the corpus are near exact."""
+    random_ = random.Random(11)
+    word = lambda: "".join(random_.choices("abcdefghijkl", k=8))
+    texts = []
+    for _ in range(400):
+        words = [word() for _ in range(49)]
+        texts += [" ".join(words), " ".join(words[:-5] + [word() for _ in range(5)])]
+    for _ in range(1000):
+        long = [word() for _ in range(200)]
+        texts += [" ".join(long[:-1] + [word()]) for _ in range(4)]
+    assert joined_pairs(spark, texts, 400) == 400
+
+
 def test_components(spark):
     random_ = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(100 + random_.randrange(40), 100 + random_.randrange(40)) for _ in range(25)] + [(5, 5), (None, 3)]
