@@ -185,7 +185,6 @@ def verify_tile(node: list[bytes], weight: list[int], sets: list[np.ndarray], le
 def _verified(s: Forest):
     """Verifies the tiles of rows that come sorted by tile; holds one tile at a time."""
     def tile(rows: list[tuple]) -> list[tuple]:
-        rows = list({r[3]: r for r in rows}.values())
         if len(rows) < 2:
             return []
         (_, i, j), blocks = rows[0][:3], np.array([r[5] for r in rows])
@@ -212,29 +211,41 @@ def _verified(s: Forest):
     return run
 
 
-# Bits of the filter below: two megabytes, whatever the number of rows.
-_FILTER_BITS = 1 << 24
+# Bits of the filter below for each member, and the least and most of all: 2 and 32 megabytes.
+_FILTER_BITS = (16, 1 << 24, 1 << 28)
 
 
 def _marks(rows: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size in which the bit of each ``mark``, a 64-bit hash, is set."""
-    words = rows.groupBy(F.floor(F.pmod("mark", F.lit(_FILTER_BITS)) / 64).cast("int").alias("at")).agg(
+    """A bitmap, its size by the number of rows, in which the bit of each ``mark``, a 64-bit hash, is set."""
+    each, least, most = _FILTER_BITS
+    n_bits = min(most, max(least, 1 << (each * rows.count()).bit_length()))
+    words = rows.groupBy(F.floor(F.pmod("mark", F.lit(n_bits)) / 64).cast("int").alias("at")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(pmod(mark, 64) as int))")).alias("bits")).toPandas()
-    out = np.zeros(_FILTER_BITS // 64, np.uint64)
+    out = np.zeros(n_bits // 64, np.uint64)
     out[words["at"]] = words["bits"].to_numpy(np.int64).view(np.uint64)
     return out
 
 
 def _shingled(s: Forest, marks):
-    """Sets of the rows whose bit is set, with their nodes. A bit may be set by chance: a join follows."""
+    """Marks, nodes and sets of the rows whose bit is set, one row of each mark and node in a task. A bit may be
+    set by chance: a join follows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = marks.value
+        bits, seen = marks.value, set()
         for batch in batches:
-            at = np.mod(batch.column(1).to_numpy(), _FILTER_BITS)
+            mark = batch.column(1).to_numpy()
+            at = np.mod(mark, len(bits) * 64)
             found = np.flatnonzero((bits[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1))
-            sets = [shingles(t, s.words).tobytes() for t in texts_of(batch.column(0).take(pa.array(found)))]
-            yield pa.RecordBatch.from_arrays([pa.array([_node(x) for x in sets], pa.binary()), pa.array(sets, pa.binary())],
-                                             names=["node", "shingles"])
+            kept, nodes, sets = [], [], []
+            for k, text in zip(found.tolist(), texts_of(batch.column(0).take(pa.array(found)))):
+                own = shingles(text, s.words).tobytes()
+                node = _node(own)
+                if (mark[k], node) not in seen:
+                    seen.add((mark[k], node))
+                    kept.append(mark[k])
+                    nodes.append(node)
+                    sets.append(own)
+            yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64()), pa.array(nodes, pa.binary()), pa.array(sets, pa.binary())],
+                                             names=["mark", "node", "shingles"])
     return run
 
 
@@ -288,12 +299,14 @@ def _classes(docs: DataFrame, text: str, key: str, s: Forest) -> DataFrame:
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / s.block).cast("int").alias("blocks"))
     members = (groups.join(sizes, "root").join(nodes.select("node", "weight", "one"), "node")
                      .select(F.col("root").alias("part"), "node", "weight", "blocks", "one.*",
-                             F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block")))
+                             F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"))
+                     .withColumn("mark", F.xxhash64("row", "hash")).drop("row", "hash"))
     members = materialize(members, "join-members")
     # Of all texts only those that stand for a member are hashed again and move; the bitmap finds them.
-    marks = docs.sparkSession.sparkContext.broadcast(_marks(members.select(F.xxhash64("row", "hash").alias("mark"))))
-    sets = keyed.select("text", F.xxhash64("row", "hash").alias("mark")).mapInArrow(_shingled(s, marks), "node binary, shingles binary")
-    sets = sets.join(members, "node")
+    marks = docs.sparkSession.sparkContext.broadcast(_marks(members.select("mark")))
+    sets = keyed.select("text", F.xxhash64("row", "hash").alias("mark")).mapInArrow(_shingled(s, marks), "mark long, node binary, shingles binary")
+    # Copies in different tasks have one mark; one of them goes on, before it is dealt to the tiles.
+    sets = sets.join(members, ["node", "mark"]).dropDuplicates(["node", "mark"])
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     tiles = sets.withColumn("other", other).select(
         "part", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "weight", "block", "shingles")

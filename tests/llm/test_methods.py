@@ -235,6 +235,21 @@ def test_links_at_the_threshold_beside_many_near_exact_ones(spark):
     assert joined_pairs(spark, texts, 400) == 400
 
 
+def test_one_text_per_member_is_verified(spark, monkeypatch):
+    """Equal rows of a member's text reach the verification once; it is replaced by a count of its rows."""
+    def count(s):
+        def run(batches):
+            for batch in batches:
+                yield batch[["node"]].assign(links=1, to=batch["node"])
+        return run
+
+    monkeypatch.setattr(ngram_join, "_verified", count)
+    words = [f"w{i}" for i in range(100)]
+    copies = spark.range(3000, numPartitions=6).select(F.lit(1).cast("long").alias("doc_id"), F.lit(" ".join(words)).alias("text"))
+    df = copies.unionByName(spark.createDataFrame([(2, " ".join(words[:-1]))], "doc_id long, text string"))
+    assert {(r["doc_id"], r["n_links"]) for r in ngram_join.similar_classes(df).collect()} == {(1, 2999 + 1), (2, 1)}
+
+
 def test_components(spark):
     random_ = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(100 + random_.randrange(40), 100 + random_.randrange(40)) for _ in range(25)] + [(5, 5), (None, 3)]
