@@ -6,6 +6,8 @@
    sorted labels: the entries are range-partitioned and sorted, and neighbours in this order share
    the longest prefixes. All that share ``least_depth`` values in a tree are candidates: a link just at the
    threshold is found so with 99.99 %, whatever the other links of the corpus are.
+   Where more entries than the neighbours share a prefix, all pairs of them that are not yet connected are
+   compared by their signatures, in tiles of bounded size.
 3. Candidates whose signatures agree well enough connect the nodes to groups that hold all links.
 4. Within each group all pairs are verified on the exact sets. A large group is cut into blocks, and
    each pair of blocks is a task of bounded size, that returns link counts and a spanning forest only.
@@ -14,6 +16,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +43,7 @@ class Forest:
     neighbours: int = 3
     slack: float = 3.5
     block: int = 400
+    run_block: int = 2000
     seed: int = 4
 
 
@@ -85,28 +89,101 @@ def _sketches(s: Forest, names: list[str]):
 
 
 def _trie_neighbours(s: Forest):
-    """Pairs of entries near each other in a tree's sorted labels, and how long a prefix they share."""
+    """Pairs of entries near each other in a tree's sorted labels, and how long a prefix they share.
+
+    Rows without a pair name the ``run`` of entries with a common prefix, by tree and prefix, where there are more
+    of them than neighbours, or where a partition of the sorted labels may cut it.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
+        kept, first = None, True
         for batch in batches:
             # The last entries of a batch are compared with the first of the next.
             rows = batch if kept is None else pd.concat([kept, batch], ignore_index=True)
             fresh = 0 if kept is None else len(kept)
-            kept = rows.tail(s.neighbours)
+            kept = rows.tail(s.neighbours + 1)
             if not len(rows):
                 continue
             labels = np.frombuffer(b"".join(rows["label"]), np.uint16).reshape(len(rows), s.depth)
             tree, node = rows["tree"].to_numpy(), rows["node"].to_numpy()
             out = []
-            for step in range(1, s.neighbours + 1):
+            for step in range(1, s.neighbours + 2):
                 shared = np.cumprod(labels[:-step] == labels[step:], axis=1).sum(axis=1)
                 ok = (tree[:-step] == tree[step:]) & (shared >= s.least_depth) & (np.arange(step, len(rows)) >= fresh)
                 at = np.flatnonzero(ok)
-                out.append(pd.DataFrame({"a": node[at], "b": node[at + step], "shared": shared[at]}))
+                if step <= s.neighbours:
+                    out.append(pd.DataFrame({"a": node[at], "b": node[at + step], "shared": shared[at], "run": None}))
+            if first:
+                at, first = np.append(at, 0), False
+            out.append(_runs(rows.iloc[at], s))
             yield pd.concat(out, ignore_index=True)
+        if kept is not None:
+            yield _runs(kept.tail(1), s)
+    return run
+
+
+def _runs(rows: pd.DataFrame, s: Forest) -> pd.DataFrame:
+    names = {bytes([t]) + label[:2 * s.least_depth] for t, label in zip(rows["tree"], rows["label"])}
+    return pd.DataFrame({"a": None, "b": None, "shared": 0, "run": list(names)}, columns=["a", "b", "shared", "run"])
+
+
+def link_tile(node: list[bytes], root: list[bytes], signatures: np.ndarray, left: np.ndarray, right: np.ndarray,
+              least: int) -> list[tuple[bytes, bytes]]:
+    """A spanning forest of the pairs of left and right whose signatures agree in ``least`` values, between nodes that
+    neither their roots nor pairs before them connect."""
+    label = np.unique(np.array(root, object), return_inverse=True)[1]
+    out = []
+    for i in left:
+        others = right[label[right] != label[i]]
+        for k in range(0, len(others), 4096):
+            some = others[k:k + 4096]
+            near = some[(signatures[some] == signatures[i]).sum(axis=1) >= least]
+            for other in np.unique(label[near]):
+                if other != label[i]:
+                    out.append((node[i], node[near[label[near] == other][0]]))
+                    label[label == other] = label[i]
+    return out
+
+
+def _linked_runs(s: Forest, least: int):
+    """Links of the tiles of rows that come sorted by tile; holds one tile at a time."""
+    def tile(rows: list[tuple]) -> list[tuple]:
+        (_, i, j), blocks = rows[0][:3], np.array([r[5] for r in rows])
+        left = np.flatnonzero(blocks == i)
+        right = left if i == j else np.flatnonzero(blocks == j)
+        signatures = np.frombuffer(b"".join(r[6] for r in rows), np.uint16).reshape(len(rows), -1)
+        return link_tile([r[3] for r in rows], [r[4] for r in rows], signatures, left, right, least)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current: list[tuple] = []
+        for batch in batches:
+            out: list[tuple] = []
+            for row in zip(*[batch[c] for c in ("run", "i", "j", "node", "root", "block", "signature")]):
+                if current and current[0][:3] != row[:3]:
+                    out += tile(current)
+                    current = []
+                current.append(row)
+            yield pd.DataFrame(out, columns=["a", "b"])
+        yield pd.DataFrame(tile(current) if current else [], columns=["a", "b"])
     return run
 
 
+def _run_links(runs: DataFrame, entries: DataFrame, groups: DataFrame, signatures: DataFrame, s: Forest, least: int) -> DataFrame:
+    """Links between the groups of a run. Runs of one group need none, as all its pairs are verified."""
+    prefix = F.concat(F.expr("unhex(lpad(hex(tree), 2, '0'))"), F.substring("label", 1, 2 * s.least_depth))
+    members = entries.select(prefix.alias("run"), "node").join(runs, "run").join(groups, "node", "left")
+    members = materialize(members.select("run", "node", F.coalesce("root", "node").alias("root")), "join-runs")
+    sizes = members.groupBy("run").agg(F.ceil(F.count("*") / s.run_block).cast("int").alias("blocks"),
+                                       F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = sizes.filter("low <> high").select("run", "blocks")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    tiles = (members.join(sizes, "run").join(signatures, "node")
+                    .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).withColumn("other", other)
+                    .select("run", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+                            "node", "root", "block", "signature"))
+    tiles = tiles.repartition("run", "i", "j").sortWithinPartitions("run", "i", "j")
+    return materialize(tiles.mapInPandas(_linked_runs(s, least), "a binary, b binary"), "join-run-links")
+
+
 def _agreement(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         agree = [float((np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)).mean())
@@ -285,15 +362,21 @@ def _classes(docs: DataFrame, text: str, key: str, s: Forest) -> DataFrame:
              for t in range(s.trees)]
     entries = nodes.select("node", F.explode(F.array(*label)).alias("e")).select("e.tree", "e.label", "node")
     sorted_tries = entries.repartitionByRange("tree", "label").sortWithinPartitions("tree", "label", "node")
-    near = sorted_tries.mapInPandas(_trie_neighbours(s), "a binary, b binary, shared int")
-    near = near.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.max("shared").alias("shared"))
+    near = sorted_tries.mapInPandas(_trie_neighbours(s), "a binary, b binary, shared int, run binary")
+    near = near.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "run").agg(F.max("shared").alias("shared"))
     near = materialize(near, "join-near")
+    runs, near = near.filter("run is not null").select("run"), near.filter("run is null").drop("run")
     signatures = nodes.select("node", "signature")
     near = (near.join(signatures.toDF("a", "x"), "a").join(signatures.toDF("b", "y"), "b")
                 .mapInPandas(_agreement, "a binary, b binary, shared int, agree double"))
     near = materialize(near, "join-candidates")
     deviation = (s.similarity * (1 - s.similarity) / (s.trees * s.depth)) ** 0.5
-    groups = components(near.filter(F.col("agree") >= s.similarity - s.slack * deviation))
+    least = s.similarity - s.slack * deviation
+    linked = near.filter(F.col("agree") >= least).select("a", "b")
+    groups = components(linked)
+    more = _run_links(runs, entries, groups, signatures, s, math.ceil(least * s.trees * s.depth))
+    if not more.isEmpty():
+        groups = components(groups.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
     # Blocks of a bounded expected size; a node goes to the tiles of its block with every block.
     sizes = groups.groupBy("root").agg(F.ceil(F.count("*") / s.block).cast("int").alias("blocks"))

@@ -235,6 +235,19 @@ def test_links_at_the_threshold_beside_many_near_exact_ones(spark):
     assert joined_pairs(spark, texts, 400) == 400
 
 
+def test_links_within_long_runs_of_a_prefix(spark):
+    """Linked pairs among texts that share half of what they hold, and so many prefixes."""
+    random_ = random.Random(12)
+    word = lambda: "".join(random_.choices("abcdefghijkl", k=8))
+    passage = [word() for _ in range(64)]
+    texts = []
+    for _ in range(150):
+        words = passage + [word() for _ in range(30)]
+        texts += [" ".join(words), " ".join(words[:-9] + [word() for _ in range(9)])]
+    texts += [" ".join(passage + [word() for _ in range(30)]) for _ in range(2000)]
+    assert joined_pairs(spark, texts, 150) == 150
+
+
 def test_one_text_per_member_is_verified(spark, monkeypatch):
     """Equal rows of a member's text reach the verification once; it is replaced by a count of its rows."""
     def count(s):
