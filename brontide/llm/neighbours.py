@@ -45,7 +45,10 @@ def chi_square(x: float, dimensions: int) -> float:
 
 
 class ProjectedTree:
-    """A kd-tree over the projections of distinct vectors, each with the ids that have it."""
+    """A kd-tree over the projections of distinct vectors, each with the ids that have it.
+
+    An id may have several vectors, but each of them once.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, s: Search) -> None:
         self.s = s
@@ -103,7 +106,11 @@ class ProjectedTree:
                 start = self.first[at[i]]
                 ids = self.ids[start:min(start + k + 1, self.first[at[i] + 1])]
                 best += [(float(distances[i]), int(x)) for x in ids if x != own]
-            best = sorted(set(best))[:k]
+            # An id with several vectors takes one place, with the nearest.
+            nearest_of: dict[int, float] = {}
+            for distance, x in sorted(best):
+                nearest_of.setdefault(x, distance)
+            best = [(distance, x) for x, distance in nearest_of.items()][:k]
         return best
 
 
@@ -124,7 +131,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector:
     """
     s = search
     cells = F.col(vector).cast("array<double>").alias("v")
-    rows = vectors.filter(usable(key, vector)).select(F.col(key).cast("long").alias("id"), cells)
+    rows = vectors.filter(usable(key, vector)).select(F.col(key).cast("long").alias("id"), cells).dropDuplicates()
+    rows = materialize(rows, "vectors")
     asked = queries.filter(usable(key, vector)).select(F.col(key).cast("long").alias("id"), cells).dropDuplicates()
     n_rows, n_queries = max(1, -(-rows.count() // s.rows)), max(1, -(-asked.count() // s.queries))
 

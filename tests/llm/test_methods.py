@@ -369,6 +369,16 @@ def test_copies_of_one_vector(spark):
     assert [(r["vec_id"], r["score"]) for r in found] == [(3 * i, 0.0) for i in range(10)]
 
 
+def test_repeated_ids_hide_no_neighbours(spark):
+    """Many equal rows of one id, and an id with many near vectors, beside others as near."""
+    rows = [(1, [1.0, 0.0])] * 30 + [(2, [1.0, 0.0])] * 30 + [(i, [1.0, 0.0]) for i in range(3, 6)]
+    rows += [(6, [1.0, 0.001 * i]) for i in range(1, 15)] + [(i, [1.0, 0.1 * i]) for i in range(7, 20)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(vectors, vectors.filter("vec_id = 1")).orderBy("rank").collect()
+    assert [r["vec_id"] for r in found] == [2, 3, 4, 5, 6, 7, 8, 9, 10, 11]
+    assert [r["score"] for r in found[:5]] == pytest.approx([0, 0, 0, 0, 0.001])
+
+
 # --- language -----------------------------------------------------------------------------------
 
 def test_language_of_rows_not_learned_from(spark):
