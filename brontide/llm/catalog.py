@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brontide.llm import chat, langid, lattice, mixing, neighbours, ngram_join, packing, quality, rules, urls
+from brontide.llm import chat, decontaminate, langid, lattice, mixing, neighbours, ngram_join, packing, quality, rules, urls
 from brontide.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,3 +202,34 @@ def op9_lattice_score(spark, sf_dir):
     model = lattice.train_lm(documents, vocabulary, train=~fold("doc_id", 7, 2))
     scored = lattice.score_documents(documents, model)
     return scored.select("doc_id", fold("doc_id", 7, 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+_LEAK_SQL = """
+with d as (
+  select doc_id, row_number() over () as r,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from documents),
+b as (
+  select item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w
+  from benchmark),
+v as (
+  select distinct item_id, m, array_to_string(w[i:i + m - 1], ' ') as g
+  from (select item_id, w, least(len(w), 10) as m, unnest(range(1, len(w) - least(len(w), 10) + 2)) as i from b where len(w) > 0)),
+p as (
+  select r, m, i, array_to_string(w[i:i + m - 1], ' ') as g
+  from (select r, w, m, unnest(range(1, len(w) - m + 2)) as i from d, (select distinct m from v))),
+h as (select r, p.m, i, item_id from p join v on p.m = v.m and p.g = v.g),
+n as (select r, count(distinct k) as n_hit from (select distinct r, unnest(range(i, i + m)) as k from h) group by r),
+t as (select r, count(*) as n_items, string_agg(item_id, ',' order by item_id) as items
+      from (select distinct r, cast(item_id as varchar) as item_id from h where item_id is not null) group by r)
+select doc_id, cast(coalesce(len(w), 0) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join n using (r) left join t using (r)
+"""
+
+
+@_add(_LEAK_SQL)
+def op13_decontamination(spark, sf_dir):
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
