@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brontide.llm import chat, decontaminate, langid, lattice, mixing, neighbours, ngram_join, packing, quality, rules, urls
+from brontide.llm import chat, decontaminate, langid, lattice, lexical, mixing, neighbours, ngram_join, packing, quality, rules, urls
 from brontide.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -233,3 +233,31 @@ def op13_decontamination(spark, sf_dir):
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+_SEARCH_SQL = """
+with d as (
+  select doc_id, row_number() over () as r,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as w
+  from documents),
+b as (
+  select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) as term
+  from benchmark),
+q as (select item_id, term, count(*) as q from b group by all),
+k as (select count(*) as docs, cast(sum(len(w)) as bigint) as length from d where len(w) > 0),
+t as (select r, term, count(*) as tf from (select r, unnest(w) as term from d) group by all),
+i as (select term, cast(floor(1000 * ln(cast(2 * any_value(docs) + 2 as double) / (2 * count(*) + 1))) as bigint) as w from t, k group by term),
+m as (select doc_id, r, 100 - 25 + (25 * len(w) * docs) // length as m from d, k where len(w) > 0),
+s as (
+  select item_id, r, cast(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) as bigint) as score
+  from q join t using (term) join i using (term) join m using (r) group by all),
+o as (
+  select item_id, doc_id, score, row_number() over (partition by item_id order by score desc, doc_id) as rank
+  from s join m using (r) where score > 0)
+select item_id, cast(rank as int) as rank, doc_id, score from o where rank <= 20
+"""
+
+
+@_add(_SEARCH_SQL)
+def op11_lexical_search(spark, sf_dir):
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
