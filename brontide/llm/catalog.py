@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from brontide.llm import chat, decontaminate, langid, lattice, lexical, mixing, neighbours, ngram_join, packing, quality, rules, urls
+from brontide.llm import chat, decontaminate, hard_negatives, langid, lattice, lexical, mixing, neighbours, ngram_join, packing, quality, rules, urls
 from brontide.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -261,3 +261,30 @@ select item_id, cast(rank as int) as rank, doc_id, score from o where rank <= 20
 @_add(_SEARCH_SQL)
 def op11_lexical_search(spark, sf_dir):
     return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+_NEGATIVES_SQL = """
+with e as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as (
+  select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same,
+         cast(list_sum(list_transform(range(1, len(a.v) + 1), lambda i: a.v[i] * b.v[i])) as bigint) as score
+  from e a join e b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id),
+t as (select * from p where same qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select t.anchor_id, t.id as positive_id,
+       cast(row_number() over (partition by t.anchor_id, t.id order by p.score desc, p.id) as int) as rank,
+       p.id as negative_id, t.score as positive_score, p.score as negative_score
+from t join p on t.anchor_id = p.anchor_id and not p.same and 50 * t.score <= 100 * p.score and 100 * p.score <= 95 * t.score
+qualify rank <= 3
+"""
+
+
+@_add(_NEGATIVES_SQL)
+def op12_hard_negatives(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
