@@ -16,8 +16,8 @@ def test_query_equals_sql(spark, name):
     assert compare(catalog.QUERIES[name], catalog.SQL[name], spark, connect(SF_DIR), SF_DIR) is None
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 11))
+def test_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.QUERIES) == list(range(1, 14))
 
 
 def shingle_sets(texts):
