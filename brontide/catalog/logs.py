@@ -89,14 +89,22 @@ def fingerprint_text(spark, sf_dir):
     return L.fingerprint_text(docs).drop("content")
 
 
-# Every seventh event has no JSON at all; the others have keys out of order, blanks, a key that
-# repeats, and an integer longer than any number type.
+# Every seventh event has no JSON at all; the others have keys out of order, blanks, a key that repeats, an integer longer than
+# any number type, numbers in all notations, a key beyond the 16-bit characters, half a surrogate, or a second value.
 _LONG = "123456789012345678901234567890123456789012345"
 _PROPS = f"""case when event_id % 7 = 0 then null
     when event_id % 7 = 1 then concat('{{"type": "first",  "props": ', props, ', "type": "', event_type, '"}}')
     when event_id % 7 = 2 then concat('{{"type": "', event_type, '",  "n": {_LONG}}}')
+    when event_id % 7 = 3 then concat('{{"type": "', event_type, '",  "n": [1.0, -0.0, 0.10, ', event_id, '.50], "big": ', case event_id % 3
+        when 0 then '1e-7, "huge": 1E400, "id": 1234567890123456' when 1 then '1234567890123456.0' else '[true, 1.5e3]' end, '}}')
+    when event_id % 7 = 4 then concat('{{"\U0001f600": 1, "\uff5e": "', event_type, case when event_id % 2 = 0 then '", "a": "\\\\ud800"}}' else '", "a": "?"}}' end)
+    when event_id % 7 = 5 then concat('{{"type": "', event_type, '"}} ', event_id)
     else concat('{{"type": "', event_type, '",  "props": ', props, '}}') end"""
 _PROPS_SQL = f"""case when event_id % 7 = 0 then '{{}}' when event_id % 7 = 2 then concat('{{"n":{_LONG},"type":"', event_type, '"}}')
+    when event_id % 7 = 3 then concat('{{"big":', case event_id % 3 when 0 then '0.0000001,"huge":1{'0' * 400},"id":1234567890123456'
+        when 1 then '1234567890123456' else '[true,1500]' end, ',"n":[1,0,0.1,', event_id, '.5],"type":"', event_type, '"}}')
+    when event_id % 7 = 4 then concat('{{"a":"?","\U0001f600":1,"\uff5e":"', event_type, '"}}')
+    when event_id % 7 = 5 then concat('"{{\\"type\\": \\"', event_type, '\\"}} ', event_id, '"')
     else concat('{{"props":', cast(json(props) as varchar), ',"type":"', event_type, '"}}') end"""
 
 
@@ -156,6 +164,10 @@ _SHAPES = [
     ("'[[\"' || event_type || '\"], {\"logs\": [\"a\", \"b\"]}]'", "event_type || chr(10) || 'a' || chr(10) || 'b'"),
     ("'{\"content\": \"no\", \"content\": \"' || event_type || '\"}'", "event_type"),
     (f"'{{\"n\": {_LONG}, \"a\": ' || user_id || '}}'", f"'{{\"a\":' || user_id || ',\"n\":{_LONG}}}'"),
+    ("'{\"n\": 1e-7, \"a\": ' || user_id || '.0}'", "'{\"a\":' || user_id || ',\"n\":0.0000001}'"),
+    ("user_id || ' workers of {}'", "user_id || ' workers of {}'"),
+    ("'{\"content\": \"no\", \"content\": \"' || event_type || '\\\\udfff\"}'", "event_type || '?'"),
+    ("'{\"content\": \"' || event_type || '\"}' || chr(10) || '{\"content\": \"b\"}'", "'{\"content\": \"' || event_type || '\"}' || chr(10) || '{\"content\": \"b\"}'"),
 ]
 
 
@@ -164,6 +176,10 @@ def _shaped(part: int) -> str:
     return f"case event_id % {len(_SHAPES)} {cases} end"
 
 
+# The one dialect reads a backslash as it is, the other an escape.
+_BODIES_SQL = _shaped(0).replace(r"\\", "\\")
+
+
 @registry.add(f"select event_id, {_shaped(1)} as text from events")
 def extract_log_text(spark, sf_dir):
     df = table(spark, sf_dir, "events").select("event_id", F.expr(_shaped(0)).alias("payload"))
@@ -171,7 +187,7 @@ def extract_log_text(spark, sf_dir):
 
 
 @registry.add(f"""select event_id, case when event_type in ('click', 'view') then {_shaped(1)}
-    else coalesce({_shaped(0)}, '') end as text from events""")
+    else coalesce({_BODIES_SQL}, '') end as text from events""")
 def decode_payload(spark, sf_dir):
     content_type = F.expr("""case event_type when 'click' then 'application/json'
         when 'view' then 'application/json; charset=utf-8' when 'error' then 'text/plain'
@@ -181,8 +197,14 @@ def decode_payload(spark, sf_dir):
     return L.decode_payload(df)
 
 
-_ITEM = (f"'{{\"id\":' || case when event_id % 7 = 6 then '{_LONG}' else '1' end || "
-         "',\"task_id\":\"' || event_type || '\",\"try_number\":' || user_id || '}'")
+def _item(one: str, name: str) -> str:
+    return (f"'{{\"id\":' || case when event_id % 7 = 6 then '{_LONG}' else '{one}' end || "
+            f"',\"task_id\":\"{name}' || event_type || '\",\"try_number\":' || user_id || '}}'")
+
+
+# As it comes, and in its canonical form.
+_GIVEN = _item("1.0", "\\\\ud800")
+_ITEM = _item("1", "?")
 
 
 @registry.add(f"""select event_id, cast(i as int) as item_no, {_ITEM} as task_instance
@@ -190,13 +212,13 @@ _ITEM = (f"'{{\"id\":' || case when event_id % 7 = 6 then '{_LONG}' else '1' end
         when 2 then [0] when 3 then [] when 4 then [0, 1, 2] else [0, 1] end) as i)""")
 def explode_task_instances(spark, sf_dir):
     payload = f"""case event_id % 7
-        when 5 then '{{"tasks": [' || {_ITEM} || '], "tasks": [' || {_ITEM} || ',' || {_ITEM} || ']}}'
-        when 6 then '{{"tasks": [' || {_ITEM} || ', 3, ' || {_ITEM} || ']}}'
-        when 0 then '[' || {_ITEM} || ', 7, "x", ' || {_ITEM} || ']'
-        when 1 then '{{"task_instances": 3, "tasks": [' || {_ITEM} || ']}}'
-        when 2 then '{{"results": [[1], ' || {_ITEM} || ', null], "total": 1}}'
+        when 5 then '{{"tasks": [' || {_GIVEN} || '], "tasks": [' || {_GIVEN} || ',' || {_GIVEN} || ']}}'
+        when 6 then '{{"tasks": [' || {_GIVEN} || ', 3, ' || {_GIVEN} || ']}}'
+        when 0 then '[' || {_GIVEN} || ', 7, "x", ' || {_GIVEN} || ']'
+        when 1 then '{{"task_instances": 3, "tasks": [' || {_GIVEN} || ']}}'
+        when 2 then '{{"results": [[1], ' || {_GIVEN} || ', null], "total": 1}}'
         when 3 then '{{"items": "[{{}}]"}}'
-        else '{{"taskInstances": [' || {_ITEM} || ',' || {_ITEM} || ',' || {_ITEM} || '], "items": [{{}}]}}' end"""
+        else '{{"taskInstances": [' || {_GIVEN} || ',' || {_GIVEN} || ',' || {_GIVEN} || '], "items": [{{}}]}}' end"""
     df = table(spark, sf_dir, "events").select("event_id", F.expr(payload).alias("payload"))
     return L.explode_task_instances(df)
 

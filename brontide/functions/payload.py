@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from brontide.functions import exact_json
+from brontide.operators.project import column
 
 # Fixed values ------------------------------------------------------------------------------
 # Keys under which an object may hold its text, in the order in which they are tried.
@@ -18,17 +19,28 @@ JSON_CONTENT_TYPE = "application/json"
 # -------------------------------------------------------------------------------------------
 
 
-# What the JVM's parser cannot be trusted with: text that looks like JSON but that it refuses, for its
-# size, its depth, a repeated key or because it is none; and numbers with more digits than it keeps.
-_REFUSED = "(try_parse_json({p}) IS NULL AND left(ltrim(' \\t\\r\\n', {p}), 1) IN ('[', '{{', '\"'))"
-_LONG_NUMBER = "{p} RLIKE '[0-9]{{16}}'"
+# The JVM's parser stops behind the first value and says nothing of what follows. So a payload is read as the first
+# element of a list that must end in this mark.
+_MARK = "~end of payload~"
+_VALUE = (f"get(transform(array(try_parse_json(concat('[', {{p}}, ',\"{_MARK}\"]'))), w -> CASE WHEN try_variant_get(w, '$[1]', 'string') = '{_MARK}' "
+          f"AND try_variant_get(w, '$[2]', 'variant') IS NULL AND NOT contains({{p}}, '{_MARK}') THEN try_variant_get(w, '$[0]', 'variant') END), 0)")
+# What that parser refuses although it looks like JSON: for its size, its depth, a repeated key, or because it is none.
+_REFUSED = "(j IS NULL AND (left(ltrim(' \\t\\r\\n', {p}), 1) IN ('[', '{{', '\"') OR {p} RLIKE '^[ \\\\t\\\\r\\\\n]*-?[0-9][-+.0-9eE]*[ \\\\t\\\\r\\\\n]*$'))"
+# What it reads in a way of its own: numbers with an exponent or more digits than a decimal has, and halves of surrogates.
+_ODD = "{p} RLIKE '(^|[\\\\[:,\\\\s])-?[0-9]+([.][0-9]+)?[eE]|(^|[\\\\[:,\\\\s])-?[0-9.]{{30}}|\\\\\\\\u[dD][89a-fA-F]'"
 
 
-def _exact(function, payload: str, numbers: bool = True) -> Column:
-    """``function``, a pandas UDF, of the payloads that need the exact reading; its argument is NULL for
-    all others, and so is its result, as it is for text that is not JSON."""
-    condition = _REFUSED + (f" OR {_LONG_NUMBER}" if numbers else "")
-    return function(F.expr(f"CASE WHEN {condition.format(p=payload)} THEN {payload} END"))
+def _let(value: str, name: str, body: str) -> str:
+    """SQL of ``body`` with ``name`` for a value that is computed once, however often it is used."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _parsed(payload: str, regular: str, odd: bool = True) -> Column:
+    """A struct of one parse: ``regular``, SQL of the value ``j``, and ``ask``, the payload if it needs the exact reading. To be
+    a column of its own, so that it is computed once."""
+    ask = _REFUSED + (f" OR (j IS NOT NULL AND {_ODD})" if odd else "")
+    return F.expr(_let(_VALUE.format(p=payload), "j",
+                       f"named_struct('ask', CASE WHEN {ask.format(p=payload)} THEN {payload} END, 'regular', {regular})"))
 
 
 def _read(payload: pd.Series, of_value) -> pd.Series:
@@ -46,17 +58,20 @@ def _exact_canonical(payload: pd.Series) -> pd.Series:
     return _read(payload, exact_json.dumps)
 
 
-def canonical_json(payload: str) -> Column:
-    """Compact JSON with sorted keys of a column; NULL becomes ``{}``, text that is not JSON a JSON string."""
-    # By way of a list, as a cast to variant has a limit of size.
-    listed = F.to_json(F.array(F.col(payload)))
-    quoted = F.when(F.col(payload).isNotNull(), F.substring(listed, F.lit(2), F.length(listed) - 2))
-    return F.coalesce(_exact(_exact_canonical, payload), F.to_json(F.try_parse_json(F.col(payload))), quoted, F.lit("{}"))
-
+def with_canonical_json(df: DataFrame, payload: str, only: Column | None = None) -> DataFrame:
+    """A column of payloads as compact JSON with sorted keys; NULL becomes ``{}``, text that is not JSON a JSON string.
 
-def _let(value: str, name: str, body: str) -> str:
-    """SQL of ``body`` with ``name`` for a value that is computed once, however often it is used."""
-    return f"get(transform(array({value}), {name} -> {body}), 0)"
+    Equal values have equal texts, whichever reader took them: see ``exact_json.dumps``. With ``only`` the other rows
+    are not read and become NULL.
+    """
+    use = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
+    named = df.withColumns({"_given": F.when(use, column(payload)), "_use": use})
+    read = named.withColumn("_read", _parsed("_given", "to_json(j)"))
+    # By way of a list, as a cast to variant has a limit of size.
+    listed = F.to_json(F.array("_given"))
+    quoted = F.when(F.col("_given").isNotNull(), F.substring(listed, F.lit(2), F.length(listed) - 2))
+    canonical = F.coalesce(_exact_canonical("_read.ask"), "_read.regular", quoted, F.lit("{}"))
+    return read.withColumn(payload, F.when(F.col("_use"), canonical)).drop("_given", "_use", "_read")
 
 
 def _plain_text(value: str) -> str:
@@ -94,7 +109,7 @@ def regular_text(payload: str) -> Column:
     parsed = (f"CASE WHEN j IS NOT NULL THEN {joined} WHEN left(ltrim(' \\t\\r\\n', {payload}), 1) "
               f"NOT IN ('[', '{{', '\"') THEN {payload} END")
     return F.expr(f"CASE WHEN {payload} IS NULL THEN '' "
-                  f"ELSE {_let(f'try_parse_json({payload})', 'j', parsed)} END")
+                  f"ELSE {_let(_VALUE.format(p=payload), 'j', parsed)} END")
 
 
 def _nested_text(value) -> str:
@@ -156,8 +171,8 @@ def _exact_items(payload: pd.Series) -> pd.Series:
     return _read(payload, _task_items)
 
 
-def task_instances(payload: str) -> Column:
-    """Array of the task-instance objects in a column of payloads, as JSON.
+def with_task_instances(df: DataFrame, payload: str, name: str) -> DataFrame:
+    """Add the array of the task-instance objects in a column of payloads, as JSON.
 
     The payload is the list itself or an object with the list under one of ``TASK_LIST_KEYS``;
     a key that holds something else is passed over.
@@ -167,10 +182,10 @@ def task_instances(payload: str) -> Column:
                   "CASE WHEN startswith(schema_of_variant(v), 'ARRAY') "
                   "THEN try_variant_get(v, '$', 'array<variant>') END")
              for path in ("$", *(f"$.{key}" for key in TASK_LIST_KEYS))]
-    found = _let(f"try_parse_json({payload})", "j", f"coalesce({', '.join(lists)})")
-    regular = (f"transform(filter({found}, item -> startswith(schema_of_variant(item), 'OBJECT')), "
+    regular = (f"transform(filter(coalesce({', '.join(lists)}), item -> startswith(schema_of_variant(item), 'OBJECT')), "
                "item -> to_json(item))")
-    return F.coalesce(_exact(_exact_items, payload), F.expr(regular))
+    read = df.withColumn("_read", _parsed(payload, regular))
+    return read.withColumn(name, F.coalesce(_exact_items("_read.ask"), "_read.regular")).drop("_read")
 
 
 def _url(value) -> str | None:
@@ -187,9 +202,9 @@ def _exact_url(payload: pd.Series) -> pd.Series:
 
 
 def is_unreadable(payload: str) -> Column:
-    """Whether a column's payload looks like JSON and is none: a list, object or string that does not end well."""
-    readable = _exact(_exact_canonical, payload, numbers=False)
-    return F.coalesce(F.expr(_REFUSED.format(p=payload)) & readable.isNull(), F.lit(False))
+    """Whether a column's payload looks like JSON and is none: a list, object, string or number that does not end well."""
+    refused = _parsed(payload, "1", odd=False)["ask"]
+    return refused.isNotNull() & _exact_canonical(refused).isNull()
 
 
 def external_log_url(payload: str) -> Column:
@@ -203,6 +218,5 @@ def external_log_url(payload: str) -> Column:
                   for key in URL_KEYS]
     itself = string("j", "startswith(t, 'http')")
     plain = f"CASE WHEN j IS NULL AND startswith({payload}, 'http') THEN {payload} END"
-    regular = F.expr(_let(f"try_parse_json({payload})", "j",
-                          f"coalesce({', '.join([*under_keys, itself, plain])})"))
-    return F.coalesce(_exact(_exact_url, payload, numbers=False), regular)
+    read = _parsed(payload, f"coalesce({', '.join([*under_keys, itself, plain])})", odd=False)
+    return F.coalesce(_exact_url(read["ask"]), read["regular"])

@@ -76,7 +76,7 @@ def explode_task_instances(df: DataFrame, payload: str = "payload") -> DataFrame
     """One row per task-instance object of a payload, as JSON, numbered from 0."""
     others = [column(c) for c in df.columns if c != payload]
     named = df.select(*others, column(payload).alias("_payload"))
-    found = named.select(*others, P.task_instances("_payload").alias("_items"))
+    found = P.with_task_instances(named, "_payload", "_items").drop("_payload")
     # The outer form, as for the other Spark would evaluate the items twice, for a filter on them.
     items = found.select(*others, F.posexplode_outer("_items").alias("item_no", "task_instance"))
     return items.filter(F.col("item_no").isNotNull())
@@ -100,10 +100,7 @@ def fingerprint_text(df: DataFrame, content: str = "content") -> DataFrame:
 
 def normalize_json_source(df: DataFrame, raw_json: str = "raw_json") -> DataFrame:
     """Replace a JSON column by its canonical text and add its hash and size."""
-    others = [column(c) for c in df.columns if c != raw_json]
-    named = df.select(*others, column(raw_json).alias("_json"))
-    canonical = named.select(*others, P.canonical_json("_json").alias(raw_json))
-    return canonical.select(
+    return P.with_canonical_json(df, raw_json).select(
         "*", X.sha256_hex(column(raw_json)).alias("content_hash"),
         F.octet_length(column(raw_json)).cast("bigint").alias("content_size_bytes"))
 
@@ -116,11 +113,11 @@ def route_sources(df: DataFrame) -> DataFrame:
     """
     is_text = F.col("raw_text").isNotNull() | F.col("raw_content").isNotNull()
     others = [column(c) for c in df.columns if c not in ("raw_text", "raw_content", "raw_json")]
-    routed = df.select(
+    routed = P.with_canonical_json(df, "raw_json", ~is_text).select(
         *others,
         F.when(is_text, F.lit("TEXT")).otherwise(F.lit("JSON")).alias("content_type"),
         F.when(is_text, X.pick_content(F.col("raw_text"), F.col("raw_content"))).alias("raw_content"),
-        F.when(~is_text, P.canonical_json("raw_json")).alias("raw_json"))
+        "raw_json")
     body = F.coalesce("raw_content", "raw_json")
     return routed.select(
         "*", X.sha256_hex(body).alias("content_hash"),
@@ -178,7 +175,7 @@ def upsert_log_sources(base: DataFrame, incoming: DataFrame, now: Column | None
 def upsert_resources(base: DataFrame, incoming: DataFrame, now: Column | None = None,
                      allowed: Allowed | None = None) -> DataFrame:
     """Apply discovered resources to the table of resources; a category beyond ``allowed`` fails."""
-    stamped = (_checked(incoming, allowed).withColumn("raw_payload", P.canonical_json("raw_payload"))
+    stamped = (P.with_canonical_json(_checked(incoming, allowed), "raw_payload")
                .withColumn("updated_at", F.current_timestamp() if now is None else now))
     return upsert(base, stamped, RESOURCE_RULE)
 

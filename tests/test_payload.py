@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from hypothesis import given, settings, strategies as st
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from brontide.functions import exact_json, payload as P
@@ -40,8 +40,16 @@ TEXTS = [
     ("[" * 100_000 + "]" * 100_000, ""),
     ('{"content": ' * 3_000 + '"hello"' + "}" * 3_000, "hello"),
     ('{"content": ' * 3_000 + '"hello"' + "}" * 2_999, '{"content": ' * 3_000 + '"hello"' + "}" * 2_999),
-    ('{"n": ' + "9" * 5_000 + ', "a": 0.12345678901234567890}', '{"a":0.12345678901234567890,"n":' + "9" * 5_000 + "}"),
+    ('{"n": ' + "9" * 5_000 + ', "a": 0.12345678901234567890}', '{"a":0.1234567890123456789,"n":' + "9" * 5_000 + "}"),
     ('["ok", NaN]', '["ok", NaN]'),
+    ("5 workers started", "5 workers started"),
+    ('{"content": "a"} and more', '{"content": "a"} and more'),
+    ('{"content": "a"}\n{"content": "b"}', '{"content": "a"}\n{"content": "b"}'),
+    ('["a"], ["b"]', '["a"], ["b"]'),
+    ("1] [", "1] ["),
+    ('{"content": "\\ud800!", "content": "\\udfff?"}', "??"),
+    ('{"content": "x\\ud800\\ud83d\\ude00\\\\ud800"}', "x?\U0001f600\\ud800"),
+    ('{"content": 1.0}', "1"), ("-0.0", "0"), ("1e-7", "0.0000001"),
     ('"no end', '"no end'),
 ]
 
@@ -100,15 +108,57 @@ def test_external_log_url(spark, payload, url):
     assert df.select(P.external_log_url("payload")).first()[0] == url
 
 
+NUMBERS = [("1.0", "1"), ("-0.0", "0"), ("-0", "0"), ("0e5", "0"), ("1e-7", "0.0000001"), ("1E400", "1" + "0" * 400), ("1e401", "1E401"), ("-2.50e-500", "-2.5E-500"),
+           ("123456789012345.0", "123456789012345"), ("1234567890123456", "1234567890123456"), ("0.10", "0.1"), ("1.5e3", "1500"),
+           ("12345678901234567890.5", "12345678901234567890.5"), ("123456789012345678901234567890123456789", "123456789012345678901234567890123456789")]
+
+
+def _texts(value) -> st.SearchStrategy:
+    return st.tuples(st.sampled_from(["", " ", "\n"]), value, st.sampled_from(["", "  "])).map("".join)
+
+
+_NUMBER_TEXTS = st.from_regex(r"-?(0|[1-9][0-9]{0,40})(\.[0-9]{1,40})?([eE][-+]?[0-9]{1,3})?", fullmatch=True)
+_STRING_TEXTS = st.lists(st.sampled_from(["a", "é", "\U0001f600", "\uffff", "\\n", "\\u001f", "\\ud800", "\\udc00", "\\ud83d\\ude00", '\\"', "\\\\", "\x7f", "\u2028", "1e5"]),
+                         max_size=4).map(lambda x: f'"{"".join(x)}"')
+_JSON_TEXTS = st.recursive(_NUMBER_TEXTS | _STRING_TEXTS | st.sampled_from(["null", "true", "false"]), lambda x: (
+    st.lists(_texts(x), max_size=3).map(lambda v: f"[{','.join(v)}]")
+    | st.lists(st.tuples(_STRING_TEXTS, _texts(x)), max_size=3).map(lambda v: "{" + ",".join(f"{k}:{w}" for k, w in v) + "}")), max_leaves=8)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(_texts(_JSON_TEXTS | st.tuples(_JSON_TEXTS, st.sampled_from([" x", ",1", "]", " {}"])).map("".join)), min_size=20, max_size=60))
+def test_both_readers_give_one_form(spark, texts):
+    """Whatever the JVM decides by itself is what the exact reading gives, byte for byte."""
+    df = spark.createDataFrame([(t,) for t in texts], "p string")
+    for r in df.select("p", P._parsed("p", "to_json(j)").alias("r")).select("p", "r.ask", "r.regular").collect():
+        try:
+            exact = exact_json.dumps(exact_json.loads(r["p"]))
+        except ValueError:
+            exact = None
+        if r["ask"] is None:
+            assert r["regular"] == exact, r["p"]
+    for r in L.normalize_json_source(df.selectExpr("p", "p as raw_json")).collect():
+        try:
+            exact = exact_json.dumps(exact_json.loads(r["p"]))
+        except ValueError:
+            exact = exact_json.dumps(r["p"])
+        assert r["raw_json"] == exact and exact_json.dumps(exact_json.loads(exact)) == exact
+
+
 def test_canonical_json(spark):
     deep, long = "[" * 20_000 + "]" * 20_000, "123456789012345678901234567890123456789012345"
     cases = [(None, "{}"), ('{"b": 1, "a": [1, 2]}', '{"a":[1,2],"b":1}'), ("oops", '"oops"'), ('say "hi"', '"say \\"hi\\""'),
              ('{"a": 1, "a": 2}', '{"a":2}'), (f'{{"n": {long}}}', f'{{"n":{long}}}'), (f" {deep}", deep),
-             ('{"open', '"{\\"open"')]
+             ('{"open', '"{\\"open"'), ('{"a":1} xyz', '"{\\"a\\":1} xyz"'), ("5 workers", '"5 workers"'), ("null x", '"null x"')]
+    cases += [(f'{{"b":{n}{more}, "a":1}}', f'{{"a":1,"b":{form}{more}}}') for more in ("", ',"id":1234567890123456', ',"l":[1]', ',"z":' + "9" * 60)
+              for n, form in NUMBERS]
+    cases += [('{"\U0001f600":1,"\uffff":2}', '{"\U0001f600":1,"\uffff":2}'), ('{"\U0001f600":1,"\uffff":2,"a":1,"a":2}', '{"a":2,"\U0001f600":1,"\uffff":2}'),
+              ('{"a":"\\u001f\\/\\u00e9"}', '{"a":"\\u001F/é"}'), ('{"a":"\\u001f\\/\\u00e9","n":1e0}', '{"a":"\\u001F/é","n":1}'),
+              ('{"k\\ud800":"\\udc00v"}', '{"k?":"?v"}'), ('{"k\\ud800":"\\udc00v","a":1,"a":2}', '{"a":2,"k?":"?v"}')]
     df = spark.createDataFrame(cases, "raw_json string, expected string")
     for row in L.normalize_json_source(df).collect():
         assert row["raw_json"] == row["expected"]
-        assert row["content_size_bytes"] == len(row["expected"])
+        assert row["content_size_bytes"] == len(row["expected"].encode())
 
 
 def test_route_sources(spark):
