@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from datetime import timedelta
 
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from brontide.catalog.common import Registry, table
 from brontide.operators import containers as C
 from brontide.session import work_dir
+from brontide.sources import tables
 from brontide.streaming import containers as S
+from brontide.streaming.tail import open_file_system
 
 registry = Registry()
 
@@ -77,15 +80,53 @@ def daily_sink(spark, sf_dir):
     return days.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("user_id").alias("users"))
 
 
+def _write_growing(batch: pd.DataFrame, root: str, run: int) -> int:
+    """The file of one container as it is in a run: longer than before, with an unfinished last line; one is rotated by
+    renaming in the second run, one truncated in the third."""
+    system, folder = open_file_system(root)
+    name = f"{folder}/{batch['container_name'].iloc[0].strip('/')}.log"
+    batch = batch.sort_values(["run", "event_id"])
+    shown = batch[batch["run"] <= run]
+    if run >= 2 and name.endswith("redis.log"):
+        if run == 2:
+            system.move(name, f"{name}.1")
+            # What was unfinished when the file was renamed is finished first.
+            first = batch[batch["run"] == 1]["value"]
+            with system.open_output_stream(f"{name}.1") as out:
+                out.write("".join(f"{x}\n" for x in first).encode())
+        shown = shown[shown["run"] >= 2]
+    if run == 3 and name.endswith("minio.log"):
+        shown = shown[shown["run"] == 3]
+    text = "".join(f"{x}\n" for x in shown["value"])
+    later = batch[batch["run"] == run + 1]["value"]
+    # The beginning of the next line, but for files that are truncated then.
+    if len(later) and not (run == 2 and name.endswith("minio.log")):
+        text += later.iloc[0][:9]
+    elif run == 1 and len(shown) and name.endswith("redis.log"):
+        text = text[:-5]
+    with system.open_output_stream(name) as out:
+        out.write(text.encode())
+    return len(shown)
+
+
+def _writer(root: str, run: int):
+    return lambda batch: pd.DataFrame({"n": [_write_growing(batch, root, run)]})
+
+
 @registry.add(f"select *, cast(ts as date) as day from ({_LABELS_SQL}) where {_ON_TIME}")
 def stream_tail_logs(spark, sf_dir):
-    """Two runs with one checkpoint; the second finds only what came in between."""
+    """Three runs with one checkpoint over files that grow, of which one is rotated and one truncated in between."""
     path, latest = work_dir(spark, "tail"), _latest(spark, sf_dir)
-    lines = _lines(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
-    first = F.col("line") < '{"k": 5'
-    for part in (lines.filter(first), lines.filter(~first)):
-        part.write.mode("append").parquet(f"{path}/in")
-        stream = S.read_container_lines(spark, f"{path}/in", "parquet")
+    tables.make_folder(spark, f"{path}/in")
+    run = F.expr("case when line < '{\"k\": 4' then 1 when line < '{\"k\": 7' then 2 else 3 end")
+    events = table(spark, sf_dir, "events").selectExpr("event_id", *[f"{e} as {c}" for c, e in _LINE.items()])
+    json_line = F.to_json(F.struct(F.col("ts").cast("timestamp").alias("ts"), "container_name", "image", "line"),
+                          {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
+    lines = events.select("event_id", "container_name", run.alias("run"), json_line.alias("value"))
+    for now in (1, 2, 3):
+        written = lines.groupBy("container_name").applyInPandas(_writer(f"{path}/in", now), "n long")
+        written.agg(F.sum("n")).collect()
+        stream = S.read_growing_logs(spark, f"{path}/in", rangeBytes=1 << 16)
         S.tail_logs(stream, f"{path}/out", f"{path}/checkpoint", as_of=latest, once=True).awaitTermination()
     # The first days are closed, the last ones are not.
     S.compact_days(spark, f"{path}/out", (latest - timedelta(days=3)).date())

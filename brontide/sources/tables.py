@@ -43,6 +43,11 @@ def delete_path(spark: SparkSession, path: str) -> None:
     files.delete(jvm_path, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, jvm_path = _file_system(spark, path)
+    files.mkdirs(jvm_path)
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names in a folder; none where there is no folder."""
     files, jvm_path = _file_system(spark, path)

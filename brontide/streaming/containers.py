@@ -11,14 +11,22 @@ from brontide.operators.containers import MAX_AGE, label_containers, reject_late
 from brontide.schemas import CONTAINER_LINE, TAILED
 from brontide.session import materialize
 from brontide.sources import parts, tables
+from brontide.streaming.tail import read_growing_lines
 
 REFRESH = "5 seconds"
 
 
 def read_container_lines(spark: SparkSession, path: str, fmt: str = "json", **options) -> DataFrame:
+    """Lines of files that are complete when they appear; each file is read once."""
     return spark.readStream.schema(CONTAINER_LINE).format(fmt).options(**options).load(path)
 
 
+def read_growing_logs(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Lines, as JSON, of files that grow, by byte position; see ``streaming/tail.py``. A line that is no JSON has no time."""
+    lines = read_growing_lines(spark, path, **options)
+    return lines.select(F.from_json("line", CONTAINER_LINE).alias("_line")).select("_line.*")
+
+
 def tail_logs(lines: DataFrame, path: str, checkpoint: str, *, as_of: datetime | None = None,
               max_age: timedelta = MAX_AGE, once: bool = False) -> StreamingQuery:
     """Label new lines, reject late ones and file the rest by batch and day.
