@@ -7,6 +7,7 @@ the same rows on the same tables, or None where there is no SQL for it.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -100,3 +101,17 @@ def write_attempts(lines: DataFrame, root: str, whole: bool = False) -> None:
     (dealt.sortWithinPartitions(*order)
          .select(*order[:4], F.col("line").alias("value"))
          .write.partitionBy(*order[:4]).text(root))
+
+
+@contextmanager
+def splits_of(spark: SparkSession, size: int):
+    """Files are split at so many bytes, and no two files or splits go to one task, as far as jobs run within."""
+    names = {"spark.sql.files.maxPartitionBytes": size, "spark.sql.files.openCostInBytes": size}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

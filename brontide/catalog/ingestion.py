@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from brontide.catalog.common import (
     BLANKS_SQL, CLEANSED_SQL, LINE_EXPR, PRIMARY_KEYS, TABLES, Registry, customers_with_blanks,
-    event_lines, table, union_sql, write_attempts)
+    event_lines, splits_of, table, union_sql, write_attempts)
 from brontide.operators import project as P, quality as Q
 from brontide.plans import ingest as I
-from brontide.session import work_dir
+from brontide.session import materialize, work_dir
 from brontide.sources import artifacts, attempt_logs, csv, documents, tables
 
 registry = Registry()
@@ -40,6 +40,21 @@ def scan_csv(spark, sf_dir):
     return csv.scan_csv(spark, path, source.schema)
 
 
+# A name with a quote, a comma and a line break in it, as only a quoted field can hold.
+_BROKEN = "concat(p_name, case p_partkey % 3 when 0 then concat(' \"', p_brand, '\"\n\n,') when 1 then ', \n' else '' end)"
+
+
+@registry.add(f"select p_partkey, {_BROKEN} as p_name, p_brand, p_type, p_size, p_retailprice from part")
+def scan_large_csv(spark, sf_dir):
+    """One file of many splits, with line breaks in quoted fields."""
+    source, path = table(spark, sf_dir, "part").withColumn("p_name", F.expr(_BROKEN)), work_dir(spark, "csv")
+    csv.write_csv(source.coalesce(1), path, rows_per_file=0)
+    (name, size), = tables.list_sizes(spark, path)
+    with splits_of(spark, max(64, size // 24)):
+        rows = csv.scan_csv(spark, f"{path}/{name}", source.schema)
+        return materialize(rows, "large-csv")
+
+
 @registry.add("""select cast(p_partkey as int) as p_partkey, p_name, p_brand, p_type, p_size,
                         p_retailprice from part""")
 def scan_csv_inferred(spark, sf_dir):

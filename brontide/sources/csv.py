@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
+from brontide.sources import large_csv, tables
+
 # Quotes are escaped by doubling and a quoted field may hold line breaks. The timestamp
 # formats keep microseconds, which the default formats drop on writing.
 _DIALECT = {
@@ -18,14 +20,28 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     """Header CSV, a file or a folder of files.
 
     Without a schema the types are inferred, at the price of one more pass over the data. With
-    one, a value that does not fit its type fails the read rather than turn into NULL.
+    one, a value that does not fit its type fails the read rather than turn into NULL. A file larger
+    than a split (``spark.sql.files.maxPartitionBytes``) is read by many tasks, see ``large_csv``; others by one each.
     """
+    if _largest_file(spark, path) > _split_bytes(spark):
+        return large_csv.scan(spark, path, _DIALECT, schema)
     reader = spark.read.options(**_DIALECT, multiLine=True)
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     return reader.options(mode="FAILFAST", enforceSchema=False).schema(schema).csv(path)
 
 
+def _split_bytes(spark: SparkSession) -> int:
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+
+
+def _largest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file that can be split: a compressed one cannot."""
+    sizes = tables.list_sizes(spark, path)
+    return max((n for name, n in sizes if not name.endswith((".gz", ".bz2", ".zst", ".xz", ".snappy", ".lz4", ".deflate"))), default=0)
+
+
 def in_files(df: DataFrame) -> DataFrame:
     """``df`` dealt out by bytes, so that each partition makes a file that one task can read.
 
@@ -38,7 +54,7 @@ def in_files(df: DataFrame) -> DataFrame:
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     """Write ``df`` as a folder of header CSV files; NULL becomes an empty field.
 
-    A file with quoted line breaks cannot be split between tasks, so files are kept small enough
+    A file with quoted line breaks is dear to split between tasks, so files are kept small enough
     for one: by bytes where ``df`` comes from ``in_files``, and by rows in any case.
     """
     # A lone empty field would be an empty line, which readers skip: quote it.

@@ -54,6 +54,18 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in files.listStatus(jvm_path)) if files.exists(jvm_path) else []
 
 
+def list_sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Names and bytes of the files that a reader of ``path``, a file, a folder or a pattern, would find."""
+    files, jvm_path = _file_system(spark, path)
+    found = []
+    for top in files.globStatus(jvm_path) or []:
+        for s in files.listStatus(top.getPath()) if top.isDirectory() else [top]:
+            name = s.getPath().getName()
+            if s.isFile() and (not top.isDirectory() or not name.startswith(("_", "."))):
+                found.append((name, s.getLen()))
+    return found
+
+
 @dataclass(frozen=True)
 class Snapshot:
     """A written but not yet published snapshot."""
