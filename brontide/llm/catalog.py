@@ -53,12 +53,13 @@ def op8_language_id(spark, sf_dir):
 
 
 _MIX_SQL = """
-with d as (
+with recursive d as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as size,
          md5('10:' || coalesce(cast(doc_id as varchar), '') || ':' || coalesce(text, '')) as digest
   from documents),
 s as (
   select source, cast(sum(size) as bigint) as source_size, cast(3 * sum(size) as bigint) as cap,
+         row_number() over (order by source nulls last) as k,
          1 + (row_number() over (order by source nulls last) - 1) % 3 as weight
   from d group by source),
 r as (
@@ -68,25 +69,26 @@ r as (
   from s window w as (order by cap / weight, source)),
 l as (select coalesce(arg_min(level, n), 0) as level from r where level * weight <= cap),
 t as (
-  select s.source, source_size, least(cast(cap as double), level * weight) as target,
+  select k, s.source, source_size, least(cast(cap as double), level * weight) as target,
          case when source_size > 0 then least(floor(least(cast(cap as double), level * weight) / source_size), 3) else 0 end as whole
   from s, l),
-c as (
-  select d.*, source_size, target, whole, target - whole * source_size as rest,
-         sum(size) over (partition by d.source order by digest range unbounded preceding) as upto
-  from d join t on d.source is not distinct from t.source),
-g as (
-  select source, min(rest) - coalesce(max(upto) filter (where upto <= rest), 0) as gap
-  from c where rest > 0 group by source),
+u as (
+  select k, digest, sum(size) as words, row_number() over (partition by k order by digest) as n
+  from d join t on d.source is not distinct from t.source group by k, digest),
+walk as (
+  select k, cast(0 as bigint) as n, target - whole * source_size as gap, '' as digest, cast(0 as hugeint) as words, false as held from t
+  union all
+  select u.k, u.n, case when u.words <= gap then gap - u.words else gap end, u.digest, u.words, u.words <= gap and gap > 0
+  from walk join u on u.k = walk.k and u.n = walk.n + 1),
+g as (select k, arg_max(gap, n) as gap from walk group by k),
 f as (
-  select c.source, arg_min(digest, (abs(size - gap), digest)) as filler, min(gap) as gap
-  from c join g on c.source is not distinct from g.source where upto > rest and size > 0 group by c.source),
-h as (
-  select f.source, filler from f join d on f.source is not distinct from d.source and digest = filler
-  group by f.source, filler having abs(sum(size) - min(gap)) < min(gap))
+  select k, arg_min(digest, (abs(words - gap), digest)) as digest from (
+    select walk.k, digest, words, g.gap from walk join g using (k) where not held and words > 0 and abs(words - g.gap) < g.gap)
+  group by k),
+h as (select k, digest from walk where held union all select k, digest from f)
 select doc_id, cast(size as bigint) as size, source_size, target,
-       cast(size * (whole + case when upto <= rest or digest = filler then 1 else 0 end) as bigint) as taken
-from c left join h on c.source is not distinct from h.source
+       cast(size * (whole + case when h.digest is null then 0 else 1 end) as bigint) as taken
+from d join t on d.source is not distinct from t.source left join h on h.k = t.k and h.digest = d.digest
 """
 
 

@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from brontide.llm.common import code_points, replace_columns, texts_of, uniform
 
@@ -152,13 +152,15 @@ def train_language_id(rows: DataFrame, text: str = "text", label: str = "lang",
     """Learns from the rows where ``train`` holds and neither text nor label is null.
 
     Without such rows the model knows no language, and answers ``und`` everywhere. More labels than
-    ``settings.languages`` are an error.
+    ``settings.languages`` are an error. Weights are learned from ``settings.sample`` rows by expectation and twice as many at
+    most, shared evenly by the languages; equal rows are rows of their own. Re-runs on the same files agree.
     """
     spark = rows.sparkSession
     use = F.col(text).isNotNull() & F.col(label).isNotNull()
     rows = rows.filter(use if train is None else use & train)
     rows = rows.select(F.col(text).alias("text"), F.col(label).cast("string").alias("label"),
-                       uniform(F.col(key), F.col(text), seed=settings.seed).alias("order"))
+                       # By row, so that of many equal rows a share is drawn, and not all or none.
+                       uniform(F.col(key), F.col(text), F.monotonically_increasing_id(), seed=settings.seed).alias("order"))
     counts = rows.groupBy("label").agg(F.count("*").alias("n")).limit(settings.languages + 1).collect()
     if len(counts) > settings.languages:
         raise ValueError(f"more than {settings.languages} languages")
@@ -176,8 +178,10 @@ def train_language_id(rows: DataFrame, text: str = "text", label: str = "lang",
     share = settings.sample / len(languages)
     rates = spark.createDataFrame([(k, min(1.0, share / sizes[k])) for k in languages], "label string, rate double")
     picked = (rows.join(F.broadcast(rates), "label").filter(F.col("order") < F.col("rate"))
-                  .mapInPandas(_sample_features, "label string, order double, found array<int>, counts array<int>")
-                  .toArrow().combine_chunks())
+                  .mapInPandas(_sample_features, "label string, order double, found array<int>, counts array<int>"))
+    # The rows drawn are about ``share`` of each language, and never more than twice as many.
+    first = F.row_number().over(Window.partitionBy("label").orderBy("order"))
+    picked = picked.withColumn("rank", first).filter(F.col("rank") <= max(1, int(2 * share))).drop("rank").toArrow().combine_chunks()
     # In the order of another hash, so that languages alternate whatever their rates are.
     order = picked.column("order").to_numpy()
     names = np.array(picked.column("label").to_pylist(), dtype=object)

@@ -3,12 +3,13 @@
 Every source gets a share of all words in proportion to its weight, but at most ``max_epochs`` times its
 own words. What clamped sources cannot use goes to the others in proportion to their weights, until no
 target is above its cap. A source is then repeated whole as often as its target holds it, and the
-rest is taken from its documents in the order of a seeded digest, as long as they fit, and from one
-more that comes nearest to what is then missing.
+rest is taken from its documents in the order of a seeded digest: each that fits into what is still missing, and one
+more where that brings the source nearer to its target. So it ends within half of its smallest document that is left.
 
-No document is moved: the digest at which a source's partial repetition ends is found from a histogram
-of digests per source and the documents of one of its 4096 buckets. After that every document decides for
-itself. A source with a third of all rows is thus spread over all tasks, as any other.
+No document is moved. Up to the first document that does not fit, a source takes all it may; where that is, is found from a
+histogram of digests and the documents of one of its 4096 buckets. It goes on behind that document with those no larger than
+what is missing, for all sources at once, and the gap falls to some fraction each time. In the end a few ranges of digests
+and sizes tell for every document whether it is taken; a source with a third of all rows is spread over all tasks, as any other.
 """
 
 from __future__ import annotations
@@ -49,17 +50,17 @@ def water_level(sources: DataFrame) -> float:
 
 
 def source_plan(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source",
-                weights: Sequence[int] = (1, 2, 3), max_epochs: int = 3, seed: int = 10) -> DataFrame:
-    """A row per source: its words, target, whole repetitions and the digest where the partial one ends.
+                weights: Sequence[int] = (1, 2, 3), max_epochs: int = 3, seed: int = 10, rounds: int = 64) -> DataFrame:
+    """A row per source: its words, target, whole repetitions, and the ``ranges`` and ``filler`` of the partial one.
 
-    Sources are weighed by turns in the order of their code points, null last.
+    Sources are weighed by turns in the order of their code points, null last. Rows equal in key and text are taken together or
+    not at all. After ``rounds`` documents of a source that did not fit, the next one ends it.
     """
     rows = docs.select(F.col(source).cast("string").alias("source"), n_words(text).alias("size"),
                        _digest(key, text, seed).alias("digest"))
-    # One narrow scan of the texts; all that follows reads this table.
-    rows = materialize(rows, "mix-sizes")
-    buckets = rows.groupBy("source", F.substring("digest", 1, 3).alias("bucket")).agg(F.sum("size").alias("words"))
-    buckets = materialize(buckets, "mix-buckets")
+    # One narrow scan of the texts; all that follows reads this table, a row per digest.
+    units = materialize(rows.groupBy("source", "digest").agg(F.max("size").alias("size"), F.sum("size").alias("words")), "mix-units")
+    buckets = units.groupBy("source").agg(F.sum("words").alias("words"))
     turn = (F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1) % len(weights)
     sizes = buckets.groupBy("source").agg(F.sum("words").alias("size"))
     sources = sizes.select("source", "size", (F.col("size") * max_epochs).alias("cap"),
@@ -72,35 +73,58 @@ def source_plan(docs: DataFrame, text: str = "text", key: str = "doc_id", source
     plan = plan.withColumn("whole", F.least(whole, F.lit(max_epochs)).cast("int"))
     plan = plan.withColumn("rest", F.col("target") - F.col("whole") * F.col("size"))
 
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    running = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    levels = buckets.withColumn("upto", F.sum("words").over(running))
-    levels = levels.join(plan.select("source", "rest"), same(levels, plan)).drop(plan["source"])
-    # The bucket in which the partial repetition ends, and the words before it.
-    edges = materialize(levels.filter("upto - words < rest and upto >= rest")
-                              .select("source", "bucket", (F.col("upto") - F.col("words")).alias("before"), "rest"),
-                        "mix-edges")
-    inside = rows.join(edges, same(rows, edges) & (F.substring(rows["digest"], 1, 3) == edges["bucket"])).drop(edges["source"])
-    copies = inside.groupBy("source", "digest").agg(F.sum("size").alias("words"), F.first("before").alias("before"),
-                                                    F.first("rest").alias("rest"))
-    upto = Window.partitionBy("source").orderBy("digest").rowsBetween(Window.unboundedPreceding, 0)
-    ends = (copies.withColumn("got", F.col("before") + F.sum("words").over(upto)).filter("got <= rest")
-                  .groupBy("source").agg(F.max("digest").alias("last"), F.max("got").alias("got")))
-    # Where no document of the edge bucket fits, the buckets before it do.
-    ends = edges.join(ends, same(edges, ends), "left").select(
-        edges["source"], F.coalesce("last", "bucket").alias("last"),
-        (F.col("rest") - F.coalesce("got", "before")).alias("gap"))
-    ends = materialize(ends, "mix-ends")
-    # One more document, the one that comes nearest to what is still missing.
-    left = rows.join(ends, same(rows, ends)).drop(ends["source"]).filter("digest > last and size > 0")
-    filler = materialize(left.groupBy("source").agg(F.min_by("digest", F.struct(F.abs(F.col("size") - F.col("gap")), "digest")).alias("filler"),
-                                                    F.first("gap").alias("gap")), "mix-fillers")
-    held = rows.join(filler, same(rows, filler) & (rows["digest"] == filler["filler"])).drop(filler["source"])
-    held = held.groupBy("source").agg(F.first("filler").alias("filler"), F.first("gap").alias("gap"), F.sum("size").alias("words"))
-    held = held.filter(F.abs(F.col("words") - F.col("gap")) < F.col("gap"))
-    plan = plan.join(ends, same(plan, ends), "left").drop(ends["source"])
-    plan = plan.join(held.drop("gap"), same(plan, held), "left").drop(held["source"])
-    return materialize(plan.select("source", F.col("size").alias("source_size"), "target", "whole", "last", "filler"), "mix-plan")
+    plan = materialize(plan, "mix-targets")
+    gaps = materialize(plan.filter("rest > 0").select("source", F.col("rest").alias("gap"), F.lit("").alias("after")), "mix-gaps")
+    found = []
+    for i in range(rounds):
+        step = materialize(_fitting(units, gaps), "mix-round")
+        found.append(step.select("source", F.struct(F.lit(i).alias("round"), "after", "until", F.col("gap").alias("most")).alias("range"),
+                                 (F.col("gap") - F.col("got")).alias("gap")))
+        # Sources that met a document that does not fit and may still take others.
+        gaps = step.filter("until is not null and gap > got").select("source", (F.col("gap") - F.col("got")).alias("gap"), F.col("until").alias("after"))
+        if not gaps.limit(1).count():
+            break
+    ranges = found[0]
+    for more in found[1:]:
+        ranges = ranges.unionByName(more)
+    ranges = materialize(ranges.groupBy("source").agg(F.array_sort(F.collect_list("range")).alias("ranges"), F.min("gap").alias("gap")), "mix-ranges")
+    # One more, if it brings the source nearer to its target.
+    off = F.abs(F.col("words") - F.col("gap"))
+    left = units.join(ranges, _same(units, ranges)).drop(ranges["source"]).filter(F.col("words") > 0).filter(~_taken("digest", "size", "ranges")).filter(off < F.col("gap"))
+    filler = left.groupBy("source").agg(F.min_by("digest", F.struct(off, "digest")).alias("filler"))
+    plan = plan.join(ranges, _same(plan, ranges), "left").drop(ranges["source"])
+    plan = plan.join(filler, _same(plan, filler), "left").drop(filler["source"])
+    return materialize(plan.select("source", F.col("size").alias("source_size"), "target", "whole", "ranges", "filler"), "mix-plan")
+
+
+def _same(a: DataFrame, b: DataFrame) -> Column:
+    return a["source"].eqNullSafe(b["source"])
+
+
+def _taken(digest: str, size: str, ranges: str) -> Column:
+    """Whether a document is in one of the ranges: behind ``after``, before ``until``, and of ``most`` words at most."""
+    inside = F.exists(ranges, lambda r: (F.col(digest) > r["after"]) & (r["until"].isNull() | (F.col(digest) < r["until"])) & (F.col(size) <= r["most"]))
+    return F.coalesce(inside, F.lit(False))
+
+
+def _fitting(units: DataFrame, gaps: DataFrame) -> DataFrame:
+    """For each source of ``gaps`` the first digest ``until`` behind ``after`` whose words, of those no larger than the gap, do not
+    fit any more, null if all do, and the words ``got`` of those before it."""
+    able = units.join(gaps, _same(units, gaps)).drop(gaps["source"]).filter("digest > after and size <= gap")
+    able = able.select("source", "digest", "words", "gap")
+    buckets = materialize(able.groupBy("source", F.substring("digest", 1, 3).alias("bucket")).agg(F.sum("words").alias("words"), F.first("gap").alias("gap")), "mix-buckets")
+    upto = F.sum("words").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0))
+    summed = buckets.withColumn("upto", upto).withColumn("over", F.col("upto") > F.col("gap"))
+    # The bucket in which the words get too many, and the words before it.
+    edges = materialize(summed.filter("over and upto - words <= gap").select("source", "bucket", (F.col("upto") - F.col("words")).alias("before")), "mix-edges")
+    inside = able.join(edges, _same(able, edges) & (F.substring(able["digest"], 1, 3) == edges["bucket"])).drop(edges["source"])
+    running = Window.partitionBy("source").orderBy("digest").rowsBetween(Window.unboundedPreceding, 0)
+    ends = (inside.withColumn("upto", F.col("before") + F.sum("words").over(running)).filter("upto > gap")
+                  .groupBy("source").agg(F.min("digest").alias("until"), F.min("upto").alias("upto"), F.min_by("words", "digest").alias("words")))
+    ends = ends.select("source", "until", (F.col("upto") - F.col("words")).alias("got"))
+    whole = buckets.groupBy("source").agg(F.sum("words").alias("all"))
+    out = gaps.join(ends, _same(gaps, ends), "left").drop(ends["source"]).join(whole, _same(gaps, whole), "left").drop(whole["source"])
+    return out.select("source", "gap", "after", "until", F.coalesce("got", "all", F.lit(0)).alias("got"))
 
 
 def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str = "source",
@@ -115,7 +139,7 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
     plan = plan.select(*[F.col(c).alias(f"__{c}") for c in plan.columns])
     found = docs.withColumn("__digest", _digest(key, text, seed)).withColumn("__size", n_words(text))
     found = found.join(plan, F.col(source).cast("string").eqNullSafe(F.col("__source")))
-    again = F.coalesce(F.col("__digest") <= F.col("__last"), F.lit(False)) | F.coalesce(F.col("__digest") == F.col("__filler"), F.lit(False))
+    again = _taken("__digest", "__size", "__ranges") | F.coalesce(F.col("__digest") == F.col("__filler"), F.lit(False))
     out = replace_columns(found, {"size": F.col("__size"), "source_size": F.col("__source_size"),
                                   "target": F.col("__target"), "repeats": F.col("__whole") + again.cast("int")})
     return out.drop("__digest", "__size", *plan.columns)

@@ -418,9 +418,7 @@ def pack(items: DataFrame, capacity: int = 4096, length: str = "length", setting
     def place(key: tuple, rows: pa.Table, packing: pa.Table) -> pa.Table:
         lengths = rows.column("__length").to_numpy()
         order = np.argsort(-lengths, kind="stable")
-        full = int((lengths == capacity).sum())
-        labels = np.concatenate((np.arange(full), full + (np.asarray(packing.column("best")[0].as_py()) if len(packing) else np.zeros(0))))
-        labels = labels.astype(np.int64)
+        labels = np.asarray(packing.column("best")[0].as_py() if len(packing) else [], np.int64)
         by_bin = np.argsort(labels, kind="stable")
         ends = np.cumsum(lengths[order][by_bin])
         begins = ends - lengths[order][by_bin]
@@ -430,5 +428,9 @@ def pack(items: DataFrame, capacity: int = 4096, length: str = "length", setting
         out = out.append_column("sequence_id", pa.array((key[0].as_py() << 32) + labels[by_bin], pa.int64()))
         return out.append_column("offset", pa.array(offsets, pa.int64()))
 
-    dealt = items.withColumn("__pool", pool).groupBy("__pool")
-    return dealt.cogroup(best.withColumnRenamed("pool", "__pool").groupBy("__pool")).applyInArrow(place, schema)
+    dealt = partial.withColumn("__pool", pool).groupBy("__pool")
+    placed = dealt.cogroup(best.withColumnRenamed("pool", "__pool").groupBy("__pool")).applyInArrow(place, schema)
+    # Full items go to no pool, however many they are.
+    alone = items.filter(F.col("__length") == capacity).select(
+        *[F.col(f"`{c}`") for c in names], (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return placed.unionByName(alone)

@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from brontide.llm.common import code_points, is_space, replace_columns, runs, span_hashes, texts_of, uniform, windows
+from brontide.session import materialize
 
 _BITS = 16
 WORDS = 1 << _BITS
@@ -147,7 +148,8 @@ def train_quality(rows: DataFrame, labels: DataFrame, text: str = "text", key: s
     """Learns from the labelled rows where ``train``, a condition on the key, holds.
 
     A key with several labels counts with the least one; null keys and labels other than 0 and 1
-    count not at all. Without labelled rows every score is one half.
+    count not at all. A key with several rows counts with one of them, that with the least hash of its text and
+    metadata, so that no more than ``settings.sample`` rows come to the driver. Without labelled rows every score is one half.
     """
     known = labels.select(F.col(key).alias("key"), F.col(label).alias("label"), *([] if train is None else [train.alias("use")]))
     known = known.filter("key is not null and label in (0, 1)" + (" and use" if train is not None else ""))
@@ -156,17 +158,27 @@ def train_quality(rows: DataFrame, labels: DataFrame, text: str = "text", key: s
     # The bound is hard, so the broadcast is of at most `sample` pairs.
     order = uniform(F.col("key"), seed=settings.seed)
     picked = known.filter(order < 1.1 * settings.sample / max(1, total)).orderBy(order, "key").limit(settings.sample)
+    picked = materialize(picked, "picked-labels")
     chosen = rows.select(F.col(key).alias("key"), F.col(text).alias("text"), _metadata(metadata).alias("meta"))
+    hashed = chosen.withColumn("hash", F.xxhash64("text", "meta"))
+    least = hashed.join(F.broadcast(picked), "key").groupBy("key", "label").agg(F.min("hash").alias("hash"))
+    least = materialize(least, "picked-rows")
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: set = set()
         for batch in batches:
+            # Copies are left out before their features are computed.
+            batch = batch[~batch["key"].duplicated() & ~batch["key"].isin(seen)]
+            seen.update(batch["key"])
             found = [vector(t, np.asarray(m, np.float64)) for t, m in zip(batch["text"], batch["meta"])]
             yield pd.DataFrame({"key": batch["key"].astype(str), "label": batch["label"],
                                 "found": [f.astype(np.int32) for f, _ in found],
                                 "values": [v.astype(np.float32) for _, v in found]})
 
-    found = (chosen.join(F.broadcast(picked), "key")
-                   .mapInPandas(features, "key string, label int, found array<int>, values array<float>").toArrow().combine_chunks())
+    # One row per key and task, then one per key.
+    found = (hashed.join(F.broadcast(least), ["key", "hash"]).drop("hash")
+                   .mapInPandas(features, "key string, label int, found array<int>, values array<float>")
+                   .dropDuplicates(["key"]).toArrow().combine_chunks())
     size = WORDS + len(STATISTICS) + 2 * len(metadata)
     if not len(found):
         return QualityModel(0.0, np.zeros(size, np.float32), np.zeros((size, settings.rank), np.float32), tuple(metadata))
