@@ -12,7 +12,7 @@ from brontide.catalog.common import (
 from brontide.operators import project as P, quality as Q
 from brontide.plans import ingest as I
 from brontide.session import materialize, work_dir
-from brontide.sources import artifacts, attempt_logs, csv, documents, tables
+from brontide.sources import artifacts, attempt_logs, csv, documents, files, tables
 
 registry = Registry()
 FOREIGN_KEYS = {
@@ -49,7 +49,7 @@ def scan_large_csv(spark, sf_dir):
     """One file of many splits, with line breaks in quoted fields."""
     source, path = table(spark, sf_dir, "part").withColumn("p_name", F.expr(_BROKEN)), work_dir(spark, "csv")
     csv.write_csv(source.coalesce(1), path, rows_per_file=0)
-    (name, size), = tables.list_sizes(spark, path)
+    (name, size), = files.list_sizes(spark, path)
     with splits_of(spark, max(64, size // 24)):
         rows = csv.scan_csv(spark, f"{path}/{name}", source.schema)
         return materialize(rows, "large-csv")
@@ -233,13 +233,13 @@ def row_count(spark, sf_dir):
 
 @registry.add("select distinct text, lang from documents")
 def dedup_rows(spark, sf_dir):
-    return Q.dedup_rows(table(spark, sf_dir, "documents").select("text", "lang"))
+    return Q.dedup_rows(table(spark, sf_dir, "documents").select("text", "lang"), digest_from=0)
 
 
 @registry.add(f"""select count(*) as source_rows, (select count(*) from ({CLEANSED_SQL})) as cleansed_rows,
     count(*) - (select count(*) from ({CLEANSED_SQL})) as duplicate_rows_removed from ({BLANKS_SQL})""")
 def duplicates_removed(spark, sf_dir):
-    return Q.duplicates_removed(customers_with_blanks(spark, sf_dir))
+    return Q.duplicates_removed(customers_with_blanks(spark, sf_dir), digest_from=0)
 
 
 @registry.add(f"""select 'c_custkey' as pk, count(*) - count(c_custkey) as nulls from ({CLEANSED_SQL})

@@ -514,10 +514,9 @@ _LAST_LINES = _LOG_PER_DAY.format(line=f"{LINE_EXPR} || case when event_type = '
 
 
 @registry.add(f"""with texts as (
-      select k, string_agg(line || chr(10), '' order by i) as text, count(*) as n,
-             sha256(sha256(string_agg(sha256(line), '' order by i))) as tree from ({_LAST_LINES}) group by k),
+      select k, string_agg(line || chr(10), '' order by i) as text, count(*) as n from ({_LAST_LINES}) group by k),
     sources as (
-      select k, case when k like 'click/%' then sha256(chr(10)) when strlen(text) <= {_CELL} then sha256(text) else tree end as content_hash,
+      select k, case when k like 'click/%' then sha256(chr(10)) else sha256(text) end as content_hash,
              case when k like 'click/%' then 1 else strlen(text) end as content_size_bytes,
              case when k like 'click/%' then 1 else n end as line_count from texts)
     select split_part(c.k, '/', 1) as dag_id, cast(split_part(c.k, '-', 3) as bigint) * 1000 + ascii(c.k) as pipeline_run_id, c.* exclude (k),

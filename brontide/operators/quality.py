@@ -5,17 +5,20 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from brontide.errors import DataQualityError
 from brontide.operators.project import blank_to_null, column, trim_column_names
 from brontide.schemas import DQ_REPORT, TABLE_METADATA
-from brontide.session import small_frame
+from brontide.session import materialize, small_frame
 
 # Bookkeeping column of a cleansed table: how many source rows collapsed into this one. It lets
 # every count of the report come from the written table, so that the source is read only once
 # and no count depends on how often a task was run.
 COPIES = "_source_copies"
+# Bytes from which reading a table again is cheaper than shuffling it.
+DIGEST_FROM = 1 << 30
+_MOST_BITS = 1 << 27
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -34,30 +37,70 @@ def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
                       for t, df in frames.items()])
 
 
-def dedup_rows(df: DataFrame) -> DataFrame:
-    """Distinct rows over all columns; NULLs are equal."""
-    return df.dropDuplicates()
+def dedup_rows(df: DataFrame, digest_from: int = DIGEST_FROM) -> DataFrame:
+    """Distinct rows over all columns; NULLs are equal. For ``digest_from`` see ``dedup_counting``."""
+    return dedup_counting(df, digest_from).drop(COPIES)
 
 
-def dedup_counting(df: DataFrame) -> DataFrame:
+def dedup_counting(df: DataFrame, digest_from: int = DIGEST_FROM) -> DataFrame:
     """Distinct rows with the number of copies of each in ``COPIES``.
 
-    Copies are summed before the shuffle, so a row that makes up a large part of the table
-    reaches the final aggregation as one row per map task.
+    Where Spark expects ``df`` to have less than ``digest_from`` bytes, or no column of variable width, rows are grouped as they
+    are: copies are summed before the shuffle, so a row that makes up a large part of the table reaches the final
+    aggregation as one row per map task. Otherwise ``df`` is read again instead, which must give the same rows: a first pass
+    groups digests of 128 bits alone, and only rows whose digest may repeat are shuffled and compared as they are.
     """
     if COPIES.lower() in (c.lower() for c in df.columns):
         raise DataQualityError(f"the name {COPIES} is taken by the number of copies")
+    fixed = all(isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)) for f in df.schema)
+    if fixed or expected_bytes(df) < digest_from:
+        return _grouped(df)
+    marked = _marked_repeats(df)
+    names = [column(c) for c in df.columns]
+    once = marked.filter(~F.col("_repeats")).select(*names, F.lit(1).cast("bigint").alias(COPIES))
+    return once.unionByName(_grouped(marked.filter("_repeats").select(*names)))
+
+
+def _grouped(df: DataFrame) -> DataFrame:
     return df.groupBy(*[column(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(COPIES))
 
 
-def cleanse(df: DataFrame) -> DataFrame:
+def expected_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def row_digest(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of all columns, NULLs told apart by their place. Equal rows have equal digests."""
+    values = [column(c) for c in df.columns]
+    return [F.xxhash64(F.lit(seed), *values, *[v.isNull() for v in values]) for seed in (1, 2)]
+
+
+def _marked_repeats(df: DataFrame) -> DataFrame:
+    """``df`` with ``_repeats``: whether the digest of a row occurs more than once, or, by chance, shares a bit with one that does.
+
+    The bits, at most ``_MOST_BITS``, are a table of 64-bit words, few enough to be broadcast whatever the size of ``df``; more
+    repeated digests than that only mark more rows.
+    """
+    first, second = row_digest(df)
+    digests = df.select(first.alias("_a"), second.alias("_b")).groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    repeats = materialize(digests.filter("_n > 1").select("_a"), "repeated-digests")
+    n_bits = min(_MOST_BITS, max(1 << 10, 1 << (32 * repeats.count()).bit_length()))
+    place = F.pmod(F.col("_a"), F.lit(n_bits))
+    bit = F.expr(f"shiftleft(1L, cast(pmod(pmod(_a, {n_bits}), 64) as int))")
+    words = materialize(repeats.groupBy(F.floor(place / 64).cast("int").alias("_at")).agg(F.bit_or(bit).alias("_bits")), "repeat-bits")
+    found = df.withColumn("_a", first).withColumn("_at", F.floor(place / 64).cast("int")).join(F.broadcast(words), "_at", "left")
+    return found.withColumn("_repeats", F.coalesce(F.col("_bits").bitwiseAND(bit) != 0, F.lit(False))).drop("_a", "_at", "_bits")
+
+
+def cleanse(df: DataFrame, digest_from: int = DIGEST_FROM) -> DataFrame:
     """Trimmed names, trimmed strings with blanks as NULL, distinct rows with copy counts."""
-    return dedup_counting(blank_to_null(trim_column_names(df)))
+    return dedup_counting(blank_to_null(trim_column_names(df)), digest_from)
 
 
-def duplicates_removed(df: DataFrame) -> DataFrame:
+def duplicates_removed(df: DataFrame, digest_from: int = DIGEST_FROM) -> DataFrame:
     """Rows before, after and removed by cleansing."""
-    return cleanse(df).agg(
+    return cleanse(df, digest_from).agg(
         F.coalesce(F.sum(COPIES), F.lit(0)).alias("source_rows"),
         F.count(F.lit(1)).alias("cleansed_rows"),
         F.coalesce(F.sum(F.col(COPIES) - 1), F.lit(0)).alias("duplicate_rows_removed"))

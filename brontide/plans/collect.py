@@ -5,8 +5,8 @@ costs what it holds, however large the corpus is; writing it again replaces it.
 published together (see ``sources/parts.py``), so a reader never sees one without the other. What is
 current is decided on reading, by the rules of the upsert: ``current_sources`` folds the batches,
 ``current_chunks`` takes each source's chunks from the last batch that has any. ``publish_logs``
-writes both out as tables in buckets by source, of which it rewrites those that new batches touch; from then
-on only later batches are folded, and the files of earlier ones go after a while.
+folds new batches into a run of both tables, and runs of one level into one of the next (see ``sources/levels.py``), so that
+a batch is written again a logarithmic number of times; readers fold the few runs that are live.
 """
 
 from __future__ import annotations
@@ -21,9 +21,9 @@ from brontide.operators import logs as L
 from brontide.operators.chunking import MAX_CHARS, MAX_LINES, chunk_lines
 from brontide.operators.upsert import fold_batch, fold_rows
 from brontide.schemas import LOG_CHUNK, LOG_SOURCE
-from brontide.session import materialize
-from brontide.sources import parts, tables
-from brontide.sources.attempt_logs import ATTEMPT_KEYS, scan_attempt_lines, scan_attempt_logs, scan_attempt_sizes
+from brontide.session import materialize, small_frame
+from brontide.sources import files, levels, parts, tables
+from brontide.sources.attempt_logs import ATTEMPT_KEYS, hash_attempts, scan_attempt_lines, scan_attempt_logs, scan_attempt_sizes
 
 # Over batches: rows apply in the order of their batch, and the last one is kept with the row.
 _ACROSS_BATCHES = replace(L.LOG_SOURCE_RULE, seq="batch",
@@ -31,8 +31,6 @@ _ACROSS_BATCHES = replace(L.LOG_SOURCE_RULE, seq="batch",
 _SCHEMAS = {"log_sources": LOG_SOURCE, "log_chunks": LOG_CHUNK}
 _KEYS = {"log_sources": "id", "log_chunks": "log_source_id"}
 _BATCH = T.StructField("batch", T.LongType())
-# Lines that make a block of the fingerprint of a log beyond a cell.
-HASHED_LINES = 10_000
 
 
 def log_texts(responses: DataFrame) -> DataFrame:
@@ -92,16 +90,27 @@ def _with_batch(table: str) -> T.StructType:
 
 def _done(spark: SparkSession, target: str | None) -> int | None:
     """The last batch that the published tables hold."""
-    return None if target is None else parts.manifest(spark, target).agg(F.max("upto")).first()[0]
+    runs = [] if target is None else levels.state(spark, target)[1]
+    return runs[-1].upto if runs else None
 
 
-def _bucket(table: str, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(_KEYS[table]), F.lit(buckets)).cast("bigint")
+def _runs(spark: SparkSession, target: str, table: str, runs: list[levels.Run]) -> DataFrame:
+    """The rows of some runs: of a run each key has the rows of one batch."""
+    return spark.read.schema(_with_batch(table)).parquet(*[f"{target}/{table}/run={r.name}" for r in runs])
 
 
-def published(spark: SparkSession, target: str, table: str) -> DataFrame:
-    """The published table of ``log_sources`` or ``log_chunks``, with the ``batch`` of each row."""
-    return parts.scan(spark, target, table, _with_batch(table)).drop("part")
+def published(spark: SparkSession, target: str, table: str, keys: list[str] | None = None) -> DataFrame:
+    """The published table of ``log_sources`` or ``log_chunks``, with the ``batch`` of each row.
+
+    With ``keys``, some ids of sources, files and row groups that cannot hold them are skipped.
+    """
+    runs = levels.state(spark, target)[1]
+    if not runs:
+        return small_frame(spark, [], _with_batch(table))
+    rows = _runs(spark, target, table, runs)
+    if keys is not None:
+        rows = rows.filter(F.col(_KEYS[table]).isin(keys))
+    return rows if len(runs) == 1 else _LATEST[table](rows)
 
 
 def _batches(spark: SparkSession, base: str, table: str, done: int | None, upto: int | None = None) -> DataFrame:
@@ -112,9 +121,9 @@ def _batches(spark: SparkSession, base: str, table: str, done: int | None, upto:
 
 def _all_rows(spark: SparkSession, base: str, target: str | None, table: str) -> DataFrame:
     """The published rows, if there are any, and the batches after them."""
-    done = _done(spark, target)
-    rows = _batches(spark, base, table, done)
-    return rows if done is None else published(spark, target, table).unionByName(rows)
+    runs = [] if target is None else levels.state(spark, target)[1]
+    rows = _batches(spark, base, table, runs[-1].upto if runs else None)
+    return _runs(spark, target, table, runs).unionByName(rows) if runs else rows
 
 
 def _latest_sources(rows: DataFrame) -> DataFrame:
@@ -136,27 +145,44 @@ def current_chunks(spark: SparkSession, base: str, target: str | None = None) ->
     return _latest_chunks(_all_rows(spark, base, target, "log_chunks"))
 
 
-def publish_logs(spark: SparkSession, base: str, target: str, buckets: int = 32, keep: int = 10) -> dict[str, int]:
+_LATEST = {"log_sources": _latest_sources, "log_chunks": _latest_chunks}
+_ORDER = {"log_sources": ("id",), "log_chunks": ("log_source_id", "chunk_index")}
+
+
+def _stage_run(rows: dict[str, DataFrame], target: str, run: levels.Run) -> dict[str, int]:
+    """Write a run of both tables, folded, in ranges of the sources; returns the rows written."""
+    written = {}
+    for table, own in rows.items():
+        kept = levels.sorted_by(_LATEST[table](own), *_ORDER[table])
+        path, options = f"{target}/{table}/run={run.name}", levels.key_filters(_KEYS[table])
+        written[table] = tables.write_counted(kept, lambda d: d.write.options(**options).parquet(path))
+    return written
+
+
+def publish_logs(spark: SparkSession, base: str, target: str, fanout: int = 8, keep: int = 10) -> dict[str, int]:
     """Bring the tables of sources and chunks under ``target`` up to date; returns the rows written.
 
-    Only the buckets of sources in new batches are written anew, of both tables, and they appear together. A
-    batch that arrives meanwhile is left for the next time. ``buckets`` must stay as it was first chosen. Files that
-    no reader of the last ``keep`` publications needs are deleted, batches that the tables hold among them.
+    New batches become a run. Where ``fanout`` runs of a level are there, they become one of the next level, of which both
+    tables appear together. A batch that arrives meanwhile is left for the next time; of two writers one starts over. Files
+    that no reader of the last ``keep`` publications needs are deleted, batches that the tables hold among them.
     """
-    done = _done(spark, target)
-    upto = parts.live_parts(spark, base).agg(F.max("part")).first()[0]
-    if upto is None or (done is not None and upto <= done):
-        return {table: 0 for table in _SCHEMAS}
-    new = {table: _batches(spark, base, table, done, upto) for table in _SCHEMAS}
-    touched = sorted(r[0] for r in new["log_sources"].select(_bucket("log_sources", buckets)).distinct().collect())
-    run, written = parts.new_run(), {}
-    for table, latest in (("log_sources", _latest_sources), ("log_chunks", _latest_chunks)):
-        # The column of the parts prunes folders.
-        old = parts.scan(spark, target, table, _with_batch(table)).filter(F.col("part").isin(touched)).drop("part")
-        rows = latest(old.unionByName(new[table])).withColumn("part", _bucket(table, buckets))
-        written[table] = parts.stage(rows.repartition(len(touched) or 1, "part"), target, table, run)
-    parts.publish(spark, target, run, touched, upto)
-    parts.prune(spark, target, list(_SCHEMAS), keep)
+    files.make_folder(spark, f"{target}/runs")
+    while True:
+        version, runs = levels.state(spark, target)
+        upto = parts.live_parts(spark, base).agg(F.max("part")).first()[0]
+        if upto is None or (runs and upto <= runs[-1].upto):
+            return {table: 0 for table in _SCHEMAS}
+        done = runs[-1].upto if runs else None
+        run = levels.new_run(0, 0 if done is None else done + 1, upto)
+        written = _stage_run({table: _batches(spark, base, table, done, upto) for table in _SCHEMAS}, target, run)
+        runs = [*runs, run]
+        while old := levels.due(runs, fanout):
+            runs, run = levels.merged(runs, old)
+            again = _stage_run({table: _runs(spark, target, table, old) for table in _SCHEMAS}, target, run)
+            written = {table: n + again[table] for table, n in written.items()}
+        if levels.commit(spark, target, version, runs):
+            break
+    levels.prune(spark, target, list(_SCHEMAS), keep)
     parts.prune(spark, base, list(_SCHEMAS), keep, drop_parts=upto)
     return written
 
@@ -168,21 +194,6 @@ def attempt_chunks(spark: SparkSession, root: str, max_lines: int = MAX_LINES,
     return L.annotate_chunks(chunks)
 
 
-def fingerprint_lines(lines: DataFrame, keys: list[str], block: int = HASHED_LINES) -> DataFrame:
-    """``content_hash`` and ``line_count`` of logs given by line, for those that no cell can hold.
-
-    The fingerprint is the SHA-256 of the block digests in their order, a block's the SHA-256 of the digests of
-    its lines; digests are joined as hexadecimal text. No more than a block or its log's digests meet in a cell.
-    """
-    def joined(column: str, at: str) -> Column:
-        pairs = F.array_sort(F.collect_list(F.struct(at, column)))
-        return X.sha256_hex(F.array_join(F.transform(pairs, lambda p: p[column]), ""))
-
-    hashed = lines.select(*keys, "line_no", X.sha256_hex(F.col("line")).alias("_hash"), F.floor((F.col("line_no") - 1) / block).alias("_block"))
-    per_block = hashed.groupBy(*keys, "_block").agg(joined("_hash", "line_no").alias("_digest"), F.count(F.lit(1)).alias("_n"))
-    return per_block.groupBy(*keys).agg(joined("_digest", "_block").alias("content_hash"), F.sum("_n").cast("int").alias("line_count"))
-
-
 def _same_attempt(a: DataFrame, b: DataFrame) -> Column:
     same = [a[k].eqNullSafe(b[k]) for k in ATTEMPT_KEYS]
     return same[0] & same[1] & same[2] & same[3] & same[4]
@@ -193,9 +204,9 @@ def append_attempts(spark: SparkSession, root: str, runs: DataFrame, base: str,
     """Add the task logs under ``root`` to the corpus as a batch; returns the rows written.
 
     ``runs`` has ``dag_id, dag_run_id, pipeline_run_id``, each run once; attempts of other runs go to the
-    quarantine. A log of one file of at most ``cell_bytes`` is a source with its text, fingerprinted as any. A longer
-    one, and one in several files, is a source without text: it is chunked by lines and fingerprinted by
-    ``fingerprint_lines``. Either way its chunks replace those of earlier batches, and an empty log leaves them.
+    quarantine. Files without any bytes are none. A log of one file of at most ``cell_bytes`` is a source with its text. A longer one, and one in several
+    files, is a source without text, and chunked by lines. The fingerprint of both is the SHA-256 of the text. Either way
+    its chunks replace those of earlier batches, and an empty log leaves them.
     """
     nothing = F.lit(None).cast("string")
     names = runs.select(F.col("dag_id"), F.col("dag_run_id").alias("run_id"), "pipeline_run_id")
@@ -218,10 +229,14 @@ def append_attempts(spark: SparkSession, root: str, runs: DataFrame, base: str,
     if has_long:
         lines = scan_attempt_lines(spark, root)
         lines = materialize(lines.join(long, _same_attempt(lines, long), "left_semi"), "long-lines")
-        prints = fingerprint_lines(lines, ATTEMPT_KEYS)
-        found = long.join(prints, _same_attempt(long, prints)).select(
+        prints = materialize(hash_attempts(spark, root, long), "long-hashes")
+        sizes = lines.groupBy(*ATTEMPT_KEYS).agg(F.count(F.lit(1)).cast("int").alias("line_count"))
+        # A log without any line holds nothing but marks of its encoding.
+        marks = F.repeat(F.lit("\ufeff"), (F.col("bytes") / 3).cast("int"))
+        found = long.join(prints, _same_attempt(long, prints), "left").join(sizes, _same_attempt(long, sizes), "left").select(
             *[long[c] for c in [*described, "attempt"]], F.lit("TEXT").alias("content_type"), nothing.alias("raw_content"),
-            nothing.alias("raw_json"), "content_hash", F.col("bytes").alias("content_size_bytes"), "line_count",
+            nothing.alias("raw_json"), F.coalesce("content_hash", X.sha256_hex(marks)).alias("content_hash"),
+            F.col("bytes").alias("content_size_bytes"), F.coalesce("line_count", F.lit(0)).alias("line_count"),
             F.current_timestamp().alias("collected_at"))
         found = materialize(found.withColumn("id", L.source_id()), "long-sources")
         sources = sources.unionByName(found.select(*LOG_SOURCE.names))

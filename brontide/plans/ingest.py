@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from brontide.operators import quality as Q
 from brontide.schemas import INGEST_REPORT
-from brontide.session import small_frame
+from brontide.session import materialize, small_frame
 from brontide.sources import artifacts, csv, documents, tables
 
 
@@ -57,12 +57,16 @@ def cleanse_table(spark: SparkSession, table: str, folders: Folders,
     """Cleanse a landed table, gate it, publish it with its report; returns the report.
 
     With the types of its metadata the CSV is read once; to infer them takes another pass. All
-    counts come from one aggregation over the staged result.
+    counts come from one aggregation over the staged result. A large table is stored with its types first, as
+    its rows are then looked at twice (see ``Q.dedup_counting``).
     """
     path = folders.csv_path(table)
     schema = None if infer_types else documents.declared_schema(
         spark, folders.metadata, table, lambda: csv.scan_csv(spark, path).schema)
-    cleansed = Q.cleanse(csv.scan_csv(spark, path, schema))
+    landed = csv.scan_csv(spark, path, schema)
+    if Q.expected_bytes(landed) >= Q.DIGEST_FROM:
+        landed = materialize(landed, "landed")
+    cleansed = Q.cleanse(landed)
     keys = documents.declared_primary_keys(spark, folders.metadata, table)
     Q.require_keys_present(cleansed, keys)
 

@@ -81,7 +81,3 @@ CONTAINER_LINE = _struct(ts="timestamp", **_strings("container_name", "image", "
 
 # A container line with its labels, as it is filed.
 TAILED = _struct(ts="timestamp", **_strings("container", "image", "line", "service"))
-
-# One row per publication of a snapshot table.
-PUBLICATION = _struct(version="bigint", snapshot="string", n_rows="bigint",
-                      published_at="timestamp")

@@ -6,6 +6,10 @@ which only some logs have a ``map_index``.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from brontide.functions.text import split_at_terminators
@@ -88,3 +92,65 @@ def _segments(stored: DataFrame) -> DataFrame:
     return flagged.select(
         *_path_keys(F.col("_path")), "_path", "_block", "_first", "_skip",
         (F.col("_n") - F.when(F.col("_skip").isNotNull(), 1).otherwise(0)).alias("_n"))
+
+
+def _running_hash(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per log of sorted rows ``log, file, size, bytes``; of its text only the state of the hash is held."""
+    log = file = digest = None
+    size, read, mark = 0, 0, False
+
+    def end_file() -> None:
+        # A last line with a line feed is one byte longer than what the reader gave.
+        if file is not None and size >= read:
+            digest.update(b"\n")
+
+    def row() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([log]), pa.array([digest.hexdigest()])], names=["log", "content_hash"])
+
+    for batch in batches:
+        for own, path, total, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+            if (own, path) != (log, file):
+                end_file()
+                if own != log:
+                    if log is not None:
+                        yield row()
+                    log, digest = own, hashlib.sha256()
+                file, size, read, mark = path, total, 0, total < 0
+            elif mark:
+                # Behind the mark, of three bytes, the file begins.
+                size, mark = total - 3, False
+            else:
+                digest.update(b"\n")
+            line = raw.as_buffer()
+            digest.update(line)
+            if not mark:
+                read += line.size + 1
+    end_file()
+    if log is not None:
+        yield row()
+
+
+def hash_attempts(spark: SparkSession, root: str, attempts: DataFrame) -> DataFrame:
+    """``content_hash``, the SHA-256 of the text, of some attempts given by their keys, whatever their length.
+
+    The lines of a log meet in one task, in their order, and run through one hash there; no two of them are held
+    together. Several files of a log are one text, in the order of their names. An attempt without any bytes has no row.
+    """
+    meta = F.col("_metadata")
+    files = spark.read.options(**_READ, lineSep="\n").text(root).select(
+        *_path_keys(meta["file_path"]), meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), meta["file_size"].alias("size"),
+        F.monotonically_increasing_id().alias("id"), F.col("value").cast("binary").alias("bytes"))
+    wanted = attempts.select(*[F.col(k).alias(f"_{k}") for k in ATTEMPT_KEYS], F.to_json(F.array(*[F.col(k).cast("string") for k in ATTEMPT_KEYS])).alias("log"))
+    same = F.lit(True)
+    for k in ATTEMPT_KEYS:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    lines = files.join(wanted, same).select("log", "file", "block", "id", "size", "bytes")
+    # The reader drops the mark that a file of UTF-8 may begin with; two or three bytes are missing then.
+    read = files.groupBy(*ATTEMPT_KEYS, "file").agg(F.sum(F.octet_length("bytes") + 1).alias("read"), F.max("size").alias("size"))
+    marked = read.filter(F.col("size") - F.col("read") >= 2).join(wanted, same).select(
+        "log", "file", F.lit(-1).cast("long").alias("block"), F.lit(-1).cast("long").alias("id"), F.lit(-1).cast("long").alias("size"),
+        F.lit(b"\xef\xbb\xbf").alias("bytes"))
+    order = ["log", "file", "block", "id"]
+    dealt = lines.unionByName(marked).repartition("log").sortWithinPartitions(*order)
+    hashed = dealt.select("log", "file", "size", "bytes").mapInArrow(_running_hash, "log string, content_hash string")
+    return hashed.join(wanted, "log").select(*[F.col(f"_{k}").alias(k) for k in ATTEMPT_KEYS], "content_hash")

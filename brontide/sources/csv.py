@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from brontide.sources import large_csv, tables
+from brontide.sources import files, large_csv
 
 # Quotes are escaped by doubling and a quoted field may hold line breaks. The timestamp
 # formats keep microseconds, which the default formats drop on writing.
@@ -38,7 +38,7 @@ def _split_bytes(spark: SparkSession) -> int:
 
 def _largest_file(spark: SparkSession, path: str) -> int:
     """Bytes of the largest file that can be split: a compressed one cannot."""
-    sizes = tables.list_sizes(spark, path)
+    sizes = files.list_sizes(spark, path)
     return max((n for name, n in sizes if not name.endswith((".gz", ".bz2", ".zst", ".xz", ".snappy", ".lz4", ".deflate"))), default=0)
 
 

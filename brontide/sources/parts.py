@@ -7,13 +7,16 @@ all tables of a run or none, a failed run leaves nothing visible, and a run cost
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from brontide.schemas import MANIFEST
-from brontide.session import small_frame
-from brontide.sources.tables import delete_path, list_names, path_exists, write_counted
+from brontide.session import materialize, small_frame
+from brontide.sources import commits
+from brontide.sources.files import delete_path, list_names, make_folder, path_exists
+from brontide.sources.tables import write_counted
 
 
 def new_run() -> str:
@@ -26,10 +29,14 @@ def stage(df: DataFrame, root: str, table: str, run: str) -> int:
 
 
 def publish(spark: SparkSession, root: str, run: str, parts: list[int], upto: int | None = None) -> None:
-    """Make a staged run the current one of its parts. One writer per root."""
-    version = (manifest(spark, root).agg(F.max("version")).first()[0] or 0) + 1
-    rows = [{"part": part, "run": run, "version": version, "upto": upto} for part in parts]
-    small_frame(spark, rows, MANIFEST).write.mode("append").json(f"{root}/manifest")
+    """Make a staged run the current one of its parts. Of several writers each gets a version of its own."""
+    make_folder(spark, f"{root}/manifest")
+    commits.commit(spark, f"{root}/manifest", lambda version: _lines(
+        [{"part": part, "run": run, "version": version, "upto": upto} for part in parts]))
+
+
+def _lines(rows: list[dict]) -> str:
+    return "\n".join(json.dumps(r) for r in rows)
 
 
 def manifest(spark: SparkSession, root: str) -> DataFrame:
@@ -50,9 +57,8 @@ def scan(spark: SparkSession, root: str, table: str, schema: T.StructType) -> Da
     if not path_exists(spark, f"{root}/{table}"):
         return small_frame(spark, [], T.StructType([*schema, T.StructField("part", T.LongType())]))
     rows = spark.read.schema(f"{schema.toDDL()}, run STRING, part BIGINT").parquet(f"{root}/{table}")
-    # Read now, a row per part, as the manifest may be pruned before the rows are read.
-    live = [r.asDict() for r in live_parts(spark, root).select("part", "run").collect()]
-    current = small_frame(spark, live, T.StructType([T.StructField("part", T.LongType()), T.StructField("run", T.StringType())]))
+    # Stored now, a row per part, as the manifest may be pruned before the rows are read.
+    current = materialize(live_parts(spark, root).select("part", "run"), "live-parts")
     return rows.join(current, ["part", "run"], "left_semi").select(*schema.names, "part")
 
 
@@ -74,12 +80,12 @@ def prune(spark: SparkSession, root: str, tables: list[str], keep: int, drop_par
     if len(kept) == len(rows) and len(list_names(spark, f"{root}/manifest")) <= 2 * keep + 2:
         return
     # Files of before go only after the one that holds what is kept is there; rows that are seen twice in
-    # between change nothing.
-    before = list_names(spark, f"{root}/manifest")
-    small_frame(spark, kept, MANIFEST).write.mode("append").json(f"{root}/manifest")
+    # between change nothing. Its name carries the last version, from which the next writer goes on.
+    before = [name for number, name in commits.versions(spark, f"{root}/manifest") if number <= last]
+    if not commits.create_exclusively(spark, f"{root}/manifest/kept-{commits.name_of(last)}", _lines(kept)):
+        return
     for name in before:
-        if not name.startswith("_"):
-            delete_path(spark, f"{root}/manifest/{name}")
+        delete_path(spark, f"{root}/manifest/{name}")
     runs = {r["run"] for r in kept}
     for table in tables:
         for name in list_names(spark, f"{root}/{table}"):

@@ -8,14 +8,15 @@ publishes nothing, and a running reader keeps the files it started with.
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from brontide.schemas import PUBLICATION
-from brontide.session import small_frame
+from brontide.sources import commits
+from brontide.sources.files import delete_path, list_names, make_folder, path_exists, read_text
 
 
 def default_format(spark: SparkSession) -> str:
@@ -26,46 +27,6 @@ def table_path(base: str, table: str) -> str:
     return f"{base.rstrip('/')}/{table.lower()}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder exists, on whatever file system the path names."""
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
-def _file_system(spark: SparkSession, path: str):
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    """Delete a file or a folder with all it holds; nothing where there is none."""
-    files, jvm_path = _file_system(spark, path)
-    files.delete(jvm_path, True)
-
-
-def make_folder(spark: SparkSession, path: str) -> None:
-    files, jvm_path = _file_system(spark, path)
-    files.mkdirs(jvm_path)
-
-
-def list_names(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder; none where there is no folder."""
-    files, jvm_path = _file_system(spark, path)
-    return sorted(s.getPath().getName() for s in files.listStatus(jvm_path)) if files.exists(jvm_path) else []
-
-
-def list_sizes(spark: SparkSession, path: str) -> list[tuple[str, int]]:
-    """Names and bytes of the files that a reader of ``path``, a file, a folder or a pattern, would find."""
-    files, jvm_path = _file_system(spark, path)
-    found = []
-    for top in files.globStatus(jvm_path) or []:
-        for s in files.listStatus(top.getPath()) if top.isDirectory() else [top]:
-            name = s.getPath().getName()
-            if s.isFile() and (not top.isDirectory() or not name.startswith(("_", "."))):
-                found.append((name, s.getLen()))
-    return found
-
-
 @dataclass(frozen=True)
 class Snapshot:
     """A written but not yet published snapshot."""
@@ -96,42 +57,34 @@ def stage_snapshot(df: DataFrame, base: str, table: str) -> Snapshot:
     return Snapshot(root, name, n_rows)
 
 
-def _latest(spark: SparkSession, root: str):
-    if not path_exists(spark, f"{root}/published"):
-        return None
-    log = spark.read.schema(PUBLICATION).json(f"{root}/published")
-    return log.orderBy(F.desc("version"), F.desc("published_at"), F.desc("snapshot")).first()
+def _latest(spark: SparkSession, root: str) -> dict | None:
+    return commits.last(spark, f"{root}/published")[1]
 
 
 def publish_snapshot(spark: SparkSession, snapshot: Snapshot, keep: int | None = None) -> int:
-    """Make a staged snapshot the current one; returns its version. One writer per table.
+    """Make a staged snapshot the current one; returns its version. Of several writers each gets a version of its own.
 
     With ``keep`` only the last so many publications stay listed and only their snapshots stay; a
     reader that began before those loses its files.
     """
-    latest = _latest(spark, snapshot.root)
-    version = latest["version"] + 1 if latest else 1
-    row = {"version": version, "snapshot": snapshot.name, "n_rows": snapshot.n_rows,
-           "published_at": datetime.now(timezone.utc).isoformat()}
-    (small_frame(spark, [row], PUBLICATION)
-        .write.mode("append").json(f"{snapshot.root}/published"))
+    row = {"snapshot": snapshot.name, "n_rows": snapshot.n_rows, "published_at": datetime.now(timezone.utc).isoformat()}
+    make_folder(spark, f"{snapshot.root}/published")
+    version = commits.commit(spark, f"{snapshot.root}/published", lambda n: json.dumps({"version": n, **row}))
     if keep is not None:
         _prune(spark, snapshot.root, keep)
     return version
 
 
 def _prune(spark: SparkSession, root: str, keep: int) -> None:
-    log = (spark.read.schema(PUBLICATION).json(f"{root}/published")
-                .select("version", "snapshot", F.col("_metadata.file_path").alias("file")))
     # At most the publications since the last call and those kept then.
-    rows = sorted(log.collect(), key=lambda r: r["version"], reverse=True)
-    kept = {r["snapshot"] for r in rows[:keep]}
-    for row in rows[keep:]:
-        delete_path(spark, row["file"])
-    for name in list_names(spark, f"{root}/snapshots"):
-        # A snapshot that is staged but not published has no row; it is left to its writer.
-        if name not in kept and name in {r["snapshot"] for r in rows}:
-            delete_path(spark, f"{root}/snapshots/{name}")
+    found = commits.versions(spark, f"{root}/published")
+    rows = [json.loads(read_text(spark, f"{root}/published/{name}")) for _, name in found]
+    kept = {r["snapshot"] for r in rows[-keep:]}
+    for _, name in found[:-keep]:
+        delete_path(spark, f"{root}/published/{name}")
+    # A snapshot that is staged but not published has no row; it is left to its writer.
+    for gone in {r["snapshot"] for r in rows} - kept:
+        delete_path(spark, f"{root}/snapshots/{gone}")
 
 
 def scan_table(spark: SparkSession, base: str, table: str, fmt: str | None = None) -> DataFrame:

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from brontide.operators.events import (
-    idempotency_key, merge_partial_states, merge_run_state, normalize_events, partial_run_state)
+    dedup_events, idempotency_key, merge_partial_states, merge_run_state, normalize_events, partial_run_state)
 from brontide.schemas import CALLBACK
-from brontide.sources import tables
+from brontide.sources import ledger, tables
 
 
 def read_callbacks(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -42,6 +42,25 @@ def dedup_event_stream(events: DataFrame, delay: str = "168 hours") -> DataFrame
                    .dropDuplicatesWithinWatermark(["idempotency_key"]).drop("_arrived"))
 
 
+def dedup_for_good(events: DataFrame, path: str, ledger_root: str, checkpoint: str, order_by: list[str], **trigger) -> StreamingQuery:
+    """File the first event of every idempotency key under ``path``, whatever time has passed since.
+
+    Keys that were ever admitted are in a ledger, see ``sources/ledger.py``; of a micro-batch the first event of each key counts,
+    by ``order_by``. A batch that is run again overwrites its folder with the same events. To be read with ``read_admitted``.
+    """
+    def add(batch: DataFrame, batch_id: int) -> None:
+        new = ledger.admit(dedup_events(batch, order_by), ledger_root, batch_id)
+        new.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (events.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+                  .trigger(**(trigger or {"availableNow": True})).start())
+
+
+def read_admitted(spark: SparkSession, path: str) -> DataFrame:
+    """Admitted events with their ``batch``."""
+    return spark.read.parquet(path)
+
+
 def maintain_run_state(events: DataFrame, path: str, checkpoint: str, order_by: list[str],
                        fold_every: int = 100, **trigger) -> StreamingQuery:
     """Keep the state of all runs under ``path``.

@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 
 from brontide.operators.chunking import chunk_text
@@ -60,3 +62,34 @@ def test_chunks_of_files_equal_chunks_of_texts(spark, root):
     by_text = chunk_text(A.scan_attempt_logs(spark, root), "raw_text", 7, 60)
     assert sorted(map(tuple, by_lines.collect()), key=str) == sorted(map(tuple, by_text.collect()), key=str)
     assert by_text.count() > 700
+
+
+def test_one_fingerprint_at_all_sizes(spark, tmp_path):
+    """The hash of a log does not tell whether a cell could hold it, nor how it was split."""
+    long = "".join(f"line {i} é\n" for i in range(300))
+    texts = {("r", 1): [b"one\ntwo\n"], ("r", 2): [b"no end"], ("r", 3): ["﻿mark\r\n\r\nx\r".encode()], ("r", 5): [long.encode()],
+             ("r", 6): [long.encode(), b"", b"more", b"\xff\xfe\n"], ("s", 1): [b"\n"], ("s", 2): [b"\n\n\x00a"], ("s", 3): ["﻿".encode()]}
+    for (run, attempt), parts in texts.items():
+        folder = tmp_path / "in" / f"dag_id=d/run_id={run}/task_id=t"
+        if len(parts) > 1:
+            folder /= f"attempt={attempt}.log"
+        folder.mkdir(parents=True, exist_ok=True)
+        for i, part in enumerate(parts):
+            (folder / (f"part-{i}" if len(parts) > 1 else f"attempt={attempt}.log")).write_bytes(part)
+    runs = spark.createDataFrame([("d", "r", 1), ("d", "s", 2)], "dag_id string, dag_run_id string, pipeline_run_id long")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = []
+    for cell, split in ((1 << 26, "128m"), (8, "600"), (0, "4000")):
+        base = str(tmp_path / f"corpus-{cell}")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            collect.append_attempts(spark, str(tmp_path / "in"), runs, base, 0, cell_bytes=cell)
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        found.append({(r["dag_run_id"], r["try_number"]): r for r in collect.current_sources(spark, base).collect()})
+    for key, parts in texts.items():
+        text = b"".join(parts)
+        for rows in found:
+            assert (rows[key]["content_hash"], rows[key]["content_size_bytes"]) == (hashlib.sha256(text).hexdigest(), len(text)), key
+    assert found[0]["r", 5]["raw_content"] == long and found[1]["r", 5]["raw_content"] is None
+    assert {k: r["line_count"] for k, r in found[1].items()} == {k: r["line_count"] for k, r in found[2].items()}

@@ -1,6 +1,8 @@
 """Upserts against their sequential application."""
 
+import json
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from brontide.operators.upsert import UpsertRule, upsert
 from brontide.plans import collect
 from brontide.schemas import LOG_SOURCE, RESOURCE
 from brontide.session import work_dir
-from brontide.sources import parts, tables
+from brontide.sources import commits, files, levels, parts, tables
 
 RULE = UpsertRule(key={"r": None, "t": 0, "m": -1}, keep=("r",), fill=("t", "name"),
                   overwrite=("m", "body"))
@@ -173,20 +175,71 @@ def test_collect_stream(spark):
     assert [r["is_error"] for r in collect.current_chunks(spark, f"{path}/corpus").collect()] == [True]
 
 
-def test_publishing_touches_the_buckets_of_new_batches(spark):
+def test_published_runs_equal_one_fold(spark):
+    """Several levels, read as a whole, by key, and after batches that came later."""
     base, target = work_dir(spark, "test-corpus"), work_dir(spark, "test-published")
-    for batch in range(3):
+    written = []
+    for batch in range(5):
         incoming = source(spark, raw_text=f"one {batch}", task_id="a")
         if not batch:
             incoming = incoming.unionByName(source(spark, raw_text="other", task_id="b"))
+        if batch == 3:
+            incoming = source(spark, raw_text="", task_id="b", dag_id=None)
         collect.append_logs(incoming, base, batch)
-        written = collect.publish_logs(spark, base, target)
-    # The bucket of task b was written by the first publication only.
-    assert written == {"log_sources": 1, "log_chunks": 1}
-    runs = {r["run"] for r in parts.live_parts(spark, target).collect()}
-    assert len(runs) == 2
+        written.append(collect.publish_logs(spark, base, target, fanout=2))
+    assert [r.level for r in levels.state(spark, target)[1]] == [2, 0]
+    # A batch alone, then with those it is merged with.
+    assert [w["log_sources"] for w in written] == [2, 1 + 2, 1, 1 + 2 + 2, 1]
     assert collect.publish_logs(spark, base, target) == {"log_sources": 0, "log_chunks": 0}
-    assert sorted(r["message"] for r in collect.published(spark, target, "log_chunks").collect()) == ["one 2", "other"]
+    assert sorted(r["message"] for r in collect.published(spark, target, "log_chunks").collect()) == ["one 4", "other"]
+    sources = collect.published(spark, target, "log_sources").select("id", "task_id", "raw_content", "dag_id", "batch").collect()
+    assert sorted((r["task_id"], r["raw_content"], r["batch"]) for r in sources) == [("a", "one 4", 4), ("b", "", 3)]
+    one = next(r["id"] for r in sources if r["task_id"] == "b")
+    by_key = collect.published(spark, target, "log_chunks", [one])
+    assert [r["message"] for r in by_key.collect()] == ["other"]
+    assert "In(log_source_id" in plan_text(by_key) or "EqualTo(log_source_id" in plan_text(by_key)
+
+
+def plan_text(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_batch_is_written_again_a_logarithmic_number_of_times():
+    runs, written, size = [], 0, {}
+    for batch in range(200):
+        run = levels.new_run(0, batch, batch)
+        runs, size[run.name], written = [*runs, run], 1, written + 1
+        while old := levels.due(runs, 8):
+            runs, run = levels.merged(runs, old)
+            size[run.name] = sum(size[r.name] for r in old)
+            written += size[run.name]
+        assert [r.first for r in runs] == [0, *[r.upto + 1 for r in runs[:-1]]] and runs[-1].upto == batch
+        assert len(runs) <= 7 * 3 + 1
+    assert written <= 200 * (1 + 3)
+
+
+def test_two_writers_publish_both(spark):
+    """Each publication has a number of its own, and none is lost."""
+    base = work_dir(spark, "test-tables")
+    staged = [tables.stage_snapshot(spark.range(i + 1), base, "t") for i in range(8)]
+    with ThreadPoolExecutor(8) as pool:
+        versions = sorted(pool.map(lambda s: tables.publish_snapshot(spark, s), staged))
+    assert versions == list(range(1, 9))
+    root = work_dir(spark, "test-parts")
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda i: parts.publish(spark, root, f"run{i}", [i]), range(8)))
+    assert sorted((r["part"], r["run"]) for r in parts.live_parts(spark, root).collect()) == [(i, f"run{i}") for i in range(8)]
+    assert sorted(r["version"] for r in parts.manifest(spark, root).collect()) == list(range(1, 9))
+
+
+def test_a_commit_is_created_once_and_whole(spark):
+    folder = work_dir(spark, "test-commits")
+    files.make_folder(spark, folder)
+    with ThreadPoolExecutor(16) as pool:
+        made = list(pool.map(lambda i: commits.create_exclusively(spark, f"{folder}/{commits.name_of(1)}", json.dumps([i] * 1000)), range(16)))
+    assert sum(made) == 1
+    assert commits.last(spark, folder) == (1, [made.index(True)] * 1000)
+    assert files.list_names(spark, folder) == [commits.name_of(1)]
 
 
 def test_unpublished_batches_are_not_seen(spark):
@@ -214,13 +267,14 @@ def test_folders_stay_bounded(spark):
     base, target = work_dir(spark, "test-corpus"), work_dir(spark, "test-published")
     for batch in range(14):
         collect.append_logs(source(spark, raw_text=f"text {batch}"), base, batch)
-        collect.publish_logs(spark, base, target, keep=3)
+        collect.publish_logs(spark, base, target, fanout=2, keep=3)
         reader = collect.current_chunks(spark, base, target)
         assert [r["message"] for r in reader.collect()] == [f"text {batch}"]
     for root in (base, target):
         for table in ("log_sources", "log_chunks"):
-            assert len(tables.list_names(spark, f"{root}/{table}")) <= 5
-        assert len([n for n in tables.list_names(spark, f"{root}/manifest") if n.startswith("part-")]) <= 8
+            assert len(tables.list_names(spark, f"{root}/{table}")) <= 8
+    assert len([n for n in tables.list_names(spark, f"{base}/manifest") if n.endswith(".json")]) <= 9
+    assert len(tables.list_names(spark, f"{target}/runs")) == 3
 
 
 def test_snapshots_stay_bounded(spark):
