@@ -174,13 +174,17 @@ def publish_logs(spark: SparkSession, base: str, target: str, fanout: int = 8, k
             return {table: 0 for table in _SCHEMAS}
         done = runs[-1].upto if runs else None
         run = levels.new_run(0, 0 if done is None else done + 1, upto)
+        staged = [run]
         written = _stage_run({table: _batches(spark, base, table, done, upto) for table in _SCHEMAS}, target, run)
         runs = [*runs, run]
         while old := levels.due(runs, fanout):
             runs, run = levels.merged(runs, old)
+            staged.append(run)
             again = _stage_run({table: _runs(spark, target, table, old) for table in _SCHEMAS}, target, run)
             written = {table: n + again[table] for table, n in written.items()}
-        if levels.commit(spark, target, version, runs):
+        done = levels.commit(spark, target, version, runs)
+        levels.discard(spark, target, list(_SCHEMAS), staged, runs if done else [])
+        if done:
             break
     levels.prune(spark, target, list(_SCHEMAS), keep)
     parts.prune(spark, base, list(_SCHEMAS), keep, drop_parts=upto)
@@ -236,7 +240,7 @@ def append_attempts(spark: SparkSession, root: str, runs: DataFrame, base: str,
         found = long.join(prints, _same_attempt(long, prints), "left").join(sizes, _same_attempt(long, sizes), "left").select(
             *[long[c] for c in [*described, "attempt"]], F.lit("TEXT").alias("content_type"), nothing.alias("raw_content"),
             nothing.alias("raw_json"), F.coalesce("content_hash", X.sha256_hex(marks)).alias("content_hash"),
-            F.col("bytes").alias("content_size_bytes"), F.coalesce("line_count", F.lit(0)).alias("line_count"),
+            F.col("bytes").alias("content_size_bytes"), F.coalesce("line_count", F.lit(1)).alias("line_count"),
             F.current_timestamp().alias("collected_at"))
         found = materialize(found.withColumn("id", L.source_id()), "long-sources")
         sources = sources.unionByName(found.select(*LOG_SOURCE.names))

@@ -95,6 +95,7 @@ def admit(rows: DataFrame, root: str, batch: int, key: str = "idempotency_key",
                 again = known.join(found.select("a", "key").distinct(), ["a", "key"], "left_semi")
                 new = keys.join(again, ["a", "key"], "left_anti")
         new = materialize(new, "ledger-new")
+        staged = []
         # Runs are merged before the newest is added, so that it stays apart for a repetition of its batch.
         while old := levels.due(runs, fanout):
             runs, run = levels.merged(runs, old)
@@ -103,8 +104,11 @@ def admit(rows: DataFrame, root: str, batch: int, key: str = "idempotency_key",
                 part = _read(spark, root, "keys", x, _KEYS)
                 together = part if together is None else together.unionByName(part)
             _stage(together, root, run)
+            staged.append(run)
         run = levels.new_run(0, batch, batch)
         _stage(new, root, run)
-        if levels.commit(spark, root, version, [*runs, run]):
+        done = levels.commit(spark, root, version, [*runs, run])
+        levels.discard(spark, root, ["keys", "filters"], [*staged, run], [*runs, run] if done else [])
+        if done:
             levels.prune(spark, root, ["keys", "filters"], keep)
             return stored.join(new.select(F.col("key").alias("__key")), "__key", "left_semi").drop("__key")
