@@ -1,11 +1,13 @@
 """URL filter by a path-template tree per host, in built-in expressions only.
 
 Variable segments of a path become wildcards: first by form (numbers, long hexadecimal or mixed ones),
-then by statistics: where a node of the host's tree has too many different children for the URLs below
+then by statistics: where a node of the host's tree has too many different children for the paths below
 it, the children become one wildcard. Sibling templates whose labelled pages are blocked at statistically
-similar rates are merged. A template, or its merged group, is rejected if the smoothed share of blocked
-pages among its labelled ones is high enough; without enough labelled pages it is allowed. Only one row per
-host and template is ever compared, so a host with a third of all pages costs what its templates do.
+similar rates are merged, in the order of their rates, so that a node may have several groups. The purity of a group, the
+share of blocked pages among its labelled ones, is smoothed towards that of all its siblings, theirs towards the
+host's, and the host's towards that of all pages; a template without labels thus has its siblings' or its host's.
+A template is rejected if its purity is high enough. Only rows per host and template, or fewer, are ever
+compared, so a host with a third of all pages costs what its templates do.
 """
 
 from __future__ import annotations
@@ -39,8 +41,10 @@ class Rule:
 
 @dataclass(frozen=True)
 class Tree:
-    """``fan_out`` children are never too many; above, they are if they exceed ``variety`` of the URLs.
-    ``levels`` segments are told apart; what follows them is one wildcard."""
+    """``fan_out`` children are never too many; above, they are if they exceed ``variety`` of the different paths below the
+    node. ``levels`` segments are told apart; what follows them is one wildcard. Templates of ``support`` labelled pages may be
+    merged, if a test at ``same`` standard errors does not tell their rates apart. ``smoothing`` counts as so many pages of the
+    wider group, and ``purity`` rejects."""
 
     levels: int = 6
     fan_out: int = 12
@@ -95,7 +99,7 @@ def template_tree(pages: DataFrame, tree: Tree = Tree()) -> DataFrame:
     deepest = min(tree.levels, paths.agg(F.max(F.size("typed"))).first()[0] or 0)
     for level in range(deepest):
         child = F.get("typed", F.lit(level))
-        kids = paths.filter(child.isNotNull()).groupBy("host", "template", child.alias("child")).agg(F.sum("n").alias("n"))
+        kids = paths.filter(child.isNotNull()).groupBy("host", "template", child.alias("child")).agg(F.count("*").alias("n"))
         nodes = kids.groupBy("host", "template").agg(F.count("*").alias("kids"), F.sum("n").alias("total"))
         wide = nodes.filter((F.col("kids") > tree.fan_out) & (F.col("kids") > tree.variety * F.col("total")))
         wide = wide.select("host", "template", F.lit(True).alias("wide"))
@@ -106,32 +110,41 @@ def template_tree(pages: DataFrame, tree: Tree = Tree()) -> DataFrame:
 
     one = paths.groupBy("host", "template").agg(F.sum("labelled").alias("l"), F.sum("blocked").alias("b"))
     one = materialize(one.withColumn("parent", F.regexp_replace("template", r"/[^/]*$", "")), "url-templates")
-    overall = one.agg(F.coalesce(F.sum("b") / F.sum("l"), F.lit(0.0))).first()[0]
-    enough = F.col("l") >= tree.support
-    family = Window.partitionBy("host", "parent")
-    pooled_l, pooled_b = F.sum(F.when(enough, F.col("l"))).over(family), F.sum(F.when(enough, F.col("b"))).over(family)
-    rest_l, rest_b = F.col("pl") - F.col("l"), F.col("pb") - F.col("b")
-    share = F.col("pb") / F.col("pl")
-    error = F.sqrt(share * (1 - share) * (1 / F.col("l") + 1 / rest_l))
-    # Like its siblings together, by a test of two proportions; without variance only equal rates are.
-    alike = F.when(~enough | (rest_l < 1), F.lit(False)).otherwise(
-        F.abs(F.col("b") / F.col("l") - rest_b / rest_l) <= F.lit(tree.same) * error)
-    one = one.withColumn("pl", pooled_l).withColumn("pb", pooled_b).withColumn("merged", alike)
-    one = one.withColumn("group", F.when(F.col("merged"), F.lit(ANY)).otherwise(F.col("template")))
-    group = Window.partitionBy("host", "parent", "group")
-    at_host = Window.partitionBy("host")
-    prior = (F.sum("b").over(at_host) + tree.smoothing * overall) / (F.sum("l").over(at_host) + tree.smoothing)
-    one = one.withColumn("gl", F.sum("l").over(group)).withColumn("gb", F.sum("b").over(group)).withColumn("prior", prior)
-    one = one.select("host", "template", F.col("gl").alias("labelled"), F.col("gb").alias("blocked"),
-                     ((F.col("gb") + tree.smoothing * F.col("prior")) / (F.col("gl") + tree.smoothing)).alias("purity"))
+    total = one.agg(F.coalesce(F.sum("b") / F.sum("l"), F.lit(0.0))).first()[0]
+
+    def smoothed(b: str, l: str, prior: Column) -> Column:  # noqa: E741
+        return (F.col(b) + tree.smoothing * prior) / (F.col(l) + tree.smoothing)
+
+    # Towards the wider group, from the host down; sums per host and per node are joined.
+    hosts = one.groupBy("host").agg(F.sum("l").alias("hl"), F.sum("b").alias("hb"))
+    nodes = one.groupBy("host", "parent").agg(F.sum("l").alias("pl"), F.sum("b").alias("pb"))
+    nodes = nodes.join(hosts, "host").withColumn("of_node", smoothed("pb", "pl", smoothed("hb", "hl", F.lit(total))))
+    groups = materialize(_groups(one, tree), "url-groups")
+    sums = groups.groupBy("host", "parent", "group").agg(F.sum(F.col("l") * F.col("templates")).alias("gl"), F.sum(F.col("b") * F.col("templates")).alias("gb"))
+    of_pair = groups.join(sums, ["host", "parent", "group"]).select("host", "parent", "l", "b", "gl", "gb")
+    one = one.join(of_pair, ["host", "parent", "l", "b"], "left").withColumn("gl", F.coalesce("gl", "l")).withColumn("gb", F.coalesce("gb", "b"))
+    one = one.join(nodes.select("host", "parent", "of_node"), ["host", "parent"])
+    one = one.select("host", "template", F.col("gl").alias("labelled"), F.col("gb").alias("blocked"), smoothed("gb", "gl", F.col("of_node")).alias("purity"))
     return paths.select("host", "typed", "template").join(one, ["host", "template"])
 
 
+def _groups(templates: DataFrame, tree: Tree) -> DataFrame:
+    """``host, parent, l, b, templates, group``: siblings of enough labels, a row for all that have the same, and the number of their
+    group. Along rising rates a group goes on while a test of two proportions does not tell a pair from the one before."""
+    pairs = templates.filter(F.col("l") >= tree.support).groupBy("host", "parent", "l", "b").agg(F.count("*").alias("templates"))
+    along = Window.partitionBy("host", "parent").orderBy(F.col("b") / F.col("l"), "l")
+    before_l, before_b = F.lag("l").over(along), F.lag("b").over(along)
+    share = (F.col("b") + before_b) / (F.col("l") + before_l)
+    error = F.sqrt(share * (1 - share) * (1 / F.col("l") + 1 / before_l))
+    # Without variance only equal rates are alike.
+    alike = F.abs(F.col("b") / F.col("l") - before_b / before_l) <= F.lit(tree.same) * error
+    return pairs.withColumn("new", (~F.coalesce(alike, F.lit(False))).cast("int")).withColumn("group", F.sum("new").over(along)).drop("new")
+
+
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", label: str | None = None, tree: Tree = Tree()) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule``, ``verdict``, ``template`` and its ``purity``.
 
-    A rule's verdict stands. Other pages are blocked where their template's labelled pages are at least
-    ``tree.support`` and their smoothed purity reaches ``tree.purity``, else allowed. Labels are the column
+    A rule's verdict stands. Other pages are blocked where their template's smoothed purity reaches ``tree.purity``, else allowed. Labels are the column
     ``label`` (1 for blocked, 0 for not), where it is given and not null, else the verdicts of the rules.
     Null and malformed URLs have an empty host and path, no rule, and are judged as the template of these.
     Equal rows get equal verdicts; columns named like the new ones are replaced. An empty table gives no rows.
@@ -144,7 +157,7 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], url: str = "url", label:
     templates = template_tree(ruled.select(F.col("__host").alias("host"), F.col("__typed").alias("typed"), known.alias("blocked")), tree)
     templates = materialize(templates, "url-verdicts").select(
         F.col("host").alias("__h"), F.col("typed").alias("__t"), F.col("template").alias("__template"), F.col("purity").alias("__purity"),
-        ((F.col("labelled") >= tree.support) & (F.col("purity") >= tree.purity)).alias("__rejected"))
+        (F.col("purity") >= tree.purity).alias("__rejected"))
     out = ruled.join(templates, (F.col("__host") == F.col("__h")) & (F.col("__typed") == F.col("__t")), "left")
     by_tree = F.when(F.col("__rejected"), F.lit("block")).otherwise("allow")
     out = replace_columns(out, {"host": F.col("__host"), "path": F.col("__path"), "rule": F.col("__rule.prefix"),

@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -311,15 +312,96 @@ def test_tree_generalises_merges_and_rejects(spark):
     purity = by_path["h", "/tag/unseen"]["purity"]
     blocked, labelled, overall = 80, 180, 80 / 180
     prior = (blocked + 4 * overall) / (labelled + 4)
-    assert purity == pytest.approx((60 + 4 * prior) / (60 + 4))
+    node = (60 + 4 * prior) / (60 + 4)
+    assert purity == pytest.approx((60 + 4 * node) / (60 + 4))
+
+
+def plain_tree(rows, tree):
+    """Templates and purities of rows ``host, typed, label`` without Spark."""
+    paths = {}
+    for host, typed, label in rows:
+        own = paths.setdefault((host, tuple(typed)), [0, 0])
+        if label is not None:
+            own[0] += 1
+            own[1] += label
+    template = {k: "" for k in paths}
+    for level in range(tree.levels):
+        below = defaultdict(Counter)
+        for (host, typed), t in template.items():
+            if len(typed) > level:
+                below[host, t][typed[level]] += 1
+        wide = {n for n, kids in below.items() if len(kids) > tree.fan_out and len(kids) > tree.variety * sum(kids.values())}
+        template = {(h, typed): t if len(typed) <= level else f"{t}/{'*' if (h, t) in wide else typed[level]}" for (h, typed), t in template.items()}
+    template = {k: t + ("/**" if len(k[1]) > tree.levels else "") for k, t in template.items()}
+    counts, hosts, nodes = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+    for (h, typed), t in template.items():
+        for at in (counts[h, t], hosts[h], nodes[h, re.sub("/[^/]*$", "", t)]):
+            at[0] += paths[h, typed][0]
+            at[1] += paths[h, typed][1]
+    total = [sum(x[i] for x in counts.values()) for i in (0, 1)]
+    overall = total[1] / total[0] if total[0] else 0.0
+    smooth = lambda x, prior: (x[1] + tree.smoothing * prior) / (x[0] + tree.smoothing)
+    group = {}
+    for h, node in nodes:
+        own = sorted((t for t in counts if t[0] == h and re.sub("/[^/]*$", "", t[1]) == node and counts[t][0] >= tree.support),
+                     key=lambda t: (counts[t][1] / counts[t][0], counts[t][0]))
+        groups = []
+        for i, t in enumerate(own):
+            (l, b), (l0, b0) = counts[t], counts[own[i - 1]]
+            share = (b + b0) / (l + l0)
+            if i and abs(b / l - b0 / l0) <= tree.same * (share * (1 - share) * (1 / l + 1 / l0)) ** 0.5:
+                groups[-1].append(t)
+            else:
+                groups.append([t])
+        for g in groups:
+            for t in g:
+                group[t] = [sum(counts[x][i] for x in g) for i in (0, 1)]
+    out = {}
+    for t, own in counts.items():
+        node = smooth(nodes[t[0], re.sub("/[^/]*$", "", t[1])], smooth(hosts[t[0]], overall))
+        pooled = group.get(t, own)
+        out[t] = (*pooled, smooth(pooled, node))
+    return {k: (t, *out[k[0], t]) for k, t in template.items()}
 
 
 def test_similar_siblings_are_merged(spark):
-    rows = [("h", ["a", s], b) for s, n, k in (("x", 30, 27), ("y", 20, 18), ("z", 50, 2)) for b in [1] * k + [0] * (n - k)]
-    tree = urls.template_tree(spark.createDataFrame(rows, "host string, typed array<string>, blocked int"))
-    found = {r["template"]: (r["labelled"], r["blocked"]) for r in tree.collect()}
-    assert found["/a/z"] == (50, 2)
-    assert found["/a/x"] in ((50, 45), (30, 27)) and found["/a/y"] in ((50, 45), (20, 18))
+    """Two groups under one node: two siblings are blocked alike, two others allowed alike, and one is neither."""
+    rows = [("h", ["a", s], b) for s, n, k in (("x", 30, 27), ("y", 20, 18), ("z", 50, 2), ("w", 40, 1), ("m", 60, 30)) for b in [1] * k + [0] * (n - k)]
+    found = {r["template"]: (r["labelled"], r["blocked"]) for r in urls.template_tree(spark.createDataFrame(rows, "host string, typed array<string>, blocked int")).collect()}
+    assert found == {"/a/x": (50, 45), "/a/y": (50, 45), "/a/z": (90, 3), "/a/w": (90, 3), "/a/m": (60, 30)}
+
+
+def test_tree_by_brute_force(spark):
+    """Templates, groups, purities and verdicts, with labels of their own and of the contract's rules."""
+    rng = random.Random(9)
+    made = [(f"h{i % 3}.com", "/" + "/".join(rng.choice([["a", "b"], ["x", "y", "z"], [f"slug-{'ab'[j % 2]}{rng.randrange(40)}w" for j in range(9)], [str(rng.randrange(99))], ["q"], ["r"], ["s"], ["t"]][d])
+             for d in range(rng.randrange(8))), rng.choice([None, None, 0, 1, 1])) for i in range(900)]
+    made = [(h, p, 1 if "/a/x" in p and b is not None else b) for h, p, b in made]
+    sets = [spark.createDataFrame([(i, f"http://{h}{p}", b) for i, (h, p, b) in enumerate(made)], "page_id long, url string, bad int"),
+            spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")]
+    for pages, label, rules_ in ((sets[0], "bad", []), (sets[1], None, catalog.URL_RULES)):
+        host, path = urls.split_url("url")
+        rule = urls.matching_rule(F.col("h"), F.col("p"), rules_)
+        typed = pages.withColumn("h", host).withColumn("p", path).withColumn("t", urls.typed_segments(F.col("p"))).withColumn("rule", rule).toPandas()
+        by_rule = [None if r is None else int(r["action"] == "block") for r in typed["rule"]]
+        labels = by_rule if label is None else [None if b != b else int(b) for b in typed[label]]
+        expected = plain_tree(list(zip(typed["h"], typed["t"], labels)), urls.Tree())
+        found = {r["page_id"]: r for r in urls.judge_urls(pages, rules_, label=label).collect()}
+        assert len(found) == len(typed)
+        for page, h, t, ruled in zip(typed["page_id"], typed["h"], typed["t"], by_rule):
+            template, _, _, purity = expected[h, tuple(t)]
+            assert (found[page]["template"], found[page]["purity"]) == (template, pytest.approx(purity))
+            if ruled is None:
+                assert found[page]["verdict"] == ("block" if purity >= 0.8 else "allow")
+
+
+def test_pages_without_labels_are_judged_by_their_siblings_or_host(spark):
+    rows = [(f"http://bad.com/de/{i}", None) for i in range(60)] + [("http://bad.com/xx/7", None), ("http://bad.com/de-at/shop", None)]
+    rows += [(f"http://good.com/fr/{i}", None) for i in range(60)] + [("http://good.com/xx/7", None)]
+    pages = spark.createDataFrame([(i, u, b) for i, (u, b) in enumerate(rows)], "page_id long, url string, none int")
+    found = {r["url"]: (r["rule"], r["verdict"]) for r in urls.judge_urls(pages, catalog.URL_RULES).collect()}
+    assert found["http://bad.com/xx/7"] == (None, "block") and found["http://bad.com/de-at/shop"] == (None, "block")
+    assert found["http://good.com/xx/7"] == (None, "allow")
 
 
 def test_rules_by_brute_force(spark):
