@@ -598,3 +598,45 @@ def test_water_filling(spark):
 def test_rows_are_repeated(spark):
     df = spark.createDataFrame([("a", 0), ("b", 1), ("c", 3)], "t string, repeats int")
     assert sorted(r["t"] for r in mixing.repeat_rows(df).collect()) == ["b", "c", "c", "c"]
+
+
+# --- samples and mixes --------------------------------------------------------------------------
+
+def test_quality_sample_is_bounded_in_rows(spark):
+    """One labelled key with very many rows, equal and different ones, is one row of the sample."""
+    hot = spark.range(15_000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("good words "), (F.col("id") % 3).cast("string")).alias("text"))
+    others = spark.range(2, 42).select(F.col("id").alias("doc_id"), F.concat(F.lit("bad spam "), F.col("id").cast("string")).alias("text"))
+    labels = spark.range(1, 42).select(F.col("id").alias("doc_id"), (F.col("id") == 1).cast("int").alias("quality"))
+    model = quality.train_quality(hot.unionByName(others), labels, settings=quality.Settings(sample=100))
+    assert model.report["rows"] == 41
+    assert quality.train_quality(hot.unionByName(others), labels, settings=quality.Settings(sample=10)).report["rows"] <= 10
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_language_of_equal_rows_is_learned(spark, seed):
+    """A language that is one text in very many copies has its share of the sample, and no more."""
+    copies = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("Der Hund und die Katze gehen in den Wald").alias("text"), F.lit("de").alias("lang"))
+    others = spark.range(20_000).select("id", F.concat(F.lit("The dog and the cat walk into the wood "), F.col("id").cast("string")), F.lit("en"))
+    model = langid.train_language_id(copies.unionAll(others), settings=langid.Settings(sample=1000, seed=seed))
+    assert 800 <= model.report["rows"] <= 2000
+    found = langid.identify_language(copies.limit(1).unionAll(others.limit(1)), model).collect()
+    assert [(r["lang"], r["lang_pred"]) for r in found] == [("de", "de"), ("en", "en")]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_mix_goes_on_behind_what_does_not_fit(spark, seed):
+    """Four long documents among many short ones: the source still ends within half of a short one."""
+    sizes = [4000] * 4 + [40] * 200
+    rows = [(i, "w " * n, "a") for i, n in enumerate(sizes)] + [(1000 + i, "w " * 50, "b") for i in range(100)]
+    mixed = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), seed=seed).toPandas()
+    for _, own in mixed.groupby("source"):
+        taken, target = (own["size"] * own["repeats"]).sum(), own["target"].iloc[0]
+        assert abs(taken - target) <= 25 or taken == 3 * own["size"].sum()
+
+
+def test_full_pieces_go_to_no_pool(spark):
+    items = spark.range(3000).select("id", F.when(F.col("id") < 2950, F.lit(64)).otherwise(F.col("id") % 50 + 1).cast("int").alias("length"))
+    packed = packing.pack(items, 64).toPandas()
+    full = packed[packed["length"] == 64]
+    assert full["sequence_id"].is_unique and (full["offset"] == 0).all() and (full["sequence_id"] < 0).all()
+    assert not set(full["sequence_id"]) & set(packed[packed["length"] < 64]["sequence_id"]) and len(packed) == 3000
