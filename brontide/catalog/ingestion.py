@@ -217,6 +217,18 @@ def lookup_by_pair(spark, sf_dir):
     return P.lookup_many(conversations, last)
 
 
+@registry.add("""select o_orderkey, o_custkey, o_totalprice, 'order' as by from orders where o_orderkey in (select max(o_orderkey) from orders)
+    union all select o_orderkey, o_custkey, o_totalprice, 'customer' from orders where o_custkey = (select o_custkey from orders order by o_orderkey desc limit 1)""")
+def lookup_filed(spark, sf_dir):
+    """By the first and by the second key of a table that is filed by both."""
+    base, columns = work_dir(spark, "filed"), ["o_orderkey", "o_custkey", "o_totalprice"]
+    tables.write_table(table(spark, sf_dir, "orders").select(*columns), base, "orders", "parquet", keys=("o_orderkey", "o_custkey"))
+    orders = tables.scan_table(spark, base, "orders", "parquet")
+    last = P.latest_n(orders, columns, "o_orderkey", 1).first()
+    return (P.lookup(orders, o_orderkey=last["o_orderkey"]).withColumn("by", F.lit("order"))
+             .unionByName(P.lookup(orders, o_custkey=last["o_custkey"]).withColumn("by", F.lit("customer"))))
+
+
 @registry.add("""select o_orderkey, o_custkey, o_orderstatus from orders
                  order by o_orderkey desc limit 20""")
 def latest_n(spark, sf_dir):

@@ -49,11 +49,19 @@ def lookup_many(df: DataFrame, keys: DataFrame) -> DataFrame:
 
     The keys are stored first: Spark broadcasts them if their real size allows, and else can
     split a key that holds much of ``df`` between tasks, which it does only for joins whose sides
-    come straight from a shuffle.
+    come straight from a shuffle. Their bounds reach the scan, so that files and row groups beyond
+    them are skipped where ``df`` is filed by its key.
     """
-    return df.join(materialize(keys, "lookup-keys"), keys.columns, "left_semi")
+    stored = materialize(keys, "lookup-keys")
+    atomic = [f.name for f in keys.schema if isinstance(f.dataType, T.AtomicType)]
+    if atomic:
+        bounds = stored.agg(*[f(column(c)) for c in atomic for f in (F.min, F.max)]).first()
+        for i, name in enumerate(atomic):
+            if bounds[2 * i] is not None:
+                df = df.filter(column(name).between(F.lit(bounds[2 * i]), F.lit(bounds[2 * i + 1])))
+    return df.join(stored, keys.columns, "left_semi")
 
 
 def latest_n(df: DataFrame, columns: list[str], by: str = "id", n: int = 20) -> DataFrame:
-    """The ``n`` rows with the highest ``by``, as a top-n report."""
+    """The ``n`` rows with the highest ``by``, as a top-n report; of equal ones at its end any."""
     return df.select(*columns).orderBy(F.desc(by)).limit(n)

@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from brontide.sources import commits
+from brontide.sources import commits, levels
 from brontide.sources.files import delete_path, list_names, make_folder, path_exists, read_text
 
 
@@ -51,9 +51,12 @@ def write_counted(df: DataFrame, save) -> int:
     return observation.get["n"]
 
 
-def stage_snapshot(df: DataFrame, base: str, table: str) -> Snapshot:
+def stage_snapshot(df: DataFrame, base: str, table: str, keys: tuple[str, ...] = ()) -> Snapshot:
+    """With ``keys`` rows are filed in ranges of these, each with a Bloom filter per row group, so that a lookup opens the few row
+    groups that may hold its key: by their bounds for the first key, by the filters for the others."""
     root, name = table_path(base, table), uuid.uuid4().hex
-    n_rows = write_counted(df, lambda d: d.write.parquet(f"{root}/snapshots/{name}"))
+    filed = levels.sorted_by(df, *keys) if keys else df
+    n_rows = write_counted(filed, lambda d: d.write.options(**levels.key_filters(*keys)).parquet(f"{root}/snapshots/{name}"))
     return Snapshot(root, name, n_rows)
 
 
@@ -103,14 +106,15 @@ def table_exists(spark: SparkSession, base: str, table: str, fmt: str | None = N
     return path_exists(spark, root) if fmt != "parquet" else _latest(spark, root) is not None
 
 
-def write_table(df: DataFrame, base: str, table: str, fmt: str | None = None, keep: int | None = None) -> int:
-    """Replace the table's content, all or nothing; returns the rows written. For ``keep`` see ``publish_snapshot``."""
+def write_table(df: DataFrame, base: str, table: str, fmt: str | None = None, keep: int | None = None, keys: tuple[str, ...] = ()) -> int:
+    """Replace the table's content, all or nothing; returns the rows written. For ``keep`` see ``publish_snapshot``, for ``keys``, the
+    columns that rows are looked up by, ``stage_snapshot``; Delta tables are filed as they come."""
     spark = df.sparkSession
     fmt = fmt or default_format(spark)
     if fmt != "parquet":
         target = table_path(base, table)
         return write_counted(df, lambda d: d.write.format(fmt).mode("overwrite").save(target))
-    snapshot = stage_snapshot(df, base, table)
+    snapshot = stage_snapshot(df, base, table, keys)
     publish_snapshot(spark, snapshot, keep)
     return snapshot.n_rows
 
