@@ -640,3 +640,39 @@ def test_full_pieces_go_to_no_pool(spark):
     full = packed[packed["length"] == 64]
     assert full["sequence_id"].is_unique and (full["offset"] == 0).all() and (full["sequence_id"] < 0).all()
     assert not set(full["sequence_id"]) & set(packed[packed["length"] < 64]["sequence_id"]) and len(packed) == 3000
+
+
+def test_ranges_out_of_reach_are_left_out(spark):
+    """On vectors in clusters most queries stay in their own range, and almost every neighbour is found."""
+    rng = np.random.default_rng(1)
+    v = rng.normal(size=(40, 24))[np.arange(6000) % 40] * 4 + 0.2 * rng.normal(size=(6000, 24))
+    vectors = spark.createDataFrame([(int(i), v[i].tolist()) for i in range(6000)], "vec_id long, embedding array<double>")
+    s = neighbours.Search(rows=300, queries=50)
+    queries = vectors.filter("vec_id % 100 = 0")
+    found = neighbours.nearest(vectors, queries, search=s).collect()
+    right = 0
+    for q in range(0, 6000, 100):
+        distances = np.linalg.norm(v - v[q], axis=1)
+        distances[q] = np.inf
+        right += len({r["vec_id"] for r in found if r["query_id"] == q} & set(np.argsort(distances)[:10].tolist()))
+    assert right >= 0.97 * 600
+    rows = queries.selectExpr("vec_id as id", "embedding as v", "size(embedding) as size")
+    everything = vectors.selectExpr("vec_id as id", "embedding as v", "size(embedding) as size")
+    ranges = neighbours._find_ranges(everything, s)
+    assert ranges[24].n == 20
+    placed = neighbours._placed(everything, ranges, s).toPandas()
+    points = np.array(placed["point"].tolist())
+    assert placed.groupby("range").size().between(100, 900).all()
+    extent = {int(r): (24, points[at].min(axis=0), points[at].max(axis=0)) for r, at in placed.groupby("range").indices.items()}
+    limits = {q: sorted(r["score"] for r in found if r["query_id"] == q)[-1] for q in range(0, 6000, 100)}
+    asked = neighbours._placed(rows, ranges, s).withColumn("limit", F.element_at(F.create_map(*[F.lit(x) for pair in limits.items() for x in pair]), F.col("id").cast("int")))
+    assert neighbours._others(asked, extent, s).count() < 0.3 * 60 * 19
+
+
+def test_ranges_of_equal_points():
+    same = neighbours.Ranges(np.ones((50, 4)), 8, 3)
+    assert same.n == 1 and (same.of(np.zeros((3, 4))) == 3).all()
+    mixed = np.concatenate((np.ones((90, 2)), np.arange(20.0).reshape(10, 2)))
+    ranges = neighbours.Ranges(mixed, 8)
+    assert sorted(set(ranges.of(mixed))) == list(range(ranges.n)) and ranges.n > 1
+    assert neighbours.Ranges(np.zeros((0, 2)), 4).of(np.ones((2, 2))).tolist() == [0, 0]
