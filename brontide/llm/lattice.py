@@ -13,6 +13,8 @@ text are joined with the table.
 from __future__ import annotations
 
 import math
+from array import array
+from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -92,21 +94,19 @@ class Vocabulary:
     def end(self) -> float:
         return self.values[-1]
 
-    def arcs(self, word: str) -> list[tuple[int, int, float, tuple[int, ...]]]:
-        """Start, stop, log probability and positions of the steps through a word, in the order of their starts."""
-        index, values, out, n = self.index, self.values, [], len(word)
-        for i in range(n):
-            single = False
-            for j in range(i + 1, n + 1):
-                at = index.get(word[i:j])
-                if at is None:
-                    break
-                if at >= 0:
-                    single = single or j == i + 1
-                    out.append((i, j, values[at], (at,)))
-            if not single:
-                at_bytes = tuple(len(self.pieces) + b for b in word[i].encode("utf-8", "surrogatepass"))
-                out.append((i, i + 1, sum(values[b] for b in at_bytes), at_bytes))
+    def steps(self, word: str, i: int) -> list[tuple[int, float, tuple[int, ...]]]:
+        """Stop, log probability and positions of the steps through a word from one place on."""
+        index, values, out, single = self.index, self.values, [], False
+        for j in range(i + 1, len(word) + 1):
+            at = index.get(word[i:j])
+            if at is None:
+                break
+            if at >= 0:
+                single = single or j == i + 1
+                out.append((j, values[at], (at,)))
+        if not single:
+            at_bytes = tuple(len(self.pieces) + b for b in word[i].encode("utf-8", "surrogatepass"))
+            out.append((i + 1, sum(values[b] for b in at_bytes), at_bytes))
         return out
 
 
@@ -133,39 +133,36 @@ def _log_sum(values: list[float]) -> float:
     return most + math.log(sum([math.exp(v - most) for v in values])) if most > _NONE else most
 
 
+def _alphas(word: str, vocabulary: Vocabulary) -> Iterator[float]:
+    """Log probability of the beginnings of a word, from the empty one on. What is held is as wide as the longest piece."""
+    ahead: deque[list[float]] = deque([[0.0]])
+    for i in range(len(word)):
+        here = _log_sum(ahead.popleft())
+        yield here
+        for j, log, _ in vocabulary.steps(word, i):
+            while len(ahead) < j - i:
+                ahead.append([])
+            ahead[j - i - 1].append(here + log)
+    yield _log_sum(ahead[0])
+
+
 def forward(word: str, vocabulary: Vocabulary) -> float:
-    """Log probability of a word over all its segmentations."""
-    into: list[list[float]] = [[] for _ in range(len(word) + 1)]
-    into[0].append(0.0)
-    at, here = 0, 0.0
-    for i, j, log, _ in vocabulary.arcs(word):
-        if i != at:
-            at, here = i, _log_sum(into[i])
-        into[j].append(here + log)
-    return _log_sum(into[-1])
+    """Log probability of a word over all its segmentations, however long it is."""
+    return deque(_alphas(word, vocabulary), 1)[0]
 
 
 def expected(word: str, weight: float, vocabulary: Vocabulary, counts: list[float]) -> None:
-    """Adds how often each piece is expected in the word, by a forward and a backward recursion."""
-    arcs, n = vocabulary.arcs(word), len(word)
-    into: list[list[float]] = [[] for _ in range(n + 1)]
-    into[0].append(0.0)
-    alpha, at = [0.0] * (n + 1), 0
-    for i, j, log, _ in arcs:
-        if i != at:
-            at, alpha[i] = i, _log_sum(into[i])
-        into[j].append(alpha[i] + log)
-    alpha[n] = _log_sum(into[n])
-    outof: list[list[float]] = [[] for _ in range(n + 1)]
-    beta, at = [0.0] * (n + 1), n
-    for i, j, log, _ in reversed(arcs):
-        if j < n and outof[j] and beta[j] == 0.0:
-            beta[j] = _log_sum(outof[j])
-        outof[i].append(beta[j] + log)
-    for i, j, log, pieces in arcs:
-        share = weight * math.exp(alpha[i] + log + beta[j] - alpha[n])
-        for p in pieces:
-            counts[p] += share
+    """Adds how often each piece is expected in the word, by a forward and a backward recursion; a number a character is held."""
+    alpha = array("d", _alphas(word, vocabulary))
+    # Log probabilities of the ends of the word from the places behind, the nearest first.
+    behind: deque[float] = deque([0.0], vocabulary.longest)
+    for i in range(len(word) - 1, -1, -1):
+        steps = vocabulary.steps(word, i)
+        for j, log, pieces in steps:
+            share = weight * math.exp(alpha[i] + log + behind[j - i - 1] - alpha[-1])
+            for p in pieces:
+                counts[p] += share
+        behind.appendleft(_log_sum([log + behind[j - i - 1] for j, log, _ in steps]))
 
 
 def words_of(text: str | None) -> list[bytes]:

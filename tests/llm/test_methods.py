@@ -4,6 +4,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -484,8 +485,8 @@ def test_letters():
 
 def segmentations(word, vocabulary):
     arcs = defaultdict(list)
-    for i, j, log, pieces in vocabulary.arcs(word):
-        arcs[i].append((j, log, pieces))
+    for i in range(len(word)):
+        arcs[i] = vocabulary.steps(word, i)
 
     def walk(i, log, used):
         if i == len(word):
@@ -676,3 +677,22 @@ def test_ranges_of_equal_points():
     ranges = neighbours.Ranges(mixed, 8)
     assert sorted(set(ranges.of(mixed))) == list(range(ranges.n)) and ranges.n > 1
     assert neighbours.Ranges(np.zeros((0, 2)), 4).of(np.ones((2, 2))).tolist() == [0, 0]
+
+
+def test_a_very_long_word_is_streamed():
+    """What the recursions hold does not grow with the word, but for a number a character backwards."""
+    vocabulary = lattice.Vocabulary(["a", "b", "ab", "abc", "ca"], np.log(np.array([3, 2, 4, 1, 2, *[1] * 257]) / 300))
+    plain = {}
+    for n in (50_000, 400_000):
+        word = "abca" * (n // 4)
+        tracemalloc.start()
+        plain[n] = lattice.forward(word, vocabulary)
+        forward = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        counts = [0.0] * len(vocabulary.logs)
+        lattice.expected(word, 1.0, vocabulary, counts)
+        backward = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert forward < 100_000 and backward < 16 * n + 100_000
+        assert sum(c * len(p) for c, p in zip(counts, ["a", "b", "ab", "abc", "ca"])) + sum(counts[5:]) == pytest.approx(n, rel=1e-4)
+    assert plain[400_000] / plain[50_000] == pytest.approx(8, rel=0.01)
