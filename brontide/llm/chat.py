@@ -454,7 +454,10 @@ DIGESTS = "turns_sha256 string, loss_chars long, loss_sha256 string, formatted_c
 
 
 def digests(formatted: DataFrame, conversation: str = "conv_id") -> DataFrame:
-    """What is read back from texts in the default template: the turns, and what lies under the loss mask."""
+    """What is read back from texts in the default template: the turns, and what lies under the loss mask.
+
+    A row per row, null keys among them; turns without text count with their role, and an empty table gives no rows.
+    """
     schema = T.StructType([formatted.schema[conversation], formatted.schema["n_turns"], *T.StructType.fromDDL(DIGESTS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -146,6 +146,6 @@ def mix(docs: DataFrame, text: str = "text", key: str = "doc_id", source: str =
 
 
 def repeat_rows(mixed: DataFrame) -> DataFrame:
-    """Each row as often as ``repeats`` says; at most the number of epochs."""
+    """Each row as often as ``repeats`` says, at most the number of epochs; rows with 0 or null go. An empty table stays empty."""
     return (mixed.filter("repeats > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("repeats"))))
                  .drop("__copy", "repeats"))

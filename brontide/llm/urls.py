@@ -92,7 +92,10 @@ def typed_segments(path: Column) -> Column:
 
 def template_tree(pages: DataFrame, tree: Tree = Tree()) -> DataFrame:
     """A row per host and typed path of ``pages`` (``host``, ``typed``, ``blocked``: 1, 0 or null for no label),
-    with its ``template``, and the ``labelled``, ``blocked`` and smoothed ``purity`` of the merged group."""
+    with its ``template``, and the ``labelled``, ``blocked`` and smoothed ``purity`` of the merged group.
+
+    A path without segments has the empty template. Without any labels all purities are 0; an empty table gives no rows.
+    """
     paths = pages.groupBy("host", "typed").agg(F.count("*").alias("n"), F.count("blocked").alias("labelled"),
                                               F.coalesce(F.sum("blocked"), F.lit(0)).alias("blocked"))
     paths = materialize(paths.withColumn("template", F.lit("")), "url-paths")
