@@ -83,7 +83,7 @@ class WordCache:
     megabytes. What is kept is bounded; beyond, the cache starts anew.
     """
 
-    MOST_WORDS, MOST_PARTS, MOST_CHARS, AT_ONCE = 1_200_000, 250_000, 5_000_000, 500
+    MOST_WORDS, MOST_PARTS, MOST_CHARS, AT_ONCE = 800_000, 250_000, 5_000_000, 500
 
     def __init__(self, definition: str) -> None:
         from tokenizers import Tokenizer
@@ -213,7 +213,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, text: str = "text", key:
         cache = WordCache(definition.value)
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
-            texts = (some.cast(pa.string()).fill_null("") for some in chunks(batch.column(1), 4_000_000))
+            texts = (some.cast(pa.string()).fill_null("") for some in chunks(batch.column(1), 2_000_000))
             for i, ids in enumerate(chain.from_iterable(map(cache.encode_all, texts))):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
