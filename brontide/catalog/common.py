@@ -6,11 +6,16 @@ the same rows on the same tables, or None where there is no SQL for it.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from brontide.streaming.tail import open_file_system
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Declared keys of the given tables.
@@ -103,6 +108,46 @@ def write_attempts(lines: DataFrame, root: str, whole: bool = False) -> None:
          .write.partitionBy(*order[:4]).text(root))
 
 
+# What Spark escapes in the names of the folders that it partitions by.
+_ESCAPED = re.compile("[\x01-\x1f\x7f\"#%'*/:=?\\\\{\\[\\]^]")
+
+
+def _folder(key: str, value: str | None) -> str:
+    value = _ESCAPED.sub(lambda m: f"%{ord(m[0]):02X}", value) if value is not None else "__HIVE_DEFAULT_PARTITION__"
+    return f"{key}={value}"
+
+
+def write_small_logs(logs: DataFrame, root: str, keys: list[str]) -> int:
+    """Lines, in ``value``, as the files that ``write.partitionBy(*keys).text(root)`` makes, one per task and log; returns the lines.
+
+    For trees of very many short logs: Spark's writer takes some tens of milliseconds a file, and its driver then moves every
+    file once more. A task that is run again writes the same files anew.
+    """
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        system, base = open_file_system(root)
+        name, log, out, n = f"part-{TaskContext.get().partitionId():05d}.txt", None, None, 0
+        for batch in batches:
+            columns = [batch.column(i).to_pylist() for i in range(len(keys))]
+            for *own, line in zip(*columns, batch.column(len(keys))):
+                if own != log:
+                    if out is not None:
+                        out.close()
+                    log, folder = own, "/".join([base, *map(_folder, keys, own)])
+                    system.create_dir(folder)
+                    out = system.open_output_stream(f"{folder}/{name}")
+                if line.is_valid:
+                    out.write(line.as_buffer())
+                out.write(b"\n")
+                n += 1
+        if out is not None:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["n"])
+
+    # Null and empty keys share a folder.
+    rows = logs.select(*[F.nullif(F.col(k).cast("string"), F.lit("")).alias(k) for k in keys], F.col("value").cast("binary"))
+    return rows.sortWithinPartitions(*keys).mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0
+
+
 @contextmanager
 def splits_of(spark: SparkSession, size: int):
     """Files are split at so many bytes, and no two files or splits go to one task, as far as jobs run within."""

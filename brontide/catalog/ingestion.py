@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from brontide.catalog.common import (
     BLANKS_SQL, CLEANSED_SQL, LINE_EXPR, PRIMARY_KEYS, TABLES, Registry, customers_with_blanks,
-    event_lines, splits_of, table, union_sql, write_attempts)
+    event_lines, splits_of, table, union_sql, write_attempts, write_small_logs)
 from brontide.operators import project as P, quality as Q
 from brontide.plans import ingest as I
 from brontide.session import materialize, work_dir
@@ -146,8 +146,9 @@ def scan_attempt_logs(spark, sf_dir):
     assistant = F.col("dag_id") == "assistant"
     mapped, plain = logs.filter(assistant), logs.filter(~assistant)
     keys = ["dag_id", "run_id", "task_id"]
-    mapped.write.partitionBy(*keys, "map_index", "attempt").text(f"{root}/mapped")
-    plain.drop("map_index").write.partitionBy(*keys, "attempt").text(f"{root}/plain")
+    tables.make_folder(spark, root)
+    write_small_logs(mapped, f"{root}/mapped", [*keys, "map_index", "attempt"])
+    write_small_logs(plain, f"{root}/plain", [*keys, "attempt"])
     return attempt_logs.scan_attempt_logs(spark, root)
 
 

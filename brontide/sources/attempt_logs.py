@@ -8,16 +8,31 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from brontide.functions.text import split_at_terminators
 from brontide.operators.chunking import segment_shifts
+from brontide.operators.quality import expected_bytes
 from brontide.session import materialize
 
 ATTEMPT_KEYS = ["dag_id", "run_id", "task_id", "map_index", "attempt"]
 _READ = {"recursiveFileLookup": True}
+_TASK_BYTES = 32 << 20
+
+
+@contextmanager
+def _few_listing_tasks(spark: SparkSession):
+    """Within, a tree is listed by some tasks a core, not by one for each of its many folders."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, 8 * spark.sparkContext.defaultParallelism)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def _path_keys(path: Column) -> list[Column]:
@@ -34,15 +49,19 @@ def _path_keys(path: Column) -> list[Column]:
 
 def scan_attempt_sizes(spark: SparkSession, root: str) -> DataFrame:
     """One row per attempt with its keys, ``bytes`` and number of ``files``; nothing is read."""
-    files = spark.read.format("binaryFile").options(**_READ).load(root)
+    with _few_listing_tasks(spark):
+        files = spark.read.format("binaryFile").options(**_READ).load(root)
     keyed = files.select(*_path_keys(F.col("_metadata.file_path")), F.col("_metadata.file_size").alias("_size"))
     return keyed.groupBy(*ATTEMPT_KEYS).agg(F.sum("_size").alias("bytes"), F.count(F.lit(1)).alias("files"))
 
 
 def scan_attempt_logs(spark: SparkSession, root: str, max_bytes: int | None = None) -> DataFrame:
     """One row per log file with its keys and whole text. For logs that fit in a cell; with ``max_bytes``
-    longer files are not opened."""
-    files = spark.read.options(**_READ).text(root, wholetext=True)
+    longer files are not opened. However many the files, they are read by tasks of some tens of megabytes."""
+    with _few_listing_tasks(spark):
+        files = spark.read.options(**_READ).text(root, wholetext=True)
+    # Spark gives a task few files, as if each had megabytes; by their bytes they need fewer tasks.
+    files = files.coalesce(max(8 * spark.sparkContext.defaultParallelism, expected_bytes(files) // _TASK_BYTES))
     if max_bytes is not None:
         files = files.filter(F.col("_metadata.file_size") <= max_bytes)
     return files.select(*_path_keys(F.col("_metadata.file_path")), F.col("value").alias("raw_text"))

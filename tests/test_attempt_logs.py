@@ -2,6 +2,7 @@ import hashlib
 
 import pytest
 
+from brontide.catalog.common import splits_of, write_small_logs
 from brontide.operators.chunking import chunk_text
 from brontide.plans import collect
 from brontide.sources import attempt_logs as A
@@ -93,3 +94,23 @@ def test_one_fingerprint_at_all_sizes(spark, tmp_path):
             assert (rows[key]["content_hash"], rows[key]["content_size_bytes"]) == (hashlib.sha256(text).hexdigest(), len(text)), key
     assert found[0]["r", 5]["raw_content"] == long and found[1]["r", 5]["raw_content"] is None
     assert {k: r["line_count"] for k, r in found[1].items()} == {k: r["line_count"] for k, r in found[2].items()}
+
+
+def test_many_small_logs(spark, tmp_path):
+    """Written like Spark's own writer does, whatever the keys; read by few tasks however many they are."""
+    odd = [None, "", "a b", "r%1+x", "\u00e9:=", "x'\"[]{}^*?#\\", "a/b\t\x7f"]
+    rows = [(k, i % 3 if i % 4 else None, text) for k in odd for i, text in enumerate(["t", None, "", "two\nlines", "t", "\u00e9"])]
+    rows += [(f"run {i}", i, "x") for i in range(200)] + rows[:9]
+    logs = spark.createDataFrame(rows, "run_id string, map_index int, value string").coalesce(1)
+    keys = ["run_id", "map_index"]
+    assert write_small_logs(logs, str(tmp_path / "own"), keys) == len(rows)
+    logs.write.partitionBy(*keys).text(str(tmp_path / "spark"))
+
+    def files(base):
+        return sorted((str(f.parent.relative_to(base)), f.read_bytes()) for f in base.rglob("part-*"))
+
+    assert files(tmp_path / "own") == files(tmp_path / "spark")
+    with splits_of(spark, 1):
+        found = A.scan_attempt_logs(spark, str(tmp_path / "own"))
+        assert found.rdd.getNumPartitions() <= 8 * spark.sparkContext.defaultParallelism
+        assert found.count() == len(files(tmp_path / "own")) > 8 * spark.sparkContext.defaultParallelism
