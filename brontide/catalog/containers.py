@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import timedelta
+from itertools import chain
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from brontide.catalog.common import Registry, table
@@ -80,37 +82,61 @@ def daily_sink(spark, sf_dir):
     return days.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("user_id").alias("users"))
 
 
-def _write_growing(batch: pd.DataFrame, root: str, run: int) -> int:
+class _Growing:
     """The file of one container as it is in a run: longer than before, with an unfinished last line; one is rotated by
-    renaming in the second run, one truncated in the third."""
-    system, folder = open_file_system(root)
-    name = f"{folder}/{batch['container_name'].iloc[0].strip('/')}.log"
-    batch = batch.sort_values(["run", "event_id"])
-    shown = batch[batch["run"] <= run]
-    if run >= 2 and name.endswith("redis.log"):
-        if run == 2:
-            system.move(name, f"{name}.1")
+    renaming in the second run, one truncated in the third.
+
+    Lines come in the order of their runs and go to the file as they come; of a text, only the last line is held."""
+
+    def __init__(self, root: str, container: str, run: int) -> None:
+        self.system, folder = open_file_system(root)
+        self.name, self.run = f"{folder}/{container.strip('/')}.log", run
+        self.rotated, self.truncated = self.name.endswith("redis.log"), self.name.endswith("minio.log")
+        self.first = {(2, True, False): 2, (3, True, False): 2, (3, False, True): 3}.get((run, self.rotated, self.truncated), 1)
+        self.old, self.last, self.n, self.later = None, b"", 0, False
+        if run == 2 and self.rotated:
+            self.system.move(self.name, f"{self.name}.1")
+            self.old = self.system.open_output_stream(f"{self.name}.1")
+        self.out = self.system.open_output_stream(self.name)
+
+    def add(self, run: int, line: str) -> None:
+        if run == 1 and self.old is not None:
             # What was unfinished when the file was renamed is finished first.
-            first = batch[batch["run"] == 1]["value"]
-            with system.open_output_stream(f"{name}.1") as out:
-                out.write("".join(f"{x}\n" for x in first).encode())
-        shown = shown[shown["run"] >= 2]
-    if run == 3 and name.endswith("minio.log"):
-        shown = shown[shown["run"] == 3]
-    text = "".join(f"{x}\n" for x in shown["value"])
-    later = batch[batch["run"] == run + 1]["value"]
-    # The beginning of the next line, but for files that are truncated then.
-    if len(later) and not (run == 2 and name.endswith("minio.log")):
-        text += later.iloc[0][:9]
-    elif run == 1 and len(shown) and name.endswith("redis.log"):
-        text = text[:-5]
-    with system.open_output_stream(name) as out:
-        out.write(text.encode())
-    return len(shown)
-
-
-def _writer(root: str, run: int):
-    return lambda batch: pd.DataFrame({"n": [_write_growing(batch, root, run)]})
+            self.old.write(f"{line}\n".encode())
+        elif self.first <= run <= self.run:
+            self.out.write(self.last)
+            self.last = f"{line}\n".encode()
+            self.n += 1
+        elif run == self.run + 1 and not self.later:
+            self.later = True
+            # The beginning of the next line, but for files that are truncated then.
+            if not (self.run == 2 and self.truncated):
+                self.last += line[:9].encode()
+
+    def close(self) -> int:
+        if self.run == 1 and self.rotated and not self.later:
+            self.last = self.last.decode()[:-5].encode()
+        self.out.write(self.last)
+        self.out.close()
+        if self.old is not None:
+            self.old.close()
+        return self.n
+
+
+def _writer(root: str, now: int):
+    """Writes rows ``container_name, run, value``, sorted by the first two, as the files of a run; gives the lines of each."""
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, file, counts = None, None, []
+        for container, run, line in chain.from_iterable(zip(*[c.to_pylist() for c in batch.columns]) for batch in batches):
+            if container != name:
+                if file is not None:
+                    counts.append(file.close())
+                name, file = container, _Growing(root, container, now)
+            file.add(run, line)
+        if file is not None:
+            counts.append(file.close())
+        yield pa.RecordBatch.from_arrays([pa.array(counts, pa.int64())], names=["n"])
+    return write
 
 
 @registry.add(f"select *, cast(ts as date) as day from ({_LABELS_SQL}) where {_ON_TIME}")
@@ -124,7 +150,8 @@ def stream_tail_logs(spark, sf_dir):
                           {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
     lines = events.select("event_id", "container_name", run.alias("run"), json_line.alias("value"))
     for now in (1, 2, 3):
-        written = lines.groupBy("container_name").applyInPandas(_writer(f"{path}/in", now), "n long")
+        dealt = lines.repartition("container_name").sortWithinPartitions("container_name", "run", F.asc_nulls_last("event_id"), "value")
+        written = dealt.select("container_name", "run", "value").mapInArrow(_writer(f"{path}/in", now), "n long")
         written.agg(F.sum("n")).collect()
         stream = S.read_growing_logs(spark, f"{path}/in", rangeBytes=1 << 16)
         S.tail_logs(stream, f"{path}/out", f"{path}/checkpoint", as_of=latest, once=True).awaitTermination()

@@ -155,7 +155,9 @@ class _Reader(DataSourceStreamReader):
             stream.seek(at)
             skip, rest = part.start > part.first, b""
             while at < part.end:
-                block = rest + stream.read(min(1 << 22, part.last - at - len(rest)))
+                # As far as the range goes, and then in growing steps to the end of its last line.
+                held = at + len(rest)
+                block = rest + stream.read(min(1 << 22, max(part.end - held, _BLOCK, len(rest)), part.last - held))
                 if skip:
                     cut = block.find(b"\n") + 1
                     if not cut:

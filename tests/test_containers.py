@@ -1,8 +1,10 @@
 import datetime as dt
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from brontide.catalog import containers as catalog
 from brontide.operators import containers as C
 from brontide.sources import tables
 from brontide.session import work_dir
@@ -82,3 +84,22 @@ def test_many_triggers_and_compactions(spark):
     S.compact_days(spark, f"{path}/out", dt.date(2024, 1, 11), keep=1)
     assert tables.list_names(spark, f"{path}/out/open") == []
     assert S.read_daily(spark, f"{path}/out").count() == 24 and len(tables.list_names(spark, f"{path}/out/closed")) <= 5
+
+
+def test_growing_files_are_written_as_lines_come(tmp_path):
+    """Of a container, however long its log, a task holds one batch; runs add to what was there."""
+    name, sizes = tmp_path / "redis.log", []
+
+    def rows(run):
+        for i in range(20):
+            lines = [f"{{line {i} {j}}}" for j in range(5000)]
+            yield pa.RecordBatch.from_pydict({"container_name": ["/redis"] * 5000, "run": [1 if i < 10 else 2] * 5000, "value": lines})
+            sizes.append(name.stat().st_size)
+
+    text = ["".join(f"{{line {i} {j}}}\n" for i in part for j in range(5000)) for part in (range(10), range(10, 20))]
+    out, = catalog._writer(str(tmp_path), 1)(rows(1))
+    assert out.column("n").to_pylist() == [50_000] and sizes[5] > 0
+    assert name.read_text() == text[0] + "{line 10 "
+    out, = catalog._writer(str(tmp_path), 2)(rows(2))
+    assert out.column("n").to_pylist() == [50_000]
+    assert (name.read_text(), (tmp_path / "redis.log.1").read_text()) == (text[1], text[0])

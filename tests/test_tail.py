@@ -69,6 +69,34 @@ def test_ranges_meet_at_any_byte(tmp_path, size):
     assert rows == list(zip(places, lines))
 
 
+def test_a_range_reads_little_more_than_itself(tmp_path, monkeypatch):
+    (tmp_path / "f").write_text("a line of a long file\n" * 400_000)
+    reader, sizes = tail._Reader({"path": str(tmp_path), "rangebytes": str(1 << 16)}), []
+
+    class Counted:
+        def __init__(self, stream):
+            self.stream = stream
+
+        def __enter__(self):
+            return self
+
+        def __exit__(self, *_):
+            self.stream.close()
+
+        def seek(self, at):
+            self.stream.seek(at)
+
+        def read(self, n):
+            sizes.append(n)
+            return self.stream.read(n)
+
+    opened = reader._open
+    monkeypatch.setattr(reader, "_open", lambda *a: Counted(opened(*a)))
+    part = reader.partitions({}, reader.latestOffset())[3]
+    assert sum(len(b) for b in reader.read(part)) == len(range(-(-part.start // 22), -(-part.end // 22)))
+    assert sum(sizes) <= 3 << 16
+
+
 def offset(folder):
     return tail._Reader({"path": str(folder)}).latestOffset()
 
