@@ -48,12 +48,11 @@ def dedup_counting(df: DataFrame, digest_from: int = DIGEST_FROM) -> DataFrame:
     Where Spark expects ``df`` to have less than ``digest_from`` bytes, or no column of variable width, rows are grouped as they
     are: copies are summed before the shuffle, so a row that makes up a large part of the table reaches the final
     aggregation as one row per map task. Otherwise ``df`` is read again instead, which must give the same rows: a first pass
-    groups digests of 128 bits alone, and only rows whose digest may repeat are shuffled and compared as they are.
+    groups digests of 64 bits alone, and only rows whose digest may repeat are shuffled and compared as they are.
     """
     if COPIES.lower() in (c.lower() for c in df.columns):
         raise DataQualityError(f"the name {COPIES} is taken by the number of copies")
-    fixed = all(isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)) for f in df.schema)
-    if fixed or expected_bytes(df) < digest_from:
+    if not looked_at_twice(df, digest_from):
         return _grouped(df)
     marked = _marked_repeats(df)
     names = [column(c) for c in df.columns]
@@ -61,6 +60,12 @@ def dedup_counting(df: DataFrame, digest_from: int = DIGEST_FROM) -> DataFrame:
     return once.unionByName(_grouped(marked.filter("_repeats").select(*names)))
 
 
+def looked_at_twice(df: DataFrame, digest_from: int = DIGEST_FROM) -> bool:
+    """Whether ``dedup_counting`` reads ``df`` a second time."""
+    fixed = all(isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)) for f in df.schema)
+    return not fixed and expected_bytes(df) >= digest_from
+
+
 def _grouped(df: DataFrame) -> DataFrame:
     return df.groupBy(*[column(c) for c in df.columns]).agg(F.count(F.lit(1)).alias(COPIES))
 
@@ -71,7 +76,9 @@ def expected_bytes(df: DataFrame) -> int:
 
 
 def row_digest(df: DataFrame) -> list[Column]:
-    """Two 64-bit hashes of all columns, NULLs told apart by their place. Equal rows have equal digests."""
+    """Two 64-bit hashes of all columns, NULLs told apart by their place. Equal rows have equal digests.
+
+    The first does to find rows that may repeat, as rows whose hashes meet by chance are compared as they are."""
     values = [column(c) for c in df.columns]
     return [F.xxhash64(F.lit(seed), *values, *[v.isNull() for v in values]) for seed in (1, 2)]
 
@@ -82,9 +89,9 @@ def _marked_repeats(df: DataFrame) -> DataFrame:
     The bits, at most ``_MOST_BITS``, are a table of 64-bit words, few enough to be broadcast whatever the size of ``df``; more
     repeated digests than that only mark more rows.
     """
-    first, second = row_digest(df)
-    digests = df.select(first.alias("_a"), second.alias("_b")).groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n"))
-    repeats = materialize(digests.filter("_n > 1").select("_a"), "repeated-digests")
+    first = row_digest(df)[0]
+    digests = df.select(first.alias("_a")).groupBy("_a").agg((F.count(F.lit(1)) > 1).alias("_again"))
+    repeats = materialize(digests.filter("_again").select("_a"), "repeated-digests")
     n_bits = min(_MOST_BITS, max(1 << 10, 1 << (32 * repeats.count()).bit_length()))
     place = F.pmod(F.col("_a"), F.lit(n_bits))
     bit = F.expr(f"shiftleft(1L, cast(pmod(pmod(_a, {n_bits}), 64) as int))")

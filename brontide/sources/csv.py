@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from functools import reduce
 
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from brontide.operators.project import column
 from brontide.sources import files, large_csv
 
 # Quotes are escaped by doubling and a quoted field may hold line breaks. The timestamp
@@ -14,6 +17,8 @@ _DIALECT = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
+# Characters of a value that is no text, at most in general; times that the widest row may have the mean width of all.
+_WIDEST, _ALIKE = 24, 16
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -23,7 +28,7 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     one, a value that does not fit its type fails the read rather than turn into NULL. A file larger
     than a split (``spark.sql.files.maxPartitionBytes``) is read by many tasks, see ``large_csv``; others by one each.
     """
-    if _largest_file(spark, path) > _split_bytes(spark):
+    if _largest_file(spark, path) > _bytes_of(spark, "spark.sql.files.maxPartitionBytes"):
         return large_csv.scan(spark, path, _DIALECT, schema)
     reader = spark.read.options(**_DIALECT, multiLine=True)
     if schema is None:
@@ -31,9 +36,8 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
     return reader.options(mode="FAILFAST", enforceSchema=False).schema(schema).csv(path)
 
 
-def _split_bytes(spark: SparkSession) -> int:
-    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(size)
+def _bytes_of(spark: SparkSession, name: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name))
 
 
 def _largest_file(spark: SparkSession, path: str) -> int:
@@ -42,20 +46,29 @@ def _largest_file(spark: SparkSession, path: str) -> int:
     return max((n for name, n in sizes if not name.endswith((".gz", ".bz2", ".zst", ".xz", ".snappy", ".lz4", ".deflate"))), default=0)
 
 
-def in_files(df: DataFrame) -> DataFrame:
-    """``df`` dealt out by bytes, so that each partition makes a file that one task can read.
+def in_files(df: DataFrame, most_rows: int = 1_000_000) -> tuple[DataFrame, int]:
+    """``df`` and the rows of a file, so that each file has about ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` of text at most.
 
-    Spark sizes the partitions by ``spark.sql.adaptive.advisoryPartitionSizeInBytes``, whatever the rows'
-    width. To be applied before rows are counted, as counts belong directly below the sink.
+    Where rows are of a like width, partitions are cut into files as they are, by the mean width of a row, and nothing
+    is shuffled. Where a row may be much wider than the mean, rows are dealt out by bytes first, in partitions of that size. To be
+    applied before rows are counted, as counts belong directly below the sink.
     """
-    return df.hint("rebalance")
+    texts = [F.coalesce(F.octet_length(column(f.name)), F.lit(0)) for f in df.schema if isinstance(f.dataType, T.StringType)]
+    fixed, mean, most = len(df.columns) + _WIDEST * (len(df.columns) - len(texts)), 0, 0
+    if texts:
+        width = reduce(Column.__add__, texts)
+        mean, most = (x or 0 for x in df.agg(F.avg(width), F.max(width)).first())
+    size = _bytes_of(df.sparkSession, "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    if fixed + most > _ALIKE * (fixed + mean):
+        return df.hint("rebalance"), most_rows
+    return df, max(1, min(most_rows, int(size / (fixed + mean))))
 
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     """Write ``df`` as a folder of header CSV files; NULL becomes an empty field.
 
     A file with quoted line breaks is dear to split between tasks, so files are kept small enough
-    for one: by bytes where ``df`` comes from ``in_files``, and by rows in any case.
+    for one: by bytes where ``df`` and ``rows_per_file`` come from ``in_files``, and by rows in any case.
     """
     # A lone empty field would be an empty line, which readers skip: quote it.
     empty = '""' if len(df.columns) == 1 else ""

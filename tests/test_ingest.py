@@ -314,6 +314,37 @@ def test_wide_rows_make_small_files(spark, folders):
     assert sum(sizes) > 18_000_000 and max(sizes) < 4_000_000
 
 
+def test_rows_of_like_width_are_landed_without_a_shuffle(spark, folders):
+    source = spark.range(0, 50_000, numPartitions=2).select("id", F.concat(F.lit("name "), "id").alias("v"))
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        dealt, rows_per_file = csv.in_files(source)
+        uneven, _ = csv.in_files(source.withColumn("v", F.expr("repeat(v, if(id = 7, 1000, 1))")))
+        assert I.export_table(source, I.TableSpec("even", ("id",)), folders) == 50_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in (dealt, uneven)]
+    assert ["Exchange" in p for p in plans] == [False, True]
+    files = spark.read.format("binaryFile").load(folders.csv_path("even")).select("length").collect()
+    assert 10 < len(files) and max(r["length"] for r in files) <= 65_536
+    assert csv.scan_csv(spark, folders.csv_path("even"), source.schema).exceptAll(source).count() == 0
+    assert csv.in_files(source.limit(0))[1] > 0 and csv.in_files(spark.range(3))[1] > 0
+
+
+def test_a_large_landing_is_grouped_by_digests(spark, folders, monkeypatch):
+    """Also where its text is large and what is stored of it is not."""
+    source = spark.range(0, 20_000, numPartitions=2).select("id", F.repeat(F.lit(" long text"), 20).substr(2, 300).alias("v"))
+    I.export_table(source.unionByName(source.filter("id % 100 = 0")), I.TableSpec("t", ("id",)), folders)
+    marked, taken = Q._marked_repeats, []
+    monkeypatch.setattr(Q, "_marked_repeats", lambda df: taken.append(df.columns) or marked(df))
+    monkeypatch.setattr(Q, "DIGEST_FROM", 1 << 20)
+    report = I.cleanse_table(spark, "t", folders).first()
+    assert taken == [["id", "v"]]
+    assert (report["source_rows"], report["cleansed_rows"]) == (20_200, 20_000)
+    assert I.read_cleansed(spark, folders, "t").exceptAll(source).count() == 0
+
+
 def test_a_failed_table_is_a_row_of_the_report(spark, folders):
     good, bad = spark.range(3).toDF("id"), spark.createDataFrame([(1, "a"), (1, "b")], "id int, v string")
     odd = spark.createDataFrame([([1.0],)], "id array<double>")
