@@ -88,10 +88,11 @@ class WordCache:
     def __init__(self, definition: str) -> None:
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.plain = Tokenizer.from_str(definition), Tokenizer.from_str(definition)
-        self.plain.normalizer = None
-        self.ends = np.zeros(self.plain.get_vocab_size(), bool)
-        for token, i in self.plain.get_vocab().items():
+        # One for both, with its normalizer taken off for stems: a second one would be as large again in every task.
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.normalizer = self.tokenizer.normalizer
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
         self.clear()
 
@@ -132,7 +133,9 @@ class WordCache:
     def _encode_stems(self, stems: list[str]) -> None:
         for i in range(0, len(stems), self.AT_ONCE):
             some = stems[i:i + self.AT_ONCE]
-            flat = np.array(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            self.tokenizer.normalizer = None
+            flat = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            self.tokenizer.normalizer = self.normalizer
             last = np.flatnonzero(self.ends[flat])
             if len(last) == len(some):
                 self._keep(some, flat, np.diff(np.concatenate(([-1], last))), self.parts)

@@ -95,6 +95,15 @@ def test_words_are_encoded_as_in_their_text():
         assert list(ids) == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_a_task_holds_one_tokenizer():
+    from tokenizers import Tokenizer
+
+    cache = packing.WordCache(open(catalog.tokenizer_path()).read())
+    assert sum(isinstance(x, Tokenizer) for x in vars(cache).values()) == 1
+    before, _ = cache.tokenizer.normalizer.normalize_str("A\u00c9"), list(cache.encode_all(pa.array(["Words and 'S"])))
+    assert cache.tokenizer.normalizer.normalize_str("A\u00c9") == before
+
+
 # --- chat ---------------------------------------------------------------------------------------
 
 PIECES = ["<s>", "</s>", "[INST]", "[/INST]", "\\", "<", "[", "/", "s>", "a", "\n", "{{ x }}", "{% if %}"]
