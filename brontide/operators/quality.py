@@ -50,20 +50,35 @@ def dedup_counting(df: DataFrame, digest_from: int = DIGEST_FROM) -> DataFrame:
     aggregation as one row per map task. Otherwise ``df`` is read again instead, which must give the same rows: a first pass
     groups digests of 64 bits alone, and only rows whose digest may repeat are shuffled and compared as they are.
     """
-    if COPIES.lower() in (c.lower() for c in df.columns):
-        raise DataQualityError(f"the name {COPIES} is taken by the number of copies")
+    each = counted_once(df)
     if not looked_at_twice(df, digest_from):
         return _grouped(df)
+    counted = counted_repeats(df)
+    return each if counted is None else counted
+
+
+def counted_once(df: DataFrame) -> DataFrame:
+    """Every row as the only one of its kind."""
+    if COPIES.lower() in (c.lower() for c in df.columns):
+        raise DataQualityError(f"the name {COPIES} is taken by the number of copies")
+    return df.select(*[column(c) for c in df.columns], F.lit(1).cast("bigint").alias(COPIES))
+
+
+def counted_repeats(df: DataFrame) -> DataFrame | None:
+    """Distinct rows with the number of copies of each, by digests first, see ``dedup_counting``. None if no digest repeats, as then no
+    row does."""
     marked = _marked_repeats(df)
+    if marked is None:
+        return None
     names = [column(c) for c in df.columns]
     once = marked.filter(~F.col("_repeats")).select(*names, F.lit(1).cast("bigint").alias(COPIES))
     return once.unionByName(_grouped(marked.filter("_repeats").select(*names)))
 
 
-def looked_at_twice(df: DataFrame, digest_from: int = DIGEST_FROM) -> bool:
-    """Whether ``dedup_counting`` reads ``df`` a second time."""
+def looked_at_twice(df: DataFrame, digest_from: int = DIGEST_FROM, n_bytes: int | None = None) -> bool:
+    """Whether ``dedup_counting`` reads ``df`` a second time; ``n_bytes`` are its bytes if they are known better than by Spark."""
     fixed = all(isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)) for f in df.schema)
-    return not fixed and expected_bytes(df) >= digest_from
+    return not fixed and (expected_bytes(df) if n_bytes is None else n_bytes) >= digest_from
 
 
 def _grouped(df: DataFrame) -> DataFrame:
@@ -83,8 +98,9 @@ def row_digest(df: DataFrame) -> list[Column]:
     return [F.xxhash64(F.lit(seed), *values, *[v.isNull() for v in values]) for seed in (1, 2)]
 
 
-def _marked_repeats(df: DataFrame) -> DataFrame:
+def _marked_repeats(df: DataFrame) -> DataFrame | None:
     """``df`` with ``_repeats``: whether the digest of a row occurs more than once, or, by chance, shares a bit with one that does.
+    None if no digest does.
 
     The bits, at most ``_MOST_BITS``, are a table of 64-bit words, few enough to be broadcast whatever the size of ``df``; more
     repeated digests than that only mark more rows.
@@ -92,7 +108,10 @@ def _marked_repeats(df: DataFrame) -> DataFrame:
     first = row_digest(df)[0]
     digests = df.select(first.alias("_a")).groupBy("_a").agg((F.count(F.lit(1)) > 1).alias("_again"))
     repeats = materialize(digests.filter("_again").select("_a"), "repeated-digests")
-    n_bits = min(_MOST_BITS, max(1 << 10, 1 << (32 * repeats.count()).bit_length()))
+    n_repeats = repeats.count()
+    if not n_repeats:
+        return None
+    n_bits = min(_MOST_BITS, max(1 << 10, 1 << (32 * n_repeats).bit_length()))
     place = F.pmod(F.col("_a"), F.lit(n_bits))
     bit = F.expr(f"shiftleft(1L, cast(pmod(pmod(_a, {n_bits}), 64) as int))")
     words = materialize(repeats.groupBy(F.floor(place / 64).cast("int").alias("_at")).agg(F.bit_or(bit).alias("_bits")), "repeat-bits")
@@ -102,7 +121,12 @@ def _marked_repeats(df: DataFrame) -> DataFrame:
 
 def cleanse(df: DataFrame, digest_from: int = DIGEST_FROM) -> DataFrame:
     """Trimmed names, trimmed strings with blanks as NULL, distinct rows with copy counts."""
-    return dedup_counting(blank_to_null(trim_column_names(df)), digest_from)
+    return dedup_counting(trimmed(df), digest_from)
+
+
+def trimmed(df: DataFrame) -> DataFrame:
+    """Trimmed names, trimmed strings with blanks as NULL."""
+    return blank_to_null(trim_column_names(df))
 
 
 def duplicates_removed(df: DataFrame, digest_from: int = DIGEST_FROM) -> DataFrame:

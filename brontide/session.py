@@ -6,10 +6,15 @@ import json
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from brontide.sources.files import delete_path
+
 # Settings the results depend on (time zone) or that large runs rely on (AQE). Memory,
 # cores and shuffle partitions belong to the cluster and are left to spark-submit.
 DEFAULTS = {
@@ -63,6 +68,49 @@ def small_frame(spark: SparkSession, rows: list[dict], schema: T.StructType) ->
     return spark.range(1, numPartitions=1).select(F.inline(F.from_json(literal, T.ArrayType(schema))))
 
 
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+@contextmanager
+def passing_files(spark: SparkSession):
+    """What this thread stores by ``materialize`` within is deleted at the end; for work whose results are stored elsewhere by then."""
+    paths: list[str] = []
+    token = _PASSING.set(paths)
+    try:
+        yield
+    finally:
+        _PASSING.reset(token)
+        for path in paths:
+            delete_path(spark, path)
+
+
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+# By session: how many pieces of work rely on the setting now, and what it was before the first.
+_dropping: dict[str, list] = {}
+_lock = Lock()
+
+
+@contextmanager
+def passing_shuffles(spark: SparkSession):
+    """The files of each shuffle are deleted when its query ends, not when the driver happens to collect its garbage.
+
+    For work that runs none of its queries twice: what is run again writes its shuffles anew. Threads may overlap.
+    """
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        state = _dropping.setdefault(session, [0, spark.conf.get(_DROP_SHUFFLES, None)])
+        state[0] += 1
+        spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            state[0] -= 1
+            if not state[0]:
+                del _dropping[session]
+                spark.conf.unset(_DROP_SHUFFLES) if state[1] is None else spark.conf.set(_DROP_SHUFFLES, state[1])
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -70,5 +118,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     several later passes need from being computed again.
     """
     path = work_dir(df.sparkSession, label)
+    if (passing := _PASSING.get()) is not None:
+        passing.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

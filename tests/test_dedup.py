@@ -53,3 +53,10 @@ def test_narrow_tables_are_grouped(spark):
     df = spark.range(100).select("id", (F.col("id") % 2).alias("b"))
     text = Q.dedup_counting(df, digest_from=0)._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" not in text
+
+
+def test_without_repeats_rows_are_taken_as_they_are(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, None)], "`a.b` int, v string")
+    assert Q.counted_repeats(df) is None
+    assert counted(df, digest_from=0) == counted(df)
+    assert Q.dedup_counting(df, 0).schema.simpleString() == Q.dedup_counting(df).schema.simpleString()

@@ -2,16 +2,18 @@
 
 import datetime as dt
 import json
+import time
 
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from brontide import session
 from brontide.errors import DataQualityError
 from brontide.operators import project as P, quality as Q
 from brontide.plans import ingest as I
 from brontide.session import work_dir
-from brontide.sources import artifacts, csv, documents, relational, tables
+from brontide.sources import artifacts, csv, documents, files, relational, tables
 
 LINEITEM = "/root/testdata/sf0.001/lineitem.parquet"
 
@@ -345,6 +347,67 @@ def test_a_large_landing_is_grouped_by_digests(spark, folders, monkeypatch):
     assert I.read_cleansed(spark, folders, "t").exceptAll(source).count() == 0
 
 
+def test_a_large_landing_is_compressed(spark, folders, monkeypatch):
+    """And read as if it were not: quotes, line breaks, NULLs and the counts of the report."""
+    text = F.expr("case id % 4 when 0 then concat('a \"q\", ', id) when 1 then concat('x\\ny ', id) when 2 then null else repeat('b ', 60) end")
+    source = spark.range(0, 20_000, numPartitions=2).select("id", text.alias("v"), F.expr("id / 7").alias("d"))
+    I.export_table(source, I.TableSpec("small", ("id",)), folders)
+    monkeypatch.setattr(csv, "PACK_FROM", 1 << 20)
+    report = I.ingest_table(source, I.TableSpec("t", ("id",)), folders).first()
+    assert (report["source_rows"], report["target_rows"]) == (20_000, 20_000)
+    plain, packed = (files.list_sizes(spark, folders.csv_path(t)) for t in ("small", "t"))
+    assert all(name.endswith(".csv") for name, _ in plain) and all(name.endswith(".csv.gz") for name, _ in packed)
+    assert 3 * sum(n for _, n in packed) < sum(n for _, n in plain) < 4 * csv.text_bytes(spark, folders.csv_path("t"))
+    found = tables.scan_table(spark, folders.target, "t")
+    assert found.exceptAll(source.withColumn("v", F.trim("v"))).count() == 0 and found.count() == 20_000
+    I.cleanse_table(spark, "t", folders, infer_types=True)
+    assert I.read_cleansed(spark, folders, "t").count() == 20_000
+
+
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (found.apply(i).getName() for i in range(found.size())) if name.startswith("shuffle_")}
+
+
+def test_an_ingestion_leaves_what_it_publishes(spark, folders, monkeypatch):
+    """No files of shuffles, no intermediate tables and nothing of a table that is refused, whether it is large or not."""
+    rows = spark.range(0, 20_000, numPartitions=2).select("id", F.repeat(F.lit(" long text"), 20).substr(2, 300).alias("v"))
+    sources = {"once": rows, "twice": rows.unionByName(rows.filter("id % 100 = 0")), "few": rows.limit(500),
+               "bad": rows.unionByName(rows.limit(7).withColumn("v", F.lit("other"))), "bad_few": rows.limit(5).unionByName(spark.createDataFrame([(1, "x")], rows.schema))}
+    staged, stage = [], tables.stage_snapshot
+    monkeypatch.setattr(tables, "stage_snapshot", lambda df, base, table: staged.append((base, table)) or stage(df, base, table))
+    monkeypatch.setattr(Q, "DIGEST_FROM", 1 << 20)
+    stored, made = [], session.work_dir
+    monkeypatch.setattr(session, "work_dir", lambda spark, label: stored.append(made(spark, label)) or stored[-1])
+    before, setting = _shuffle_files(spark), spark.conf.get(session._DROP_SHUFFLES)
+    report = {r["table"]: r for r in I.ingest_tables(sources, [I.TableSpec(n, ("id",)) for n in sources], folders).collect()}
+    assert {t: (r["source_rows"], r["cleansed_rows"], r["target_rows"], r["reason"]) for t, r in report.items()} == {
+        "once": (20_000, 20_000, 20_000, None), "twice": (20_200, 20_000, 20_000, None), "few": (500, 500, 500, None),
+        "bad": (None, None, None, "bad: 7 duplicate keys"), "bad_few": (None, None, None, "bad_few: 1 duplicate keys")}
+    for _ in range(50):  # they are deleted in the background
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before and spark.conf.get(session._DROP_SHUFFLES) == setting
+    assert len(stored) >= 3 and not any(files.path_exists(spark, path) for path in stored)
+    for t in sources:
+        kept = [files.list_names(spark, f"{tables.table_path(base, t)}/snapshots") for base in (folders.cleansed, folders.target)]
+        assert list(map(len, kept)) == ([0, 0] if t.startswith("bad") else [1, 1])
+        assert t.startswith("bad") or tables.scan_table(spark, folders.target, t).exceptAll(sources[t]).count() == 0
+    # All rows of a large table are staged once, and again only if some repeat.
+    assert [staged.count((folders.cleansed, t)) for t in ("once", "twice", "few")] == [1, 2, 1]
+
+
+def test_files_that_pass_are_deleted_also_after_a_failure(spark):
+    with pytest.raises(RuntimeError), session.passing_files(spark), session.passing_shuffles(spark):
+        with session.passing_shuffles(spark):
+            path = session.materialize(spark.range(3), "passing").inputFiles()[0]
+        assert spark.conf.get(session._DROP_SHUFFLES) == "true" and files.path_exists(spark, path)
+        raise RuntimeError
+    assert not files.path_exists(spark, path) and not session._dropping
+    assert session.materialize(spark.range(3), "kept").count() == 3
+
+
 def test_a_failed_table_is_a_row_of_the_report(spark, folders):
     good, bad = spark.range(3).toDF("id"), spark.createDataFrame([(1, "a"), (1, "b")], "id int, v string")
     odd = spark.createDataFrame([([1.0],)], "id array<double>")
